@@ -394,3 +394,17 @@ def unfused_feature_blocks(df: DataFrame, cfg: FeatureConfig = FeatureConfig())
     blocks = [SPEED, DIRECTION, CALLS, HEIGHT, HOURS, GPS, TRIPS, WEEKDAYS, ACCELERATION, DURATION]
     frames = [driver_statistics(df, b, cfg) for b in blocks] + [driver_statistics(df, ["y"], cfg)]
     return join_features(*frames, on=group_keys(df))
+
+
+def trip_table(df: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> DataFrame:
+    """A4: one row per trip: rows, direction and height variance (0 for < 2 values),
+    duration (max - min TIME) and the trip's weekday (max over its rows)."""
+    keys = group_keys(df)
+    trips = trip_partials(df, cfg, with_acc=False)
+    return trips.select(
+        *keys, TRIP, F.col("n_rows"),
+        F.coalesce(_var_samp("dirm"), F.lit(0.0)).alias("dv"),
+        F.coalesce(_var_samp("hgtm"), F.lit(0.0)).alias("hv"),
+        (F.col("tim_max") - F.col("tim_min")).alias("duration"),
+        F.col("wd_max").alias("wd"),
+    )

@@ -49,9 +49,10 @@ def _t(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stats_query(name: str, columns: list[str], blocks: list[str]) -> None:
+    """Register a driver-statistics query; an empty ``blocks`` means the SQL is set separately."""
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         return present(fx.driver_statistics(_t(spark, sf_dir), columns))
-    register(name, o.blocks_sql(blocks, columns))(q)
+    register(name, o.blocks_sql(blocks, columns) if blocks else None)(q)
 
 
 # --- 2.4 aggregations, one per feature block --------------------------------------
@@ -82,3 +83,381 @@ _feature_set_query("driver_features_59", "59", [b for b in _ALL_61 if b != "dura
 _feature_set_query("driver_features_42", "42",
                    ["speed", "direction", "call", "height", "height_trip", "hour", "gps", "trips", "label"])
 _feature_set_query("driver_features_7", "7", ["speed", "direction", "smoothed", "label"])
+
+
+# =====================================================================================
+# 2.1 scans, sources, sinks
+from tripwise.operators import order as od  # noqa: E402
+from tripwise.operators import rows as rw  # noqa: E402
+from tripwise.operators import selection as sel  # noqa: E402
+from tripwise.operators import split as sp  # noqa: E402
+from tripwise.operators.knn import knn_pairs, knn_regress  # noqa: E402
+from tripwise.operators.metrics import class_balance, prediction_variance, regression_metrics  # noqa: E402
+from tripwise.sources import sinks  # noqa: E402
+from tripwise.sources.telemetry import (  # noqa: E402
+    COLUMNS, events_as_telemetry, load_table, split_side, union_train_test,
+)
+
+ROW_COLS = COLUMNS + ["seq", "split"]
+_T_COLS = ", ".join(ROW_COLS)
+
+
+def _rows_sql(where: str = "TRUE", tail: str = "") -> str:
+    return o.rounded_auto(o.with_t(f"SELECT {_T_COLS} FROM t WHERE {where} {tail}"), ROW_COLS)
+
+
+@register("telemetry_scan", _rows_sql())
+def telemetry_scan(spark, sf_dir):
+    """The telemetry rows with the canonical schema (no cleaning)."""
+    return present(events_as_telemetry(load_table(spark, sf_dir, "events")).select(*ROW_COLS))
+
+
+@register("telemetry_clean", _rows_sql())
+def telemetry_clean(spark, sf_dir):
+    """NaN -> NULL on every double column."""
+    return present(_t(spark, sf_dir).select(*ROW_COLS))
+
+
+@register("train_test_union", _rows_sql())
+def train_test_union(spark, sf_dir):
+    """Train rows and label-less test rows in one frame with a split tag."""
+    t = _t(spark, sf_dir)
+    train = split_side(t, "train").drop("split")
+    test = split_side(t, "test").drop("split", "y")
+    return present(union_train_test(train, test).select(*ROW_COLS))
+
+
+# --- 2.2 projections, filters --------------------------------------------------------
+@register("calls_incoming", _rows_sql("callstate = 2"))
+def calls_incoming(spark, sf_dir):
+    return present(rw.call_state_rows(_t(spark, sf_dir), 2).select(*ROW_COLS))
+
+
+@register("calls_connected", _rows_sql("callstate = 3"))
+def calls_connected(spark, sf_dir):
+    return present(rw.call_state_rows(_t(spark, sf_dir), 3).select(*ROW_COLS))
+
+
+@register("moving_rows", _rows_sql("speed > 5"))
+def moving_rows(spark, sf_dir):
+    return present(rw.moving_rows(_t(spark, sf_dir)).select(*ROW_COLS))
+
+
+@register("positive_rows", _rows_sql("y IS NULL OR y <> 0"))
+def positive_rows(spark, sf_dir):
+    return present(rw.positive_rows(_t(spark, sf_dir)).select(*ROW_COLS))
+
+
+@register("haversine_rows", o.rounded_auto(
+    o.with_t(f"SELECT terminalno, seq, {o.hav('longitude', 'latitude')} AS hdis FROM t"),
+    ["terminalno", "seq", "hdis"]))
+def haversine_rows(spark, sf_dir):
+    """Distance of every row to the anchor."""
+    return present(rw.with_distance(_t(spark, sf_dir)).select("terminalno", "seq", "hdis"))
+
+
+@register("scaled_label", o.rounded_auto(
+    o.with_t("SELECT terminalno, max(y) AS y, max(y) * 10.0::DOUBLE AS y10 FROM t "
+             "WHERE split = 'train' GROUP BY terminalno"), ["terminalno", "y", "y10"]))
+def scaled_label(spark, sf_dir):
+    """Label x10 per train driver."""
+    labels = fx.driver_statistics(split_side(_t(spark, sf_dir), "train").drop("split"), ["y"])
+    return present(labels.withColumn("y10", rw.scaled("y")))
+
+
+# --- 2.4 aggregations -----------------------------------------------------------------
+_stats_query("direction_overview", ["direction_var_mean", "direction_var_min", "direction_var_max"], [])
+ORACLE["direction_overview"] = o.rounded_auto(
+    o.with_t(f"SELECT {o.K}, avg(dv) AS direction_var_mean, min(dv) AS direction_var_min, "
+             f"max(dv) AS direction_var_max FROM trip GROUP BY {o.K}", o.TRIP_CTE),
+    ["split", "terminalno", "direction_var_mean", "direction_var_min", "direction_var_max"])
+
+_stats_query("trip_distinct", ["num_of_trips"], [])
+ORACLE["trip_distinct"] = o.rounded_auto(
+    o.with_t(f"SELECT {o.K}, count(DISTINCT trip_id) AS num_of_trips FROM t GROUP BY {o.K}"),
+    ["split", "terminalno", "num_of_trips"])
+
+
+@register("trip_direction_variance", o.rounded_auto(
+    o.with_t(f"SELECT {o.K}, trip_id, dv FROM trip", o.TRIP_CTE), ["split", "terminalno", "trip_id", "dv"]))
+def trip_direction_variance(spark, sf_dir):
+    """A4: per-trip direction variance (0 for trips with fewer than two values)."""
+    return present(fx.trip_table(_t(spark, sf_dir)).select("split", "terminalno", "trip_id", "dv"))
+
+
+_OVERVIEW = ["speed_max", "speed_min", "speed_mean", "y_mean"]
+
+
+@register("speed_overview", o.rounded_auto(
+    o.with_t("SELECT terminalno, max(speed) AS speed_max, min(speed) AS speed_min, avg(speed) AS speed_mean, "
+             "avg(y) AS y_mean FROM t WHERE split = 'train' GROUP BY terminalno ORDER BY terminalno LIMIT 10"),
+    ["terminalno"] + _OVERVIEW))
+def speed_overview(spark, sf_dir):
+    """A2 + L1: speed max/min/mean and mean Y of the first 10 train drivers in key order."""
+    train = split_side(_t(spark, sf_dir), "train").drop("split")
+    return present(fx.driver_statistics(train, _OVERVIEW).orderBy("terminalno").limit(10))
+
+
+@register("driver_count", o.with_t("SELECT split, count(DISTINCT terminalno) AS drivers FROM t GROUP BY split"))
+def driver_count(spark, sf_dir):
+    """Distinct drivers per side."""
+    return _t(spark, sf_dir).groupBy("split").agg(F.count_distinct("terminalno").alias("drivers"))
+
+
+@register("telemetry_profile", o.with_t(
+    "SELECT split, count(*) AS rows, count(DISTINCT terminalno) AS drivers, "
+    "(SELECT count(*) FROM (SELECT DISTINCT terminalno, trip_id FROM t t2 WHERE t2.split = t.split)) AS trips "
+    "FROM t GROUP BY split"))
+def telemetry_profile(spark, sf_dir):
+    """Rows, drivers and trips per side (distinct counts are shuffled aggregates)."""
+    t = _t(spark, sf_dir)
+    return t.groupBy("split").agg(F.count(F.lit(1)).alias("rows"),
+                                  F.count_distinct("terminalno").alias("drivers"),
+                                  F.count_distinct("terminalno", "trip_id").alias("trips"))
+
+
+# --- 2.5 windows ----------------------------------------------------------------------
+@register("speed_diff_rows", o.rounded_auto(
+    o.with_t("SELECT terminalno, trip_id, seq, coalesce(speed - lag(speed) OVER (PARTITION BY split, terminalno, "
+             "trip_id ORDER BY time NULLS FIRST, seq), 0.0::DOUBLE) AS speed_diff FROM t"),
+    ["terminalno", "trip_id", "seq", "speed_diff"]))
+def speed_diff_rows(spark, sf_dir):
+    """In-trip speed difference per row (time-sliced window + slice links)."""
+    return present(rw.speed_diffs(_t(spark, sf_dir)).select("terminalno", "trip_id", "seq", "speed_diff"))
+
+
+_START = ["start_lon", "start_lat", "first_y", "dis"]
+
+
+@register("start_point", o.rounded_auto(
+    o.with_t(f"SELECT {o.K}, longitude AS start_lon, latitude AS start_lat, y AS first_y, "
+             f"{o.hav('longitude', 'latitude')} AS dis FROM t "
+             f"QUALIFY row_number() OVER (PARTITION BY {o.K} ORDER BY time NULLS FIRST, seq) = 1"),
+    ["split", "terminalno"] + _START))
+def start_point(spark, sf_dir):
+    """First record per driver (min over (time, seq), an aggregate, no sort)."""
+    return present(fx.driver_statistics(_t(spark, sf_dir), _START))
+
+
+def _train_drivers(spark, sf_dir):
+    return split_side(_t(spark, sf_dir), "train").select("terminalno").distinct()
+
+
+_FOLDS_SQL = """folds AS (
+  SELECT terminalno, CAST(least(floor(rk / (n // 5)), 4) AS INTEGER) AS fold
+  FROM (SELECT terminalno, row_number() OVER (ORDER BY terminalno) - 1 AS rk, count(*) OVER () AS n
+        FROM (SELECT DISTINCT terminalno FROM t WHERE split = 'train')))"""
+
+
+@register("contiguous_folds", o.with_t("SELECT terminalno, fold FROM folds", _FOLDS_SQL))
+def contiguous_folds(spark, sf_dir):
+    """5 contiguous folds of the train drivers in key order (tail in the last fold)."""
+    return sp.contiguous_folds(_train_drivers(spark, sf_dir), 5)
+
+
+@register("fold_complement", o.with_t(
+    "SELECT f.terminalno, f.fold, CAST(i.held_fold AS INTEGER) AS held_fold FROM folds f, "
+    "range(5) i(held_fold) WHERE f.fold <> i.held_fold", _FOLDS_SQL))
+def fold_complement(spark, sf_dir):
+    """Per held-out fold i, the drivers it trains on."""
+    return sp.fold_complement(sp.contiguous_folds(_train_drivers(spark, sf_dir), 5), 5)
+
+
+@register("holdout_split", o.with_t(
+    f"SELECT terminalno, {o.holdout_sql('terminalno', 0, 0.2)} AS holdout "
+    "FROM (SELECT DISTINCT terminalno FROM t WHERE split = 'train')"))
+def holdout_split(spark, sf_dir):
+    """M2: reproducible 20 % hold-out of train drivers (md5 hash, seed 0)."""
+    return sp.holdout_split(_train_drivers(spark, sf_dir), 0.2, seed=0)
+
+
+# --- 2.6 sort / limit -----------------------------------------------------------------
+@register("telemetry_head", _rows_sql(tail="ORDER BY time NULLS FIRST, seq LIMIT 5"))
+def telemetry_head(spark, sf_dir):
+    """L2: first five rows in (time, seq) order."""
+    return present(od.first_rows(_t(spark, sf_dir).select(*ROW_COLS), 5,
+                                 [F.col("time").asc_nulls_first(), F.col("seq").asc()]))
+
+
+@register("telemetry_tail", _rows_sql(tail="ORDER BY time DESC NULLS LAST, seq DESC LIMIT 5"))
+def telemetry_tail(spark, sf_dir):
+    """L2: last five rows in (time, seq) order."""
+    return present(od.last_rows(_t(spark, sf_dir).select(*ROW_COLS), 5, ["time", "seq"]))
+
+
+@register("drivers_in_order", o.with_t(
+    "SELECT terminalno, first_seq, row_number() OVER (ORDER BY first_seq, terminalno) - 1 AS position "
+    "FROM (SELECT terminalno, min(seq) AS first_seq FROM t GROUP BY terminalno)"))
+def drivers_in_order(spark, sf_dir):
+    """L3: drivers in order of first appearance (distributed global rank)."""
+    return od.drivers_in_order(_t(spark, sf_dir))
+
+
+# --- 2.9 selection ----------------------------------------------------------------------
+def _f_scores_sql(feature_set: str, columns: list[str]) -> list[str]:
+    unp = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {i} AS feature_index, CAST({c} AS DOUBLE) AS x, y FROM feat WHERE split = 'train'"
+        for i, c in enumerate(columns))
+    return o.feature_ctes("feat", feature_set, columns) + [
+        f"long AS ({unp})",
+        "stats AS (SELECT feature, feature_index, count(y) AS n, CASE WHEN stddev_pop(x) * stddev_pop(y) > 0 "
+        "THEN covar_pop(x, y) / (stddev_pop(x) * stddev_pop(y)) END AS r FROM long GROUP BY feature, feature_index)",
+        "scores AS (SELECT feature, feature_index, n, r, CASE WHEN r IS NULL THEN NULL "
+        "WHEN abs(r) >= 1 THEN 'inf'::DOUBLE ELSE r * r / (1 - r * r) * (n - 2) END AS f_score FROM stats)",
+    ]
+
+
+def _train_features(spark, sf_dir, fset: str = "61"):
+    t = _t(spark, sf_dir)
+    return fx.driver_features(split_side(t, "train"), fset)
+
+
+@register("feature_f_scores", o.rounded_auto(
+    o.with_t("SELECT feature, feature_index, n, r, f_score FROM scores", *_f_scores_sql("61", fx.FEATURES_61)),
+    ["feature", "feature_index", "n", "r", "f_score"]))
+def feature_f_scores(spark, sf_dir):
+    """M1: Pearson r and univariate F of each of the 61 features against Y (one aggregate)."""
+    return present(sel.f_scores(_train_features(spark, sf_dir), fx.FEATURES_61))
+
+
+def _selection_sql(p: int) -> str:
+    keep = int(len(fx.FEATURES_61) * p / 100)
+    return o.with_t(
+        f"SELECT feature, feature_index, selected_rank FROM (SELECT feature, feature_index, "
+        f"row_number() OVER (ORDER BY f_score DESC NULLS LAST, feature_index) - 1 AS selected_rank FROM scores) "
+        f"WHERE selected_rank < {keep}", *_f_scores_sql("61", fx.FEATURES_61))
+
+
+def _selection_query(p: int):
+    def q(spark, sf_dir):
+        scores = sel.f_scores(_train_features(spark, sf_dir), fx.FEATURES_61)
+        return sel.select_percentile(scores, p).withColumn("selected_rank", F.col("selected_rank").cast("bigint"))
+    return q
+
+
+register("feature_selection_50", _selection_sql(50))(_selection_query(50))
+register("feature_selection_70", _selection_sql(70))(_selection_query(70))
+
+
+_CORR_COLS = fx.FEATURES_61 + ["y"]
+
+
+def _corr_sql() -> str:
+    unp = " UNION ALL ".join(f"SELECT terminalno, '{c}' AS name, CAST({c} AS DOUBLE) AS v FROM feat "
+                             f"WHERE split = 'train'" for c in _CORR_COLS)
+    ctes = o.feature_ctes("feat", "61", fx.FEATURES_61) + [f"long AS ({unp})"]
+    body = ("SELECT l.name AS a, r.name AS b, CASE WHEN stddev_pop(l.v) * stddev_pop(r.v) > 0 THEN "
+            "covar_pop(l.v, r.v) / (stddev_pop(l.v) * stddev_pop(r.v)) END AS r "
+            "FROM long l JOIN long r USING (terminalno) GROUP BY l.name, r.name")
+    return o.rounded(o.with_t(body, *ctes), keep=["a", "b"], d4=["r"])
+
+
+@register("feature_corr", _corr_sql())
+def feature_corr(spark, sf_dir):
+    """K5: correlation matrix of the 61 features and the label over train drivers."""
+    return present(sel.correlation_matrix(_train_features(spark, sf_dir), _CORR_COLS))
+
+
+# --- class balance, k-NN, metrics -------------------------------------------------------
+@register("class_balance", o.rounded_auto(o.with_t(
+    "SELECT CAST(count_if(y = 0) AS BIGINT) AS n_zero, CAST(count_if(y > 0) AS BIGINT) AS n_positive, "
+    "CASE WHEN count_if(y > 0) > 0 THEN CAST(count_if(y = 0) AS DOUBLE) / CAST(count_if(y > 0) AS DOUBLE) END "
+    "AS ratio FROM (SELECT terminalno, max(y) AS y FROM t WHERE split = 'train' GROUP BY terminalno)"),
+    ["n_zero", "n_positive", "ratio"]))
+def class_balance_q(spark, sf_dir):
+    """drivers with Y = 0 vs Y > 0 and their ratio."""
+    labels = fx.driver_statistics(split_side(_t(spark, sf_dir), "train").drop("split"), ["y"])
+    return present(class_balance(labels))
+
+
+def _knn_tables(spark, sf_dir):
+    feats = fx.driver_features(_t(spark, sf_dir), "7")
+    return split_side(feats, "train"), split_side(feats, "test")
+
+
+def _knn_sql(k: int, body: str, cols: list[str], extra: list[str] = ()) -> str:
+    ctes = o.feature_ctes("feat", "7", fx.FEATURES_7) + o.knn_ctes("feat", fx.FEATURES_7, k) + list(extra)
+    return o.rounded_auto(o.with_t(body, *ctes), cols)
+
+
+@register("knn_pairs", _knn_sql(5, "SELECT test_id, train_id, dist, nb, label FROM knn_top",
+                                ["test_id", "train_id", "dist", "nb", "label"]))
+def knn_pairs_q(spark, sf_dir):
+    """J6 + W4: the 5 nearest train drivers of every test driver (exact, no cross join)."""
+    train, test = _knn_tables(spark, sf_dir)
+    return present(knn_pairs(train, test, fx.FEATURES_7, 5).withColumn("nb", F.col("nb").cast("bigint")))
+
+
+@register("knn5_predictions", _knn_sql(5, "SELECT terminalno, greatest(pred, 0.0::DOUBLE) AS pred FROM knn_pred",
+                                       ["terminalno", "pred"]))
+def knn5_predictions(spark, sf_dir):
+    """M6 (k = 5) + P6 clamp."""
+    train, test = _knn_tables(spark, sf_dir)
+    return present(knn_regress(train, test, fx.FEATURES_7, 5).withColumn("pred", rw.clamp_nonnegative("pred")))
+
+
+@register("knn30_predictions", _knn_sql(30, "SELECT terminalno, pred FROM knn_pred", ["terminalno", "pred"]))
+def knn30_predictions(spark, sf_dir):
+    """M6 (k = 30), no clamp."""
+    train, test = _knn_tables(spark, sf_dir)
+    return present(knn_regress(train, test, fx.FEATURES_7, 30))
+
+
+@register("submission", _knn_sql(5, "SELECT terminalno AS Id, greatest(pred, 0.0::DOUBLE) AS Pred FROM knn_pred",
+                                 ["Id", "Pred"]))
+def submission(spark, sf_dir):
+    """K1: the Id,Pred frame of the k-NN job (written with one part file by ``sinks``)."""
+    return present(sinks.submission_frame(knn5_predictions(spark, sf_dir)))
+
+
+@register("pred_variance", _knn_sql(
+    5, "SELECT var_samp(greatest(pred, 0.0::DOUBLE)) AS pred_var_samp, "
+       "var_pop(greatest(pred, 0.0::DOUBLE)) AS pred_var_pop FROM knn_pred", ["pred_var_samp", "pred_var_pop"]))
+def pred_variance(spark, sf_dir):
+    """Variance of the k-NN test predictions."""
+    train, test = _knn_tables(spark, sf_dir)
+    preds = knn_regress(train, test, fx.FEATURES_7, 5).withColumn("pred", rw.clamp_nonnegative("pred"))
+    return present(prediction_variance(preds))
+
+
+def _eval_sql() -> str:
+    hold = o.holdout_sql("terminalno", 0, 0.2)
+    ctes = (o.feature_ctes("feat0", "7", fx.FEATURES_7)
+            + [f"feat AS (SELECT *, {hold} AS holdout FROM feat0 WHERE split = 'train')"]
+            + o.knn_ctes("feat", fx.FEATURES_7, 5, train_filter="NOT holdout", test_filter="holdout"))
+    body = ("SELECT count(*) AS n, avg(abs(f.y - p.pred)) AS mae, sqrt(avg((f.y - p.pred) * (f.y - p.pred))) AS rmse, "
+            "1 - var_pop(f.y - p.pred) / var_pop(f.y) AS explained_variance "
+            "FROM (SELECT terminalno, greatest(pred, 0.0::DOUBLE) AS pred FROM knn_pred) p JOIN feat f USING (terminalno)")
+    return o.rounded_auto(o.with_t(body, *ctes), ["n", "mae", "rmse", "explained_variance"])
+
+
+@register("eval_metrics", _eval_sql())
+def eval_metrics(spark, sf_dir):
+    """MAE, RMSE, explained variance of k-NN (k = 5) on a 20 % hash hold-out of train drivers."""
+    feats = sp.holdout_split(split_side(fx.driver_features(_t(spark, sf_dir), "7"), "train"), 0.2, seed=0)
+    fit, held = feats.filter(~F.col("holdout")), feats.filter(F.col("holdout"))
+    preds = knn_regress(fit, held, fx.FEATURES_7, 5).withColumn("pred", rw.clamp_nonnegative("pred"))
+    return present(regression_metrics(preds.join(held.select("terminalno", "y"), "terminalno")))
+
+
+# --- baseline feature set -----------------------------------------------------------------
+def _baseline_sql() -> str:
+    cols = fx.BASELINE_FEATURES
+    body = f"""SELECT {o.K},
+      coalesce(CAST(count(DISTINCT trip_id) AS BIGINT), -1) AS num_of_trips,
+      CAST(count(*) AS BIGINT) AS num_of_records,
+      {", ".join(f"coalesce({o._share(f'callstate = {k}')}, -1.0) AS num_of_state_{k}" for k in range(5))},
+      coalesce(avg(speed), -1.0) AS mean_speed,
+      coalesce(var_samp(speed), -1.0) AS var_speed,
+      coalesce(avg(height), -1.0) AS mean_height,
+      {", ".join(f"coalesce({o._share(f'hr = {h}')}, -1.0) AS h{h}" for h in range(24))},
+      coalesce(arg_min({o.hav('longitude', 'latitude')}, (time, seq)), -1.0) AS dis,
+      CASE WHEN split = 'test' THEN -1.0 ELSE coalesce(arg_min(y, (time, seq)), -1.0) END AS target
+    FROM t GROUP BY {o.K}"""
+    return o.rounded_auto(o.with_t(body), ["split", "terminalno"] + cols + ["target"])
+
+
+@register("baseline_features", _baseline_sql())
+def baseline_features(spark, sf_dir):
+    """The 36-column baseline set, missing -> -1, target."""
+    return present(fx.driver_features(_t(spark, sf_dir), "baseline"))

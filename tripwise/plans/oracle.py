@@ -165,7 +165,7 @@ KEEP = {"split", "feature", "name", "metric", "side", "holdout"}
 METRES = {"dis_mean", "dis_min", "dis_max", "dis", "hdis", "start_dis"}
 COARSE = {"direction_var_max", "direction_var_mean", "direction_var_min", "height_var_max", "height_var_mean",
           "var_acc", "var_speed", "time_duration_mean", "dv", "hv", "f_score", "pred_var_samp",
-          "pred_var_pop", "r"}
+          "pred_var_pop", "r", "dist", "radius"}
 
 
 def blocks_sql(blocks: list[str], columns: list[str] | None = None) -> str:
@@ -177,3 +177,43 @@ def blocks_sql(blocks: list[str], columns: list[str] | None = None) -> str:
     cols = columns or [c for b in blocks for c in BLOCK_COLUMNS[b]]
     inner = with_t(f"SELECT {K}, {', '.join(cols)} FROM {first} {joins}", *ctes)
     return rounded_auto(inner, ["split", "terminalno"] + cols)
+
+
+FEATURE_BLOCKS = {
+    "61": ["speed", "direction", "call", "height", "height_trip", "hour", "gps", "trips", "weekday", "acc",
+           "duration", "label"],
+    "42": ["speed", "direction", "call", "height", "height_trip", "hour", "gps", "trips", "label"],
+    "7": ["speed", "direction", "smoothed", "label"],
+}
+
+
+def feature_ctes(name: str, feature_set: str, columns: list[str]) -> list[str]:
+    """CTEs defining ``name`` = (split, terminalno, columns..., y) from the blocks of a set."""
+    blocks = FEATURE_BLOCKS[feature_set]
+    ctes = [TRIP_CTE, ACC_CTE] + [f"b_{b} AS ({BLOCK_SQL[b]})" for b in blocks]
+    joins = " ".join(f"JOIN b_{b} USING ({K})" for b in blocks[1:])
+    ctes.append(f"{name} AS (SELECT {K}, {', '.join(columns)}, y FROM b_{blocks[0]} {joins})")
+    return ctes
+
+
+def holdout_sql(key: str, seed: int, fraction: float) -> str:
+    """Same bucket as ``split.hash_bucket``: md5('seed:key'), first 8 hex digits, mod 100."""
+    return (f"((('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 8))::BIGINT % 100) "
+            f"< {int(round(fraction * 100))})")
+
+
+def knn_ctes(feat: str, features: list[str], k: int, train_filter: str = "split = 'train'",
+             test_filter: str = "split = 'test'") -> list[str]:
+    """Brute-force k-NN over all (test, train) pairs of the feature CTE ``feat``."""
+    dist = " + ".join(f"(coalesce(q.{c}, 0.0::DOUBLE) - coalesce(r.{c}, 0.0::DOUBLE)) * "
+                      f"(coalesce(q.{c}, 0.0::DOUBLE) - coalesce(r.{c}, 0.0::DOUBLE))" for c in features)
+    return [
+        f"knn_all AS (SELECT q.terminalno AS test_id, r.terminalno AS train_id, r.y AS label, sqrt({dist}) AS dist "
+        f"FROM (SELECT * FROM {feat} WHERE {test_filter}) q, (SELECT * FROM {feat} WHERE {train_filter}) r)",
+        f"knn_top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY test_id ORDER BY dist, train_id) - 1 "
+        f"AS nb FROM knn_all) WHERE nb < {k})",
+        "knn_pred AS (SELECT test_id AS terminalno, CASE WHEN count_if(dist = 0) > 0 "
+        "THEN avg(CASE WHEN dist = 0 THEN label END) "
+        "ELSE sum(CASE WHEN dist <> 0 THEN label / dist END) / sum(CASE WHEN dist <> 0 THEN 1.0 / dist END) END "
+        "AS pred FROM knn_top GROUP BY test_id)",
+    ]
