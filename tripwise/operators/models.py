@@ -76,7 +76,7 @@ def gbt(params: BoostParams, label: str = "label", validation: str | None = None
     )
     if validation is not None and params.early_stop:
         # M9: stop when the validation error stops improving by validationTol
-        est = est.setValidationIndicatorCol(validation).setValidationTol(0.0)
+        est = est.setParams(validationIndicatorCol=validation, validationTol=0.0)
     return est
 
 

@@ -65,16 +65,18 @@ def selected_features(scores: DataFrame, percentile: float) -> list[str]:
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """K5: Pearson r of every pair of ``columns`` (features and label), long form.
 
-    One aggregate evaluates all m^2/2 pairs; constant columns give NULL.
-    Output: a, b, r (both orders and the diagonal, like the frame library).
+    Spark ML's ``Correlation`` builds the m x m matrix with one tree-aggregate
+    of per-partition Gramians (rows never leave their executors); only the
+    bounded m x m result reaches the driver.  Constant columns give NULL.
+    Output: a, b, r (both orders and the diagonal).
     """
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    one = df.agg(*[_pearson(F.col(columns[i]), F.col(columns[j])).alias(f"_p{i}_{j}") for i, j in pairs])
-    structs = []
-    for i, j in pairs:
-        structs.append(F.struct(F.lit(columns[i]).alias("a"), F.lit(columns[j]).alias("b"),
-                                F.col(f"_p{i}_{j}").alias("r")))
-        if i != j:
-            structs.append(F.struct(F.lit(columns[j]).alias("a"), F.lit(columns[i]).alias("b"),
-                                    F.col(f"_p{i}_{j}").alias("r")))
-    return one.select(F.explode(F.array(*structs)).alias("s")).select("s.a", "s.b", "s.r")
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
+    cols = list(columns)
+    vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(
+        df.select(*[F.col(c).cast("double") for c in cols]))
+    matrix = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()
+    rows = [(a, b, None if math.isnan(float(matrix[i][j])) else float(matrix[i][j]))
+            for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")

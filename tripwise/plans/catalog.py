@@ -461,3 +461,93 @@ def _baseline_sql() -> str:
 def baseline_features(spark, sf_dir):
     """The 36-column baseline set, missing -> -1, target."""
     return present(fx.driver_features(_t(spark, sf_dir), "baseline"))
+
+
+# =====================================================================================
+# models, ensembles, sinks: no SQL oracle (rows-only check).  Registered model queries
+# fit with QUERY_ROUNDS boosting rounds; the job functions default to the original
+# 200-1000 rounds (each round is one sequential Spark job).
+from tripwise.operators import ensemble as en  # noqa: E402
+from tripwise.operators import models as md  # noqa: E402
+from tripwise.plans import submissions as sub  # noqa: E402
+
+QUERY_ROUNDS = 10
+
+
+@register("gbt_predictions")
+def gbt_predictions(spark, sf_dir):
+    """M3: 61 features, label x10, top 70 % by F, boosted trees (xgboost parameter set)."""
+    ft = sub.feature_tables(_t(spark, sf_dir), "61")
+    train = ft.train.withColumn("y10", rw.scaled("y"))
+    feats = sel.selected_features(sel.f_scores(train, ft.features, "y10"), 70)
+    model = md.fit_gbt(train, feats, "y10", md.XGB_SELECT.with_rounds(QUERY_ROUNDS))
+    return md.predict(model, ft.test, feats)
+
+
+@register("gbt_leafy_predictions")
+def gbt_leafy_predictions(spark, sf_dir):
+    """M4: 61 features, top 50 %, boosted trees (leaf-count parameter set), 20 % watch split."""
+    return sub.select_and_boost_submission(_t(spark, sf_dir), 50, md.LGB_LEAVES5, rounds=QUERY_ROUNDS)
+
+
+@register("ridge_predictions")
+def ridge_predictions(spark, sf_dir):
+    """M5: normalised ridge on the top 70 % of the 61 features."""
+    return sub.ridge_submission(_t(spark, sf_dir), 70, normalize=True)
+
+
+@register("clamped_preds")
+def clamped_preds(spark, sf_dir):
+    """Plain ridge (alpha 1) on the 42 features with negative predictions clamped."""
+    ft = sub.feature_tables(_t(spark, sf_dir), "42")
+    model = md.ridge(ft.train, ft.features, "y", alpha=1.0, normalize=False)
+    preds = md.predict(model, ft.test, ft.features, out="raw")
+    return preds.withColumn("pred", rw.clamp_nonnegative("raw"))
+
+
+@register("bagged_predictions")
+def bagged_predictions(spark, sf_dir):
+    """M7: mean of five models on the label-scaled, 70 %-selected 61 features."""
+    return sub.bagging_submission(_t(spark, sf_dir), rounds=QUERY_ROUNDS)
+
+
+@register("stacked_predictions")
+def stacked_predictions(spark, sf_dir):
+    """M8: 5-fold stacking + blended label + refit, 42 features."""
+    preds, _ = sub.stacking_submission(_t(spark, sf_dir), rounds=QUERY_ROUNDS)
+    return preds
+
+
+@register("stack_trace")
+def stack_trace(spark, sf_dir):
+    """K2: the stacking trace keyed by driver."""
+    _, trace = sub.stacking_submission(_t(spark, sf_dir), rounds=QUERY_ROUNDS)
+    return trace
+
+
+@register("grid_search")
+def grid_search(spark, sf_dir):
+    """3-fold grid search by explained variance (2 x 2 x 1 grid here; the job default is 80)."""
+    ft = sub.feature_tables(_t(spark, sf_dir), "61")
+    _, best = md.grid_search(ft.train, ft.features, "y", md.XGB_SELECT,
+                             grid={"rounds": [5, QUERY_ROUNDS], "subsample": [0.8, 1.0], "colsample": [0.8]})
+    return spark.createDataFrame([(int(best["maxIter"]), float(best["subsamplingRate"]),
+                                   str(best["featureSubsetStrategy"]), float(best["explained_variance"]))],
+                                 "rounds int, subsample double, colsample string, explained_variance double")
+
+
+@register("baseline_predictions")
+def baseline_predictions(spark, sf_dir):
+    """E-3 + K3: baseline set, boosted trees, model saved to and re-loaded from the checkpoint folder."""
+    import uuid
+
+    from tripwise.session import checkpoint_dir
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/models/baseline-{uuid.uuid4().hex}"
+    return sub.baseline_submission(_t(spark, sf_dir), model_path=path, rounds=QUERY_ROUNDS)
+
+
+@register("random_submission")
+def random_submission(spark, sf_dir):
+    """K4: one row per distinct driver with a seeded uniform prediction."""
+    return sinks.random_submission(split_side(_t(spark, sf_dir), "test"), seed=0)
