@@ -34,3 +34,12 @@ def haversine_m(
         F.sin((lam2 - lam1) / 2.0), 2.0
     )
     return F.asin(F.sqrt(a)) * F.lit(2.0 * radius_km * 1000.0)
+
+
+def haversine_m_sql(lon: str, lat: str, lon0: float = ANCHOR_LON, lat0: float = ANCHOR_LAT,
+                    radius_km: float = EARTH_RADIUS_KM) -> str:
+    """``haversine_m`` as a Spark SQL expression string over columns ``lon``, ``lat``."""
+    return (f"(asin(sqrt(power(sin((radians(CAST({lat0!r} AS DOUBLE)) - radians({lat})) / 2D), 2D) + "
+            f"cos(radians({lat})) * cos(radians(CAST({lat0!r} AS DOUBLE))) * "
+            f"power(sin((radians(CAST({lon0!r} AS DOUBLE)) - radians({lon})) / 2D), 2D))) "
+            f"* CAST({2.0 * radius_km * 1000.0!r} AS DOUBLE))")

@@ -16,8 +16,9 @@ every block only contributes aggregate expressions to a single chain:
   slice summaries.  A trip holding a large share of all rows is thereby spread
   over many tasks.  Partial aggregation absorbs a driver holding many rows.
 
-Outputs that are not requested are pruned by Catalyst (ColumnPruning removes the
-unused aggregate expressions), so every feature set runs the same chain.
+Each output names the partial families it needs, and only those are built, so
+a two-column block runs a two-column chain.  Aggregates are written as SQL
+expression strings: one JVM call each, all evaluated inside whole-stage codegen.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripwise.config import FeatureConfig
-from tripwise.functions.geo import haversine_m
+from tripwise.functions.geo import haversine_m, haversine_m_sql
 from tripwise.functions.timeparts import hour_of_day, weekday
 
 KEY = "terminalno"
@@ -72,8 +73,6 @@ FEATURE_SETS = {
     "baseline": BASELINE_FEATURES,
 }
 
-_INTEGRAL = {"trip_max", "num_of_trips", "num_of_records", "time_duration_max", "n_trips", "n_rows"}
-
 
 def group_keys(df: DataFrame) -> list[str]:
     """Driver key, plus the train/test tag when present (a driver may be on both sides)."""
@@ -81,253 +80,248 @@ def group_keys(df: DataFrame) -> list[str]:
 
 
 # ---------------------------------------------------------------------------
-# mergeable moments: (n, mean, M2) of a column over a group
-
-def _moments_from_rows(p: str, x: Column) -> list[Column]:
-    n = F.count(x)
-    return [
-        n.alias(f"{p}_n"),
-        F.avg(x).alias(f"{p}_mean"),
-        F.coalesce(F.var_pop(x) * n, F.lit(0.0)).alias(f"{p}_m2"),
-    ]
+# partial families: aggregates from rows (unit level) and merges of partials
 
+_SUMMED = ["spd", "hgt", "lon", "lat", "dis", "y"]
+_EXTREMES = ["spd", "hgt", "lon", "lat", "dis", "tim"]
+_MOMENTS = {"spdm": "spd", "dirm": "dir", "hgtm": "hgt"}
+ALL_FAMILIES = frozenset({"rows", "calls", "hours", "wd", "ymax", "seq", "first", "acc"} | set(_MOMENTS)
+                         | {f"{p}_sum" for p in _SUMMED} | {f"{p}_ext" for p in _EXTREMES})
 
-def _moments_merged(p: str) -> list[Column]:
-    """Merge (n_i, mean_i, M2_i) of sub-groups: one pass, partial-aggregatable.
-
-    M2 = sum M2_i + sum n_i mean_i^2 - (sum n_i mean_i)^2 / N.
-    """
-    n, mean, m2 = F.col(f"{p}_n"), F.col(f"{p}_mean"), F.col(f"{p}_m2")
-    has = n > 0
-    tot = F.sum(n)
-    s1 = F.sum(F.when(has, n * mean))
-    s2 = F.sum(F.when(has, n * mean * mean))
-    return [
-        tot.alias(f"{p}_n"),
-        (s1 / F.when(tot > 0, tot)).alias(f"{p}_mean"),
-        F.coalesce(
-            F.greatest(F.sum(m2) + s2 - s1 * s1 / F.when(tot > 0, tot), F.lit(0.0)), F.lit(0.0)
-        ).alias(f"{p}_m2"),
-    ]
 
+def _moments_unit(p: str, x: str) -> list[str]:
+    return [f"count({x}) AS {p}_n", f"avg({x}) AS {p}_mean",
+            f"coalesce(var_pop({x}) * count({x}), 0D) AS {p}_m2"]
 
-def _var_samp(p: str) -> Column:
-    n = F.col(f"{p}_n")
-    return F.when(n >= 2, F.col(f"{p}_m2") / (n - 1))
 
+def _s1(p: str) -> str:
+    return f"sum(CASE WHEN {p}_n > 0 THEN {p}_n * {p}_mean END)"
 
-# ---------------------------------------------------------------------------
-# level 1: rows -> unit (trip, or time slice of a trip)
 
-_SUMMED = ["spd", "hgt", "lon", "lat", "dis", "y"]
-_EXTREMES = ["spd", "hgt", "lon", "lat", "dis", "tim"]
+def _m2_merged(p: str) -> str:
+    """Merged M2 of sub-groups: sum M2_i + sum n_i mean_i^2 - (sum n_i mean_i)^2 / N (one pass)."""
+    s2 = f"sum(CASE WHEN {p}_n > 0 THEN {p}_n * {p}_mean * {p}_mean END)"
+    return f"coalesce(greatest(sum({p}_m2) + {s2} - {_s1(p)} * {_s1(p)} / nullif(sum({p}_n), 0), 0D), 0D)"
 
 
-def _row_columns(df: DataFrame, cfg: FeatureConfig) -> DataFrame:
-    direction = F.col("direction")
-    if cfg.drop_unknown_direction:
-        direction = F.when(direction >= 0, direction)
-    return df.select(
-        *group_keys(df), TRIP, "time", "seq", "y", "callstate",
-        F.col("speed").alias("spd"),
-        direction.alias("dir"),
-        F.col("height").alias("hgt"),
-        F.col("longitude").alias("lon"),
-        F.col("latitude").alias("lat"),
-        F.col("time").alias("tim"),
-        haversine_m("longitude", "latitude", cfg.anchor_lon, cfg.anchor_lat, cfg.earth_radius_km).alias("dis"),
-        hour_of_day("time", cfg.tz).alias("hr"),
-        weekday("time", cfg.tz).alias("wd"),
-    )
+def _moments_merge(p: str) -> list[str]:
+    return [f"sum({p}_n) AS {p}_n", f"{_s1(p)} / nullif(sum({p}_n), 0) AS {p}_mean", f"{_m2_merged(p)} AS {p}_m2"]
 
 
-def _unit_aggs(acc_col: str | None) -> list[Column]:
+def _family_unit(fam: str) -> list[str]:
     """Aggregates of one unit (trip or trip slice) straight from rows."""
-    aggs: list[Column] = [F.count(F.lit(1)).alias("n_rows")]
-    for p in _SUMMED:
-        aggs += [F.count(p).alias(f"{p}_cnt"), F.sum(p).alias(f"{p}_sum")]
-    for p in _EXTREMES:
-        aggs += [F.max(p).alias(f"{p}_max"), F.min(p).alias(f"{p}_min")]
-    aggs += _moments_from_rows("spdm", F.col("spd"))
-    aggs += _moments_from_rows("dirm", F.col("dir"))
-    aggs += _moments_from_rows("hgtm", F.col("hgt"))
-    aggs += [F.count_if(F.col("callstate") == k).alias(f"c{k}") for k in range(5)]
-    aggs += [F.count_if(F.col("hr") == h).alias(f"hr{h}") for h in range(24)]
-    aggs += [
-        F.max("wd").alias("wd_max"),
-        F.max("y").alias("y_max"),
-        F.min("seq").alias("seq_min"),
-        # earliest record of the unit: (time, seq) order, then its values
-        F.min(F.struct("time", "seq", "lon", "lat", "y")).alias("first_rec"),
-    ]
-    if acc_col is not None:
-        aggs += _moments_from_rows("acc", F.col(acc_col))
-        aggs += [F.max(acc_col).alias("acc_max"), F.min(acc_col).alias("acc_min")]
-    return aggs
-
-
-def _merge_aggs(with_acc: bool) -> list[Column]:
+    if fam == "rows":
+        return ["count(1) AS n_rows"]
+    if fam.endswith("_sum"):
+        p = fam[:-4]
+        return [f"count({p}) AS {p}_cnt", f"sum({p}) AS {p}_sum"]
+    if fam.endswith("_ext"):
+        p = fam[:-4]
+        return [f"max({p}) AS {p}_max", f"min({p}) AS {p}_min"]
+    if fam in _MOMENTS:
+        return _moments_unit(fam, _MOMENTS[fam])
+    if fam == "calls":
+        return [f"count_if(callstate = {k}) AS c{k}" for k in range(5)]
+    if fam == "hours":
+        return [f"count_if(hr = {h}) AS hr{h}" for h in range(24)]
+    if fam == "wd":
+        return ["max(wd) AS wd_max"]
+    if fam == "ymax":
+        return ["max(y) AS y_max"]
+    if fam == "seq":
+        return ["min(seq) AS seq_min"]
+    if fam == "first":
+        # earliest record of the unit in (time, seq) order, with its values
+        return ["min(named_struct('time', time, 'seq', seq, 'lon', lon, 'lat', lat, 'y', y)) AS first_rec"]
+    if fam == "acc":
+        return _moments_unit("acc", "acc_x") + ["max(acc_x) AS acc_max", "min(acc_x) AS acc_min"]
+    raise KeyError(fam)
+
+
+def _family_merge(fam: str) -> list[str]:
     """Aggregates that merge unit partials into a coarser group."""
-    aggs: list[Column] = [F.sum("n_rows").alias("n_rows")]
-    for p in _SUMMED:
-        aggs += [F.sum(f"{p}_cnt").alias(f"{p}_cnt"), F.sum(f"{p}_sum").alias(f"{p}_sum")]
-    for p in _EXTREMES:
-        aggs += [F.max(f"{p}_max").alias(f"{p}_max"), F.min(f"{p}_min").alias(f"{p}_min")]
-    for p in ("spdm", "dirm", "hgtm"):
-        aggs += _moments_merged(p)
-    aggs += [F.sum(f"c{k}").alias(f"c{k}") for k in range(5)]
-    aggs += [F.sum(f"hr{h}").alias(f"hr{h}") for h in range(24)]
-    aggs += [
-        F.max("wd_max").alias("wd_max"),
-        F.max("y_max").alias("y_max"),
-        F.min("seq_min").alias("seq_min"),
-        F.min("first_rec").alias("first_rec"),
-    ]
-    if with_acc:
-        aggs += _moments_merged("acc")
-        aggs += [F.max("acc_max").alias("acc_max"), F.min("acc_min").alias("acc_min")]
-    return aggs
+    if fam == "rows":
+        return ["sum(n_rows) AS n_rows"]
+    if fam.endswith("_sum"):
+        p = fam[:-4]
+        return [f"sum({p}_cnt) AS {p}_cnt", f"sum({p}_sum) AS {p}_sum"]
+    if fam.endswith("_ext"):
+        p = fam[:-4]
+        return [f"max({p}_max) AS {p}_max", f"min({p}_min) AS {p}_min"]
+    if fam in _MOMENTS:
+        return _moments_merge(fam)
+    if fam == "calls":
+        return [f"sum(c{k}) AS c{k}" for k in range(5)]
+    if fam == "hours":
+        return [f"sum(hr{h}) AS hr{h}" for h in range(24)]
+    if fam == "wd":
+        return ["max(wd_max) AS wd_max"]
+    if fam == "ymax":
+        return ["max(y_max) AS y_max"]
+    if fam == "seq":
+        return ["min(seq_min) AS seq_min"]
+    if fam == "first":
+        return ["min(first_rec) AS first_rec"]
+    if fam == "acc":
+        return _moments_merge("acc") + ["max(acc_max) AS acc_max", "min(acc_min) AS acc_min"]
+    raise KeyError(fam)
+
+
+def _exprs(strings: Iterable[str]) -> list[Column]:
+    return [F.expr(s) for s in strings]
 
 
 # ---------------------------------------------------------------------------
-# trip partials
+# driver-level outputs: (families needed, SQL aggregate over trip partials)
+
+def _var_samp(p: str) -> str:
+    return f"CASE WHEN {p}_n >= 2 THEN {p}_m2 / ({p}_n - 1) END"
+
+
+def _mean(p: str) -> str:
+    return f"sum({p}_sum) / nullif(sum({p}_cnt), 0)"
+
+
+def _share(count: str, total: str) -> str:
+    return f"CAST({count} AS DOUBLE) / CAST({total} AS DOUBLE)"
+
+
+def _outputs(cfg: FeatureConfig) -> dict[str, tuple[set[str], str]]:
+    dir_var = f"coalesce({_var_samp('dirm')}, 0D)"
+    hgt_var = f"coalesce({_var_samp('hgtm')}, 0D)"
+    out: dict[str, tuple[set[str], str]] = {
+        "speed_max": ({"spd_ext"}, "max(spd_max)"),
+        "speed_min": ({"spd_ext"}, "min(spd_min)"),
+        "speed_mean": ({"spd_sum"}, _mean("spd")),
+        "direction_var_max": ({"dirm"}, f"max({dir_var})"),
+        "direction_var_min": ({"dirm"}, f"min({dir_var})"),
+        "direction_var_mean": ({"dirm"}, f"avg({dir_var})"),
+        "height_mean": ({"hgt_sum"}, _mean("hgt")),
+        "height_var_max": ({"hgtm"}, f"max({hgt_var})"),
+        "height_var_mean": ({"hgtm"}, f"avg({hgt_var})"),
+        "height_max": ({"hgt_ext"}, "max(hgt_max)"),
+        "height_min": ({"hgt_ext"}, "min(hgt_min)"),
+        "lon_max": ({"lon_ext"}, "max(lon_max)"),
+        "lon_min": ({"lon_ext"}, "min(lon_min)"),
+        "lat_max": ({"lat_ext"}, "max(lat_max)"),
+        "lat_min": ({"lat_ext"}, "min(lat_min)"),
+        "lat_mean": ({"lat_sum"}, _mean("lat")),
+        "lon_mean": ({"lon_sum"}, _mean("lon")),
+        "dis_mean": ({"dis_sum"}, _mean("dis")),
+        "dis_min": ({"dis_ext"}, "min(dis_min)"),
+        "dis_max": ({"dis_ext"}, "max(dis_max)"),
+        "trip_max": (set(), f"max({TRIP})"),
+        "time_duration_max": ({"tim_ext"}, "max(tim_max - tim_min)"),
+        "time_duration_mean": ({"tim_ext"}, "avg(tim_max - tim_min)"),
+        "num_of_trips": (set(), f"count({TRIP})"),
+        "num_of_records": ({"rows"}, "sum(n_rows)"),
+        "y": ({"ymax"}, "max(y_max)"),
+        "y_mean": ({"y_sum"}, _mean("y")),
+        "start_lon": ({"first"}, "min(first_rec).lon"),
+        "start_lat": ({"first"}, "min(first_rec).lat"),
+        "first_y": ({"first"}, "min(first_rec).y"),
+        "first_seq": ({"seq"}, "min(seq_min)"),
+        "var_speed": ({"spdm"}, f"CASE WHEN sum(spdm_n) >= 2 THEN {_m2_merged('spdm')} / (sum(spdm_n) - 1) END"),
+        "max_acc": ({"acc"}, "max(acc_max)"),
+        "min_acc": ({"acc"}, "min(acc_min)"),
+        "mean_acc": ({"acc"}, f"{_s1('acc')} / nullif(sum(acc_n), 0)"),
+        "var_acc": ({"acc"}, f"coalesce(CASE WHEN sum(acc_n) >= 2 THEN {_m2_merged('acc')} / (sum(acc_n) - 1) END, 0D)"),
+        "dis": ({"first"}, haversine_m_sql("min(first_rec).lon", "min(first_rec).lat", cfg.anchor_lon,
+                                           cfg.anchor_lat, cfg.earth_radius_km)),
+    }
+    for k in range(5):
+        out[f"count{k}"] = ({"calls", "rows"}, _share(f"sum(c{k})", "sum(n_rows)"))
+        out[f"num_of_state_{k}"] = out[f"count{k}"]
+    for k in (1, 2, 3):
+        out[f"count{k}_s"] = ({"calls", "rows"}, _share(f"sum(c{k})", "sum(n_rows) - sum(c0) + 1"))
+    for h in range(24):
+        out[f"hour{h}"] = ({"hours", "rows"}, _share(f"sum(hr{h})", "sum(n_rows)"))
+        out[f"h{h}"] = out[f"hour{h}"]
+    for k, name in enumerate(WEEKDAYS):
+        out[name] = ({"wd"}, _share(f"count_if(wd_max = {k})", "count(1)"))
+    out["mean_speed"] = out["speed_mean"]
+    out["mean_height"] = out["height_mean"]
+    return out
+
 
-def trip_partials(df: DataFrame, cfg: FeatureConfig = FeatureConfig(), with_acc: bool = True) -> DataFrame:
-    """One row per (keys, trip) with mergeable partial statistics."""
+# ---------------------------------------------------------------------------
+# rows -> trip partials
+
+def _row_columns(df: DataFrame, cfg: FeatureConfig, families: set[str]) -> DataFrame:
+    direction = F.col("direction")
+    if cfg.drop_unknown_direction:
+        direction = F.when(direction >= 0, direction)
+    cols = [*group_keys(df), TRIP, "time", "seq", "y", "callstate",
+            F.col("speed").alias("spd"), direction.alias("dir"), F.col("height").alias("hgt"),
+            F.col("longitude").alias("lon"), F.col("latitude").alias("lat"), F.col("time").alias("tim")]
+    if families & {"dis_sum", "dis_ext"}:
+        cols.append(haversine_m("longitude", "latitude", cfg.anchor_lon, cfg.anchor_lat,
+                                cfg.earth_radius_km).alias("dis"))
+    if "hours" in families:
+        cols.append(hour_of_day("time", cfg.tz).alias("hr"))
+    if "wd" in families:
+        cols.append(weekday("time", cfg.tz).alias("wd"))
+    return df.select(*cols)
+
+
+def trip_partials(df: DataFrame, cfg: FeatureConfig = FeatureConfig(),
+                  families: Iterable[str] | None = None) -> DataFrame:
+    """One row per (keys, trip) with the mergeable partials of ``families`` (default: all)."""
+    fams = (set(families) if families is not None else set(ALL_FAMILIES)) | {"rows"}
     keys = group_keys(df)
-    rows = _row_columns(df, cfg)
+    rows = _row_columns(df, cfg, fams)
     trip_keys = keys + [TRIP]
-    if not with_acc:
-        return rows.groupBy(*trip_keys).agg(*_unit_aggs(None))
+    ordered = sorted(fams)
+    if "acc" not in fams:
+        return rows.groupBy(*trip_keys).agg(*_exprs(s for f in ordered for s in _family_unit(f)))
 
     order = [F.col("time").asc_nulls_first(), F.col("seq").asc()]
     if not cfg.trip_split_seconds:
         # whole trip in one window partition; first row of a trip: difference 0
         w = Window.partitionBy(*trip_keys).orderBy(*order)
         rows = rows.withColumn("acc_x", F.coalesce(F.col("spd") - F.lag("spd").over(w), F.lit(0.0)))
-        return rows.groupBy(*trip_keys).agg(*_unit_aggs("acc_x"))
+        return rows.groupBy(*trip_keys).agg(*_exprs(s for f in ordered for s in _family_unit(f)))
 
     # time-sliced trips: differences inside a slice, links between slices below
     width = int(cfg.trip_split_seconds)
     rows = rows.withColumn("slice", F.floor(F.col("time") / F.lit(width)))
     w = Window.partitionBy(*trip_keys, "slice").orderBy(*order)
-    rows = rows.withColumn(
-        "acc_x",
-        F.when(F.lag("seq").over(w).isNotNull(),
-               F.coalesce(F.col("spd") - F.lag("spd").over(w), F.lit(0.0))),
+    is_head = F.lag("seq").over(w).isNull()
+    rows = rows.select(
+        "*",
+        F.when(~is_head, F.coalesce(F.col("spd") - F.lag("spd").over(w), F.lit(0.0))).alias("acc_x"),
+        F.when(is_head, F.col("spd")).alias("head_x"),
+        F.when(F.lead("seq").over(w).isNull(), F.col("spd")).alias("tail_x"),
     )
+    # numeric aggregates only (hash aggregate, codegen): a slice's first and last
+    # speed are the single non-null head_x / tail_x of the slice, NULL if missing
     slices = rows.groupBy(*trip_keys, "slice").agg(
-        *_unit_aggs("acc_x"),
-        F.min(F.struct("time", "seq", "spd")).alias("head_spd"),
-        F.max(F.struct("time", "seq", "spd")).alias("tail_spd"),
+        *_exprs(s for f in ordered for s in _family_unit(f)),
+        F.expr("max(head_x) AS head_spd"),
+        F.expr("max(tail_x) AS tail_spd"),
     )
     # the link difference of each slice: its first row minus the previous slice's
     # last row (0 for the trip's first slice, 0 when either speed is missing)
     ws = Window.partitionBy(*trip_keys).orderBy(F.col("slice").asc_nulls_first())
-    prev_tail = F.lag("tail_spd").over(ws)
-    link = F.when(prev_tail.isNull(), F.lit(0.0)).otherwise(
-        F.coalesce(F.col("head_spd.spd") - prev_tail.getField("spd"), F.lit(0.0)))
+    link = F.when(F.lag(F.lit(1)).over(ws).isNull(), F.lit(0.0)).otherwise(
+        F.coalesce(F.col("head_spd") - F.lag("tail_spd").over(ws), F.lit(0.0)))
     slices = slices.withColumn("link", link)
     n, mean, m2, b = F.col("acc_n"), F.col("acc_mean"), F.col("acc_m2"), F.col("link")
+    acc_cols = {"acc_n", "acc_mean", "acc_m2", "acc_max", "acc_min", "link", "head_spd", "tail_spd"}
     slices = slices.select(
-        *[c for c in slices.columns if c not in ("acc_n", "acc_mean", "acc_m2", "acc_max", "acc_min", "link")],
+        *[c for c in slices.columns if c not in acc_cols],
         (n + 1).alias("acc_n"),
         F.when(n == 0, b).otherwise((n * mean + b) / (n + 1)).alias("acc_mean"),
         F.when(n == 0, F.lit(0.0)).otherwise(m2 + (b - mean) * (b - mean) * n / (n + 1)).alias("acc_m2"),
         F.greatest(F.col("acc_max"), b).alias("acc_max"),
         F.least(F.col("acc_min"), b).alias("acc_min"),
     )
-    return slices.groupBy(*trip_keys).agg(*_merge_aggs(True))
+    return slices.groupBy(*trip_keys).agg(*_exprs(s for f in ordered for s in _family_merge(f)))
 
 
 # ---------------------------------------------------------------------------
 # driver level
 
-def _share(count_col: Column, total: Column) -> Column:
-    return count_col.cast("double") / total.cast("double")
-
-
-def _driver_outputs(cfg: FeatureConfig, with_acc: bool) -> dict[str, Column]:
-    """Every driver-level output, as an aggregate over trip partials."""
-    n_rows = F.sum("n_rows")
-    n_trips = F.count(F.lit(1))
-    dir_var = F.coalesce(_var_samp("dirm"), F.lit(0.0))
-    hgt_var = F.coalesce(_var_samp("hgtm"), F.lit(0.0))
-    duration = F.col("tim_max") - F.col("tim_min")
-
-    def mean_of(p: str) -> Column:
-        return F.sum(f"{p}_sum") / F.when(F.sum(f"{p}_cnt") > 0, F.sum(f"{p}_cnt"))
-
-    first = F.min("first_rec")
-    out: dict[str, Column] = {
-        "speed_max": F.max("spd_max"),
-        "speed_min": F.min("spd_min"),
-        "speed_mean": mean_of("spd"),
-        "direction_var_max": F.max(dir_var),
-        "direction_var_min": F.min(dir_var),
-        "direction_var_mean": F.avg(dir_var),
-        "height_mean": mean_of("hgt"),
-        "height_var_max": F.max(hgt_var),
-        "height_var_mean": F.avg(hgt_var),
-        "height_max": F.max("hgt_max"),
-        "height_min": F.min("hgt_min"),
-        "lon_max": F.max("lon_max"),
-        "lon_min": F.min("lon_min"),
-        "lat_max": F.max("lat_max"),
-        "lat_min": F.min("lat_min"),
-        "lat_mean": mean_of("lat"),
-        "lon_mean": mean_of("lon"),
-        "dis_mean": mean_of("dis"),
-        "dis_min": F.min("dis_min"),
-        "dis_max": F.max("dis_max"),
-        "trip_max": F.max(TRIP),
-        "time_duration_max": F.max(duration),
-        "time_duration_mean": F.avg(duration),
-        "num_of_trips": F.count(TRIP),
-        "num_of_records": n_rows,
-        "y": F.max("y_max"),
-        "y_mean": mean_of("y"),
-        "start_lon": first.getField("lon"),
-        "start_lat": first.getField("lat"),
-        "first_y": first.getField("y"),
-        "first_seq": F.min("seq_min"),
-    }
-    sp_n = F.sum("spdm_n")
-    sp_s1 = F.sum(F.when(F.col("spdm_n") > 0, F.col("spdm_n") * F.col("spdm_mean")))
-    sp_s2 = F.sum(F.when(F.col("spdm_n") > 0, F.col("spdm_n") * F.col("spdm_mean") * F.col("spdm_mean")))
-    sp_m2 = F.greatest(F.sum("spdm_m2") + sp_s2 - sp_s1 * sp_s1 / F.when(sp_n > 0, sp_n), F.lit(0.0))
-    out["var_speed"] = F.when(sp_n >= 2, sp_m2 / (sp_n - 1))
-    for k in range(5):
-        out[f"count{k}"] = _share(F.sum(f"c{k}"), n_rows)
-    zero = F.sum("c0")
-    for k in (1, 2, 3):
-        out[f"count{k}_s"] = F.sum(f"c{k}").cast("double") / (n_rows - zero + 1).cast("double")
-    for h in range(24):
-        out[f"hour{h}"] = _share(F.sum(f"hr{h}"), n_rows)
-    for k, name in enumerate(WEEKDAYS):
-        out[name] = _share(F.count_if(F.col("wd_max") == k), n_trips)
-    if with_acc:
-        a_n = F.sum("acc_n")
-        a_s1 = F.sum(F.when(F.col("acc_n") > 0, F.col("acc_n") * F.col("acc_mean")))
-        a_s2 = F.sum(F.when(F.col("acc_n") > 0, F.col("acc_n") * F.col("acc_mean") * F.col("acc_mean")))
-        a_m2 = F.greatest(F.sum("acc_m2") + a_s2 - a_s1 * a_s1 / F.when(a_n > 0, a_n), F.lit(0.0))
-        out["max_acc"] = F.max("acc_max")
-        out["min_acc"] = F.min("acc_min")
-        out["mean_acc"] = a_s1 / F.when(a_n > 0, a_n)
-        out["var_acc"] = F.coalesce(F.when(a_n >= 2, a_m2 / (a_n - 1)), F.lit(0.0))
-    # baseline names
-    out["num_of_records"] = n_rows
-    for k in range(5):
-        out[f"num_of_state_{k}"] = out[f"count{k}"]
-    out["mean_speed"] = out["speed_mean"]
-    out["mean_height"] = out["height_mean"]
-    for h in range(24):
-        out[f"h{h}"] = out[f"hour{h}"]
-    out["dis"] = haversine_m(out["start_lon"], out["start_lat"], cfg.anchor_lon, cfg.anchor_lat,
-                             cfg.earth_radius_km)
-    return out
-
-
 def driver_statistics(
     df: DataFrame,
     columns: Sequence[str],
@@ -336,17 +330,16 @@ def driver_statistics(
     """One row per driver (and split tag, when present) with ``columns``, in order.
 
     ``df`` is cleaned telemetry (see ``sources.telemetry``).  Any name of
-    ``_driver_outputs`` may be requested; the feature sets are lists of them.
+    ``_outputs`` may be requested; the feature sets are lists of them.
     """
     columns = list(columns)
-    with_acc = any(c in ACCELERATION for c in columns)
-    keys = group_keys(df)
-    trips = trip_partials(df, cfg, with_acc=with_acc)
-    outputs = _driver_outputs(cfg, with_acc)
+    outputs = _outputs(cfg)
     unknown = [c for c in columns if c not in outputs]
     if unknown:
         raise ValueError(f"unknown driver statistics: {unknown}")
-    return trips.groupBy(*keys).agg(*[outputs[c].alias(c) for c in columns])
+    families = set().union(*(outputs[c][0] for c in columns))
+    trips = trip_partials(df, cfg, families)
+    return trips.groupBy(*group_keys(df)).agg(*[F.expr(f"{outputs[c][1]} AS `{c}`") for c in columns])
 
 
 def driver_features(
@@ -373,6 +366,20 @@ def driver_features(
     return driver_statistics(df, cols + extra, cfg)
 
 
+def trip_table(df: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> DataFrame:
+    """A4: one row per trip: rows, direction and height variance (0 for < 2 values),
+    duration (max - min TIME) and the trip's weekday (max over its rows)."""
+    keys = group_keys(df)
+    trips = trip_partials(df, cfg, {"rows", "dirm", "hgtm", "tim_ext", "wd"})
+    return trips.select(
+        *keys, TRIP, "n_rows",
+        F.expr(f"coalesce({_var_samp('dirm')}, 0D) AS dv"),
+        F.expr(f"coalesce({_var_samp('hgtm')}, 0D) AS hv"),
+        F.expr("tim_max - tim_min AS duration"),
+        F.col("wd_max").alias("wd"),
+    )
+
+
 def join_features(*frames: DataFrame, on: Sequence[str] = (KEY,)) -> DataFrame:
     """J1 as a public operator: inner equi-join of feature frames on the driver key.
 
@@ -394,17 +401,3 @@ def unfused_feature_blocks(df: DataFrame, cfg: FeatureConfig = FeatureConfig())
     blocks = [SPEED, DIRECTION, CALLS, HEIGHT, HOURS, GPS, TRIPS, WEEKDAYS, ACCELERATION, DURATION]
     frames = [driver_statistics(df, b, cfg) for b in blocks] + [driver_statistics(df, ["y"], cfg)]
     return join_features(*frames, on=group_keys(df))
-
-
-def trip_table(df: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> DataFrame:
-    """A4: one row per trip: rows, direction and height variance (0 for < 2 values),
-    duration (max - min TIME) and the trip's weekday (max over its rows)."""
-    keys = group_keys(df)
-    trips = trip_partials(df, cfg, with_acc=False)
-    return trips.select(
-        *keys, TRIP, F.col("n_rows"),
-        F.coalesce(_var_samp("dirm"), F.lit(0.0)).alias("dv"),
-        F.coalesce(_var_samp("hgtm"), F.lit(0.0)).alias("hv"),
-        (F.col("tim_max") - F.col("tim_min")).alias("duration"),
-        F.col("wd_max").alias("wd"),
-    )
