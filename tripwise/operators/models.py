@@ -72,7 +72,7 @@ def gbt(params: BoostParams, label: str = "label", validation: str | None = None
         maxIter=params.rounds, stepSize=params.eta, maxDepth=params.max_depth,
         minInstancesPerNode=params.min_child, subsamplingRate=params.subsample,
         featureSubsetStrategy=str(params.colsample) if params.colsample < 1.0 else "all",
-        maxBins=params.max_bin, seed=params.seed, cacheNodeIds=True, checkpointInterval=10,
+        maxBins=params.max_bin, seed=params.seed, cacheNodeIds=False,
     )
     if validation is not None and params.early_stop:
         # M9: stop when the validation error stops improving by validationTol
