@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from tripwise.operators.order import global_rank
+from tripwise.session import checkpoint_dir
 
 
 def _distance(a: str, b: str, features: Sequence[str]) -> Column:
@@ -70,14 +71,18 @@ def knn_pairs(
     Output: test_id, train_id, dist, nb (0-based neighbour rank), label.
     """
     feats = list(features)
+    checkpoint_dir(train.sparkSession)
+    # one row per driver on each side: materialised once (shared checkpoint folder)
+    # so the small planning actions below do not recompute the feature chain
     tr = train.select(F.col(id_col).alias("train_id"), F.col(label).cast("double").alias("label"),
-                      *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in feats])
+                      *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in feats]
+                      ).checkpoint(eager=True)
     te = test.select(F.col(id_col).alias("test_id"),
                      *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in feats])
 
-    spread = tr.agg(*[F.var_pop(c).alias(c) for c in feats]).first()
-    axis = max(feats, key=lambda c: (spread[c] or 0.0))
-    n = tr.count()
+    stats = tr.agg(F.count(F.lit(1)).alias("_n"), *[F.var_pop(c).alias(c) for c in feats]).first()
+    axis = max(feats, key=lambda c: (stats[c] or 0.0))
+    n = stats["_n"]
     if n < k:
         raise ValueError(f"k={k} neighbours requested from {n} train rows")
     m = max(4 * k, bucket_rows or 0, math.ceil(n / max_buckets))

@@ -20,35 +20,35 @@ def _pearson(x: Column, y: Column) -> Column:
 
 
 def f_scores(df: DataFrame, features: Sequence[str], label: str = "y") -> DataFrame:
-    """Per feature: n, Pearson r with the label, univariate regression F.
+    """Per feature: n, Pearson r with the label, univariate regression F (one pass over the table).
 
     F = r^2 / (1 - r^2) * (n - 2); constant feature -> r and F NULL (ranked last),
     |r| = 1 -> F = +inf (ranked first).  Output: feature, feature_index, n, r, f_score.
     """
     data = df.filter(F.col(label).isNotNull())
-    y = F.col(label)
-    aggs = [F.count(y).alias("_n")]
-    aggs += [_pearson(F.col(c), y).alias(f"_r{i}") for i, c in enumerate(features)]
-    one = data.agg(*aggs)
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.lit(i).alias("feature_index"), F.col(f"_r{i}").alias("r"))
-        for i, c in enumerate(features)]))
-    long = one.select(F.col("_n").alias("n"), rows.alias("s")).select("s.feature", "s.feature_index", "n", "s.r")
-    r, n = F.col("r"), F.col("n").cast("double")
-    f = (F.when(r.isNull(), F.lit(None).cast("double"))
-         .when(F.abs(r) >= 1.0, F.lit(math.inf))
-         .otherwise(r * r / (F.lit(1.0) - r * r) * (n - F.lit(2.0))))
-    return long.withColumn("f_score", f)
-
-
-def select_percentile(scores: DataFrame, percentile: float) -> DataFrame:
+    # long form inside the stage: (feature, index, x, y) per driver, then one small
+    # grouped aggregate (m groups, partial-aggregated before the shuffle)
+    pairs = ", ".join(f"'{c}', {i}, CAST(`{c}` AS DOUBLE)" for i, c in enumerate(features))
+    long = data.selectExpr(f"CAST(`{label}` AS DOUBLE) AS _y",
+                           f"stack({len(features)}, {pairs}) AS (feature, feature_index, _x)")
+    grouped = long.groupBy("feature", "feature_index").agg(
+        F.expr("count(_y) AS n"),
+        F.expr("CASE WHEN stddev_pop(_x) * stddev_pop(_y) > 0 "
+               "THEN covar_pop(_x, _y) / (stddev_pop(_x) * stddev_pop(_y)) END AS r"))
+    f = F.expr("CASE WHEN r IS NULL THEN CAST(NULL AS DOUBLE) WHEN abs(r) >= 1 THEN CAST('Infinity' AS DOUBLE) "
+               "ELSE r * r / (1D - r * r) * (CAST(n AS DOUBLE) - 2D) END")
+    return grouped.select("feature", "feature_index", "n", "r", f.alias("f_score"))
+
+
+def select_percentile(scores: DataFrame, percentile: float, m: int | None = None) -> DataFrame:
     """Top floor(m * p / 100) features by F (desc, NULL last), ties by feature index.
 
-    ``scores`` has one row per feature (m rows), so the window runs on m rows.
+    ``scores`` has one row per feature (m rows, counted when not given), so the
+    window runs on m rows.
     """
     from pyspark.sql import Window
 
-    m = scores.count()
+    m = scores.count() if m is None else m
     keep = int(m * percentile / 100)
     w = Window.orderBy(F.col("f_score").desc_nulls_last(), F.col("feature_index").asc())
     return (scores.withColumn("selected_rank", F.row_number().over(w) - 1)

@@ -331,7 +331,7 @@ def _selection_sql(p: int) -> str:
 def _selection_query(p: int):
     def q(spark, sf_dir):
         scores = sel.f_scores(_train_features(spark, sf_dir), fx.FEATURES_61)
-        return sel.select_percentile(scores, p).withColumn("selected_rank", F.col("selected_rank").cast("bigint"))
+        return sel.select_percentile(scores, p, m=len(fx.FEATURES_61)).withColumn("selected_rank", F.col("selected_rank").cast("bigint"))
     return q
 
 
@@ -371,8 +371,10 @@ def class_balance_q(spark, sf_dir):
 
 
 def _knn_tables(spark, sf_dir):
-    feats = fx.driver_features(_t(spark, sf_dir), "7")
-    return split_side(feats, "train"), split_side(feats, "test")
+    from tripwise.plans.submissions import feature_tables
+
+    ft = feature_tables(_t(spark, sf_dir), "7")  # one pass for both sides, checkpointed
+    return ft.train, ft.test
 
 
 def _knn_sql(k: int, body: str, cols: list[str], extra: list[str] = ()) -> str:
@@ -434,7 +436,8 @@ def _eval_sql() -> str:
 @register("eval_metrics", _eval_sql())
 def eval_metrics(spark, sf_dir):
     """MAE, RMSE, explained variance of k-NN (k = 5) on a 20 % hash hold-out of train drivers."""
-    feats = sp.holdout_split(split_side(fx.driver_features(_t(spark, sf_dir), "7"), "train"), 0.2, seed=0)
+    train, _ = _knn_tables(spark, sf_dir)
+    feats = sp.holdout_split(train, 0.2, seed=0)
     fit, held = feats.filter(~F.col("holdout")), feats.filter(F.col("holdout"))
     preds = knn_regress(fit, held, fx.FEATURES_7, 5).withColumn("pred", rw.clamp_nonnegative("pred"))
     return present(regression_metrics(preds.join(held.select("terminalno", "y"), "terminalno")))
