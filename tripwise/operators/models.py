@@ -144,3 +144,19 @@ def grid_search(train: DataFrame, features: Sequence[str], label: str, base: Boo
     chosen = {p.name: v for p, v in model.getEstimatorParamMaps()[best].items()}
     chosen["explained_variance"] = model.avgMetrics[best]
     return model.bestModel, chosen
+
+
+def watch_list(model: PipelineModel, sets: dict[str, DataFrame], features: Sequence[str], label: str,
+               loss: str = "squared") -> list[tuple[int, str, float]]:
+    """Loss after every boosting round on each named set (e.g. train and valid).
+
+    ``GBTRegressionModel.evaluateEachIteration`` runs one distributed pass per set;
+    only ``rounds`` numbers per set come back.
+    """
+    gbt_model = model.stages[-1]
+    out = []
+    for name, df in sets.items():
+        assembled = model.stages[0].transform(prepared(df, features))
+        losses = gbt_model.evaluateEachIteration(assembled.select("features", label), loss)
+        out += [(i + 1, name, float(v)) for i, v in enumerate(losses)]
+    return out

@@ -554,3 +554,14 @@ def baseline_predictions(spark, sf_dir):
 def random_submission(spark, sf_dir):
     """K4: one row per distinct driver with a seeded uniform prediction."""
     return sinks.random_submission(split_side(_t(spark, sf_dir), "test"), seed=0)
+
+
+@register("gbt_watch_list")
+def gbt_watch_list(spark, sf_dir):
+    """Per-round squared loss on the train part and the 20 % hash hold-out (watch list)."""
+    ft = sub.feature_tables(_t(spark, sf_dir), "61")
+    flagged = md.with_validation(ft.train, 0.2, seed=0)
+    fit_part, valid = flagged.filter(~F.col("is_valid")), flagged.filter(F.col("is_valid"))
+    model = md.fit_gbt(fit_part, ft.features, "y", md.LGB_LEAVES5.with_rounds(QUERY_ROUNDS))
+    rows = md.watch_list(model, {"train": fit_part, "valid": valid}, ft.features, "y")
+    return spark.createDataFrame(rows, "round int, side string, loss double")
