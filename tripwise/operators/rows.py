@@ -29,23 +29,37 @@ def speed_diffs(df: DataFrame, cfg: FeatureConfig = FeatureConfig(), out: str =
         w = Window.partitionBy(*keys).orderBy(*_order())
         return df.withColumn(out, F.coalesce(F.col("speed") - F.lag("speed").over(w), F.lit(0.0)))
     width = int(cfg.trip_split_seconds)
-    rows = df.withColumn("_slice", F.floor(F.col("time") / F.lit(width)))
+    # Rows with a missing key have no trip to difference in (0, as the original's
+    # key grouping gave).  Filtering both join branches the same way keeps their
+    # plans identical below the shuffle, so the rows are exchanged once and reused.
+    known = None
+    for k in keys:
+        known = F.col(k).isNotNull() if known is None else known & F.col(k).isNotNull()
+    orphans = df.filter(~known).withColumn(out, F.lit(0.0))
+    # rows without TIME form the first slice of their trip (sentinel slice number)
+    rows = df.filter(known).withColumn("_slice", F.coalesce(F.floor(F.col("time") / F.lit(width)),
+                                                            F.lit(-(2 ** 63)).cast("bigint")))
     w = Window.partitionBy(*keys, "_slice").orderBy(*_order())
-    rows = rows.withColumn("_head", F.lag("seq").over(w).isNull()).withColumn(
-        "_d", F.coalesce(F.col("speed") - F.lag("speed").over(w), F.lit(0.0)))
-    tails = rows.groupBy(*keys, "_slice").agg(
-        F.max(F.struct("time", "seq", "speed")).alias("_tail"),
-        F.min(F.struct("time", "seq", "speed")).alias("_first"))
-    ws = Window.partitionBy(*keys).orderBy(F.col("_slice").asc_nulls_first())
-    links = tails.select(
+    rows = rows.select(
+        "*",
+        F.lag("seq").over(w).isNull().alias("_head"),
+        F.coalesce(F.col("speed") - F.lag("speed").over(w), F.lit(0.0)).alias("_d"),
+        F.when(F.lead("seq").over(w).isNull(), F.col("speed")).alias("_tail_x"),
+    )
+    # per slice: first and last speed (numeric aggregates on the hash path)
+    slices = rows.groupBy(*keys, "_slice").agg(
+        F.max(F.when(F.col("_head"), F.col("speed"))).alias("_first"),
+        F.max("_tail_x").alias("_tail"))
+    ws = Window.partitionBy(*keys).orderBy("_slice")
+    links = slices.select(
         *keys, "_slice",
-        F.coalesce(F.col("_first.speed") - F.lag("_tail").over(ws).getField("speed"), F.lit(0.0)).alias("_link"))
-    # null-safe on the slice: rows without TIME form their own (first) slice
-    joined = rows.alias("r").join(
-        links.alias("l"), on=[F.col(f"r.{k}").eqNullSafe(F.col(f"l.{k}")) for k in keys + ["_slice"]],
-        how="left").select("r.*", "l._link")
-    return joined.withColumn(out, F.when(F.col("_head"), F.col("_link")).otherwise(F.col("_d"))).drop(
-        "_slice", "_head", "_d", "_link")
+        F.when(F.lag(F.lit(1)).over(ws).isNull(), F.lit(0.0))
+         .otherwise(F.coalesce(F.col("_first") - F.lag("_tail").over(ws), F.lit(0.0))).alias("_link"))
+    # every slice has its link row: inner equi-join on (keys, slice)
+    joined = rows.join(links, on=keys + ["_slice"], how="inner")
+    diff = F.when(F.col("_head"), F.col("_link")).otherwise(F.col("_d"))
+    linked = joined.withColumn(out, diff).drop("_slice", "_head", "_d", "_tail_x", "_link")
+    return linked.unionByName(orphans.select(*linked.columns))
 
 
 def with_distance(df: DataFrame, cfg: FeatureConfig = FeatureConfig(), out: str = "hdis") -> DataFrame:
