@@ -47,8 +47,9 @@ def main() -> None:
     from tripwise.operators import features as fx
     from tripwise.operators import models as md
     from tripwise.plans import catalog
+    from tripwise.plans.submissions import feature_tables
     from tripwise.session import checkpoint_dir
-    from tripwise.sources.telemetry import split_side, telemetry_from_dir
+    from tripwise.sources.telemetry import telemetry_from_dir
 
     checkpoint_dir(spark)
 
@@ -59,9 +60,10 @@ def main() -> None:
         return fx.unfused_feature_blocks(telemetry_from_dir(s, d))
 
     def gbt50(s, d):
-        feats = fx.driver_features(split_side(telemetry_from_dir(s, d), "train").drop("split"), "61")
-        model = md.fit_gbt(feats, fx.FEATURES_61, "y", md.XGB_SELECT.with_rounds(50))
-        return md.predict(model, feats, fx.FEATURES_61)
+        # as the jobs do: features materialised once, then fit and score
+        ft = feature_tables(telemetry_from_dir(s, d), "61")
+        model = md.fit_gbt(ft.train, fx.FEATURES_61, "y", md.XGB_SELECT.with_rounds(50))
+        return md.predict(model, ft.test, fx.FEATURES_61)
 
     q = catalog.QUERIES
     bench = {
