@@ -163,3 +163,10 @@ def test_distance_to_anchor_is_zero_at_anchor(spark):
     assert s["dis_max"] == pytest.approx(0.0, abs=1e-6)
     one_degree = telemetry(spark, [dict(longitude=ANCHOR_LON, latitude=ANCHOR_LAT + 1.0)])
     assert stats(one_degree, ["dis_max"])[1]["dis_max"] == pytest.approx(6371000 * math.pi / 180, rel=1e-9)
+
+
+def test_driver_only_blocks_shuffle_once(spark):
+    df = telemetry(spark, _random_rows(50))
+    for cols in (fx.SPEED, fx.GPS, fx.CALLS + fx.HOURS, ["y", "trip_max"]):
+        plan = fx.driver_statistics(df, cols)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1, cols

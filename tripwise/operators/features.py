@@ -74,6 +74,11 @@ FEATURE_SETS = {
 }
 
 
+# outputs that need a statistic per trip (and so the trip level of the chain)
+NEEDS_TRIPS = frozenset(DIRECTION + ["direction_var_min", "height_var_max", "height_var_mean"] + DURATION
+                        + WEEKDAYS + ACCELERATION + ["num_of_trips"])
+
+
 def group_keys(df: DataFrame) -> list[str]:
     """Driver key, plus the train/test tag when present (a driver may be on both sides)."""
     return (["split"] if "split" in df.columns else []) + [KEY]
@@ -338,8 +343,19 @@ def driver_statistics(
     if unknown:
         raise ValueError(f"unknown driver statistics: {unknown}")
     families = set().union(*(outputs[c][0] for c in columns))
+    keys = group_keys(df)
+    final = [F.expr(f"{outputs[c][1]} AS `{c}`") for c in columns]
+    if not any(c in NEEDS_TRIPS for c in columns):
+        # driver-level statistics only: the partials of a whole driver are built
+        # straight from rows (one exchange); the outputs then aggregate a single
+        # partial row per driver on the same partitioning (no second exchange)
+        fams = sorted(families | {"rows"})
+        rows = _row_columns(df, cfg, set(fams))
+        unit = rows.groupBy(*keys).agg(*_exprs(s for f in fams for s in _family_unit(f)),
+                                      F.expr(f"max({TRIP}) AS {TRIP}"))
+        return unit.groupBy(*keys).agg(*final)
     trips = trip_partials(df, cfg, families)
-    return trips.groupBy(*group_keys(df)).agg(*[F.expr(f"{outputs[c][1]} AS `{c}`") for c in columns])
+    return trips.groupBy(*keys).agg(*final)
 
 
 def driver_features(
