@@ -16,7 +16,8 @@ Plan (all distributed; only bounded arrays reach the driver):
    neighbour distance.
 4. exact: the test point meets every bucket overlapping [p - R, p + R] (an
    equi-join on the exploded bucket ids), keeps candidates with distance <= R
-   and ranks them by (distance, train id) per test point.
+   and ranks them by (distance, train id): top k per (test point, bucket), then
+   top k per test point, so no group exceeds max(m, #buckets * k) rows.
 
 Buckets have equal counts on the train side whatever the value skew; a bucket
 receiving many test points is a skewed join partition, which AQE splits.
@@ -117,10 +118,16 @@ def knn_pairs(
     pairs = q.alias("q").join(tr_b.alias("t"), on=F.col("q.bucket") == F.col("t.bucket")).where(
         F.abs(F.col("q.p") - F.col("t.p")) <= F.col("q.radius"))
     pairs = pairs.select(
-        F.col("q.test_id").alias("test_id"), F.col("t.train_id").alias("train_id"),
+        F.col("q.test_id").alias("test_id"), F.col("t.train_id").alias("train_id"), F.col("t.bucket"),
         F.col("t.label").alias("label"), _distance("q", "t", feats).alias("dist"), F.col("q.radius"),
     ).where(F.col("dist") <= F.col("radius"))
-    w = Window.partitionBy("test_id").orderBy(F.col("dist").asc(), F.col("train_id").asc())
+    # two-stage top-k: per (test, bucket) first - at most m rows, on the join's own
+    # partitioning - then per test over at most (#buckets x k) survivors, so even a
+    # band full of identical train rows never lands in one task as a whole
+    order = [F.col("dist").asc(), F.col("train_id").asc()]
+    local = Window.partitionBy("test_id", "bucket").orderBy(*order)
+    pairs = pairs.withColumn("_lr", F.row_number().over(local)).where(F.col("_lr") <= k)
+    w = Window.partitionBy("test_id").orderBy(*order)
     return (pairs.withColumn("nb", F.row_number().over(w) - 1).where(F.col("nb") < k)
             .select("test_id", "train_id", "dist", "nb", "label"))
 

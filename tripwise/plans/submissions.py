@@ -111,15 +111,25 @@ def stacking_submission(telemetry: DataFrame, rounds: int | None = None, out: st
 
 
 def baseline_submission(telemetry: DataFrame, model_path: str | None = None, rounds: int | None = None,
-                        out: str | None = None) -> DataFrame:
-    """E-3: baseline 36-column set, boosted trees; the model is saved and re-loaded (K3)."""
+                        out: str | None = None, include_id: bool = False) -> DataFrame:
+    """E-3: baseline 36-column set, boosted trees; the model is saved and re-loaded (K3).
+
+    ``include_id=True`` also feeds the driver id to the model, as the original did
+    (D18); off by default because an id is not a property of the driving.
+    """
     ft = feature_tables(telemetry, "baseline")
+    feats = ft.features
+    train, test = ft.train, ft.test
+    if include_id:
+        feats = ["item"] + feats
+        train = train.withColumn("item", F.col(KEY).cast("double"))
+        test = test.withColumn("item", F.col(KEY).cast("double"))
     p = md.BASELINE_XGB.with_rounds(rounds) if rounds else md.BASELINE_XGB
-    model = md.fit_gbt(ft.train, ft.features, "target", p)
+    model = md.fit_gbt(train, feats, "target", p)
     if model_path:
         sinks.save_model(model, model_path)
         model = sinks.load_model(model_path)
-    preds = md.predict(model, ft.test, ft.features)
+    preds = md.predict(model, test, feats)
     if out:
         sinks.write_submission(preds, out)
     return preds
