@@ -68,3 +68,13 @@ def test_stacking_shapes(spark):
     t = trace.filter(F.col("rawY").isNotNull())
     assert t.count() == 60  # one out-of-fold prediction per train driver
     assert t.filter(F.col("layer1_combine") < 0).count() == 0
+
+
+def test_concurrent_fits_equal_sequential(spark):
+    from tripwise.operators.ensemble import bagged_predictions
+
+    df, _, _ = _data(spark, n=50, seed=3)
+    test = df.filter(F.col("terminalno") < 8).withColumn("terminalno", F.col("terminalno") + 1000)
+    a = bagged_predictions(df, test, FEATS, rounds=3, parallelism=1).orderBy("terminalno").collect()
+    b = bagged_predictions(df, test, FEATS, rounds=3, parallelism=5).orderBy("terminalno").collect()
+    assert [tuple(r) for r in a] == [tuple(r) for r in b]

@@ -7,7 +7,8 @@ small number of fits (5 models, 5 folds).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,19 @@ from tripwise.operators.split import contiguous_folds
 from tripwise.session import checkpoint_dir
 
 
+def _concurrently(tasks: Sequence[Callable[[], object]], parallelism: int) -> list:
+    """Run independent fits as concurrent Spark jobs (results in task order).
+
+    One fit on the driver table uses only as many tasks as the table has
+    partitions; submitting the k independent fits together keeps a large
+    cluster busy.  Each fit is seeded, so the results do not depend on timing.
+    """
+    if parallelism <= 1 or len(tasks) <= 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(tasks))) as pool:
+        return list(pool.map(lambda t: t(), tasks))
+
+
 def _mean_of(frames: Sequence[DataFrame], key: str, out: str) -> DataFrame:
     """Per-key mean of the ``pred`` column of several scored frames (union + one aggregate)."""
     u = frames[0].select(key, "pred")
@@ -27,7 +41,7 @@ def _mean_of(frames: Sequence[DataFrame], key: str, out: str) -> DataFrame:
 
 
 def bagged_predictions(train: DataFrame, test: DataFrame, features: Sequence[str], label: str = "y",
-                       key: str = "terminalno", rounds: int | None = None) -> DataFrame:
+                       key: str = "terminalno", rounds: int | None = None, parallelism: int = 5) -> DataFrame:
     """M7: mean of five regressors (four boosted-tree sets and normalised ridge).
 
     Output: key, pred1..pred5, pred.
@@ -35,13 +49,15 @@ def bagged_predictions(train: DataFrame, test: DataFrame, features: Sequence[str
     def boost(p: md.BoostParams) -> md.BoostParams:
         return p.with_rounds(rounds) if rounds else p
 
-    scored = []
-    for i, params in enumerate([md.XGB_SKLEARN, md.XGB_BAG, None, md.LGB_LEAVES5, md.LGB_REGRESSOR], 1):
+    def fit(params: md.BoostParams | None):
         if params is None:
-            model = md.ridge(train, features, label, alpha=1.0, normalize=True)
-        else:
-            model = md.fit_gbt(train, features, label, boost(params))
-        scored.append(md.predict(model, test, features, key, out="pred").withColumn("model", F.lit(i)))
+            return md.ridge(train, features, label, alpha=1.0, normalize=True)
+        return md.fit_gbt(train, features, label, boost(params))
+
+    sets = [md.XGB_SKLEARN, md.XGB_BAG, None, md.LGB_LEAVES5, md.LGB_REGRESSOR]
+    fitted = _concurrently([lambda p=p: fit(p) for p in sets], parallelism)
+    scored = [md.predict(m, test, features, key, out="pred").withColumn("model", F.lit(i))
+              for i, m in enumerate(fitted, 1)]
     wide = _mean_of(scored, key, "pred")
     for i, s in enumerate(scored, 1):
         wide = wide.join(s.select(key, F.col("pred").alias(f"pred{i}")), key)
@@ -50,7 +66,7 @@ def bagged_predictions(train: DataFrame, test: DataFrame, features: Sequence[str
 
 def stacked_predictions(train: DataFrame, test: DataFrame, features: Sequence[str], label: str = "y",
                         key: str = "terminalno", k: int = 5, rounds: int | None = None,
-                        seed: int = 0) -> tuple[DataFrame, DataFrame]:
+                        seed: int = 0, parallelism: int = 5) -> tuple[DataFrame, DataFrame]:
     """M8: k-fold stacking, label blending and a refit.
 
     1. contiguous folds of the train drivers (W3);
@@ -67,12 +83,14 @@ def stacked_predictions(train: DataFrame, test: DataFrame, features: Sequence[st
     spark = train.sparkSession
     checkpoint_dir(spark)
     folded = contiguous_folds(train, k=k, key=key).checkpoint(eager=True)
-    oof_parts, test_parts = [], []
-    for i in range(k):
+
+    def fold_fit(i: int):
         data = folded.withColumn("is_valid", F.col("fold") == F.lit(i))
-        model = md.fit_gbt(data, features, label, boost(md.XGB_LAYER1), validation="is_valid")
-        oof_parts.append(md.predict(model, folded.filter(F.col("fold") == i), features, key))
-        test_parts.append(md.predict(model, test, features, key))
+        return md.fit_gbt(data, features, label, boost(md.XGB_LAYER1), validation="is_valid")
+
+    models = _concurrently([lambda i=i: fold_fit(i) for i in range(k)], parallelism)
+    oof_parts = [md.predict(m, folded.filter(F.col("fold") == i), features, key) for i, m in enumerate(models)]
+    test_parts = [md.predict(m, test, features, key) for m in models]
     oof = oof_parts[0]
     for part in oof_parts[1:]:
         oof = oof.unionByName(part)
