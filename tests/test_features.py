@@ -170,3 +170,17 @@ def test_driver_only_blocks_shuffle_once(spark):
     for cols in (fx.SPEED, fx.GPS, fx.CALLS + fx.HOURS, ["y", "trip_max"]):
         plan = fx.driver_statistics(df, cols)._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange hashpartitioning") == 1, cols
+
+
+def test_first_record_order(spark):
+    big = 2 ** 62
+    df = telemetry(spark, [
+        dict(terminalno=1, time=20, seq=-big, longitude=1.0), dict(terminalno=1, time=10, seq=big, longitude=2.0),
+        dict(terminalno=1, time=10, seq=5, longitude=3.0, y=2.5),
+        dict(terminalno=2, time=None, seq=9, longitude=4.0), dict(terminalno=2, time=0, seq=0, longitude=5.0),
+    ])
+    s = stats(df, ["start_lon", "first_y"])
+    assert s[1]["start_lon"] == 3.0 and s[1]["first_y"] == 2.5
+    assert s[2]["start_lon"] == 4.0
+    plan = fx.driver_statistics(df, ["start_lon", "dis"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan

@@ -137,7 +137,7 @@ def _family_unit(fam: str) -> list[str]:
         return ["min(seq) AS seq_min"]
     if fam == "first":
         # earliest record of the unit in (time, seq) order, with its values
-        return ["min(named_struct('time', time, 'seq', seq, 'lon', lon, 'lat', lat, 'y', y)) AS first_rec"]
+        return ["min(first_key) AS first_key"] + [f"min_by({c}, first_key) AS first_{c}" for c in ("lon", "lat", "y")]
     if fam == "acc":
         return _moments_unit("acc", "acc_x") + ["max(acc_x) AS acc_max", "min(acc_x) AS acc_min"]
     raise KeyError(fam)
@@ -166,7 +166,8 @@ def _family_merge(fam: str) -> list[str]:
     if fam == "seq":
         return ["min(seq_min) AS seq_min"]
     if fam == "first":
-        return ["min(first_rec) AS first_rec"]
+        return ["min(first_key) AS first_key"] + [f"min_by(first_{c}, first_key) AS first_{c}"
+                                                  for c in ("lon", "lat", "y")]
     if fam == "acc":
         return _moments_merge("acc") + ["max(acc_max) AS acc_max", "min(acc_min) AS acc_min"]
     raise KeyError(fam)
@@ -222,17 +223,17 @@ def _outputs(cfg: FeatureConfig) -> dict[str, tuple[set[str], str]]:
         "num_of_records": ({"rows"}, "sum(n_rows)"),
         "y": ({"ymax"}, "max(y_max)"),
         "y_mean": ({"y_sum"}, _mean("y")),
-        "start_lon": ({"first"}, "min(first_rec).lon"),
-        "start_lat": ({"first"}, "min(first_rec).lat"),
-        "first_y": ({"first"}, "min(first_rec).y"),
+        "start_lon": ({"first"}, "min_by(first_lon, first_key)"),
+        "start_lat": ({"first"}, "min_by(first_lat, first_key)"),
+        "first_y": ({"first"}, "min_by(first_y, first_key)"),
         "first_seq": ({"seq"}, "min(seq_min)"),
         "var_speed": ({"spdm"}, f"CASE WHEN sum(spdm_n) >= 2 THEN {_m2_merged('spdm')} / (sum(spdm_n) - 1) END"),
         "max_acc": ({"acc"}, "max(acc_max)"),
         "min_acc": ({"acc"}, "min(acc_min)"),
         "mean_acc": ({"acc"}, f"{_s1('acc')} / nullif(sum(acc_n), 0)"),
         "var_acc": ({"acc"}, f"coalesce(CASE WHEN sum(acc_n) >= 2 THEN {_m2_merged('acc')} / (sum(acc_n) - 1) END, 0D)"),
-        "dis": ({"first"}, haversine_m_sql("min(first_rec).lon", "min(first_rec).lat", cfg.anchor_lon,
-                                           cfg.anchor_lat, cfg.earth_radius_km)),
+        "dis": ({"first"}, haversine_m_sql("min_by(first_lon, first_key)", "min_by(first_lat, first_key)",
+                                           cfg.anchor_lon, cfg.anchor_lat, cfg.earth_radius_km)),
     }
     for k in range(5):
         out[f"count{k}"] = ({"calls", "rows"}, _share(f"sum(c{k})", "sum(n_rows)"))
@@ -252,6 +253,15 @@ def _outputs(cfg: FeatureConfig) -> dict[str, tuple[set[str], str]]:
 # ---------------------------------------------------------------------------
 # rows -> trip partials
 
+# (time, seq) order as ONE exact number, so "first record" is a min_by with numeric
+# buffers (hash aggregation) instead of a min over a struct (sort aggregation):
+# key = time * 2e19 + (seq + 1e19); exact for any 64-bit seq and |time| < 1e18,
+# rows without TIME first.
+FIRST_KEY = ("CAST(coalesce(time, -1000000000000000000) AS DECIMAL(38,0)) * "
+             "CAST(20000000000000000000 AS DECIMAL(38,0)) + "
+             "(CAST(coalesce(seq, 0) AS DECIMAL(38,0)) + CAST(10000000000000000000 AS DECIMAL(38,0)))")
+
+
 def _row_columns(df: DataFrame, cfg: FeatureConfig, families: set[str]) -> DataFrame:
     direction = F.col("direction")
     if cfg.drop_unknown_direction:
@@ -266,6 +276,8 @@ def _row_columns(df: DataFrame, cfg: FeatureConfig, families: set[str]) -> DataF
         cols.append(hour_of_day("time", cfg.tz).alias("hr"))
     if "wd" in families:
         cols.append(weekday("time", cfg.tz).alias("wd"))
+    if "first" in families:
+        cols.append(F.expr(FIRST_KEY).alias("first_key"))
     return df.select(*cols)
 
 
