@@ -104,8 +104,11 @@ def knn_pairs(
     # 3. first bound R from the home bucket
     cand = te_h.alias("q").join(tr_b.alias("t"), on=F.col("q.bucket") == F.col("t.bucket"))
     cand = cand.select(F.col("q.test_id").alias("test_id"), _distance("q", "t", feats).alias("dist"))
-    radius = cand.groupBy("test_id").agg(
-        F.element_at(F.sort_array(F.collect_list("dist")), F.lit(k)).alias("radius"))
+    # k-th smallest distance: top k per test point (a partial group limit runs
+    # before the shuffle, so only k distances per test point move), then max
+    wr = Window.partitionBy("test_id").orderBy("dist")
+    radius = (cand.withColumn("_r", F.row_number().over(wr)).where(F.col("_r") <= k)
+              .groupBy("test_id").agg(F.max("dist").alias("radius")))
 
     # 4. exact candidates: every bucket overlapping [p - R, p + R]
     first_b = _searchsorted(hi, "left", 0)    # first bucket with max p >= p - R
