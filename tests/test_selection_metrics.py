@@ -57,3 +57,16 @@ def test_class_balance_without_positive_label(spark):
     df = spark.createDataFrame([(0.0,), (0.0,)], "y double")
     r = class_balance(df).collect()[0]
     assert r["n_zero"] == 2 and r["n_positive"] == 0 and r["ratio"] is None
+
+
+def test_explained_variance_constant_label(spark):
+    same = spark.createDataFrame([(1.0, 0.5), (1.0, 0.5)], "y double, pred double")
+    other = spark.createDataFrame([(1.0, 0.5), (1.0, 0.7)], "y double, pred double")
+    assert regression_metrics(same).collect()[0]["explained_variance"] == 1.0
+    assert regression_metrics(other).collect()[0]["explained_variance"] == 0.0
+
+
+def test_correlation_of_constant_column_is_missing_even_on_diagonal(spark):
+    df, _ = _table(spark)
+    cm = {(r["a"], r["b"]): r["r"] for r in correlation_matrix(df, ["y", "const"]).collect()}
+    assert cm[("const", "const")] is None and cm[("y", "y")] == 1.0

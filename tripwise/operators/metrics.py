@@ -12,6 +12,8 @@ def regression_metrics(df: DataFrame, label: str = "y", pred: str = "pred") -> D
     """One row: n, MAE, RMSE and explained variance 1 - var(y - p) / var(y) (population).
 
     Explained variance is not ``RegressionEvaluator("var")`` (a different quantity).
+    With a constant label it is 1.0 for a constant error and 0.0 otherwise (the
+    original metric library's definition).
     """
     y, p = F.col(label), F.col(pred)
     err = y - p
@@ -19,10 +21,15 @@ def regression_metrics(df: DataFrame, label: str = "y", pred: str = "pred") -> D
         F.count(F.lit(1)).alias("n"),
         F.avg(F.abs(err)).alias("mae"),
         F.sqrt(F.avg(err * err)).alias("rmse"),
-        (F.lit(1.0) - F.var_pop(err) / F.when(F.var_pop(y) > 0, F.var_pop(y))).alias("explained_variance"),
+        _explained_variance(F.var_pop(err), F.var_pop(y)).alias("explained_variance"),
     )
 
 
+def _explained_variance(var_err, var_y):
+    return (F.when(var_y > 0, F.lit(1.0) - var_err / var_y)
+            .when(var_err == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
+
+
 def prediction_variance(df: DataFrame, pred: str = "pred") -> DataFrame:
     """Sample and population variance of the predictions."""
     return df.agg(F.var_samp(pred).alias("pred_var_samp"), F.var_pop(pred).alias("pred_var_pop"))
@@ -51,10 +58,8 @@ class ExplainedVarianceEvaluator(Evaluator):
 
     def _evaluate(self, dataset: DataFrame) -> float:
         y, p = F.col(self.getOrDefault(self.labelCol)), F.col(self.getOrDefault(self.predictionCol))
-        row = dataset.agg(F.var_pop(y - p).alias("e"), F.var_pop(y).alias("v")).first()
-        if row["v"] is None or row["v"] == 0:
-            return float("nan")
-        return 1.0 - row["e"] / row["v"]
+        row = dataset.agg(_explained_variance(F.var_pop(y - p), F.var_pop(y)).alias("ev")).first()
+        return float("nan") if row["ev"] is None else float(row["ev"])
 
     def isLargerBetter(self) -> bool:
         return True

@@ -77,6 +77,13 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(
         df.select(*[F.col(c).cast("double") for c in cols]))
     matrix = Correlation.corr(vec, "_v", "pearson").first()[0].toArray()
-    rows = [(a, b, None if math.isnan(float(matrix[i][j])) else float(matrix[i][j]))
-            for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    # a constant column has no correlation, not even with itself (ML reports 1.0)
+    spread = vec.agg(*[F.stddev_pop(c).alias(c) for c in cols]).first()
+    flat = {c for c in cols if not spread[c]}
+
+    def value(i: int, j: int) -> float | None:
+        v = float(matrix[i][j])
+        return None if math.isnan(v) or cols[i] in flat or cols[j] in flat else v
+
+    rows = [(a, b, value(i, j)) for i, a in enumerate(cols) for j, b in enumerate(cols)]
     return df.sparkSession.createDataFrame(rows, "a string, b string, r double")

@@ -428,7 +428,8 @@ def _eval_sql() -> str:
             + [f"feat AS (SELECT *, {hold} AS holdout FROM feat0 WHERE split = 'train')"]
             + o.knn_ctes("feat", fx.FEATURES_7, 5, train_filter="NOT holdout", test_filter="holdout"))
     body = ("SELECT count(*) AS n, avg(abs(f.y - p.pred)) AS mae, sqrt(avg((f.y - p.pred) * (f.y - p.pred))) AS rmse, "
-            "1 - var_pop(f.y - p.pred) / var_pop(f.y) AS explained_variance "
+            "CASE WHEN var_pop(f.y) > 0 THEN 1 - var_pop(f.y - p.pred) / var_pop(f.y) "
+            "WHEN var_pop(f.y - p.pred) = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS explained_variance "
             "FROM (SELECT terminalno, greatest(pred, 0.0::DOUBLE) AS pred FROM knn_pred) p JOIN feat f USING (terminalno)")
     return o.rounded_auto(o.with_t(body, *ctes), ["n", "mae", "rmse", "explained_variance"])
 
