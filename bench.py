@@ -69,6 +69,7 @@ def main() -> None:
     bench = {
         "driver_features_61": fused,
         "driver_features_61_unfused": unfused,
+        "order_features_61": q["order_features_61"],
         "feature_f_scores": q["feature_f_scores"],
         "knn30_predictions": q["knn30_predictions"],
         "knn_pairs": q["knn_pairs"],

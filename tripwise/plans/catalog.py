@@ -566,3 +566,13 @@ def gbt_watch_list(spark, sf_dir):
     model = md.fit_gbt(fit_part, ft.features, "y", md.LGB_LEAVES5.with_rounds(QUERY_ROUNDS))
     rows = md.watch_list(model, {"train": fit_part, "valid": valid}, ft.features, "y")
     return spark.createDataFrame(rows, "round int, side string, loss double")
+
+
+# --- second, larger fixture: order lines as telemetry (customer -> order -> line) ---------
+from tripwise.sources.telemetry import order_telemetry_from_dir  # noqa: E402
+
+
+@register("order_features_61", o.blocks_sql(_ALL_61, list(fx.FEATURES_61) + ["y"], telemetry=o.ORDER_TELEMETRY_CTE))
+def order_features_61(spark, sf_dir):
+    """A20 on the order-line adapter: the fused 61-feature chain behind an orders-lineitem join."""
+    return present(fx.driver_features(order_telemetry_from_dir(spark, sf_dir), "61"))

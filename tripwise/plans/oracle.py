@@ -40,8 +40,29 @@ def hav(lon: str, lat: str) -> str:
     )
 
 
-def with_t(body: str, *ctes: str) -> str:
-    return "WITH " + ",\n".join((TELEMETRY_CTE,) + ctes) + "\n" + body
+ORDER_TELEMETRY_CTE = """t AS (
+  SELECT o.o_custkey AS terminalno,
+         CAST(floor(epoch(CAST(l.l_shipdate AS TIMESTAMP))) AS BIGINT) + (l.l_partkey * 37) % 86400 AS time,
+         l.l_orderkey AS trip_id,
+         113.5::DOUBLE + (l.l_partkey % 10000) / 10000.0::DOUBLE AS longitude,
+         22.3::DOUBLE + (l.l_suppkey % 100) / 200.0::DOUBLE AS latitude,
+         l.l_discount * 3600.0::DOUBLE AS direction,
+         l.l_tax * 1000.0::DOUBLE AS height,
+         CASE WHEN isnan(l.l_quantity) THEN NULL ELSE l.l_quantity END AS speed,
+         CAST(l.l_linenumber % 5 AS INTEGER) AS callstate,
+         CASE WHEN o.o_custkey % 5 = 0 THEN NULL
+              ELSE CAST(greatest(0, (o.o_custkey * 37) % 11 - 6) AS DOUBLE) * 0.5::DOUBLE END AS y,
+         l.l_orderkey * 8 + l.l_linenumber AS seq,
+         CASE WHEN o.o_custkey % 5 = 0 THEN 'test' ELSE 'train' END AS split,
+         hour(to_timestamp(CAST(floor(epoch(CAST(l.l_shipdate AS TIMESTAMP))) AS BIGINT) + (l.l_partkey * 37) % 86400)
+              AT TIME ZONE 'UTC') AS hr,
+         isodow(to_timestamp(CAST(floor(epoch(CAST(l.l_shipdate AS TIMESTAMP))) AS BIGINT) + (l.l_partkey * 37) % 86400)
+              AT TIME ZONE 'UTC') - 1 AS wd
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
+
+
+def with_t(body: str, *ctes: str, telemetry: str = TELEMETRY_CTE) -> str:
+    return "WITH " + ",\n".join((telemetry,) + ctes) + "\n" + body
 
 
 def nudge(dp: int) -> float:
@@ -168,14 +189,14 @@ COARSE = {"direction_var_max", "direction_var_mean", "direction_var_min", "heigh
           "pred_var_pop", "r", "dist", "radius"}
 
 
-def blocks_sql(blocks: list[str], columns: list[str] | None = None) -> str:
+def blocks_sql(blocks: list[str], columns: list[str] | None = None, telemetry: str = TELEMETRY_CTE) -> str:
     """Join of the named blocks on the driver key, rounded like the Spark side."""
     ctes = [TRIP_CTE, ACC_CTE]
     ctes += [f"b_{b} AS ({BLOCK_SQL[b]})" for b in blocks]
     first = f"b_{blocks[0]}"
     joins = " ".join(f"JOIN b_{b} USING ({K})" for b in blocks[1:])
     cols = columns or [c for b in blocks for c in BLOCK_COLUMNS[b]]
-    inner = with_t(f"SELECT {K}, {', '.join(cols)} FROM {first} {joins}", *ctes)
+    inner = with_t(f"SELECT {K}, {', '.join(cols)} FROM {first} {joins}", *ctes, telemetry=telemetry)
     return rounded_auto(inner, ["split", "terminalno"] + cols)
 
 

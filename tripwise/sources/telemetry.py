@@ -125,3 +125,40 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def telemetry_from_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned telemetry union (both sides) derived from ``sf_dir/events``."""
     return clean_telemetry(events_as_telemetry(load_table(spark, sf_dir, "events")))
+
+
+def lineitem_as_telemetry(orders: DataFrame, lineitem: DataFrame, test_modulus: int = 5) -> DataFrame:
+    """Second, larger test adapter: order lines as telemetry rows (customer -> order -> line).
+
+    driver = o_custkey, trip = l_orderkey (joined on the order key), time = ship
+    date plus a part-derived second of the day, speed = quantity, direction =
+    discount * 3600, height = tax * 1000, call state = line number mod 5.
+    """
+    o = orders.select(F.col("o_orderkey"), F.col("o_custkey"))
+    li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount",
+                         "l_tax", "l_shipdate")
+    j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
+    cust = F.col("o_custkey")
+    is_test = (cust % F.lit(test_modulus)) == F.lit(0)
+    label = F.greatest(F.lit(0).cast("bigint"), (cust * F.lit(37)) % F.lit(11) - F.lit(6)) * F.lit(0.5)
+    ship = F.col("l_shipdate").cast("timestamp_ntz")
+    return j.select(
+        cust.alias("terminalno"),
+        (epoch_seconds_of_ntz(ship) + (F.col("l_partkey") * F.lit(37)) % F.lit(86400)).alias("time"),
+        F.col("l_orderkey").alias("trip_id"),
+        (F.lit(113.5) + (F.col("l_partkey") % F.lit(10000)) / F.lit(10000.0)).alias("longitude"),
+        (F.lit(22.3) + (F.col("l_suppkey") % F.lit(100)) / F.lit(200.0)).alias("latitude"),
+        (F.col("l_discount") * F.lit(3600.0)).alias("direction"),
+        (F.col("l_tax") * F.lit(1000.0)).alias("height"),
+        F.col("l_quantity").alias("speed"),
+        (F.col("l_linenumber") % F.lit(5)).cast("int").alias("callstate"),
+        F.when(is_test, F.lit(None).cast("double")).otherwise(label.cast("double")).alias("y"),
+        (F.col("l_orderkey") * F.lit(8) + F.col("l_linenumber")).alias("seq"),
+        F.when(is_test, F.lit("test")).otherwise(F.lit("train")).alias("split"),
+    )
+
+
+def order_telemetry_from_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned order-line telemetry derived from ``sf_dir/orders`` and ``sf_dir/lineitem``."""
+    return clean_telemetry(lineitem_as_telemetry(load_table(spark, sf_dir, "orders"),
+                                                 load_table(spark, sf_dir, "lineitem")))
