@@ -21,7 +21,7 @@ from tripwise.plans import catalog  # noqa: E402
 from tripwise.session import checkpoint_dir, local_session  # noqa: E402
 from tripwise.sources.telemetry import telemetry_from_dir  # noqa: E402
 
-HEADLINE = ["driver_features_61", "speed_features", "baseline_features", "speed_diff_rows", "feature_f_scores",
+HEADLINE = ["driver_features_61", "order_features_61", "speed_features", "baseline_features", "speed_diff_rows", "feature_f_scores",
             "knn_pairs", "drivers_in_order"]
 OPS = ("Exchange", "BroadcastExchange", "SortMergeJoin", "BroadcastHashJoin", "BroadcastNestedLoopJoin",
        "CartesianProduct", "HashAggregate", "SortAggregate", "ObjectHashAggregate", "Window", "WindowGroupLimit",
