@@ -13,9 +13,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripwise.operators import ensemble as en
 from tripwise.operators import features as fx
+from tripwise.operators import models as md
+from tripwise.operators import order as od
+from tripwise.operators import rows as rw
+from tripwise.operators import selection as sel
+from tripwise.operators import split as sp
+from tripwise.operators.knn import knn_pairs, knn_regress
+from tripwise.operators.metrics import class_balance, prediction_variance, regression_metrics
 from tripwise.plans import oracle as o
-from tripwise.sources.telemetry import telemetry_from_dir
+from tripwise.plans import submissions as sub
+from tripwise.sources import sinks
+from tripwise.sources.telemetry import (
+    COLUMNS, events_as_telemetry, load_table, order_telemetry_from_dir, split_side, telemetry_from_dir,
+    union_train_test,
+)
+
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,16 +101,6 @@ _feature_set_query("driver_features_7", "7", ["speed", "direction", "smoothed",
 
 # =====================================================================================
 # 2.1 scans, sources, sinks
-from tripwise.operators import order as od  # noqa: E402
-from tripwise.operators import rows as rw  # noqa: E402
-from tripwise.operators import selection as sel  # noqa: E402
-from tripwise.operators import split as sp  # noqa: E402
-from tripwise.operators.knn import knn_pairs, knn_regress  # noqa: E402
-from tripwise.operators.metrics import class_balance, prediction_variance, regression_metrics  # noqa: E402
-from tripwise.sources import sinks  # noqa: E402
-from tripwise.sources.telemetry import (  # noqa: E402
-    COLUMNS, events_as_telemetry, load_table, split_side, union_train_test,
-)
 
 ROW_COLS = COLUMNS + ["seq", "split"]
 _T_COLS = ", ".join(ROW_COLS)
@@ -471,9 +475,6 @@ def baseline_features(spark, sf_dir):
 # models, ensembles, sinks: no SQL oracle (rows-only check).  Registered model queries
 # fit with QUERY_ROUNDS boosting rounds; the job functions default to the original
 # 200-1000 rounds (each round is one sequential Spark job).
-from tripwise.operators import ensemble as en  # noqa: E402
-from tripwise.operators import models as md  # noqa: E402
-from tripwise.plans import submissions as sub  # noqa: E402
 
 QUERY_ROUNDS = 10
 
@@ -569,7 +570,6 @@ def gbt_watch_list(spark, sf_dir):
 
 
 # --- second, larger fixture: order lines as telemetry (customer -> order -> line) ---------
-from tripwise.sources.telemetry import order_telemetry_from_dir  # noqa: E402
 
 
 @register("order_features_61", o.blocks_sql(_ALL_61, list(fx.FEATURES_61) + ["y"], telemetry=o.ORDER_TELEMETRY_CTE))
