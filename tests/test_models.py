@@ -78,3 +78,18 @@ def test_concurrent_fits_equal_sequential(spark):
     a = bagged_predictions(df, test, FEATS, rounds=3, parallelism=1).orderBy("terminalno").collect()
     b = bagged_predictions(df, test, FEATS, rounds=3, parallelism=5).orderBy("terminalno").collect()
     assert [tuple(r) for r in a] == [tuple(r) for r in b]
+
+
+@pytest.mark.parametrize("include_id", [False, True])
+def test_baseline_job_round_trip(spark, tmp_path, include_id):
+    from tripwise.plans.submissions import baseline_submission
+    from tripwise.sources.telemetry import telemetry_from_dir
+
+    t = telemetry_from_dir(spark, "/root/testdata/sf0.001")
+    out = str(tmp_path / "sub")
+    preds = baseline_submission(t, model_path=str(tmp_path / "model"), rounds=3, out=out,
+                                include_id=include_id).collect()
+    test_drivers = {r["terminalno"] for r in t.filter(F.col("split") == "test").select("terminalno").distinct().collect()}
+    assert {r["terminalno"] for r in preds} == test_drivers
+    assert all(np.isfinite(r["pred"]) for r in preds)
+    assert os.path.exists(os.path.join(str(tmp_path / "model"), "metadata"))
