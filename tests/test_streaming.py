@@ -27,3 +27,22 @@ def test_stream_totals_equal_batch(spark, tmp_path):
     for k in batch:
         for c in STREAMED:
             assert streamed[k][c] == pytest.approx(batch[k][c], rel=1e-12), (k, c)
+
+
+def test_snapshot_sink_resumes(spark, tmp_path):
+    from tripwise.streaming.ingest import write_driver_totals
+
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.csv").write_text(HEADER + "1,1476923580,1,113.9,22.5,90,10.5,30.0,0,0.5\n")
+    out, ck = str(tmp_path / "snap"), str(tmp_path / "ck")
+    q = write_driver_totals(driver_totals(telemetry_stream(spark, str(src))), out, ck)
+    q.awaitTermination(120)
+    assert spark.read.parquet(out).collect()[0]["num_of_records"] == 1
+    (src / "b.csv").write_text(HEADER + "1,1476923590,1,113.9,22.5,90,10.5,50.0,1,0.5\n"
+                                        "2,1476923590,4,113.9,22.5,90,10.5,10.0,1,0.0\n")
+    q = write_driver_totals(driver_totals(telemetry_stream(spark, str(src))), out, ck)
+    q.awaitTermination(120)
+    rows = {r["terminalno"]: r for r in spark.read.parquet(out).collect()}
+    assert rows[1]["num_of_records"] == 2 and rows[1]["speed_mean"] == 40.0
+    assert rows[2]["num_of_records"] == 1

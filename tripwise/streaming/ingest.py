@@ -61,3 +61,27 @@ def driver_totals(stream: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> Da
     aggs = [F.expr(s) for f in _FAMILIES for s in _family_unit(f)] + [F.max("trip_id").alias("trip_max")]
     totals = rows.groupBy(KEY).agg(*aggs)
     return totals.select(KEY, *[F.expr(f"{e} AS `{name}`") for name, e in _PROJECTIONS.items()])
+
+
+def write_driver_totals(totals: DataFrame, path: str, checkpoint_location: str | None = None,
+                        available_now: bool = True):
+    """Keep a Parquet snapshot of the running driver totals up to date.
+
+    Complete output mode (the state is one row per driver); each micro-batch
+    overwrites the snapshot at ``path``.  The stream's own checkpoint defaults to
+    ``<spark.checkpoint.dir>/streams/driver_totals`` in the shared folder, so a
+    restarted query resumes where it stopped.  Returns the started query.
+    """
+    from tripwise.session import checkpoint_dir
+
+    spark = totals.sparkSession
+    location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/streams/driver_totals"
+
+    def snapshot(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    writer = (totals.writeStream.outputMode("complete").foreachBatch(snapshot)
+              .option("checkpointLocation", location))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
