@@ -41,3 +41,34 @@ def test_entry_contract(spark):
     qs, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(qs)
     assert len(qs) >= 60
+
+
+def _single_csv(path):
+    parts = glob.glob(os.path.join(path, "part-*.csv"))
+    assert len(parts) == 1
+    return open(parts[0]).read().strip().splitlines()
+
+
+def test_jobs_write_one_file_per_submission(spark, tmp_path):
+    from tripwise.plans import submissions as jobs
+    from tripwise.sources.telemetry import telemetry_from_dir
+
+    t = telemetry_from_dir(spark, "/root/testdata/sf0.001")
+    n_test = t.filter(F.col("split") == "test").select("terminalno").distinct().count()
+    jobs.knn_submission(t, k=5, out=str(tmp_path / "knn"))
+    jobs.ridge_submission(t, 70, out=str(tmp_path / "ridge"))
+    for name in ("knn", "ridge"):
+        lines = _single_csv(str(tmp_path / name))
+        assert lines[0] == "Id,Pred" and len(lines) == n_test + 1
+
+
+def test_parquet_scan(spark, tmp_path):
+    rows = [(1, 1476923580, 1, 113.9, 22.5, 90.0, 10.5, float("nan"), 0, 0.5)]
+    df = spark.createDataFrame(rows, "terminalno bigint, time bigint, trip_id bigint, longitude double, "
+                                     "latitude double, direction double, height double, speed double, "
+                                     "callstate int, y double")
+    df.write.parquet(str(tmp_path / "t"))
+    from tripwise.sources.telemetry import clean_telemetry
+
+    got = clean_telemetry(read_telemetry(spark, str(tmp_path / "t"), fmt="parquet")).collect()[0]
+    assert got["speed"] is None and got["seq"] is not None and got["y"] == 0.5
