@@ -58,10 +58,13 @@ def bagged_predictions(train: DataFrame, test: DataFrame, features: Sequence[str
     fitted = _concurrently([lambda p=p: fit(p) for p in sets], parallelism)
     scored = [md.predict(m, test, features, key, out="pred").withColumn("model", F.lit(i))
               for i, m in enumerate(fitted, 1)]
-    wide = _mean_of(scored, key, "pred")
-    for i, s in enumerate(scored, 1):
-        wide = wide.join(s.select(key, F.col("pred").alias(f"pred{i}")), key)
-    return wide.select(key, *[f"pred{i}" for i in range(1, 6)], "pred")
+    # one union and one grouped aggregate (one shuffle) give every model's column and the mean
+    long = scored[0]
+    for frame in scored[1:]:
+        long = long.unionByName(frame)
+    return long.groupBy(key).agg(
+        *[F.max(F.when(F.col("model") == i, F.col("pred"))).alias(f"pred{i}") for i in range(1, len(sets) + 1)],
+        F.avg("pred").alias("pred"))
 
 
 def stacked_predictions(train: DataFrame, test: DataFrame, features: Sequence[str], label: str = "y",
