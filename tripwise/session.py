@@ -27,15 +27,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, registered as checkpoint folder.
 
-    On a cluster this must be set by the deployment (a folder every executor
-    can reach).  Only when it is unset, as in local tests, a fresh temporary
-    folder is created and registered.
+    On a cluster the deployment must set it (a folder every executor can reach);
+    without it this raises.  A local session, as in tests, shares its machine's
+    folders, so there an unset key means a fresh temporary folder.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="tripwise-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not folder:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="tripwise-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(folder)
+    return folder
