@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwise.llm import chat, mixing, sharding, topk, warc
-from tripwise.llm.common import table, written
+from tripwise.llm import chat, decontaminate, mixing, near_dup, quality, repair_tokens, sharding, topk, toxicity, warc
+from tripwise.llm.common import crc_fold, table, written
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -21,6 +21,43 @@ def register(name: str, sql: str | None = None):
     return put
 
 
+@register("op1_decontaminate")
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, test item) whose alignment shows a leak, with score and place."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op2_repair_tokens")
+def op2_repair_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids in Re-Pair shards, read back: place, number and crc32."""
+    import public_tokenizers
+
+    shards = repair_tokens.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return repair_tokens.read_tokens(shards)
+
+
+def held_out(folds: int, rest: int):
+    return crc_fold("doc_id", folds) == rest
+
+
+@register("op3_fourier_quality")
+def op3_fourier_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    out = held_out(quality.FOLDS, quality.HELD_OUT)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.classify(docs, table(spark, sf_dir, "labels"), ~out)
+    return scored.select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
+@register("op4_segment_toxicity")
+def op4_segment_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, with its significant passages."""
+    out = held_out(toxicity.FOLDS, toxicity.HELD_OUT)
+    scored = toxicity.detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~out)
+    return scored.select("doc_id", out.alias("held_out"), "score", "predicted", F.size("passages").alias("n_passages"),
+                         "evidence")
+
+
 @register("op5_warc_normalise", f"""
     WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
     q AS (SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes, sha1(h) AS payload_digest FROM p),
@@ -52,6 +89,12 @@ def op7_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "shard_id", "shard_depth", F.col("sh_bytes").alias("n_bytes"), "shard_bytes", "shard_rows")
 
 
+@register("op8_order_minhash")
+def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class of near-duplicates and its number of links."""
+    return near_dup.classes(table(spark, sf_dir, "documents"))
+
+
 #: The contract's extra conversation.
 EXTRA_ID, EXTRA_TEXT = -7, "\\### Assistant: </turn> ok"
 
