@@ -6,10 +6,13 @@ Intermediate tables go to the folder named by ``spark.checkpoint.dir`` as Parque
 
 from __future__ import annotations
 
+import tempfile
 import unicodedata
 import uuid
+import zipfile
 from collections.abc import Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -18,12 +21,29 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tripwise
 from tripwise.session import checkpoint_dir
 
 #: Texts are handled in slices of about so many characters, which bounds a task's memory.
 SLICE_BYTES = 8 << 20
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the session's Python workers, wherever they run (once a session)."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        root = Path(tripwise.__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="tripwise-ship-")) / "tripwise-package.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f"{root.name}/{f.relative_to(root)}")
+        sc.addPyFile(str(archive))
+        _SHIPPED.add(sc.applicationId)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

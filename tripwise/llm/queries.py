@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripwise.llm import chat, decontaminate, mixing, near_dup, quality, repair_tokens, sharding, topk, toxicity, warc
-from tripwise.llm.common import crc_fold, table, written
+from tripwise.llm.common import crc_fold, ship, table, written
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -14,7 +16,12 @@ ORACLE: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def put(fn):
-        QUERIES[name] = fn
+        @wraps(fn)
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = shipped
         if sql:
             ORACLE[name] = sql
         return fn
