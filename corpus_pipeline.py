@@ -11,27 +11,31 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripwise.llm import decontaminate, mixing, near_dup, quality, sharding
-from tripwise.llm.common import crc_fold, table, written
+from tripwise.llm.common import crc_fold, ship, table, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts (fitted on the labelled ones among ``docs``)."""
+    ship(spark)
     train = crc_fold("doc_id", quality.FOLDS) != quality.HELD_OUT
     return quality.keep_good(docs, table(spark, sf_dir, "labels"), train)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near-duplicates."""
+    ship(spark)
     return near_dup.representatives(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no item of ``benchmark``."""
+    ship(spark)
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in the order of the mix; the written files, read in order, hold it."""
+    ship(spark)
     return mixing.in_mix_order(mixing.mix(docs)).select(*docs.columns)
 
 
@@ -41,6 +45,7 @@ def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     The order of the mix is that of the files and of the rows in them; rows that are
     not read from files keep the order in which Spark numbers them.
     """
+    ship(spark)
     columns = docs.columns
     try:
         placed = docs.select("*", F.col("_metadata.file_path").alias("mix_file"),
