@@ -25,8 +25,9 @@ from tripwise.llm.quality import bounded_labels
 
 #: Labelled rows the model is fitted on, at most (a sample by hash of the id).
 MAX_FIT_ROWS = 60_000
-#: Texts of a class a unit must be in, the least z-score and log-odds of a unit, the prior's weight in texts.
-MIN_TEXTS, MIN_Z, MIN_LOG_ODDS, PRIOR = 4, 4.0, 2.5, 10.0
+#: Toxic texts a unit must be in (a number and a share of them), its least z-score and log-odds, the prior's
+#: weight in texts.  The share keeps words of a few texts and their copies out.
+MIN_TEXTS, MIN_SHARE, MIN_Z, MIN_LOG_ODDS, PRIOR = 4, 0.02, 4.0, 4.0, 10.0
 #: Share of toxic tokens in a passage that sets the cost of other tokens.
 DENSITY = 0.15
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
@@ -126,7 +127,7 @@ class ToxicModel:
 
 
 def unit_counts(docs: DataFrame, labelled: dict[int, int] | None, wanted: np.ndarray | None) -> DataFrame:
-    """(unit, n0, n1, tokens0) sums over texts: texts with the unit, by label.
+    """(unit, n0, n1) sums over texts: texts with the unit, by label.
 
     With ``labelled`` only those texts count, by their label; else all texts count as
     label 0 and only the ``wanted`` unit hashes.
@@ -208,7 +209,7 @@ def fit(docs: DataFrame, labelled: DataFrame) -> ToxicModel:
         return empty
     counts = unit_counts(docs, labels, None)
     # only units that may pass: seen in toxic texts, at raw odds of more than e to a unit clean text
-    near = counts.filter((F.col("n1") >= MIN_TEXTS) & (F.col("n1") / n1 > math.e * F.col("n0") / n0)).toPandas()
+    near = counts.filter((F.col("n1") >= max(MIN_TEXTS, MIN_SHARE * n1)) & (F.col("n1") / n1 > math.e * F.col("n0") / n0)).toPandas()
     near = near.sort_values("unit")
     wanted = near["unit"].to_numpy(np.int64)
     every = unit_counts(docs, None, wanted).toPandas() if len(wanted) else near.head(0)
