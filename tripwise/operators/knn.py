@@ -4,37 +4,35 @@ Distance: Euclidean over the raw (unscaled) feature columns.  Neighbour order:
 (distance, train id).  Weights 1/distance; when some neighbours are at distance
 0, only those count (their plain mean) - the rule of the original library.
 
-Plan (all distributed; only bounded arrays reach the driver):
+Plan (all distributed; only the feature variances and counts reach the driver):
 
 1. axis: the feature with the largest variance over train.  For any unit axis,
    |p(a) - p(b)| <= ||a - b||, so a projection window prunes exactly.
-2. train is ranked by (p, id) with a distributed global rank and cut into
-   equal-count buckets of ``m >= k`` rows; at most ``max_buckets`` buckets, so
-   the per-bucket [min p, max p] arrays are bounded.
-3. bound: each test point meets the m train rows of its home bucket (the one
-   covering its p); its k-th smallest distance there is R >= the true k-th
-   neighbour distance.
-4. exact: the test point meets every bucket overlapping [p - R, p + R] (an
-   equi-join on the exploded bucket ids), keeps candidates with distance <= R
-   and ranks them by (distance, train id): top k per (test point, bucket), then
-   top k per test point, so no group exceeds max(m, #buckets * k) rows.
-
-Buckets have equal counts on the train side whatever the value skew; a bucket
-receiving many test points is a skewed join partition, which AQE splits.
+2. train is ranked by (p, id) with a distributed global rank and cut into buckets
+   of ``m >= k`` consecutive rows; m does not grow with the table.
+3. bound: each test point meets the m train rows of its home bucket (that of the
+   last train row at or below its p); its k-th smallest distance there is
+   R >= the true k-th neighbour distance.
+4. exact: the test point meets every bucket that holds train rows within
+   [p - R, p + R], widened by a relative margin against rounding, and always its
+   home bucket; only ``distance <= R`` decides.  The k best per test point are kept
+   before and after the exchange on the test point.
+
+Places of values among the train rows come from ranging both sides together
+(``order.rows_below``), so no array of bucket edges exists.  Buckets hold m train rows
+whatever the skew; the rows of a bucket that many test points meet are a skewed
+join partition, and the group limit behind that join needs no distribution of its
+own, so AQE may split it.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
-from tripwise.operators.order import global_rank
+from tripwise.operators.order import global_rank, rows_below
 from tripwise.session import checkpoint_dir
 
 
@@ -46,15 +44,9 @@ def _distance(a: str, b: str, features: Sequence[str]) -> Column:
     return F.sqrt(s)
 
 
-def _searchsorted(values: np.ndarray, side: str, shift: int):
-    """Pandas UDF: index in a bounded sorted array (binary search inside tasks)."""
-    arr = np.asarray(values, dtype="float64")
-
-    @pandas_udf("long")
-    def lookup(x: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(arr, x.to_numpy(dtype="float64"), side=side) + shift, dtype="int64")
-
-    return lookup
+# rows of a bucket, at least, and the margin of a window's edges relative to their size
+BUCKET_ROWS = 64
+EDGE_MARGIN = 1e-12
 
 
 def knn_pairs(
@@ -65,7 +57,6 @@ def knn_pairs(
     id_col: str = "terminalno",
     label: str = "y",
     bucket_rows: int | None = None,
-    max_buckets: int = 65536,
 ) -> DataFrame:
     """The k nearest train rows of every test row.
 
@@ -86,20 +77,20 @@ def knn_pairs(
     n = stats["_n"]
     if n < k:
         raise ValueError(f"k={k} neighbours requested from {n} train rows")
-    m = max(4 * k, bucket_rows or 0, math.ceil(n / max_buckets))
-    nb = max(1, n // m)  # the last bucket takes the remainder: every bucket has >= m rows
+    m = max(4 * k, bucket_rows or BUCKET_ROWS)
+    nb = max(1, n // m)  # the last bucket takes the remainder: every bucket has >= m rows (or all)
+
+    def bucket_of(rank: Column) -> Column:
+        return F.least(F.floor(F.greatest(rank, F.lit(0)) / F.lit(m)), F.lit(nb - 1))
 
     ranked = global_rank(tr.withColumn("p", F.col(axis)), ["p", "train_id"], out="_r")
-    tr_b = ranked.withColumn("bucket", F.least(F.floor(F.col("_r") / F.lit(m)), F.lit(nb - 1))).drop("_r")
-    bounds = sorted((r["bucket"], r["lo"], r["hi"]) for r in
-                    tr_b.groupBy("bucket").agg(F.min("p").alias("lo"), F.max("p").alias("hi")).collect())
-    lo = np.array([b[1] for b in bounds], dtype="float64")
-    hi = np.array([b[2] for b in bounds], dtype="float64")
+    tr_b = ranked.withColumn("bucket", bucket_of(F.col("_r"))).drop("_r")
 
-    te_p = te.withColumn("p", F.col(axis))
-    # home bucket: last bucket whose min p <= p (first bucket below the range)
-    home = _searchsorted(lo, "right", -1)
-    te_h = te_p.withColumn("bucket", F.greatest(home(F.col("p")), F.lit(0)))
+    # home bucket: that of the last train row with p at or below the test point's
+    te_p = te.withColumn("p", F.col(axis)).checkpoint(eager=True)
+    at = rows_below(tr, axis, te_p.select("test_id", "p"), "p", "_below", inclusive=True)
+    home = at.select("test_id", bucket_of(F.col("_below") - 1).alias("bucket"))
+    te_h = te_p.join(home, "test_id")
 
     # 3. first bound R from the home bucket
     cand = te_h.alias("q").join(tr_b.alias("t"), on=F.col("q.bucket") == F.col("t.bucket"))
@@ -110,27 +101,23 @@ def knn_pairs(
     radius = (cand.withColumn("_r", F.row_number().over(wr)).where(F.col("_r") <= k)
               .groupBy("test_id").agg(F.max("dist").alias("radius")))
 
-    # 4. exact candidates: every bucket overlapping [p - R, p + R]
-    first_b = _searchsorted(hi, "left", 0)    # first bucket with max p >= p - R
-    last_b = _searchsorted(lo, "right", -1)   # last bucket with min p <= p + R
-    q = te_p.join(radius, "test_id").select(
-        "*",
-        F.least(first_b(F.col("p") - F.col("radius")), F.lit(nb - 1)).alias("b1"),
-        F.greatest(last_b(F.col("p") + F.col("radius")), F.lit(0)).alias("b2"),
-    ).withColumn("bucket", F.explode(F.sequence("b1", "b2")))
-    pairs = q.alias("q").join(tr_b.alias("t"), on=F.col("q.bucket") == F.col("t.bucket")).where(
-        F.abs(F.col("q.p") - F.col("t.p")) <= F.col("q.radius"))
-    pairs = pairs.select(
-        F.col("q.test_id").alias("test_id"), F.col("t.train_id").alias("train_id"), F.col("t.bucket"),
+    # 4. exact candidates: every bucket with train rows in the widened window, and the home bucket
+    bounded = te_h.join(radius, "test_id").withColumnRenamed("bucket", "home").checkpoint(eager=True)
+    margin = F.lit(EDGE_MARGIN) * (F.abs("p") + F.col("radius"))
+    edges = bounded.select("test_id", (F.col("p") - F.col("radius") - margin).alias("_low"),
+                           (F.col("p") + F.col("radius") + margin).alias("_high"))
+    low = rows_below(tr, axis, edges.select("test_id", "_low"), "_low", "_first", inclusive=False)
+    high = rows_below(tr, axis, edges.select("test_id", "_high"), "_high", "_last", inclusive=True)
+    spans = low.join(high, "test_id").select("test_id", bucket_of(F.col("_first")).alias("b1"),
+                                             bucket_of(F.col("_last") - 1).alias("b2"))
+    q = bounded.join(spans, "test_id").withColumn("bucket", F.explode(F.sequence(
+        F.least("b1", "home"), F.greatest("b2", "home"))))
+    pairs = q.alias("q").join(tr_b.alias("t"), on=F.col("q.bucket") == F.col("t.bucket")).select(
+        F.col("q.test_id").alias("test_id"), F.col("t.train_id").alias("train_id"),
         F.col("t.label").alias("label"), _distance("q", "t", feats).alias("dist"), F.col("q.radius"),
-    ).where(F.col("dist") <= F.col("radius"))
-    # two-stage top-k: per (test, bucket) first - at most m rows, on the join's own
-    # partitioning - then per test over at most (#buckets x k) survivors, so even a
-    # band full of identical train rows never lands in one task as a whole
-    order = [F.col("dist").asc(), F.col("train_id").asc()]
-    local = Window.partitionBy("test_id", "bucket").orderBy(*order)
-    pairs = pairs.withColumn("_lr", F.row_number().over(local)).where(F.col("_lr") <= k)
-    w = Window.partitionBy("test_id").orderBy(*order)
+    ).where(F.col("dist") <= F.col("radius")).drop("radius")
+    # the planner keeps the k best of each task before the exchange on the test point
+    w = Window.partitionBy("test_id").orderBy(F.col("dist").asc(), F.col("train_id").asc())
     return (pairs.withColumn("nb", F.row_number().over(w) - 1).where(F.col("nb") < k)
             .select("test_id", "train_id", "dist", "nb", "label"))
 

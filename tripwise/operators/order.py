@@ -4,52 +4,84 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tripwise.session import checkpoint_dir
 
+# monotonically_increasing_id: partition in the upper bits, place in the partition in the lower 33
+_LOCAL_BITS = 33
 
-def global_rank(df: DataFrame, order: Sequence[str], out: str = "rank", partitions: int | None = None) -> DataFrame:
-    """0-based position of every row in the total order of ``order`` (keys must be unique).
 
-    A global ``row_number()`` window sorts everything in one task.  Instead:
-    range-partition and sort within partitions, number rows inside each
-    partition (``mapInPandas``), then add the row count of all earlier
-    partitions.  Only one count per partition reaches the driver.  The numbered
-    frame is checkpointed to the shared checkpoint folder so both passes see the
-    same partitioning, also after a lost executor.
+def numbered(df: DataFrame, order: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Rows range-partitioned and sorted by ``order``, with ``_part`` and ``_local`` (0-based place in the partition).
+
+    Checkpointed to the shared folder, so that every later pass sees the same
+    partitioning, also after a lost executor.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    schema = T.StructType(ranged.schema.fields + [
-        T.StructField("_part", T.IntegerType()), T.StructField("_local", T.LongType())])
-
-    def number(batches):
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
-        start = 0
-        for pdf in batches:
-            m = len(pdf)
-            pdf = pdf.assign(_part=part, _local=pd.RangeIndex(start, start + m).to_numpy(dtype="int64"))
-            start += m
-            yield pdf
-
-    numbered = ranged.mapInPandas(number, schema).checkpoint(eager=True)
-    counts = sorted((r["_part"], r["n"]) for r in
-                    numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect())
-    offsets, acc = {}, 0
-    for part, cnt in counts:
-        offsets[part] = acc
-        acc += cnt
-    offset_map = F.create_map(*[x for p, o in offsets.items() for x in (F.lit(p), F.lit(o).cast("bigint"))]) \
-        if offsets else F.create_map().cast("map<int,bigint>")
-    return numbered.withColumn(out, offset_map[F.col("_part")] + F.col("_local")).drop("_part", "_local")
+    return with_place(ranged).checkpoint(eager=True)
+
+
+def with_place(df: DataFrame, part: str = "_part", local: str = "_local") -> DataFrame:
+    """Partition number and 0-based place in the partition of every row (no exchange)."""
+    mid = F.monotonically_increasing_id()
+    return (df.withColumn("_mid", mid)
+            .withColumns({part: F.shiftright("_mid", _LOCAL_BITS).cast("int"),
+                          local: F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))}).drop("_mid"))
+
+
+def offsets(rows: DataFrame, out: str = "_offset") -> DataFrame:
+    """(_part, out, _total): rows before each partition of ``numbered`` rows, and of all; one row a partition."""
+    counts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per partition, so the windows without a key are bounded by the number of partitions
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(out),
+                         F.sum("_n").over(Window.partitionBy()).alias("_total"))
+
+
+def global_rank(df: DataFrame, order: Sequence[str], out: str = "rank", partitions: int | None = None,
+                total: str | None = None) -> DataFrame:
+    """0-based position of every row in the total order of ``order`` (keys must be unique).
+
+    A global ``row_number()`` window sorts everything in one task.  Instead:
+    range-partition and sort within partitions, number the rows inside each
+    partition, and join the row counts of the earlier partitions (a table of one
+    row a partition).  All on the JVM, in one pass over ``df``.  ``total`` names
+    an optional column with the number of rows.
+    """
+    rows = numbered(df, order, partitions)
+    # bounded by the number of partitions
+    placed = rows.join(F.broadcast(offsets(rows)), "_part").withColumn(out, F.col("_offset") + F.col("_local"))
+    if total:
+        placed = placed.withColumn(total, F.col("_total"))
+    return placed.drop("_part", "_local", "_offset", "_total")
+
+
+def rows_below(rows: DataFrame, key: str, queries: DataFrame, value: str, out: str, inclusive: bool) -> DataFrame:
+    """``queries`` with the number of ``rows`` whose ``key`` is below (or equal to) ``value``.
+
+    Both sides' values are ranged together; in a partition the rows before a query
+    are its place among all less its place among the queries.  One exchange of the
+    values of ``rows`` and of ``queries``; no value reaches the driver.
+    """
+    names = queries.columns
+    side = F.lit(0 if inclusive else 2)
+    left = rows.select(F.col(key).alias("_v"), side.alias("_side"),
+                       *[F.lit(None).cast(queries.schema[c].dataType).alias(c) for c in names])
+    right = queries.select(F.col(value).alias("_v"), F.lit(1).alias("_side"), *names)
+    both = numbered(left.unionByName(right), ["_v", "_side"])
+    # a filter keeps partitions and their order, so places among the queries follow
+    asked = with_place(both.filter("_side = 1").drop("_part"), "_part", "_own")
+    counts = both.groupBy("_part").agg(F.count_if(F.col("_side") != 1).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    # one row a partition
+    placed = asked.join(F.broadcast(base), "_part")
+    return placed.select(*names, (F.col("_offset") + F.col("_local") - F.col("_own")).alias(out))
 
 
 def first_rows(df: DataFrame, n: int, order: Sequence[Column | str]) -> DataFrame:

@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 from tripwise.operators.order import global_rank
 
 
-def hash_bucket(key: Column | str, seed: int, buckets: int = 100) -> Column:
+# the hold-out share is taken in millionths
+HOLDOUT_BUCKETS = 1_000_000
+
+
+def hash_bucket(key: Column | str, seed: int, buckets: int = HOLDOUT_BUCKETS) -> Column:
     """Stable bucket 0..buckets-1 of a key: md5 of ``seed:key``, first 32 bits.
 
     Independent of partitioning and executor count (``randomSplit`` is not).
@@ -21,21 +25,21 @@ def hash_bucket(key: Column | str, seed: int, buckets: int = 100) -> Column:
 def holdout_split(df: DataFrame, fraction: float = 0.2, seed: int = 0, key: str = "terminalno",
                   out: str = "holdout") -> DataFrame:
     """M2: tag each driver as hold-out (True) with probability ``fraction``."""
-    return df.withColumn(out, hash_bucket(key, seed) < F.lit(int(round(fraction * 100))))
+    return df.withColumn(out, hash_bucket(key, seed) < F.lit(int(round(fraction * HOLDOUT_BUCKETS))))
 
 
 def contiguous_folds(df: DataFrame, k: int = 5, key: str = "terminalno", out: str = "fold") -> DataFrame:
     """Folds of consecutive drivers in key order; the N % k tail joins the last fold.
 
-    fold = least(floor(rank / floor(N / k)), k - 1), rank from a distributed global rank.
+    fold = least(floor(rank / floor(N / k)), k - 1); rank and N come from one pass of the
+    distributed global rank.
     """
-    n = df.count()
-    size = n // k
-    if size == 0:
+    ranked = global_rank(df, [key], out="_rank", total="_rows")
+    n = ranked.agg(F.max("_rows")).first()[0] or 0  # from the ranked checkpoint, not from ``df``
+    if n < k:
         raise ValueError(f"{n} drivers cannot fill {k} folds")
-    ranked = global_rank(df, [key], out="_rank")
     return ranked.withColumn(
-        out, F.least(F.floor(F.col("_rank") / F.lit(size)), F.lit(k - 1)).cast("int")).drop("_rank")
+        out, F.least(F.floor(F.col("_rank") / F.lit(n // k)), F.lit(k - 1)).cast("int")).drop("_rank", "_rows")
 
 
 def fold_complement(folds: DataFrame, k: int = 5, fold_col: str = "fold", out: str = "held_fold") -> DataFrame:

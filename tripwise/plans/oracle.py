@@ -218,9 +218,9 @@ def feature_ctes(name: str, feature_set: str, columns: list[str]) -> list[str]:
 
 
 def holdout_sql(key: str, seed: int, fraction: float) -> str:
-    """Same bucket as ``split.hash_bucket``: md5('seed:key'), first 8 hex digits, mod 100."""
-    return (f"((('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 8))::BIGINT % 100) "
-            f"< {int(round(fraction * 100))})")
+    """Same bucket as ``split.hash_bucket``: md5('seed:key'), first 8 hex digits, in millionths."""
+    return (f"((('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 8))::BIGINT % 1000000) "
+            f"< {int(round(fraction * 1000000))})")
 
 
 def knn_ctes(feat: str, features: list[str], k: int, train_filter: str = "split = 'train'",
