@@ -112,46 +112,111 @@ def sketched(nodes: DataFrame) -> DataFrame:
 
 
 def edit_distances(left: list[np.ndarray], right: list[np.ndarray], similarity: float = SIMILARITY) -> np.ndarray:
-    """Word edit distance of each pair, exact up to the limit (1 - similarity) * longer length, else -1.
+    """Cost of an alignment of each pair that shows the similarity, -1 if there is none.
 
-    The band around the diagonal doubles until it proves the distance or passes
-    the limit.  Pairs whose word multisets or lengths already differ too much are
-    rejected without alignment.
+    A pair is near if its word edit distance is at most (1 - similarity) * longer
+    length.  Any alignment within a band around the diagonal that costs no more
+    proves it; a pair is rejected once the band is as wide as that limit, so both
+    answers are exact.  Common ends are cut off, and pairs whose lengths or word
+    multisets already differ too much are rejected without alignment.
     """
     n = len(left)
     out = np.full(n, -1, np.int64)
     sizes = np.array([(len(a), len(b)) for a, b in zip(left, right, strict=True)], np.int64).reshape(-1, 2)
     limit = np.floor((1 - similarity) * sizes.max(1, initial=0) + 1e-9).astype(np.int64)
-    todo = []
+    todo: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for i in range(n):
         a, b = left[i], right[i]
         if abs(len(a) - len(b)) > limit[i]:
             continue
-        if len(a) == len(b) and np.array_equal(a, b):
-            out[i] = 0
+        m = min(len(a), len(b))
+        differ = np.flatnonzero(a[:m] != b[:m])
+        head = int(differ[0]) if len(differ) else m
+        a, b = a[head:], b[head:]
+        m = min(len(a), len(b))
+        differ = np.flatnonzero(a[len(a) - m:] != b[len(b) - m:])
+        tail = m - 1 - int(differ[-1]) if len(differ) else m
+        a, b = a[:len(a) - tail], b[:len(b) - tail]
+        if max(len(a), len(b)) <= limit[i]:
+            out[i] = max(len(a), len(b))
             continue
         both, place = np.unique(np.concatenate([a, b]), return_inverse=True)
         diff = (np.bincount(place[:len(a)], minlength=len(both)) - np.bincount(place[len(a):], minlength=len(both)))
         if max(diff[diff > 0].sum(), -diff[diff < 0].sum()) <= limit[i]:
-            todo.append(i)
+            todo[i] = (a, b)
+    for i, x in _coarse_costs(todo).items():
+        if x <= limit[i]:
+            out[i] = x
+            del todo[i]
     band = 8
     while todo:
-        todo.sort(key=lambda i: sizes[i].max())
-        again, at = [], 0
-        while at < len(todo):
-            upto = at + 1
-            while upto < len(todo) and (upto - at) * band < 40_000 and sizes[todo[upto]].max() <= 1.3 * sizes[todo[at]].max() + 8:
+        order = sorted(todo, key=lambda i: max(map(len, todo[i])))
+        at = 0
+        while at < len(order):
+            longest, upto = max(map(len, todo[order[at]])), at + 1
+            while (upto < len(order) and (upto - at) * band < 40_000
+                   and max(map(len, todo[order[upto]])) <= 1.3 * longest + 8):
                 upto += 1
-            group = todo[at:upto]
+            group = order[at:upto]
             at = upto
-            d = _banded([left[i] for i in group], [right[i] for i in group], band)
-            for i, x in zip(group, d, strict=True):
-                # a path within the band that costs no more than the band is wide is optimal
-                if x <= band or band >= limit[i]:
-                    out[i] = x if x <= limit[i] else -1
-                else:
-                    again.append(i)
-        todo, band = again, band * 4
+            cost = _banded([todo[i][0] for i in group], [todo[i][1] for i in group], band)
+            for i, x in zip(group, cost, strict=True):
+                if x <= limit[i]:
+                    out[i] = x
+                if x <= limit[i] or band >= limit[i]:
+                    del todo[i]
+        band *= 4
+    return out
+
+
+# the coarse alignment changes its diagonal only every so many words, by at most the same number
+_BLOCK, _SHIFT = 16, 8
+
+
+def _coarse_costs(pairs: dict[int, tuple[np.ndarray, np.ndarray]]) -> dict[int, int]:
+    """Cost of the best alignment that keeps to a diagonal within each block of words.
+
+    The blocks' mismatches on every diagonal within ``_SHIFT`` are counted at once; a
+    step per block then finds the cheapest path, a change of diagonal costing the
+    words it skips.  Never less than the edit distance, and far cheaper to find.
+    """
+    out: dict[int, int] = {}
+    order = sorted(pairs, key=lambda i: max(map(len, pairs[i])))
+    ramp = np.arange(2 * _SHIFT + 1, dtype=np.int32)
+    at = 0
+    while at < len(order):
+        longest, upto = max(map(len, pairs[order[at]])), at + 1
+        while (upto < len(order) and (upto - at) * longest < 200_000
+               and max(map(len, pairs[order[upto]])) <= 1.3 * longest + 8):
+            upto += 1
+        group, at = order[at:upto], upto
+        la = np.array([len(pairs[i][0]) for i in group])
+        lb = np.array([len(pairs[i][1]) for i in group])
+        blocks = -(-int(max(la.max(), 1)) // _BLOCK)
+        width = blocks * _BLOCK
+        a = np.zeros((len(group), width), np.uint64)
+        b = np.ones((len(group), width + 2 * _SHIFT), np.uint64)  # no word, and never equal to what pads a
+        for k, i in enumerate(group):
+            a[k, :la[k]] = pairs[i][0]
+            m = min(lb[k], width + _SHIFT)
+            b[k, _SHIFT:_SHIFT + m] = pairs[i][1][:m]
+        real = np.arange(width)[None, :] < la[:, None]
+        miss = np.stack([((b[:, o:o + width] != a) & real).reshape(len(group), blocks, _BLOCK).sum(2, dtype=np.int32)
+                         for o in range(2 * _SHIFT + 1)], axis=2)
+        cost = np.broadcast_to(np.abs(ramp - _SHIFT), (len(group), len(ramp))).astype(np.int32)
+        result = np.zeros(len(group), np.int64)
+        last = -(-la // _BLOCK)
+        unread = np.maximum(lb[:, None] - la[:, None] - (ramp - _SHIFT)[None, :], 0)
+        for j in range(blocks + 1):
+            done = last == j
+            if done.any():
+                result[done] = (cost[done] + unread[done]).min(1)
+            if j == blocks:
+                break
+            low = np.minimum.accumulate(cost - ramp, axis=1) + ramp
+            high = np.minimum.accumulate((cost + ramp)[:, ::-1], axis=1)[:, ::-1] - ramp
+            cost = np.minimum(low, high) + miss[:, j]
+        out |= dict(zip(group, result.tolist(), strict=True))
     return out
 
 
