@@ -122,3 +122,23 @@ def test_chained_links_across_leaders(spark):
         c[i] = f"cc{i}"
     got = nd.classes(frame(spark, [(1, " ".join(a), "", 0), (2, " ".join(b), "", 0), (3, " ".join(c), "", 0)], DDL))
     assert {r["class_id"] for r in got.collect()} == {1}
+
+
+def test_chunked_pairs_and_histogram_bound(spark, monkeypatch):
+    """Cells of few rows give the same pairs as one cell; the bound never drops a near pair."""
+    rng = seeded(7)
+    texts = [prose(rng, 60) for _ in range(3)]
+    texts = [edited(rng, texts[i % 3], rng.randint(0, 14)) for i in range(30)]
+    words = [np.array([hash(w) & 0xFFFFFFFF for w in t.split()], np.uint64) for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(w) for w in words])])
+    hist, n = nd.histograms(np.concatenate(words), offsets), np.diff(offsets).astype(float)
+    ok = nd.possible_pairs(hist, hist, n, n, 0.8)
+    near = {(i, j) for i in range(30) for j in range(i) if distance(list(words[i]), list(words[j])) <= 0.2 * max(n[i], n[j]) + 1e-9}
+    assert all(ok[i, j] for i, j in near)
+    rows = [(1, bytes([i]), bytes([i % 5]), int(n[i]), bytearray(hist[i].tobytes())) for i in range(30)]
+    members = spark.createDataFrame(rows, "bucket long, node binary, comp binary, n_words int, hist binary")
+    want = {(i, j) for i in range(30) for j in range(i) if ok[i, j] and i % 5 != j % 5}
+    for cell in (4, 1000):
+        monkeypatch.setattr(nd, "CELL_ROWS", cell)
+        got = {tuple(sorted((r.a[0], r.b[0]), reverse=True)) for r in nd.pairs_across(members, 0.8).collect()}
+        assert got == want

@@ -257,6 +257,66 @@ def _banded(left: list[np.ndarray], right: list[np.ndarray], band: int) -> np.nd
     return result
 
 
+#: Bins of a text's word histogram, and rows that are compared at once.
+_BINS, CELL_ROWS = 256, 1024
+
+
+def histograms(words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """(texts, bins) counts of words by hash, at most 255 each."""
+    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    flat = np.bincount(doc * _BINS + (mix64(words) % np.uint64(_BINS)).astype(np.int64), minlength=(len(offsets) - 1) * _BINS)
+    return np.minimum(flat, 255).astype(np.uint8).reshape(-1, _BINS)
+
+
+def possible_pairs(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray,
+                   similarity: float) -> np.ndarray:
+    """(left, right) matrix: whether the histograms allow the similarity.
+
+    An edit adds or removes at most one word of a bin, so what one histogram has
+    beyond the other is a lower bound of the distance.
+    """
+    limit = (1 - similarity) * np.maximum(n_left[:, None], n_right[None, :]) + 1e-9
+    ok = np.zeros((len(left), len(right)), bool)
+    right16 = right.astype(np.int16)
+    for i, row in enumerate(left.astype(np.int16)):
+        diff = right16 - row
+        more = np.maximum(diff, 0).sum(1)
+        ok[i] = np.maximum(more, more - diff.sum(1)) <= limit[i]
+    return ok
+
+
+def pairs_across(members: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): pairs of one bucket's texts in different components that may be similar.
+
+    members: (bucket, node, comp, n_words, hist).  A bucket's rows are dealt over chunks
+    of about ``CELL_ROWS``; each pair of chunks is one group, so no group grows with a
+    bucket.  Only pairs that the word histograms allow leave it.
+    """
+    sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / F.lit(CELL_ROWS)).cast("int").alias("chunks"))
+    dealt = members.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
+    cells = (dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+             .withColumns({"row": F.least("own", "other"), "col": F.greatest("own", "other")}))
+
+    def compare(group: pa.Table) -> pa.Table:
+        own, row, col = (group[c].to_numpy() for c in ("own", "row", "col"))
+        comp, node = group["comp"].combine_chunks(), group["node"].combine_chunks()
+        no = np.unique(np.array(comp.to_pylist(), dtype=object), return_inverse=True)[1]
+        n = group["n_words"].to_numpy().astype(np.float64)
+        hist = np.frombuffer(b"".join(group["hist"].to_pylist()), np.uint8).reshape(-1, _BINS)
+        left, right = np.flatnonzero(own == row), np.flatnonzero(own == col)
+        ok = possible_pairs(hist[left], hist[right], n[left], n[right], similarity)
+        ok &= no[left][:, None] != no[right][None, :]
+        i, j = np.nonzero(ok)
+        i, j = left[i], right[j]
+        if len(row) and row[0] == col[0]:
+            i, j = i[i < j], j[i < j]
+        return pa.table({"a": node.take(pa.array(i)), "b": node.take(pa.array(j))})
+
+    found = (cells.select("bucket", "row", "col", "own", "node", "comp", "n_words", "hist")
+             .groupBy("bucket", "row", "col").applyInArrow(compare, "a binary, b binary"))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def verified(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
     """Those (a, b) node pairs whose texts have the similarity; words: (node, words array<long>)."""
 
@@ -331,25 +391,23 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
         for rows, texts in text_slices(batches):
             w = Words(texts)
             lists = pa.ListArray.from_arrays(w.offsets.astype(np.int32), w.hashes().view(np.int64))
-            yield pa.RecordBatch.from_arrays([rows.column(0), lists], names=["node", "words"])
+            hist = pa.array([h.tobytes() for h in histograms(w.hashes(), w.offsets)], pa.binary())
+            yield pa.RecordBatch.from_arrays([rows.column(0), lists, hist], names=["node", "words", "hist"])
 
     one = (base.join(wanted.withColumnRenamed("doc_id", "first_id").withColumnRenamed("node", "n"),
                      (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("first_id")))
            .select("node", "text"))
-    words = written(one.mapInArrow(worded, "node binary, words array<long>").dropDuplicates(["node"]), "near-words")
+    words = written(one.mapInArrow(worded, "node binary, words array<long>, hist binary").dropDuplicates(["node"]), "near-words")
     links = written(verified(star, words, similarity), "near-links")
     comp = components(links)
     # buckets that still hold several components: pairs between their components
     of = shared.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     mixed = of.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 < c1")
     open_members = written(of.join(mixed.select("bucket"), "bucket"), "near-open")
-    left = open_members.filter("node > leader").select(
-        "bucket", F.col("node").alias("a"), F.col("comp").alias("ca"), F.col("n_words").alias("na"))
-    right = open_members.filter("node > leader").select(
-        "bucket", F.col("node").alias("b"), F.col("comp").alias("cb"), F.col("n_words").alias("nb"))
-    close = F.least("na", "nb") >= F.lit(similarity) * F.greatest("na", "nb") - 1e-9
-    across = left.join(right, "bucket").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & close)
-    more = verified(across.select("a", "b").distinct(), words, similarity)
+    # all have met their leader
+    rest = (open_members.filter("node > leader").select("bucket", "node", "comp", "n_words")
+            .join(words.select("node", "hist"), "node"))
+    more = verified(pairs_across(rest, similarity), words, similarity)
     every = written(links.unionByName(more), "near-all-links")
     comp = components(every)
     ends = every.select(F.col("a").alias("node")).unionByName(every.select(F.col("b").alias("node")))
