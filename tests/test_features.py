@@ -187,3 +187,25 @@ def test_first_record_order(spark):
     assert s[2]["start_lon"] == 4.0
     plan = fx.driver_statistics(df, ["start_lon", "dis"])._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan
+
+
+@pytest.mark.parametrize("split_seconds", [0, 3600])
+def test_missing_drivers_and_trips(spark, split_seconds):
+    """Rows without a driver make no driver; rows without a trip count for the driver, not as a trip."""
+    rows = [dict(terminalno=1, trip_id=1, time=10, direction=1.0, speed=1.0, height=1.0),
+            dict(terminalno=1, trip_id=1, time=20, direction=3.0, speed=4.0, height=1.0),
+            dict(terminalno=1, trip_id=None, time=30, direction=0.0, speed=50.0, height=9.0),
+            dict(terminalno=1, trip_id=None, time=90000, direction=10.0, speed=90.0, height=20.0),
+            dict(terminalno=None, trip_id=1, time=30, direction=0.0, speed=50.0),
+            dict(terminalno=2, trip_id=None, time=30, direction=5.0, speed=7.0)]
+    df = telemetry(spark, rows)
+    out = {r["terminalno"]: r for r in fx.driver_statistics(
+        df, ["direction_var_mean", "direction_var_max", "height_var_max", "time_duration_max", "num_of_trips",
+             "speed_max", "num_of_records", "max_acc", "mean_acc", "mon"], FeatureConfig(trip_split_seconds=split_seconds)).collect()}
+    assert set(out) == {1, 2}
+    one, two = out[1], out[2]
+    assert (one["direction_var_mean"], one["direction_var_max"], one["height_var_max"]) == (2.0, 2.0, 0.0)
+    assert (one["time_duration_max"], one["num_of_trips"], one["speed_max"], one["num_of_records"]) == (10, 1, 90.0, 4)
+    assert (one["max_acc"], one["mean_acc"]) == (3.0, 0.75)
+    assert two["direction_var_mean"] is None and two["mon"] is None and two["max_acc"] == 0.0
+    assert {r["trip_id"] for r in fx.trip_table(df).collect()} == {1}

@@ -70,3 +70,28 @@ def test_correlation_of_constant_column_is_missing_even_on_diagonal(spark):
     df, _ = _table(spark)
     cm = {(r["a"], r["b"]): r["r"] for r in correlation_matrix(df, ["y", "const"]).collect()}
     assert cm[("const", "const")] is None and cm[("y", "y")] == 1.0
+
+
+def test_missing_values_in_scores_and_correlations(spark):
+    """A missing feature is 0 in the F-scores; a pair's correlation is over the rows that have both."""
+    import numpy as np
+    import pandas as pd
+
+    from tripwise.operators.selection import correlation_matrix, f_scores
+
+    rng = np.random.default_rng(0)
+    pdf = pd.DataFrame({"x": rng.normal(size=50), "z": rng.normal(size=50), "c": np.full(50, 7.25), "y": rng.normal(size=50)})
+    pdf.loc[10:, "x"] = np.nan
+    pdf.loc[::4, "z"] = np.nan
+    rows = [tuple(None if isinstance(v, float) and np.isnan(v) else float(v) for v in r) for r in pdf.itertuples(index=False)]
+    df = spark.createDataFrame(rows, "x double, z double, c double, y double")
+    r = {s["feature"]: s for s in f_scores(df, ["x", "z", "c"]).collect()}
+    filled = pdf.fillna(0)
+    for c in ("x", "z"):
+        want = filled[c].corr(filled["y"])
+        assert abs(r[c]["r"] - want) < 1e-9 and abs(r[c]["f_score"] - want**2 / (1 - want**2) * 48) < 1e-6
+    assert r["c"]["r"] is None
+    want = pdf.corr()
+    for m in correlation_matrix(df, ["x", "z", "c", "y"]).collect():
+        w = want.loc[m["a"], m["b"]]
+        assert m["r"] is None if np.isnan(w) else abs(m["r"] - w) < 1e-9, (m, w)

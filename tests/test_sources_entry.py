@@ -72,3 +72,66 @@ def test_parquet_scan(spark, tmp_path):
 
     got = clean_telemetry(read_telemetry(spark, str(tmp_path / "t"), fmt="parquet")).collect()[0]
     assert got["speed"] is None and got["seq"] is not None and got["y"] == 0.5
+
+
+HEAD = "TERMINALNO,TIME,TRIP_ID,LONGITUDE,LATITUDE,DIRECTION,HEIGHT,SPEED,CALLSTATE,Y\n"
+
+
+def test_seq_follows_the_files(spark, tmp_path):
+    """Spark hands out the larger file first; seq still follows the paths."""
+    from tripwise.sources.telemetry import read_telemetry
+
+    (tmp_path / "a.csv").write_text(HEAD + "1,100,1,113.9,22.5,90,10.5,30.0,0,0.5\n")
+    (tmp_path / "b.csv").write_text(HEAD + "".join(f"2,{200 + i},1,113.9,22.5,90,10.5,30.0,0,0.5\n" for i in range(50)))
+    rows = read_telemetry(spark, str(tmp_path)).orderBy("seq").collect()
+    assert [r["time"] for r in rows] == [100] + [200 + i for i in range(50)]
+
+
+def test_malformed_lines_are_errors(spark, tmp_path):
+    import pytest
+
+    from tripwise.sources.telemetry import read_telemetry
+
+    (tmp_path / "a.csv").write_text(HEAD + "1,100,1,not a number,22.5,90,10.5,30.0,0,0.5\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_telemetry(spark, str(tmp_path)).collect()
+
+
+def test_checkpoint_folder_must_be_named_on_a_cluster():
+    import pytest
+
+    from tripwise.session import checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())
+
+
+def test_random_submission_is_the_same_whatever_the_partitions(spark):
+    from tripwise.sources.sinks import random_submission
+
+    df = spark.range(40).selectExpr("id % 20 AS terminalno")
+    a, b = (sorted(map(tuple, random_submission(d, seed=3).collect())) for d in (df.repartition(7), df.coalesce(1)))
+    assert a == b and len(a) == 20 and all(0 <= p < 1 for _, p in a)
+
+
+def test_submission_in_several_files(spark, tmp_path):
+    from tripwise.sources.sinks import write_submission
+
+    preds = spark.range(100).selectExpr("id AS terminalno", "id * 1.0D AS pred")
+    write_submission(preds, str(tmp_path / "one"))
+    write_submission(preds.repartition(4), str(tmp_path / "many"), single_file=False)
+    assert len(list((tmp_path / "one").glob("part-*"))) == 1
+    assert spark.read.option("header", True).csv(str(tmp_path / "many")).count() == 100

@@ -30,7 +30,7 @@ def test_stream_totals_equal_batch(spark, tmp_path):
 
 
 def test_snapshot_sink_resumes(spark, tmp_path):
-    from tripwise.streaming.ingest import write_driver_totals
+    from tripwise.streaming.ingest import read_snapshot, write_driver_totals
 
     src = tmp_path / "in"
     src.mkdir()
@@ -38,11 +38,11 @@ def test_snapshot_sink_resumes(spark, tmp_path):
     out, ck = str(tmp_path / "snap"), str(tmp_path / "ck")
     q = write_driver_totals(driver_totals(telemetry_stream(spark, str(src))), out, ck)
     q.awaitTermination(120)
-    assert spark.read.parquet(out).collect()[0]["num_of_records"] == 1
+    assert read_snapshot(spark, out).collect()[0]["num_of_records"] == 1
     (src / "b.csv").write_text(HEADER + "1,1476923590,1,113.9,22.5,90,10.5,50.0,1,0.5\n"
                                         "2,1476923590,4,113.9,22.5,90,10.5,10.0,1,0.0\n")
     q = write_driver_totals(driver_totals(telemetry_stream(spark, str(src))), out, ck)
     q.awaitTermination(120)
-    rows = {r["terminalno"]: r for r in spark.read.parquet(out).collect()}
+    rows = {r["terminalno"]: r for r in read_snapshot(spark, out).collect()}
     assert rows[1]["num_of_records"] == 2 and rows[1]["speed_mean"] == 40.0
     assert rows[2]["num_of_records"] == 1

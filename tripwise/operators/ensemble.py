@@ -44,7 +44,8 @@ def bagged_predictions(train: DataFrame, test: DataFrame, features: Sequence[str
                        key: str = "terminalno", rounds: int | None = None, parallelism: int = 5) -> DataFrame:
     """M7: mean of five regressors (four boosted-tree sets and normalised ridge).
 
-    Output: key, pred1..pred5, pred.
+    As in the original, the second member fits on 80 % of the rows (the rest only
+    watches), the others on all.  Output: key, pred1..pred5, pred.
     """
     def boost(p: md.BoostParams) -> md.BoostParams:
         return p.with_rounds(rounds) if rounds else p
@@ -52,6 +53,9 @@ def bagged_predictions(train: DataFrame, test: DataFrame, features: Sequence[str
     def fit(params: md.BoostParams | None):
         if params is None:
             return md.ridge(train, features, label, alpha=1.0, normalize=True)
+        if params is md.XGB_BAG:
+            return md.fit_gbt(md.with_validation(train, 0.2, seed=0, key=key), features, label, boost(params),
+                              validation="is_valid")
         return md.fit_gbt(train, features, label, boost(params))
 
     sets = [md.XGB_SKLEARN, md.XGB_BAG, None, md.LGB_LEAVES5, md.LGB_REGRESSOR]
@@ -67,6 +71,38 @@ def bagged_predictions(train: DataFrame, test: DataFrame, features: Sequence[str
         F.avg("pred").alias("pred"))
 
 
+def stack(train: DataFrame, test: DataFrame, fold_model: Callable[[DataFrame, DataFrame, DataFrame], tuple[DataFrame, DataFrame]],
+          refit_model: Callable[[DataFrame, DataFrame, str], DataFrame], label: str = "y", key: str = "terminalno",
+          k: int = 5, parallelism: int = 5) -> tuple[DataFrame, DataFrame]:
+    """M8 for any base learner.
+
+    ``fold_model(fit rows, held rows, test)`` gives the (key, pred) frames of the held and
+    the test rows; ``refit_model(rows, test, label)`` that of the test rows.  Steps as in
+    ``stacked_predictions``.  Returns the submission frame and the trace (K2).
+    """
+    checkpoint_dir(train.sparkSession)
+    folded = contiguous_folds(train, k=k, key=key).checkpoint(eager=True)
+    fold = F.col("fold")
+    parts = _concurrently([lambda i=i: fold_model(folded.filter(fold != i), folded.filter(fold == i), test)
+                           for i in range(k)], parallelism)
+    clamped = [(oof.select(key, clamp_nonnegative("pred").alias("pred")),
+                out.select(key, clamp_nonnegative("pred").alias("pred"))) for oof, out in parts]
+    oof = clamped[0][0]
+    for part, _ in clamped[1:]:
+        oof = oof.unionByName(part)
+    layer1 = _mean_of([out for _, out in clamped], key, "layer1_preds")
+    relabelled = (folded.join(oof.withColumnRenamed("pred", "layer1_combine"), key)
+                  .withColumn("rawY", F.col(label))
+                  .withColumn("newY", blend("layer1_combine", label, 0.3, 0.7))
+                  .checkpoint(eager=True))
+    second = refit_model(relabelled, test, "newY").withColumnRenamed("pred", "refit")
+    final = second.join(layer1, key).select(key, ((F.col("refit") + F.col("layer1_preds")) / 2).alias("pred"),
+                                            "layer1_preds")
+    trace = (relabelled.select(key, "rawY", "layer1_combine", "newY")
+             .join(final.select(key, "layer1_preds", "pred"), key, "full_outer"))
+    return final.select(key, "pred"), trace
+
+
 def stacked_predictions(train: DataFrame, test: DataFrame, features: Sequence[str], label: str = "y",
                         key: str = "terminalno", k: int = 5, rounds: int | None = None,
                         seed: int = 0, parallelism: int = 5) -> tuple[DataFrame, DataFrame]:
@@ -83,32 +119,15 @@ def stacked_predictions(train: DataFrame, test: DataFrame, features: Sequence[st
     def boost(p: md.BoostParams) -> md.BoostParams:
         return p.with_rounds(rounds) if rounds else p
 
-    spark = train.sparkSession
-    checkpoint_dir(spark)
-    folded = contiguous_folds(train, k=k, key=key).checkpoint(eager=True)
+    def fold_model(fit_rows: DataFrame, held: DataFrame, test_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        data = (fit_rows.withColumn("is_valid", F.lit(False))
+                .unionByName(held.withColumn("is_valid", F.lit(True))))
+        model = md.fit_gbt(data, features, label, boost(md.XGB_LAYER1), validation="is_valid")
+        return md.predict(model, held, features, key), md.predict(model, test_rows, features, key)
 
-    def fold_fit(i: int):
-        data = folded.withColumn("is_valid", F.col("fold") == F.lit(i))
-        return md.fit_gbt(data, features, label, boost(md.XGB_LAYER1), validation="is_valid")
+    def refit_model(rows: DataFrame, test_rows: DataFrame, new_label: str) -> DataFrame:
+        model = md.fit_gbt(md.with_validation(rows, 0.2, seed, key=key), features, new_label, boost(md.XGB_REFIT),
+                           validation="is_valid")
+        return md.predict(model, test_rows, features, key)
 
-    models = _concurrently([lambda i=i: fold_fit(i) for i in range(k)], parallelism)
-    oof_parts = [md.predict(m, folded.filter(F.col("fold") == i), features, key) for i, m in enumerate(models)]
-    test_parts = [md.predict(m, test, features, key) for m in models]
-    oof = oof_parts[0]
-    for part in oof_parts[1:]:
-        oof = oof.unionByName(part)
-    oof = oof.select(key, clamp_nonnegative("pred").alias("layer1_combine"))
-    layer1 = _mean_of([t.select(key, clamp_nonnegative("pred").alias("pred")) for t in test_parts],
-                      key, "layer1_preds")
-    relabelled = (folded.join(oof, key)
-                  .withColumn("rawY", F.col(label))
-                  .withColumn("newY", blend("layer1_combine", label, 0.3, 0.7))
-                  .checkpoint(eager=True))
-    flagged = md.with_validation(relabelled, 0.2, seed)
-    refit = md.fit_gbt(flagged, features, "newY", boost(md.XGB_REFIT), validation="is_valid")
-    second = md.predict(refit, test, features, key, out="refit")
-    final = second.join(layer1, key).select(key, ((F.col("refit") + F.col("layer1_preds")) / 2).alias("pred"),
-                                            "layer1_preds")
-    trace = (relabelled.select(key, "rawY", "layer1_combine", "newY")
-             .join(final.select(key, "layer1_preds", "pred"), key, "full_outer"))
-    return final.select(key, "pred"), trace
+    return stack(train, test, fold_model, refit_model, label, key, k, parallelism)

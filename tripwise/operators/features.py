@@ -193,8 +193,11 @@ def _share(count: str, total: str) -> str:
 
 
 def _outputs(cfg: FeatureConfig) -> dict[str, tuple[set[str], str]]:
-    dir_var = f"coalesce({_var_samp('dirm')}, 0D)"
-    hgt_var = f"coalesce({_var_samp('hgtm')}, 0D)"
+    # rows without a trip form no trip (the original's grouping drops missing keys)
+    trip = f"{TRIP} IS NOT NULL"
+    dir_var = f"CASE WHEN {trip} THEN coalesce({_var_samp('dirm')}, 0D) END"
+    hgt_var = f"CASE WHEN {trip} THEN coalesce({_var_samp('hgtm')}, 0D) END"
+    duration = f"CASE WHEN {trip} THEN tim_max - tim_min END"
     out: dict[str, tuple[set[str], str]] = {
         "speed_max": ({"spd_ext"}, "max(spd_max)"),
         "speed_min": ({"spd_ext"}, "min(spd_min)"),
@@ -217,8 +220,8 @@ def _outputs(cfg: FeatureConfig) -> dict[str, tuple[set[str], str]]:
         "dis_min": ({"dis_ext"}, "min(dis_min)"),
         "dis_max": ({"dis_ext"}, "max(dis_max)"),
         "trip_max": (set(), f"max({TRIP})"),
-        "time_duration_max": ({"tim_ext"}, "max(tim_max - tim_min)"),
-        "time_duration_mean": ({"tim_ext"}, "avg(tim_max - tim_min)"),
+        "time_duration_max": ({"tim_ext"}, f"max({duration})"),
+        "time_duration_mean": ({"tim_ext"}, f"avg({duration})"),
         "num_of_trips": (set(), f"count({TRIP})"),
         "num_of_records": ({"rows"}, "sum(n_rows)"),
         "y": ({"ymax"}, "max(y_max)"),
@@ -244,7 +247,7 @@ def _outputs(cfg: FeatureConfig) -> dict[str, tuple[set[str], str]]:
         out[f"hour{h}"] = ({"hours", "rows"}, _share(f"sum(hr{h})", "sum(n_rows)"))
         out[f"h{h}"] = out[f"hour{h}"]
     for k, name in enumerate(WEEKDAYS):
-        out[name] = ({"wd"}, _share(f"count_if(wd_max = {k})", "count(1)"))
+        out[name] = ({"wd"}, _share(f"count_if(wd_max = {k} AND {trip})", f"nullif(count({TRIP}), 0)"))
     out["mean_speed"] = out["speed_mean"]
     out["mean_height"] = out["height_mean"]
     return out
@@ -262,65 +265,96 @@ FIRST_KEY = ("CAST(coalesce(time, -1000000000000000000) AS DECIMAL(38,0)) * "
              "(CAST(coalesce(seq, 0) AS DECIMAL(38,0)) + CAST(10000000000000000000 AS DECIMAL(38,0)))")
 
 
+# windows over which a driver's rows without a trip are spread
+ORPHAN_SPREAD = 1024
+
+
 def _row_columns(df: DataFrame, cfg: FeatureConfig, families: set[str]) -> DataFrame:
+    """The rows' own columns that ``families`` need; rows without a driver belong to no driver."""
     direction = F.col("direction")
     if cfg.drop_unknown_direction:
         direction = F.when(direction >= 0, direction)
-    cols = [*group_keys(df), TRIP, "time", "seq", "y", "callstate",
-            F.col("speed").alias("spd"), direction.alias("dir"), F.col("height").alias("hgt"),
-            F.col("longitude").alias("lon"), F.col("latitude").alias("lat"), F.col("time").alias("tim")]
+    need = lambda *fams: bool(families & set(fams))
+    first, acc = need("first"), need("acc")
+    place = need("dis_sum", "dis_ext") or first
+    cols = [*group_keys(df), TRIP]
+    cols += [F.col(c) for c, used in (("time", acc or first or need("tim_ext", "hours", "wd")), ("seq", acc or first or need("seq")),
+                                      ("y", first or need("ymax", "y_sum")), ("callstate", need("calls"))) if used]
+    cols += [c.alias(n) for n, c, used in (
+        ("spd", F.col("speed"), acc or need("spd_sum", "spd_ext", "spdm")), ("dir", direction, need("dirm")),
+        ("hgt", F.col("height"), need("hgt_sum", "hgt_ext", "hgtm")),
+        ("lon", F.col("longitude"), place or need("lon_sum", "lon_ext")),
+        ("lat", F.col("latitude"), place or need("lat_sum", "lat_ext"))) if used]
+    return df.filter(F.col(KEY).isNotNull()).select(*cols)
+
+
+def _derived(rows: DataFrame, cfg: FeatureConfig, families: set[str]) -> DataFrame:
+    """Columns computed from the rows' own ones: after the exchange of the rows, so that none of them moves."""
+    cols = []
+    if "tim_ext" in families:
+        cols.append(F.col("time").alias("tim"))
     if families & {"dis_sum", "dis_ext"}:
-        cols.append(haversine_m("longitude", "latitude", cfg.anchor_lon, cfg.anchor_lat,
-                                cfg.earth_radius_km).alias("dis"))
+        cols.append(haversine_m("lon", "lat", cfg.anchor_lon, cfg.anchor_lat, cfg.earth_radius_km).alias("dis"))
     if "hours" in families:
         cols.append(hour_of_day("time", cfg.tz).alias("hr"))
     if "wd" in families:
         cols.append(weekday("time", cfg.tz).alias("wd"))
     if "first" in families:
         cols.append(F.expr(FIRST_KEY).alias("first_key"))
-    return df.select(*cols)
+    return rows.select("*", *cols) if cols else rows
 
 
 def trip_partials(df: DataFrame, cfg: FeatureConfig = FeatureConfig(),
                   families: Iterable[str] | None = None) -> DataFrame:
-    """One row per (keys, trip) with the mergeable partials of ``families`` (default: all)."""
+    """One row per (keys, trip) with the mergeable partials of ``families`` (default: all).
+
+    Rows without a driver are left out.  A driver's rows without a trip are one unit of
+    a NULL trip: driver-level statistics merge it, trip-level ones leave it out, and
+    the speed difference of its rows is 0.
+    """
     fams = (set(families) if families is not None else set(ALL_FAMILIES)) | {"rows"}
     keys = group_keys(df)
     rows = _row_columns(df, cfg, fams)
     trip_keys = keys + [TRIP]
     ordered = sorted(fams)
+    unit = [s for f in ordered for s in _family_unit(f)]
     if "acc" not in fams:
-        return rows.groupBy(*trip_keys).agg(*_exprs(s for f in ordered for s in _family_unit(f)))
+        return _derived(rows, cfg, fams).groupBy(*trip_keys).agg(*_exprs(unit))
 
     order = [F.col("time").asc_nulls_first(), F.col("seq").asc()]
+    known = F.col(TRIP).isNotNull()
+    # rows without a trip follow no order: their windows are spread by a hash
+    spread = F.pmod(F.xxhash64("seq"), F.lit(ORPHAN_SPREAD))
     if not cfg.trip_split_seconds:
         # whole trip in one window partition; first row of a trip: difference 0
-        w = Window.partitionBy(*trip_keys).orderBy(*order)
-        rows = rows.withColumn("acc_x", F.coalesce(F.col("spd") - F.lag("spd").over(w), F.lit(0.0)))
-        return rows.groupBy(*trip_keys).agg(*_exprs(s for f in ordered for s in _family_unit(f)))
+        w = Window.partitionBy(*trip_keys, F.when(~known, spread)).orderBy(*order)
+        rows = rows.withColumn("acc_x", F.when(known, F.coalesce(F.col("spd") - F.lag("spd").over(w), F.lit(0.0)))
+                               .otherwise(F.lit(0.0)))
+        return _derived(rows, cfg, fams).groupBy(*trip_keys).agg(*_exprs(unit))
 
     # time-sliced trips: differences inside a slice, links between slices below
     width = int(cfg.trip_split_seconds)
-    rows = rows.withColumn("slice", F.floor(F.col("time") / F.lit(width)))
+    rows = rows.withColumn("slice", F.when(known, F.floor(F.col("time") / F.lit(width))).otherwise(spread))
     w = Window.partitionBy(*trip_keys, "slice").orderBy(*order)
     is_head = F.lag("seq").over(w).isNull()
     rows = rows.select(
         "*",
-        F.when(~is_head, F.coalesce(F.col("spd") - F.lag("spd").over(w), F.lit(0.0))).alias("acc_x"),
+        F.when(~is_head, F.when(known, F.coalesce(F.col("spd") - F.lag("spd").over(w), F.lit(0.0)))
+               .otherwise(F.lit(0.0))).alias("acc_x"),
         F.when(is_head, F.col("spd")).alias("head_x"),
         F.when(F.lead("seq").over(w).isNull(), F.col("spd")).alias("tail_x"),
     )
     # numeric aggregates only (hash aggregate, codegen): a slice's first and last
     # speed are the single non-null head_x / tail_x of the slice, NULL if missing
-    slices = rows.groupBy(*trip_keys, "slice").agg(
-        *_exprs(s for f in ordered for s in _family_unit(f)),
+    slices = _derived(rows, cfg, fams).groupBy(*trip_keys, "slice").agg(
+        *_exprs(unit),
         F.expr("max(head_x) AS head_spd"),
         F.expr("max(tail_x) AS tail_spd"),
     )
     # the link difference of each slice: its first row minus the previous slice's
     # last row (0 for the trip's first slice, 0 when either speed is missing)
     ws = Window.partitionBy(*trip_keys).orderBy(F.col("slice").asc_nulls_first())
-    link = F.when(F.lag(F.lit(1)).over(ws).isNull(), F.lit(0.0)).otherwise(
+    link = F.when(~known | F.lag(F.lit(1)).over(ws).isNull(), F.lit(0.0)).otherwise(
         F.coalesce(F.col("head_spd") - F.lag("tail_spd").over(ws), F.lit(0.0)))
     slices = slices.withColumn("link", link)
     n, mean, m2, b = F.col("acc_n"), F.col("acc_mean"), F.col("acc_m2"), F.col("link")
@@ -362,7 +396,7 @@ def driver_statistics(
         # straight from rows (one exchange); the outputs then aggregate a single
         # partial row per driver on the same partitioning (no second exchange)
         fams = sorted(families | {"rows"})
-        rows = _row_columns(df, cfg, set(fams))
+        rows = _derived(_row_columns(df, cfg, set(fams)), cfg, set(fams))
         unit = rows.groupBy(*keys).agg(*_exprs(s for f in fams for s in _family_unit(f)),
                                       F.expr(f"max({TRIP}) AS {TRIP}"))
         return unit.groupBy(*keys).agg(*final)
@@ -398,7 +432,7 @@ def trip_table(df: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> DataFrame
     """A4: one row per trip: rows, direction and height variance (0 for < 2 values),
     duration (max - min TIME) and the trip's weekday (max over its rows)."""
     keys = group_keys(df)
-    trips = trip_partials(df, cfg, {"rows", "dirm", "hgtm", "tim_ext", "wd"})
+    trips = trip_partials(df, cfg, {"rows", "dirm", "hgtm", "tim_ext", "wd"}).filter(F.col(TRIP).isNotNull())
     return trips.select(
         *keys, TRIP, "n_rows",
         F.expr(f"coalesce({_var_samp('dirm')}, 0D) AS dv"),

@@ -14,8 +14,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +32,7 @@ class BoostParams:
     subsample: float = 1.0
     colsample: float = 1.0
     max_bin: int = 32
+    min_gain: float = 0.0
     early_stop: bool = False
     seed: int = 0
 
@@ -41,20 +41,21 @@ class BoostParams:
 
 
 # Parameter sets of the original scripts (rounds, learning rate,
-# depth or leaf count mapped to depth, min child size, row / column sampling).
+# depth or leaf count mapped to depth, min child size, row / column sampling, least
+# split gain).  XGB_BAG is also the selection job's set.  PATIENCE is the rounds without
+# a better hold-out loss after which the early-stopping sets stop.
+PATIENCE = 10
 XGB_REFIT = BoostParams(rounds=1000, eta=0.05, max_depth=3, min_child=5, subsample=0.8, colsample=0.5,
                         early_stop=True)
 XGB_LAYER1 = BoostParams(rounds=1000, eta=0.01, max_depth=3, min_child=5, subsample=1.0, colsample=0.6,
-                         early_stop=True)
+                         min_gain=1.0, early_stop=True)
 XGB_BAG = BoostParams(rounds=200, eta=0.01, max_depth=3, min_child=5, subsample=1.0, colsample=0.8)
 XGB_SKLEARN = BoostParams(rounds=200, eta=0.01, max_depth=3, min_child=4, subsample=0.8, colsample=0.8)
-XGB_SELECT = BoostParams(rounds=200, eta=0.01, max_depth=3, min_child=5, subsample=0.8, colsample=0.8)
 LGB_LEAVES5 = BoostParams(rounds=300, eta=0.01, max_depth=3, min_child=6, subsample=0.8, colsample=0.8, seed=9)
 LGB_REGRESSOR = BoostParams(rounds=720, eta=0.01, max_depth=3, min_child=6, subsample=0.8, colsample=0.2319,
                             max_bin=55, seed=9)
-LGB_DART10 = BoostParams(rounds=300, eta=0.05, max_depth=4, min_child=1)
 BASELINE_XGB = BoostParams(rounds=800, eta=0.009, max_depth=3, min_child=5, subsample=0.65, colsample=0.35,
-                           seed=1123)
+                           min_gain=0.1, seed=1123)
 
 
 def assembler(features: Sequence[str], out: str = "features") -> VectorAssembler:
@@ -66,25 +67,66 @@ def prepared(df: DataFrame, features: Sequence[str], fill: float = 0.0) -> DataF
     return df.fillna(fill, subset=list(features))
 
 
-def gbt(params: BoostParams, label: str = "label", validation: str | None = None) -> GBTRegressor:
-    est = GBTRegressor(
+def gbt(params: BoostParams, label: str = "label") -> GBTRegressor:
+    return GBTRegressor(
         featuresCol="features", labelCol=label, predictionCol="prediction", lossType="squared",
         maxIter=params.rounds, stepSize=params.eta, maxDepth=params.max_depth,
-        minInstancesPerNode=params.min_child, subsamplingRate=params.subsample,
+        minInstancesPerNode=params.min_child, subsamplingRate=params.subsample, minInfoGain=params.min_gain,
         featureSubsetStrategy=str(params.colsample) if params.colsample < 1.0 else "all",
         maxBins=params.max_bin, seed=params.seed, cacheNodeIds=False,
     )
-    if validation is not None and params.early_stop:
-        # M9: stop when the validation error stops improving by validationTol
-        est = est.setParams(validationIndicatorCol=validation, validationTol=0.0)
-    return est
+
+
+def stop_round(losses: Sequence[float], patience: int = PATIENCE) -> int:
+    """M9: the round (1-based) at which no loss of the last ``patience`` rounds was better than before.
+
+    The original predicts with all trees up to that round, not up to the best one.
+    """
+    best, at = float("inf"), 0
+    for i, loss in enumerate(losses, 1):
+        if loss < best:
+            best, at = loss, i
+        elif i - at >= patience:
+            return i
+    return len(losses)
+
+
+def first_trees(model: PipelineModel, n: int) -> PipelineModel:
+    """The model of the first ``n`` boosting rounds of a fitted one (a fit of n rounds, same seed)."""
+    from pyspark import SparkContext
+
+    whole = model.stages[-1]._java_obj
+    trees, weights = whole.trees(), whole.treeWeights()
+    if n >= len(trees):
+        return model
+    gateway = SparkContext._active_spark_context._gateway
+    ml = gateway.jvm.org.apache.spark.ml.regression
+    some = gateway.new_array(ml.DecisionTreeRegressionModel, n)
+    parts = gateway.new_array(gateway.jvm.double, n)
+    for i in range(n):
+        some[i], parts[i] = trees[i], weights[i]
+    cut = ml.GBTRegressionModel(whole.uid(), some, parts, whole.numFeatures())
+    for name in ("featuresCol", "predictionCol", "labelCol"):
+        cut.set(name, whole.getOrDefault(whole.getParam(name)))
+    return PipelineModel(stages=[*model.stages[:-1], GBTRegressionModel(cut)])
 
 
 def fit_gbt(train: DataFrame, features: Sequence[str], label: str, params: BoostParams,
             validation: str | None = None) -> PipelineModel:
-    """Fit assembler + GBT; rows with ``validation`` true only steer early stopping."""
-    return Pipeline(stages=[assembler(features), gbt(params, label, validation)]).fit(
-        prepared(train, features))
+    """Fit assembler + GBT on the rows whose ``validation`` flag is not true.
+
+    The flagged rows only watch: with ``early_stop`` their per-round loss decides how
+    many of the fitted rounds the model keeps (patience ``PATIENCE``).
+    """
+    data = prepared(train, features)
+    part = data.filter(~F.col(validation)) if validation else data
+    model = Pipeline(stages=[assembler(features), gbt(params, label)]).fit(part)
+    if validation and params.early_stop:
+        held = model.stages[0].transform(data.filter(F.col(validation))).select("features", label)
+        if not held.isEmpty():
+            losses = model.stages[-1].evaluateEachIteration(held, "squared")
+            model = first_trees(model, stop_round(losses))
+    return model
 
 
 def ridge(train: DataFrame, features: Sequence[str], label: str, alpha: float = 1.0,
@@ -121,34 +163,47 @@ def with_validation(df: DataFrame, fraction: float, seed: int, key: str = "termi
 
 def grid_search(train: DataFrame, features: Sequence[str], label: str, base: BoostParams,
                 grid: dict[str, list] | None = None, folds: int = 3, parallelism: int = 2,
-                seed: int = 0) -> tuple[PipelineModel, dict]:
+                seed: int = 0, key: str = "terminalno") -> tuple[PipelineModel, dict]:
     """Cross-validated grid search scored by explained variance.
 
     Default grid (the original's): rounds x row sampling x column sampling,
-    5 x 4 x 4 = 80 candidates.  Returns the refitted best model and its params.
+    5 x 4 x 4 = 80 candidates.  Boosting is sequential, so a fit of the most rounds
+    holds those of fewer: each sampling pair is fitted once a fold (48 fits, not 240)
+    and scored at every number of rounds.  Folds are by hash of the key.  Returns the
+    refitted best model and its parameters.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tripwise.operators.split import HOLDOUT_BUCKETS, hash_bucket
+
     grid = grid or {"rounds": [150, 200, 250, 300, 350], "subsample": [0.7, 0.8, 0.9, 1.0],
                     "colsample": [0.7, 0.8, 0.9, 1.0]}
-    est = gbt(base, label)
-    names = {"rounds": est.maxIter, "subsample": est.subsamplingRate, "colsample": est.featureSubsetStrategy}
-    builder = ParamGridBuilder()
-    for key, values in grid.items():
-        conv = (lambda v: str(v) if v < 1.0 else "all") if key == "colsample" else (lambda v: v)
-        builder = builder.addGrid(names[key], [conv(v) for v in values])
-    cv = CrossValidator(estimator=Pipeline(stages=[assembler(features), est]),
-                        estimatorParamMaps=builder.build(),
-                        evaluator=ExplainedVarianceEvaluator(labelCol=label), numFolds=folds,
-                        parallelism=parallelism, seed=seed)
-    model = cv.fit(prepared(train, features))
-    best = max(range(len(model.avgMetrics)), key=lambda i: model.avgMetrics[i])
-    chosen = {p.name: v for p, v in model.getEstimatorParamMaps()[best].items()}
-    chosen["explained_variance"] = model.avgMetrics[best]
-    return model.bestModel, chosen
+    data = prepared(train, features).withColumn(
+        "_fold", F.floor(hash_bucket(key, seed) * folds / F.lit(HOLDOUT_BUCKETS)))
+    evaluator = ExplainedVarianceEvaluator(labelCol=label)
+    pairs = [(s, c) for s in grid["subsample"] for c in grid["colsample"]]
+
+    def scores(job: tuple[float, float, int]) -> list[float]:
+        s, c, fold = job
+        params = replace(base, rounds=max(grid["rounds"]), subsample=s, colsample=c)
+        model = fit_gbt(data.filter(F.col("_fold") != fold), features, label, params)
+        held = data.filter(F.col("_fold") == fold)
+        return [evaluator.evaluate(first_trees(model, r).transform(held)) for r in grid["rounds"]]
+
+    jobs = [(s, c, f) for s, c in pairs for f in range(folds)]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        found = dict(zip(jobs, pool.map(scores, jobs), strict=True))
+    mean = {(r, s, c): sum(found[s, c, f][i] for f in range(folds)) / folds
+            for s, c in pairs for i, r in enumerate(grid["rounds"])}
+    r, s, c = max(mean, key=lambda x: mean[x])
+    best = fit_gbt(train, features, label, replace(base, rounds=r, subsample=s, colsample=c))
+    return best, {"maxIter": r, "subsamplingRate": s, "featureSubsetStrategy": str(c) if c < 1.0 else "all",
+                  "explained_variance": mean[r, s, c]}
 
 
 def watch_list(model: PipelineModel, sets: dict[str, DataFrame], features: Sequence[str], label: str,
-               loss: str = "squared") -> list[tuple[int, str, float]]:
-    """Loss after every boosting round on each named set (e.g. train and valid).
+               loss: str = "absolute") -> list[tuple[int, str, float]]:
+    """Loss after every boosting round on each named set (e.g. train and valid); the original watches MAE.
 
     ``GBTRegressionModel.evaluateEachIteration`` runs one distributed pass per set;
     only ``rounds`` numbers per set come back.

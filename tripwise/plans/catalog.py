@@ -213,11 +213,11 @@ def driver_count(spark, sf_dir):
     "(SELECT count(*) FROM (SELECT DISTINCT terminalno, trip_id FROM t t2 WHERE t2.split = t.split)) AS trips "
     "FROM t GROUP BY split"))
 def telemetry_profile(spark, sf_dir):
-    """Rows, drivers and trips per side (distinct counts are shuffled aggregates)."""
-    t = _t(spark, sf_dir)
-    return t.groupBy("split").agg(F.count(F.lit(1)).alias("rows"),
-                                  F.count_distinct("terminalno").alias("drivers"),
-                                  F.count_distinct("terminalno", "trip_id").alias("trips"))
+    """Rows, drivers and trips per side, rolled up (split, driver, trip) -> (split, driver) -> split."""
+    trips = _t(spark, sf_dir).groupBy("split", "terminalno", "trip_id").agg(F.count(F.lit(1)).alias("rows"))
+    drivers = trips.groupBy("split", "terminalno").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("trips"))
+    return drivers.groupBy("split").agg(F.sum("rows").alias("rows"), F.count("terminalno").alias("drivers"),
+                                        F.sum("trips").alias("trips"))
 
 
 # --- 2.5 windows ----------------------------------------------------------------------
@@ -300,7 +300,7 @@ def drivers_in_order(spark, sf_dir):
 # --- 2.9 selection ----------------------------------------------------------------------
 def _f_scores_sql(feature_set: str, columns: list[str]) -> list[str]:
     unp = " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, {i} AS feature_index, CAST({c} AS DOUBLE) AS x, y FROM feat WHERE split = 'train'"
+        f"SELECT '{c}' AS feature, {i} AS feature_index, coalesce(CAST({c} AS DOUBLE), 0) AS x, y FROM feat WHERE split = 'train'"
         for i, c in enumerate(columns))
     return o.feature_ctes("feat", feature_set, columns) + [
         f"long AS ({unp})",
@@ -350,9 +350,9 @@ def _corr_sql() -> str:
     unp = " UNION ALL ".join(f"SELECT terminalno, '{c}' AS name, CAST({c} AS DOUBLE) AS v FROM feat "
                              f"WHERE split = 'train'" for c in _CORR_COLS)
     ctes = o.feature_ctes("feat", "61", fx.FEATURES_61) + [f"long AS ({unp})"]
-    body = ("SELECT l.name AS a, r.name AS b, CASE WHEN stddev_pop(l.v) * stddev_pop(r.v) > 0 THEN "
-            "covar_pop(l.v, r.v) / (stddev_pop(l.v) * stddev_pop(r.v)) END AS r "
-            "FROM long l JOIN long r USING (terminalno) GROUP BY l.name, r.name")
+    body = ("SELECT l.name AS a, r.name AS b, CASE WHEN min(l.v) < max(l.v) AND min(r.v) < max(r.v) THEN corr(l.v, r.v) END AS r "
+            "FROM long l JOIN long r USING (terminalno) "
+            "GROUP BY l.name, r.name")
     return o.rounded(o.with_t(body, *ctes), keep=["a", "b"], d4=["r"])
 
 
@@ -472,27 +472,21 @@ def baseline_features(spark, sf_dir):
 
 
 # =====================================================================================
-# models, ensembles, sinks: no SQL oracle (rows-only check).  Registered model queries
-# fit with QUERY_ROUNDS boosting rounds; the job functions default to the original
-# 200-1000 rounds (each round is one sequential Spark job).
-
-QUERY_ROUNDS = 10
+# models, ensembles, sinks.  Boosting has no SQL oracle (rows-only check); each registered
+# fit runs the original's rounds.  The 1000-round stacking job and the 80-candidate grid
+# (jobs in ``submissions`` and ``models``) take too long for a registered query, see README.
 
 
 @register("gbt_predictions")
 def gbt_predictions(spark, sf_dir):
-    """M3: 61 features, label x10, top 70 % by F, boosted trees (xgboost parameter set)."""
-    ft = sub.feature_tables(_t(spark, sf_dir), "61")
-    train = ft.train.withColumn("y10", rw.scaled("y"))
-    feats = sel.selected_features(sel.f_scores(train, ft.features, "y10"), 70)
-    model = md.fit_gbt(train, feats, "y10", md.XGB_SELECT.with_rounds(QUERY_ROUNDS))
-    return md.predict(model, ft.test, feats)
+    """M3: 61 features, label x10, top 70 % by F, 200 rounds on 80 % of the drivers."""
+    return sub.selection_job(_t(spark, sf_dir))
 
 
 @register("gbt_leafy_predictions")
 def gbt_leafy_predictions(spark, sf_dir):
-    """M4: 61 features, top 50 %, boosted trees (leaf-count parameter set), 20 % watch split."""
-    return sub.select_and_boost_submission(_t(spark, sf_dir), 50, md.LGB_LEAVES5, rounds=QUERY_ROUNDS)
+    """M4: 61 features, top 50 %, 300 rounds of the leaf-count set on 80 % of the drivers."""
+    return sub.select_and_boost_submission(_t(spark, sf_dir), 50, md.LGB_LEAVES5)
 
 
 @register("ridge_predictions")
@@ -512,63 +506,183 @@ def clamped_preds(spark, sf_dir):
 
 @register("bagged_predictions")
 def bagged_predictions(spark, sf_dir):
-    """M7: mean of five models on the label-scaled, 70 %-selected 61 features."""
-    return sub.bagging_submission(_t(spark, sf_dir), rounds=QUERY_ROUNDS)
+    """M7: mean of five models on the label-scaled, 70 %-selected 61 features, at the original's rounds."""
+    return sub.bagging_submission(_t(spark, sf_dir))
 
 
-@register("stacked_predictions")
-def stacked_predictions(spark, sf_dir):
-    """M8: 5-fold stacking + blended label + refit, 42 features."""
-    preds, _ = sub.stacking_submission(_t(spark, sf_dir), rounds=QUERY_ROUNDS)
-    return preds
-
-
-@register("stack_trace")
-def stack_trace(spark, sf_dir):
-    """K2: the stacking trace keyed by driver."""
-    _, trace = sub.stacking_submission(_t(spark, sf_dir), rounds=QUERY_ROUNDS)
-    return trace
+def _model_path(spark) -> str:
+    import uuid
 
+    from tripwise.session import checkpoint_dir
 
-@register("grid_search")
-def grid_search(spark, sf_dir):
-    """3-fold grid search by explained variance (2 x 2 x 1 grid here; the job default is 80)."""
-    ft = sub.feature_tables(_t(spark, sf_dir), "61")
-    _, best = md.grid_search(ft.train, ft.features, "y", md.XGB_SELECT,
-                             grid={"rounds": [5, QUERY_ROUNDS], "subsample": [0.8, 1.0], "colsample": [0.8]})
-    return spark.createDataFrame([(int(best["maxIter"]), float(best["subsamplingRate"]),
-                                   str(best["featureSubsetStrategy"]), float(best["explained_variance"]))],
-                                 "rounds int, subsample double, colsample string, explained_variance double")
+    return f"{checkpoint_dir(spark).rstrip('/')}/models/baseline-{uuid.uuid4().hex}"
 
 
 @register("baseline_predictions")
 def baseline_predictions(spark, sf_dir):
-    """E-3 + K3: baseline set, boosted trees, model saved to and re-loaded from the checkpoint folder."""
-    import uuid
+    """E-3 + K3: baseline set, 800 rounds, model saved to and re-loaded from the checkpoint folder."""
+    return sub.baseline_submission(_t(spark, sf_dir), model_path=_model_path(spark))
 
-    from tripwise.session import checkpoint_dir
 
-    path = f"{checkpoint_dir(spark).rstrip('/')}/models/baseline-{uuid.uuid4().hex}"
-    return sub.baseline_submission(_t(spark, sf_dir), model_path=path, rounds=QUERY_ROUNDS)
+@register("baseline_leafy_predictions")
+def baseline_leafy_predictions(spark, sf_dir):
+    """Second baseline job: the 36-column set with the 720-round leaf-count regressor."""
+    return sub.baseline_submission(_t(spark, sf_dir), params=md.LGB_REGRESSOR)
 
 
-@register("random_submission")
+@register("random_submission", o.with_t(
+    "SELECT terminalno AS Id, (('0x' || substr(md5('0:' || CAST(terminalno AS VARCHAR)), 1, 8))::BIGINT % 1000000) "
+    "/ 1000000.0::DOUBLE AS Pred FROM (SELECT DISTINCT terminalno FROM t WHERE split = 'test')"))
 def random_submission(spark, sf_dir):
-    """K4: one row per distinct driver with a seeded uniform prediction."""
+    """K4 + U2: one row per distinct driver with a seeded hash-uniform prediction."""
     return sinks.random_submission(split_side(_t(spark, sf_dir), "test"), seed=0)
 
 
 @register("gbt_watch_list")
 def gbt_watch_list(spark, sf_dir):
-    """Per-round squared loss on the train part and the 20 % hash hold-out (watch list)."""
+    """Per-round MAE on the 80 % part and the 20 % hash hold-out over the original's 300 rounds."""
     ft = sub.feature_tables(_t(spark, sf_dir), "61")
     flagged = md.with_validation(ft.train, 0.2, seed=0)
     fit_part, valid = flagged.filter(~F.col("is_valid")), flagged.filter(F.col("is_valid"))
-    model = md.fit_gbt(fit_part, ft.features, "y", md.LGB_LEAVES5.with_rounds(QUERY_ROUNDS))
+    model = md.fit_gbt(flagged, ft.features, "y", md.LGB_LEAVES5, validation="is_valid")
     rows = md.watch_list(model, {"train": fit_part, "valid": valid}, ft.features, "y")
     return spark.createDataFrame(rows, "round int, side string, loss double")
 
 
+# --- ridge by closed form, stacking with k-NN: SQL-expressible versions of the model flow ----
+_RIDGE_2 = ["speed_mean", "height_mean"]
+
+
+def _ridge_2_sql() -> str:
+    x1, x2 = _RIDGE_2
+    body = f"""SELECT terminalno, raw, greatest(raw, 0.0::DOUBLE) AS pred FROM (
+      SELECT f.terminalno, -0.5::DOUBLE + m.my + b1 * (f.x1 - m.m1) + b2 * (f.x2 - m.m2) AS raw
+      FROM (SELECT terminalno, coalesce({x1}, 0) AS x1, coalesce({x2}, 0) AS x2 FROM feat WHERE split = 'test') f, m, b)"""
+    return o.rounded_auto(o.with_t(body, *o.feature_ctes("feat", "42", ["speed_mean", "height_mean"]), f"""m AS (
+      SELECT avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, count(*) AS n, var_pop(x1) * count(*) + 1 AS a11,
+             covar_pop(x1, x2) * count(*) AS a12, var_pop(x2) * count(*) + 1 AS a22,
+             covar_pop(x1, y) * count(*) AS c1, covar_pop(x2, y) * count(*) AS c2
+      FROM (SELECT coalesce({x1}, 0) AS x1, coalesce({x2}, 0) AS x2, y FROM feat WHERE split = 'train' AND y IS NOT NULL))""",
+        "b AS (SELECT (c1 * a22 - c2 * a12) / (a11 * a22 - a12 * a12) AS b1, "
+        "(c2 * a11 - c1 * a12) / (a11 * a22 - a12 * a12) AS b2 FROM m)"), ["terminalno", "raw", "pred"])
+
+
+@register("ridge_2_predictions", _ridge_2_sql())
+def ridge_2_predictions(spark, sf_dir):
+    """M5 + P6: plain ridge (alpha 1) on two features, lowered by 0.5 so that the clamp meets negative values."""
+    ft = sub.feature_tables(_t(spark, sf_dir), "42")
+    model = md.ridge(ft.train, _RIDGE_2, "y", alpha=1.0, normalize=False)
+    preds = md.predict(model, ft.test, _RIDGE_2, out="raw").withColumn("raw", F.col("raw") - F.lit(0.5))
+    return present(preds.withColumn("pred", rw.clamp_nonnegative("raw")))
+
+
+_STACK_K = 3
+
+
+def _knn_stack_sql() -> str:
+    feats = fx.FEATURES_7
+    ctes = o.feature_ctes("feat", "7", feats) + [
+        _FOLDS_SQL, "trainf AS (SELECT feat.*, fold FROM feat JOIN folds USING (terminalno) WHERE split = 'train')"]
+
+    def nearest(name: str, queries: str, rows: str, label: str) -> list[str]:
+        """Prediction of each (fold, query) from the k nearest rows of the other folds."""
+        d = " + ".join(f"(coalesce(q.{c}, 0) - coalesce(r.{c}, 0)) * (coalesce(q.{c}, 0) - coalesce(r.{c}, 0))" for c in feats)
+        return [f"{name}_top AS (SELECT * FROM (SELECT q.fold, q.terminalno, r.{label} AS label, sqrt({d}) AS dist, "
+                f"row_number() OVER (PARTITION BY q.fold, q.terminalno ORDER BY sqrt({d}), r.terminalno) AS nb "
+                f"FROM ({queries}) q JOIN ({rows}) r ON q.fold <> r.fold) WHERE nb <= {_STACK_K})",
+                f"{name} AS (SELECT fold, terminalno, greatest(0.0::DOUBLE, CASE WHEN count_if(dist = 0) > 0 "
+                "THEN avg(CASE WHEN dist = 0 THEN label END) ELSE sum(CASE WHEN dist <> 0 THEN label / dist END) / "
+                f"sum(CASE WHEN dist <> 0 THEN 1.0 / dist END) END) AS pred FROM {name}_top GROUP BY fold, terminalno)"]
+
+    tests = "SELECT f.*, i.fold FROM feat f, range(5) i(fold) WHERE f.split = 'test'"
+    ctes += nearest("oof", "SELECT * FROM trainf", "SELECT * FROM trainf", "y")
+    ctes += nearest("fold_test", tests, "SELECT * FROM trainf", "y")
+    ctes += ["layer1 AS (SELECT terminalno, avg(pred) AS layer1_preds FROM fold_test GROUP BY terminalno)",
+             "relab AS (SELECT t.*, o.pred AS layer1_combine, 0.3::DOUBLE * o.pred + 0.7::DOUBLE * t.y AS newY "
+             "FROM trainf t JOIN oof o USING (terminalno))"]
+    ctes += nearest("refit", "SELECT *, -1 AS fold FROM feat WHERE split = 'test'", "SELECT * FROM relab", "newY")
+    body = ("SELECT terminalno, y AS rawY, layer1_combine, newY, NULL::DOUBLE AS layer1_preds, NULL::DOUBLE AS pred FROM relab "
+            "UNION ALL SELECT terminalno, NULL, NULL, NULL, layer1_preds, (r.pred + layer1_preds) / 2 "
+            "FROM layer1 JOIN refit r USING (terminalno)")
+    return o.rounded_auto(o.with_t(body, *ctes), ["terminalno", "rawY", "layer1_combine", "newY", "layer1_preds", "pred"])
+
+
+@register("knn_stack_trace", _knn_stack_sql())
+def knn_stack_trace(spark, sf_dir):
+    """M8's flow (W3, J5, U3, P8, P9, K2) with a 3-NN base learner: the stacking trace."""
+    ft = sub.feature_tables(_t(spark, sf_dir), "7")
+
+    def fold_model(rows, held, test):
+        return tuple(knn_regress(rows, q, ft.features, _STACK_K) for q in (held, test))
+
+    def refit_model(rows, test, label):
+        # the refit's predictions are clamped like the layer's
+        preds = knn_regress(rows, test, ft.features, _STACK_K, label=label)
+        return preds.withColumn("pred", rw.clamp_nonnegative("pred"))
+
+    _, trace = en.stack(ft.train, ft.test, fold_model, refit_model, parallelism=2)
+    return present(trace)
+
+
+# --- missing values and keys ------------------------------------------------------------------
+_GAPS = {"speed": 7, "direction": 5, "trip_id": 11, "terminalno": 13}
+
+
+def _with_gaps(t):
+    """The telemetry with a fixed share of missing speeds, directions, trips and drivers (by seq)."""
+    return t.withColumns({c: F.when(F.col("seq") % m != 0, F.col(c)) for c, m in _GAPS.items()})
+
+
+# the original's grouping: rows without a driver or trip belong to no group of it
+_GAP_T = o.TELEMETRY_CTE.replace("t AS (", "t0 AS (", 1) + ", t AS (SELECT * REPLACE (" + ", ".join(
+    f"CASE WHEN seq % {m} <> 0 THEN {c} END AS {c}" for c, m in _GAPS.items()) + ") FROM t0 WHERE seq % 13 <> 0)"
+_GAP_ACC = f"""acc AS (
+  SELECT {o.K}, CASE WHEN trip_id IS NULL THEN 0.0::DOUBLE ELSE coalesce(speed - lag(speed) OVER (
+    PARTITION BY {o.K}, trip_id ORDER BY time NULLS FIRST, seq), 0.0::DOUBLE) END AS a FROM t)"""
+
+
+def _gap_feature_ctes() -> list[str]:
+    ctes = [o.TRIP_CTE.replace(f"FROM t GROUP BY {o.K}, trip_id", f"FROM t WHERE trip_id IS NOT NULL GROUP BY {o.K}, trip_id"),
+            _GAP_ACC] + [f"b_{b} AS ({o.BLOCK_SQL[b]})" for b in _ALL_61]
+    joins = " ".join(f"LEFT JOIN b_{b} USING ({o.K})" for b in _ALL_61[1:])
+    return ctes + [f"feat AS (SELECT {o.K}, {', '.join(fx.FEATURES_61)}, y FROM b_{_ALL_61[0]} {joins})"]
+
+
+@register("gap_features_61", o.rounded_auto(
+    o.with_t(f"SELECT {o.K}, {', '.join(fx.FEATURES_61)}, y FROM feat", *_gap_feature_ctes(), telemetry=_GAP_T),
+    ["split", "terminalno", *fx.FEATURES_61, "y"]))
+def gap_features_61(spark, sf_dir):
+    """A20 on telemetry with missing speeds, directions, trips and drivers."""
+    return present(fx.driver_features(_with_gaps(_t(spark, sf_dir)), "61"))
+
+
+@register("gap_f_scores", o.rounded_auto(o.with_t(
+    "SELECT feature, feature_index, n, r, f_score FROM scores",
+    *_gap_feature_ctes(), *_f_scores_sql("61", fx.FEATURES_61)[-3:], telemetry=_GAP_T),
+    ["feature", "feature_index", "n", "r", "f_score"]))
+def gap_f_scores(spark, sf_dir):
+    """M1 on the gap telemetry: a missing feature counts as 0."""
+    train = split_side(_with_gaps(_t(spark, sf_dir)), "train")
+    return present(sel.f_scores(fx.driver_features(train, "61"), fx.FEATURES_61))
+
+
+_GAP_CORR = ["speed_mean", "direction_var_mean", "acc_gap", "y"]
+
+
+@register("gap_corr", o.rounded(o.with_t(
+    "SELECT l.name AS a, r.name AS b, corr(l.v, r.v) AS r FROM long l JOIN long r USING (terminalno) GROUP BY l.name, r.name",
+    *_gap_feature_ctes(),
+    "g AS (SELECT terminalno, speed_mean, direction_var_mean, y, CASE WHEN terminalno % 3 <> 0 THEN mean_acc END AS acc_gap "
+    "FROM feat WHERE split = 'train')",
+    "long AS (" + " UNION ALL ".join(f"SELECT terminalno, '{c}' AS name, CAST({c} AS DOUBLE) AS v FROM g" for c in _GAP_CORR) + ")",
+    telemetry=_GAP_T), keep=["a", "b"], d4=["r"]))
+def gap_corr(spark, sf_dir):
+    """K5 on the gap telemetry: each pair's correlation is over the drivers that have both values."""
+    feats = fx.driver_features(split_side(_with_gaps(_t(spark, sf_dir)), "train"), "61")
+    feats = feats.withColumn("acc_gap", F.when(F.col("terminalno") % 3 != 0, F.col("mean_acc")))
+    return present(sel.correlation_matrix(feats, _GAP_CORR))
+
+
 # --- second, larger fixture: order lines as telemetry (customer -> order -> line) ---------
 
 

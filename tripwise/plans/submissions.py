@@ -61,18 +61,30 @@ def knn_submission(telemetry: DataFrame, k: int = 5, clamp: bool = True, out: st
 
 def select_and_boost_submission(telemetry: DataFrame, percentile: float = 50, params: md.BoostParams = md.LGB_LEAVES5,
                                 rounds: int | None = None, out: str | None = None) -> DataFrame:
-    """E-2: 61 features, keep the top 50 % by F, boosted trees with a 20 % watch split."""
+    """E-2: 61 features, keep the top 50 % by F, boosted trees on 80 % of the drivers (20 % only watch)."""
     ft = feature_tables(telemetry, "61")
     feats = _select(ft, percentile)
     p = params.with_rounds(rounds) if rounds else params
     train = md.with_validation(ft.train, 0.2, seed=0)
-    model = md.fit_gbt(train, feats, "y", p, validation="is_valid" if p.early_stop else None)
+    model = md.fit_gbt(train, feats, "y", p, validation="is_valid")
     preds = md.predict(model, ft.test, feats)
     if out:
         sinks.write_submission(preds, out)
     return preds
 
 
+def selection_job(telemetry: DataFrame, rounds: int | None = None, out: str | None = None) -> DataFrame:
+    """The selection job: 61 features, label x10, top 70 % by F, boosted trees on 80 % of the drivers."""
+    ft = feature_tables(telemetry, "61")
+    train = md.with_validation(ft.train.withColumn("y10", scaled("y")), 0.2, seed=0)
+    feats = selected_features(f_scores(train, ft.features, "y10"), 70)
+    p = md.XGB_BAG.with_rounds(rounds) if rounds else md.XGB_BAG
+    preds = md.predict(md.fit_gbt(train, feats, "y10", p, validation="is_valid"), ft.test, feats)
+    if out:
+        sinks.write_submission(preds, out)
+    return preds
+
+
 def ridge_submission(telemetry: DataFrame, percentile: float = 70, normalize: bool = True, clamp: bool = False,
                      out: str | None = None) -> DataFrame:
     """Ridge path: 61 features, top 70 %, normalised ridge (plain + clamp in the stacking script)."""
@@ -111,9 +123,12 @@ def stacking_submission(telemetry: DataFrame, rounds: int | None = None, out: st
 
 
 def baseline_submission(telemetry: DataFrame, model_path: str | None = None, rounds: int | None = None,
-                        out: str | None = None, include_id: bool = False) -> DataFrame:
+                        out: str | None = None, include_id: bool = False,
+                        params: md.BoostParams = md.BASELINE_XGB) -> DataFrame:
     """E-3: baseline 36-column set, boosted trees; the model is saved and re-loaded (K3).
 
+    ``params`` is ``BASELINE_XGB`` (first baseline job) or ``LGB_REGRESSOR`` (second one).
+
     ``include_id=True`` also feeds the driver id to the model, as the original did
     (D18); off by default because an id is not a property of the driving.
     """
@@ -124,7 +139,7 @@ def baseline_submission(telemetry: DataFrame, model_path: str | None = None, rou
         feats = ["item"] + feats
         train = train.withColumn("item", F.col(KEY).cast("double"))
         test = test.withColumn("item", F.col(KEY).cast("double"))
-    p = md.BASELINE_XGB.with_rounds(rounds) if rounds else md.BASELINE_XGB
+    p = params.with_rounds(rounds) if rounds else params
     model = md.fit_gbt(train, feats, "target", p)
     if model_path:
         sinks.save_model(model, model_path)
@@ -134,7 +149,3 @@ def baseline_submission(telemetry: DataFrame, model_path: str | None = None, rou
         sinks.write_submission(preds, out)
     return preds
 
-
-def unscaled(preds: DataFrame, factor: float = 10.0) -> DataFrame:
-    """Optional: divide predictions of a label-scaled model back (the original did not)."""
-    return preds.withColumn("pred", F.col("pred") / F.lit(factor))

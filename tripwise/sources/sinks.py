@@ -14,14 +14,16 @@ def submission_frame(preds: DataFrame, key: str = "terminalno", pred: str = "pre
             .dropDuplicates(["Id"]))
 
 
-def write_submission(preds: DataFrame, path: str, key: str = "terminalno", pred: str = "pred") -> None:
-    """K1: exactly one CSV part file with header ``Id,Pred``.
+def write_submission(preds: DataFrame, path: str, key: str = "terminalno", pred: str = "pred",
+                     single_file: bool = True) -> None:
+    """K1: CSV with header ``Id,Pred``, one part file as the original's contract asks.
 
     The frame is one row per driver, so a single writer task is bounded by the
-    driver count, not by the telemetry volume.
+    driver count, not by the telemetry volume; ``single_file=False`` writes one part
+    file a partition for driver tables too large for that.
     """
-    (submission_frame(preds, key, pred).coalesce(1).write.mode("overwrite")
-     .option("header", True).csv(path))
+    frame = submission_frame(preds, key, pred)
+    (frame.coalesce(1) if single_file else frame).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_trace(trace: DataFrame, path: str) -> None:
@@ -39,9 +41,14 @@ def load_model(path: str) -> PipelineModel:
 
 
 def random_submission(telemetry: DataFrame, seed: int = 0, key: str = "terminalno") -> DataFrame:
-    """K4: every distinct driver once, with a uniform random prediction."""
-    return (telemetry.select(F.col(key).cast("bigint").alias("Id")).distinct()
-            .withColumn("Pred", F.rand(seed)))
+    """K4: every distinct driver once, with a uniform prediction in [0, 1) by a hash of the key and the seed.
+
+    The same whatever the partitioning (``rand`` is not).  Rows without a driver make none.
+    """
+    from tripwise.operators.split import HOLDOUT_BUCKETS, hash_bucket
+
+    ids = telemetry.select(F.col(key).cast("bigint").alias("Id")).filter(F.col("Id").isNotNull()).distinct()
+    return ids.withColumn("Pred", hash_bucket("Id", seed) / F.lit(float(HOLDOUT_BUCKETS)))
 
 
 def write_correlations(corr: DataFrame, path: str) -> None:

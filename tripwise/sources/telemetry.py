@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,19 +35,43 @@ def read_telemetry(spark: SparkSession, path: str, labelled: bool = True, fmt: s
     """Scan telemetry with an explicit schema (never inferred).
 
     CSV files carry a header; the header names are replaced by the canonical
-    ones positionally (S4).  ``seq`` records ingest order (file order within a
-    split, splits in file order) and breaks ties of equal TIME.  Test files have
-    no Y: the column is added as NULL so both sides share one schema (S3).
+    ones positionally (S4).  A malformed field or line is an error (FAILFAST), not a
+    silent NULL.  Test files have no Y: the column is added as NULL so both sides
+    share one schema (S3).  ``seq`` records ingest order and breaks ties of equal TIME:
+    the files by path, then the splits of a file by their start, then the rows of a
+    split (Spark hands out splits by size, so the row ids alone would not follow the files).
     """
     schema = TRAIN_SCHEMA if labelled else TEST_SCHEMA
     reader = spark.read.schema(schema)
     if fmt == "csv":
-        df = reader.option("header", True).option("mode", "PERMISSIVE").csv(path)
+        df = reader.option("header", True).option("mode", "FAILFAST").csv(path)
     else:
         df = reader.format(fmt).load(path)
     if not labelled:
         df = df.withColumn("y", F.lit(None).cast("double"))
-    return df.select(*COLUMNS).withColumn("seq", F.monotonically_increasing_id())
+    return _in_file_order(df.select(
+        *COLUMNS, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_row")))
+
+
+# rows of a split that ``seq`` leaves room for
+_SPLIT_BITS = 40
+
+
+def _in_file_order(df: DataFrame) -> DataFrame:
+    """``seq`` from file, split start and row id: the split's place among all splits, then the place in the split.
+
+    The list of splits has a row for each file block (a second pass over the files
+    that reads no column), and is joined back on the split.
+    """
+    splits = df.groupBy("_file", "_start").agg(F.min("_row").alias("_first"))
+    order = Window.orderBy("_file", "_start")  # one row a file split
+    places = splits.select(F.col("_file").alias("_f"), F.col("_start").alias("_s"), "_first",
+                           (F.row_number().over(order) - 1).cast("bigint").alias("_place"))
+    seq = F.shiftleft(F.col("_place"), _SPLIT_BITS) + (F.col("_row") - F.col("_first"))
+    # bounded by the number of file splits
+    return (df.join(F.broadcast(places), (F.col("_file") == F.col("_f")) & (F.col("_start") == F.col("_s")))
+            .select(*COLUMNS, seq.alias("seq")))
 
 
 def clean_telemetry(df: DataFrame) -> DataFrame:

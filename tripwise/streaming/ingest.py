@@ -11,11 +11,13 @@ closed trip, which the telemetry does not signal; they stay in the batch chain.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripwise.config import FeatureConfig
-from tripwise.operators.features import KEY, _family_unit, _row_columns
+from tripwise.operators.features import KEY, _derived, _family_unit, _row_columns
 from tripwise.sources.telemetry import COLUMNS, TEST_SCHEMA, TRAIN_SCHEMA, clean_telemetry
 
 _FAMILIES = ["rows", "spd_sum", "spd_ext", "hgt_sum", "hgt_ext", "lon_sum", "lon_ext", "lat_sum", "lat_ext",
@@ -57,7 +59,7 @@ def driver_totals(stream: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> Da
     Use with output mode ``update`` (or ``complete`` for small tests); the
     micro-batch partial aggregation runs before the state-store shuffle.
     """
-    rows = _row_columns(stream, cfg, set(_FAMILIES))
+    rows = _derived(_row_columns(stream, cfg, set(_FAMILIES)), cfg, set(_FAMILIES))
     aggs = [F.expr(s) for f in _FAMILIES for s in _family_unit(f)] + [F.max("trip_id").alias("trip_max")]
     totals = rows.groupBy(KEY).agg(*aggs)
     return totals.select(KEY, *[F.expr(f"{e} AS `{name}`") for name, e in _PROJECTIONS.items()])
@@ -67,21 +69,35 @@ def write_driver_totals(totals: DataFrame, path: str, checkpoint_location: str |
                         available_now: bool = True):
     """Keep a Parquet snapshot of the running driver totals up to date.
 
-    Complete output mode (the state is one row per driver); each micro-batch
-    overwrites the snapshot at ``path``.  The stream's own checkpoint defaults to
-    ``<spark.checkpoint.dir>/streams/driver_totals`` in the shared folder, so a
-    restarted query resumes where it stopped.  Returns the started query.
+    Complete output mode (the state is one row per driver).  Each micro-batch writes a
+    snapshot of its own at ``path/batch=<id>``; ``read_snapshot`` reads the newest
+    complete one, so neither a reader nor a crash between two batches sees half of one.
+    The stream's own checkpoint defaults to a folder for this output path below
+    ``<spark.checkpoint.dir>/streams``, so a restarted query resumes where it stopped.
+    Returns the started query.
     """
     from tripwise.session import checkpoint_dir
 
     spark = totals.sparkSession
-    location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/streams/driver_totals"
+    name = hashlib.md5(path.encode()).hexdigest()
+    location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/streams/driver_totals-{name}"
 
     def snapshot(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id:010d}")
 
     writer = (totals.writeStream.outputMode("complete").foreachBatch(snapshot)
               .option("checkpointLocation", location))
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The driver totals of the newest batch whose snapshot is complete (it has its ``_SUCCESS`` mark)."""
+    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
+    marks = jvm.org.apache.hadoop.fs.Path(f"{path}/batch=*/_SUCCESS")
+    found = marks.getFileSystem(hadoop).globStatus(marks) or []
+    done = sorted(str(f.getPath().getParent().toString()) for f in found)
+    if not done:
+        raise ValueError(f"no complete snapshot at {path}")
+    return spark.read.parquet(done[-1])
