@@ -12,8 +12,10 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,23 +29,35 @@ END_ID = 2
 SHARD_IDS, MIN_PAIRS, ROUNDS = 1 << 20, 24, 12
 #: Of a round's pairs those at least this share as frequent as the most frequent are replaced.
 ROUND_SHARE = 1 / 8
-#: Encoded pieces a worker keeps.
-CACHE_PIECES = 500_000
+#: Encoded pieces a worker keeps, and as many words with marks.
+CACHE_PIECES = 1_000_000
 _MAGIC = b"RPG1"
-_COUNT_BITS = 20
+_COUNT_BITS = 19
 
 
 # --- Re-Pair -------------------------------------------------------------------------------
-def _frequent_pairs(seq: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(pairs, counts, places): pairs in at least ``least`` places; places holds each pair's number, or -1."""
-    a, b = seq[:-1].astype(np.uint32), seq[1:].astype(np.uint32)
-    h = (a * np.uint32(0x9E3779B1) ^ b * np.uint32(0x85EBCA6B)) >> np.uint32(32 - _COUNT_BITS)
-    heavy = np.flatnonzero(np.bincount(h, minlength=1 << _COUNT_BITS)[h] >= least)
-    pairs, no, counts = np.unique(a[heavy].astype(np.uint64) << np.uint64(32) | b[heavy], return_inverse=True,
-                                  return_counts=True)
-    places = np.full(len(a), -1, np.int64)
-    places[heavy] = no
-    return pairs, counts, places
+def _frequent_pairs(seq: np.ndarray, least: int, share: float, odd: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places, numbers, pairs): where pairs of at least ``least`` occurrences, and ``share`` of the most frequent
+    one's, begin, and which of ``pairs`` each is.
+
+    Pairs are counted by a hash; of the pairs of one hash value that occurs often the
+    last one stands for it and is counted by itself, the others wait for a later
+    round, whose multiplier is another one.
+    """
+    a, b = seq[:-1], seq[1:]
+    h = (a * np.uint32(0x9E3779B1 + 2 * odd) ^ b * np.uint32(0x85EBCA6B + 4 * odd)) >> np.uint32(32 - _COUNT_BITS)
+    counts = np.bincount(h, minlength=1 << _COUNT_BITS)
+    heavy = np.flatnonzero((counts >= max(least, int(counts.max() * share)))[h])
+    h = h[heavy]
+    pair = a[heavy].astype(np.uint64) << np.uint64(32) | b[heavy]
+    stands = np.zeros(1 << _COUNT_BITS, np.uint64)
+    stands[h] = pair
+    same = stands[h] == pair
+    heavy, h = heavy[same], h[same]
+    own = np.bincount(h, minlength=1 << _COUNT_BITS)
+    often = own >= max(least, int(own.max() * share))
+    keep = often[h]
+    return heavy[keep], (np.cumsum(often) - 1)[h[keep]], stands[often]
 
 
 def repair(ids: np.ndarray, min_pairs: int = MIN_PAIRS, rounds: int = ROUNDS,
@@ -58,28 +72,23 @@ def repair(ids: np.ndarray, min_pairs: int = MIN_PAIRS, rounds: int = ROUNDS,
     first = int(seq.max()) + 1 if len(seq) else 0
     rules: list[np.ndarray] = []
     made = 0
-    for _ in range(rounds):
+    for n in range(rounds):
         if len(seq) < 2:
             break
-        pairs, counts, places = _frequent_pairs(seq, min_pairs)
-        if not len(counts) or counts.max() < min_pairs:
+        at, no, pairs = _frequent_pairs(seq, min_pairs, share, n)
+        if not len(at):
             break
-        chosen = counts >= max(min_pairs, counts.max() * share)
-        mark = (places >= 0) & chosen[places]
-        at = np.flatnonzero(mark)
         # neighbouring occurrences overlap: of a run every other one is replaced
         begins = np.concatenate([[True], np.diff(at) > 1])
         run_start = np.maximum.accumulate(np.where(begins, np.arange(len(at)), 0))
-        at = at[(np.arange(len(at)) - run_start) % 2 == 0]
-        used, no = np.unique(places[at], return_inverse=True)
-        seq = seq.copy()
-        seq[at] = first + made + no
+        take = (np.arange(len(at)) - run_start) % 2 == 0
+        at = at[take]
+        seq[at] = (first + made + no[take]).astype(np.uint32)
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
         seq = seq[keep]
-        p = pairs[used]
-        rules.append(np.column_stack([p >> np.uint64(32), p & np.uint64(0xFFFFFFFF)]).astype(np.uint32))
-        made += len(used)
+        rules.append(np.column_stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)]).astype(np.uint32))
+        made += len(pairs)
     return seq, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), first
 
 
@@ -146,6 +155,26 @@ class Shard:
 
 
 # --- encoding ------------------------------------------------------------------------------
+class _Pieces(dict):
+    """Ids of pieces, encoded when first asked for."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= CACHE_PIECES:
+            self.clear()
+        ids = self[piece] = self.encode(piece)
+        return ids
+
+
+# white space before a blank, in ASCII text
+_ODD = ("  ", "\n ", "\t ", "\r ", "\x0b ", "\x0c ", "\x1c ", "\x1d ", "\x1e ", "\x1f ")
+# line ends and the visible characters of Latin scripts: these split alike in every Unicode version
+_PLAIN = re.compile(r"[\n -~\u00a1-\u00ac\u00ae-\u024f]*\Z")
+
+
 class Encoder:
     """Encodes with a byte-level BPE of the tokenizers library, one piece at a time.
 
@@ -166,8 +195,8 @@ class Encoder:
         import regex
 
         self.pretokens = regex.compile(public_tokenizers.PATTERN)
-        self.cache: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.after_blank = _Pieces(lambda piece: self._piece(" " + piece))
+        self.words = _Pieces(self._word)
         self.cut = re.compile(r"(?<=\S) ")
         self.odd = re.compile(r"\s ")
 
@@ -182,42 +211,29 @@ class Encoder:
                 and not spec["model"].get("ignore_merges"))
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        shown = word.encode().decode("latin-1").translate(self.table)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        plain = piece.replace("\n", "")
-        # letters and marks of Latin scripts split alike everywhere; the rest goes through the whole tokenizer
-        if "<|" in piece or not (plain.isascii() or max(plain) < "ɐ") or plain and not plain.isprintable():
+        if not piece:
+            return b""
+        if not _PLAIN.match(piece):
             return self._whole(piece)
-        out = []
-        for word in self.pretokens.findall(piece):
-            ids = self.words.get(word)
-            if ids is None:
-                shown = word.encode().decode("latin-1").translate(self.table)
-                ids = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
-                if len(self.words) >= CACHE_PIECES:
-                    self.words.clear()
-                self.words[word] = ids
-            out.append(ids)
-        return b"".join(out)
+        if piece[1:].isalpha() and piece[0] == " ":
+            return self._word(piece)  # one pre-token
+        return b"".join(map(self.words.__getitem__, self.pretokens.findall(piece)))
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian 32-bit integers."""
-        if not self.splits:
-            return self._whole(text)
-        if "<|" in text:  # a special token's string may hold a blank
+        if not self.splits or "<|" in text:  # a special token's string may hold a blank
             return self._whole(text)
-        pieces = text.split(" ") if not self.odd.search(text) else self.cut.split(text)
-        cache, out = self.cache, []
-        if len(cache) >= CACHE_PIECES:
-            cache.clear()
-        for i, piece in enumerate(pieces):
-            key = " " + piece if i else piece
-            ids = cache.get(key)
-            if ids is None:
-                ids = cache[key] = self._piece(key) if key else b""
-            out.append(ids)
-        return b"".join(out)
+        odd = any(x in text for x in _ODD) if text.isascii() else self.odd.search(text)
+        pieces = self.cut.split(text) if odd else text.split(" ")
+        head = self._piece(pieces[0])
+        return head + b"".join(map(self.after_blank.__getitem__, islice(pieces, 1, None)))
 
 
 @lru_cache(maxsize=2)
