@@ -19,7 +19,7 @@ Plan (all distributed; only the feature variances and counts reach the driver):
    before and after the exchange on the test point.
 
 Places of values among the train rows come from ranging both sides together
-(``order.rows_below``), so no array of bucket edges exists.  Buckets hold m train rows
+(``order.place_among``), so no array of bucket edges exists.  Buckets hold m train rows
 whatever the skew; the rows of a bucket that many test points meet are a skewed
 join partition, and the group limit behind that join needs no distribution of its
 own, so AQE may split it.
@@ -32,7 +32,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripwise.operators.order import global_rank, rows_below
+from tripwise.operators.order import BELOW, UP_TO, place_among
 from tripwise.session import checkpoint_dir
 
 
@@ -66,11 +66,11 @@ def knn_pairs(
     checkpoint_dir(train.sparkSession)
     # one row per driver on each side: materialised once (shared checkpoint folder)
     # so the small planning actions below do not recompute the feature chain
-    tr = train.select(F.col(id_col).alias("train_id"), F.col(label).cast("double").alias("label"),
-                      *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in feats]
-                      ).checkpoint(eager=True)
-    te = test.select(F.col(id_col).alias("test_id"),
-                     *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in feats])
+    def side_of(df: DataFrame, *ids: Column) -> DataFrame:
+        return df.select(*ids, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in feats])
+
+    tr = side_of(train, F.col(id_col).alias("train_id"), F.col(label).cast("double").alias("label")).checkpoint(eager=True)
+    te = side_of(test, F.col(id_col).alias("test_id"))
 
     stats = tr.agg(F.count(F.lit(1)).alias("_n"), *[F.var_pop(c).alias(c) for c in feats]).first()
     axis = max(feats, key=lambda c: (stats[c] or 0.0))
@@ -83,14 +83,12 @@ def knn_pairs(
     def bucket_of(rank: Column) -> Column:
         return F.least(F.floor(F.greatest(rank, F.lit(0)) / F.lit(m)), F.lit(nb - 1))
 
-    ranked = global_rank(tr.withColumn("p", F.col(axis)), ["p", "train_id"], out="_r")
+    # ranks of train, and the home bucket of test: that of the last train row with p at or below the test point's
+    ranked, at = place_among(tr.withColumn("p", F.col(axis)),
+                             te.withColumns({"p": F.col(axis), "_side": F.lit(UP_TO), "train_id": F.lit(None).cast(
+                                 tr.schema["train_id"].dataType)}), "p", "train_id", "_side", "_r")
     tr_b = ranked.withColumn("bucket", bucket_of(F.col("_r"))).drop("_r")
-
-    # home bucket: that of the last train row with p at or below the test point's
-    te_p = te.withColumn("p", F.col(axis)).checkpoint(eager=True)
-    at = rows_below(tr, axis, te_p.select("test_id", "p"), "p", "_below", inclusive=True)
-    home = at.select("test_id", bucket_of(F.col("_below") - 1).alias("bucket"))
-    te_h = te_p.join(home, "test_id")
+    te_h = at.withColumn("bucket", bucket_of(F.col("_r") - 1)).drop("_r", "_side", "train_id")
 
     # 3. first bound R from the home bucket
     cand = te_h.alias("q").join(tr_b.alias("t"), on=F.col("q.bucket") == F.col("t.bucket"))
@@ -104,12 +102,14 @@ def knn_pairs(
     # 4. exact candidates: every bucket with train rows in the widened window, and the home bucket
     bounded = te_h.join(radius, "test_id").withColumnRenamed("bucket", "home").checkpoint(eager=True)
     margin = F.lit(EDGE_MARGIN) * (F.abs("p") + F.col("radius"))
-    edges = bounded.select("test_id", (F.col("p") - F.col("radius") - margin).alias("_low"),
-                           (F.col("p") + F.col("radius") + margin).alias("_high"))
-    low = rows_below(tr, axis, edges.select("test_id", "_low"), "_low", "_first", inclusive=False)
-    high = rows_below(tr, axis, edges.select("test_id", "_high"), "_high", "_last", inclusive=True)
-    spans = low.join(high, "test_id").select("test_id", bucket_of(F.col("_first")).alias("b1"),
-                                             bucket_of(F.col("_last") - 1).alias("b2"))
+    window = F.array(F.struct((F.col("p") - F.col("radius") - margin).alias("p"), F.lit(BELOW).alias("_side")),
+                     F.struct((F.col("p") + F.col("radius") + margin).alias("p"), F.lit(UP_TO).alias("_side")))
+    edges = bounded.select("test_id", F.explode(window).alias("_e")).select(
+        "test_id", "_e.p", "_e._side", F.lit(None).cast(tr.schema["train_id"].dataType).alias("train_id"))
+    _, cut = place_among(tr.select("train_id", F.col(axis).alias("p")), edges, "p", "train_id", "_side", "_r")
+    spans = cut.groupBy("test_id").agg(
+        F.max(F.when(F.col("_side") == BELOW, bucket_of(F.col("_r")))).alias("b1"),
+        F.max(F.when(F.col("_side") == UP_TO, bucket_of(F.col("_r") - 1))).alias("b2"))
     q = bounded.join(spans, "test_id").withColumn("bucket", F.explode(F.sequence(
         F.least("b1", "home"), F.greatest("b2", "home"))))
     pairs = q.alias("q").join(tr_b.alias("t"), on=F.col("q.bucket") == F.col("t.bucket")).select(

@@ -61,27 +61,30 @@ def global_rank(df: DataFrame, order: Sequence[str], out: str = "rank", partitio
     return placed.drop("_part", "_local", "_offset", "_total")
 
 
-def rows_below(rows: DataFrame, key: str, queries: DataFrame, value: str, out: str, inclusive: bool) -> DataFrame:
-    """``queries`` with the number of ``rows`` whose ``key`` is below (or equal to) ``value``.
+# order of equal values in ``place_among``: a query that counts the rows below its value, the rows, one that also counts equals
+BELOW, ROW, UP_TO = 0, 1, 2
 
-    Both sides' values are ranged together; in a partition the rows before a query
-    are its place among all less its place among the queries.  One exchange of the
-    values of ``rows`` and of ``queries``; no value reaches the driver.
+
+def place_among(rows: DataFrame, queries: DataFrame, key: str, tie: str, side: str, out: str) -> tuple[DataFrame, DataFrame]:
+    """The places of ``queries`` among ``rows``, and of the rows among themselves, in the order of ``key``.
+
+    Both have ``key`` and ``tie``; a query's column ``side`` is BELOW or UP_TO.  Returns
+    (rows with their 0-based rank, queries with the number of rows below or up to
+    their value) as column ``out``.  Both sides are ranged together: in a partition
+    the rows before a query are its place among all less its place among the queries.
+    One exchange; no value reaches the driver.
     """
-    names = queries.columns
-    side = F.lit(0 if inclusive else 2)
-    left = rows.select(F.col(key).alias("_v"), side.alias("_side"),
-                       *[F.lit(None).cast(queries.schema[c].dataType).alias(c) for c in names])
-    right = queries.select(F.col(value).alias("_v"), F.lit(1).alias("_side"), *names)
-    both = numbered(left.unionByName(right), ["_v", "_side"])
-    # a filter keeps partitions and their order, so places among the queries follow
-    asked = with_place(both.filter("_side = 1").drop("_part"), "_part", "_own")
-    counts = both.groupBy("_part").agg(F.count_if(F.col("_side") != 1).alias("_n"))
+    both = numbered(rows.withColumn(side, F.lit(ROW)).unionByName(queries, allowMissingColumns=True), [key, side, tie])
+    counts = both.groupBy("_part").agg(F.count_if(F.col(side) == ROW).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     # one row a partition
-    placed = asked.join(F.broadcast(base), "_part")
-    return placed.select(*names, (F.col("_offset") + F.col("_local") - F.col("_own")).alias(out))
+    base = F.broadcast(counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")))
+    # a filter keeps partitions and their order, so places among one side follow
+    own = with_place(both.filter(F.col(side) == ROW).drop("_part"), "_part", "_own").join(base, "_part")
+    asked = with_place(both.filter(F.col(side) != ROW).drop("_part"), "_part", "_own").join(base, "_part")
+    drop = ["_part", "_own", "_local", "_offset"]
+    return (own.withColumn(out, F.col("_offset") + F.col("_own")).drop(*drop, side).select(*rows.columns, out),
+            asked.withColumn(out, F.col("_offset") + F.col("_local") - F.col("_own")).drop(*drop).select(*queries.columns, out))
 
 
 def first_rows(df: DataFrame, n: int, order: Sequence[Column | str]) -> DataFrame:
