@@ -135,10 +135,12 @@ def test_chunked_pairs_and_histogram_bound(spark, monkeypatch):
     ok = nd.possible_pairs(hist, hist, n, n, 0.8)
     near = {(i, j) for i in range(30) for j in range(i) if distance(list(words[i]), list(words[j])) <= 0.2 * max(n[i], n[j]) + 1e-9}
     assert all(ok[i, j] for i, j in near)
-    rows = [(1, bytes([i]), bytes([i % 5]), int(n[i]), bytearray(hist[i].tobytes())) for i in range(30)]
-    members = spark.createDataFrame(rows, "bucket long, node binary, comp binary, n_words int, hist binary")
-    want = {(i, j) for i in range(30) for j in range(i) if ok[i, j] and i % 5 != j % 5}
+    # all share the bucket of band 1; the even ones share that of band 0 as well, so they pair up there
+    rows = [(1, 1, bytes([i]), bytes([i % 5]), int(n[i]), [i % 2 * (i + 1), 9], bytearray(hist[i].tobytes())) for i in range(30)]
+    rows += [(0, 0, *r[2:]) for r in rows if r[2][0] % 2 == 0]
+    members = spark.createDataFrame(rows, "bucket long, band int, node binary, comp binary, n_words int, keys array<long>, hist binary")
+    want = sorted((i, j) for i in range(30) for j in range(i) if ok[i, j] and i % 5 != j % 5)
     for cell in (4, 1000):
         monkeypatch.setattr(nd, "CELL_ROWS", cell)
-        got = {tuple(sorted((r.a[0], r.b[0]), reverse=True)) for r in nd.pairs_across(members, 0.8).collect()}
+        got = sorted(tuple(sorted((r.a[0], r.b[0]), reverse=True)) for r in nd.pairs_across(members, 0.8).collect())
         assert got == want

@@ -6,10 +6,11 @@ similarity and not only on the set of shingles.  Texts that agree in a sketch ar
 candidates; a banded alignment of their words accepts those of edit similarity
 1 - distance / longer length >= 0.8.  Classes are the connected components.
 
-Equal texts are one node from the start.  In a bucket (texts of equal sketch) all are
-first aligned with one leader, so a bucket of copies costs one alignment a text.
-Only buckets whose texts are then still in different components compare the texts
-of different components with each other, so no link between components is lost.
+Equal texts are one node from the start.  A text is first aligned with the smallest
+leader of its buckets (texts of equal sketch), so a group of copies costs one alignment a
+text; then with its other leaders that are in other components.  Buckets whose texts
+are then still in different components compare those with each other, so no link
+between components is lost.
 """
 
 from __future__ import annotations
@@ -288,9 +289,10 @@ def possible_pairs(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_ri
 def pairs_across(members: DataFrame, similarity: float) -> DataFrame:
     """(a, b): pairs of one bucket's texts in different components that may be similar.
 
-    members: (bucket, node, comp, n_words, hist).  A bucket's rows are dealt over chunks
-    of about ``CELL_ROWS``; each pair of chunks is one group, so no group grows with a
-    bucket.  Only pairs that the word histograms allow leave it.
+    members: (bucket, band, node, comp, n_words, keys, hist).  A bucket's rows are dealt
+    over chunks of about ``CELL_ROWS``; each pair of chunks is one group, so no group
+    grows with a bucket.  Only pairs that the word histograms allow leave it, and only
+    from the first bucket that both texts share.
     """
     sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / F.lit(CELL_ROWS)).cast("int").alias("chunks"))
     dealt = members.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
@@ -310,11 +312,14 @@ def pairs_across(members: DataFrame, similarity: float) -> DataFrame:
         i, j = left[i], right[j]
         if len(row) and row[0] == col[0]:
             i, j = i[i < j], j[i < j]
+        keys = np.asarray(group["keys"].combine_chunks().flatten(), np.int64).reshape(len(own), -1)
+        first = (keys[i] == keys[j]).argmax(1) == group["band"].to_numpy()[i]
+        i, j = i[first], j[first]
         return pa.table({"a": node.take(pa.array(i)), "b": node.take(pa.array(j))})
 
-    found = (cells.select("bucket", "row", "col", "own", "node", "comp", "n_words", "hist")
+    found = (cells.select("bucket", "band", "row", "col", "own", "node", "comp", "n_words", "keys", "hist")
              .groupBy("bucket", "row", "col").applyInArrow(compare, "a binary, b binary"))
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def verified(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
@@ -347,7 +352,7 @@ def components(links: DataFrame) -> DataFrame:
     label; rounds are cut by written tables and go on until nothing changes.
     """
     both = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))),
-                   "links")
+                   "near-edges")
     labels = written(both.groupBy("a").agg(F.min("b").alias("m"))
                      .select(F.col("a").alias("node"), F.least("a", "m").alias("comp")), "labels")
     while True:
@@ -361,16 +366,28 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def joined(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """``comp`` (node, comp) after further links (a, b): only the components that these touch are merged."""
+    ends = (links.join(comp.withColumnsRenamed({"node": "a", "comp": "ca"}), "a", "left")
+            .join(comp.withColumnsRenamed({"node": "b", "comp": "cb"}), "b", "left")
+            .select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")))
+    ends = written(ends, "near-ends")
+    merged = components(ends.filter("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
+    new = (ends.select(F.col("a").alias("node"), F.col("ca").alias("comp"))
+           .unionByName(ends.select(F.col("b").alias("node"), F.col("cb").alias("comp"))))
+    every = comp.unionByName(new).distinct()
+    return written(every.join(merged.select(F.col("node").alias("comp"), F.col("comp").alias("into")), "comp", "left")
+                   .select("node", F.coalesce("into", "comp").alias("comp")), "near-components")
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, class_id, is_kept, n_words, n_links, class_docs) of every row of ``docs`` (doc_id, text).
-
-    class_id is the smallest doc_id of the row's class (null only if the class has
-    no other id); is_kept marks one row of each class, that with this id and, among
-    such, of the smallest text hash, n_links counts the different texts verified as
-    near its text.  Null texts are empty; all empty texts are one class; texts that
-    differ only in case, white space or outer punctuation of words are near.
-    Repeated rows are all returned and all but one row of a class are not kept.
-    Columns other than doc_id and text play no part.
+    """(doc_id, node, n_words, comp, class_id) of every row of ``docs`` (doc_id, text).
+
+    class_id is the smallest doc_id of the row's class (null only if the class has no
+    other id); node is the hash of the text and comp the smallest node of the class.
+    Null texts are empty; all empty texts are one class; texts that differ only in
+    case, white space or outer punctuation of words are near.  Repeated rows are all
+    returned.  Columns other than doc_id and text play no part.
     """
     base = texts_of(docs)
     sk = written(sketched(base), "near-sketches")
@@ -378,7 +395,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
                                    F.first("keys").alias("keys"))
     members = (nodes.filter("n_words > 0")
                .select("node", "n_words", "doc_id", F.posexplode("keys").alias("band", "key"))
-               .select("node", "n_words", "doc_id", F.xxhash64("band", "key").alias("bucket")))
+               .select("node", "n_words", "doc_id", "band", F.xxhash64("band", "key").alias("bucket")))
     members = written(members, "near-members")
     leaders = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("other"))
     # buckets of one text have no pair
@@ -398,35 +415,34 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
                      (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("first_id")))
            .select("node", "text"))
     words = written(one.mapInArrow(worded, "node binary, words array<long>, hist binary").dropDuplicates(["node"]), "near-words")
-    links = written(verified(star, words, similarity), "near-links")
-    comp = components(links)
+    star = written(star, "near-star")
+    smallest = star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    comp = written(components(verified(smallest, words, similarity)), "near-components")
+    ca, cb = comp.withColumnsRenamed({"node": "a", "comp": "ca"}), comp.withColumnsRenamed({"node": "b", "comp": "cb"})
+    apart = (star.join(smallest, ["a", "b"], "left_anti").join(ca, "a", "left").join(cb, "b", "left")
+             .filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
+    comp = joined(comp, verified(apart, words, similarity))
     # buckets that still hold several components: pairs between their components
     of = shared.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     mixed = of.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 < c1")
     open_members = written(of.join(mixed.select("bucket"), "bucket"), "near-open")
     # all have met their leader
-    rest = (open_members.filter("node > leader").select("bucket", "node", "comp", "n_words")
-            .join(words.select("node", "hist"), "node"))
-    more = verified(pairs_across(rest, similarity), words, similarity)
-    every = written(links.unionByName(more), "near-all-links")
-    comp = components(every)
-    ends = every.select(F.col("a").alias("node")).unionByName(every.select(F.col("b").alias("node")))
-    degree = ends.groupBy("node").agg(F.count("*").alias("n_links"))
-    classes = (comp.join(degree, "node").join(nodes.select("node", "doc_id"), "node"))
-    heads = classes.groupBy("comp").agg(F.min("doc_id").alias("class_id"))
-    # every class: (node, comp, class_id, n_links); texts without links are their own class
-    linked = classes.join(heads, "comp").select("node", "comp", "class_id", "n_links")
-    rows = (sk.select("doc_id", "node", "n_words").join(linked, "node", "left")
-            .join(nodes.select("node", F.col("doc_id").alias("own")), "node"))
-    rows = rows.select("doc_id", "node", "n_words", F.coalesce("comp", "node").alias("comp"),
-                       F.when(F.col("comp").isNull(), F.col("own")).otherwise(F.col("class_id")).alias("class_id"),
-                       F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
-    return rows
+    rest = (open_members.filter("node > leader").select("bucket", "band", "node", "comp", "n_words")
+            .join(words.select("node", "hist"), "node").join(nodes.select("node", "keys"), "node"))
+    comp = joined(comp, verified(pairs_across(rest, similarity), words, similarity))
+    ids = nodes.select("node", "doc_id")
+    heads = comp.join(ids, "node").groupBy("comp").agg(F.min("doc_id").alias("class_id"))
+    linked = comp.join(heads, "comp").select("node", "comp", "class_id")
+    # texts without links are their own class
+    whole = written(ids.join(linked, "node", "left").select(
+        "node", F.coalesce("comp", "node").alias("comp"),
+        F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id")), "near-classes")
+    return sk.select("doc_id", "node", "n_words").join(whole, "node")
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, class_id, n_words, n_links): one row for each row of ``docs``."""
-    return near_duplicates(docs, similarity).select("doc_id", "class_id", "n_words", "n_links")
+    """(doc_id, class_id, n_words): one row for each row of ``docs``."""
+    return near_duplicates(docs, similarity).select("doc_id", "class_id", "n_words")
 
 
 def representatives(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -98,7 +98,7 @@ def op7_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op8_order_minhash")
 def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's class of near-duplicates and its number of links."""
+    """Every document's class of near-duplicates."""
     return near_dup.classes(table(spark, sf_dir, "documents"))
 
 
