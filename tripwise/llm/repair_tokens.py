@@ -31,7 +31,9 @@ SHARD_IDS, MIN_PAIRS, ROUNDS = 1 << 20, 24, 12
 ROUND_SHARE = 1 / 8
 #: Encoded pieces a worker keeps, and as many words with marks.
 CACHE_PIECES = 1_000_000
-_MAGIC = b"RPG1"
+#: Symbols between two stored places of a shard.
+STRIDE = 1024
+_MAGIC, _HEAD = b"RPG2", "<QIIIB"
 _COUNT_BITS = 19
 
 
@@ -104,53 +106,53 @@ def expansions(rules: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, n
 
 
 def pack_shard(ids: np.ndarray) -> bytes:
-    """A shard: header, rules, symbols and their expansion lengths (narrow integers), deflated in parts."""
+    """A shard: header, rules, their expansion lengths, the ids before every ``STRIDE``-th symbol, the symbols.
+
+    Symbols take two bytes if there are at most 65,536 of them, else four.
+    """
     seq, rules, first = repair(ids)
     _, _, length = expansions(rules, first)
-    sizes = np.ones(len(seq), np.uint32)
+    sizes = np.ones(len(seq), np.int64)
     nonterminal = seq >= first
     sizes[nonterminal] = length[seq[nonterminal] - first]
-    parts = [rules.astype("<u4").tobytes(), seq.astype("<u4").tobytes(),
-             sizes.astype("<u2" if len(sizes) == 0 or sizes.max() < 1 << 16 else "<u4").tobytes()]
-    wide = 2 if len(parts[2]) == 2 * len(seq) else 4
-    packed = [zlib.compress(p, 1) for p in parts]
-    head = _MAGIC + struct.pack("<QIIIB", len(ids), first, len(rules), len(seq), wide)
-    return head + b"".join(struct.pack("<I", len(p)) for p in packed) + b"".join(packed)
+    before = (np.cumsum(sizes) - sizes)[::STRIDE]
+    wide = 2 if first + len(rules) <= 1 << 16 else 4
+    head = _MAGIC + struct.pack(_HEAD, len(ids), first, len(rules), len(seq), wide)
+    return b"".join([head, rules.astype("<u4").tobytes(), length.astype("<u4").tobytes(), before.astype("<u8").tobytes(),
+                     seq.astype(f"<u{wide}").tobytes()])
 
 
 class Shard:
-    """A packed shard, opened; ``ids(start, n)`` decodes a range of ids."""
+    """A packed shard, opened; ``ids(start, n)`` decodes a range of ids from the nearest stored place before it."""
 
     def __init__(self, data: bytes):
         if data[:4] != _MAGIC:
             raise ValueError("not a token shard")
-        self.n_ids, self.first, n_rules, n_seq, wide = struct.unpack_from("<QIIIB", data, 4)
-        at = 4 + struct.calcsize("<QIIIB")
-        lengths = struct.unpack_from("<III", data, at)
-        at += 12
-        parts = []
-        for n in lengths:
-            parts.append(zlib.decompress(data[at:at + n]))
-            at += n
-        rules = np.frombuffer(parts[0], "<u4").reshape(n_rules, 2)
-        self.seq = np.frombuffer(parts[1], "<u4")
-        self.ends = np.cumsum(np.frombuffer(parts[2], f"<u{wide}").astype(np.int64))
-        flat, start, length = expansions(rules, self.first)
+        self.n_ids, self.first, n_rules, n_seq, wide = struct.unpack_from(_HEAD, data, 4)
+        at = 4 + struct.calcsize(_HEAD)
+        rules = np.frombuffer(data, "<u4", 2 * n_rules, at).reshape(n_rules, 2)
+        at += 8 * n_rules
+        length = np.frombuffer(data, "<u4", n_rules, at).astype(np.int64)
+        at += 4 * n_rules
+        self.before = np.frombuffer(data, "<u8", -(-n_seq // STRIDE), at).astype(np.int64)
+        at += 8 * len(self.before)
+        self.seq = np.frombuffer(data, f"<u{wide}", n_seq, at)
+        flat, start, found = expansions(rules, self.first)
+        if len(data) != at + wide * n_seq or not np.array_equal(found, length):
+            raise ValueError("damaged token shard")
         # one table of ids: the terminals as themselves, then the expansions
         self.flat = np.concatenate([np.arange(self.first, dtype=np.uint32), flat])
         self.start = np.concatenate([np.arange(self.first), start + self.first])
         self.length = np.concatenate([np.ones(self.first, np.int64), length])
-        if len(self.seq) != n_seq or (self.ends[-1] if n_seq else 0) != self.n_ids:
-            raise ValueError("damaged token shard")
 
     def ids(self, start: int, n: int) -> np.ndarray:
         if n <= 0:
             return np.zeros(0, np.uint32)
-        low = int(np.searchsorted(self.ends, start, side="right"))
-        high = int(np.searchsorted(self.ends, start + n, side="left")) + 1
-        symbols = self.seq[low:high]
+        low = int(np.searchsorted(self.before, start, side="right")) - 1
+        high = int(np.searchsorted(self.before, start + n, side="left"))
+        symbols = self.seq[low * STRIDE:high * STRIDE]
         out = self.flat[ranges(self.start[symbols], self.length[symbols])]
-        skip = start - (int(self.ends[low - 1]) if low else 0)
+        skip = start - int(self.before[low])
         return out[skip:skip + n]
 
 
@@ -214,7 +216,10 @@ class Encoder:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _word(self, word: str) -> bytes:
-        shown = word.encode().decode("latin-1").translate(self.table)
+        if word.isascii():  # visible marks stand for themselves
+            shown = word.replace(" ", self.table[32]).replace("\n", self.table[10])
+        else:
+            shown = word.encode().decode("latin-1").translate(self.table)
         return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def _piece(self, piece: str) -> bytes:
