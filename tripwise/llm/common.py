@@ -11,7 +11,6 @@ import unicodedata
 import uuid
 import zipfile
 from collections.abc import Iterator
-from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -78,16 +77,24 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
             at = upto
 
 
-@lru_cache(maxsize=1 << 17)
 def word_form(raw: str) -> str:
-    """A token as the operators compare it: NFC, no punctuation at either end ('' if nothing is left)."""
+    """A token as the operators compare it: no marks at either end, NFC ('' if nothing is left)."""
     a, b = 0, len(raw)
-    while a < b and not raw[a].isalnum():
+    while a < b and unicodedata.category(raw[a])[0] not in "LN":
         a += 1
-    while b > a and not raw[b - 1].isalnum():
+    while b > a and unicodedata.category(raw[b - 1])[0] not in "LNM":
         b -= 1
-    form = raw[a:b]
-    return form if form.isascii() else unicodedata.normalize("NFC", form)
+    return unicodedata.normalize("NFC", raw[a:b])
+
+
+def _word_forms(raw: pa.Array) -> pa.Array:
+    """``word_form`` of many tokens; only tokens with combining marks need the normal form."""
+    bare = pc.replace_substring_regex(raw, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}\p{M}]+$", "")
+    marked = pc.match_substring_regex(bare, r"\p{M}")
+    if not pc.any(marked).as_py():
+        return bare
+    normal = [unicodedata.normalize("NFC", x) for x in bare.filter(marked).to_pylist()]
+    return pc.replace_with_mask(bare, marked, pa.array(normal, bare.type))
 
 
 class Words:
@@ -101,16 +108,16 @@ class Words:
         # a list array's offsets, whatever slice of its child it shows
         offsets = np.asarray(lists.offsets, dtype=np.int64)
         offsets = offsets - offsets[0]
-        enc = lists.flatten().dictionary_encode()
-        raw = enc.dictionary.to_pylist()
-        place: dict[str, int] = {}
-        to_form = np.fromiter((place.setdefault(word_form(x), len(place)) for x in raw), np.int64, len(raw))
-        codes = to_form[np.asarray(enc.indices, dtype=np.int64)] if len(raw) else np.zeros(0, np.int64)
-        if "" in place:
-            keep = codes != place[""]
+        tokens = lists.flatten().dictionary_encode()
+        shaped = _word_forms(tokens.dictionary).dictionary_encode()
+        to_form = np.asarray(shaped.indices, dtype=np.int64)
+        codes = to_form[np.asarray(tokens.indices, dtype=np.int64)] if len(to_form) else np.zeros(0, np.int64)
+        empty = pc.index(shaped.dictionary, pa.scalar("", shaped.dictionary.type)).as_py()
+        if empty >= 0:
+            keep = codes != empty
             before = np.concatenate([[0], np.cumsum(keep)])
             offsets, codes = before[offsets], codes[keep]
-        self.codes, self.offsets, self.forms = codes, offsets, list(place)
+        self.codes, self.offsets, self.forms = codes, offsets, shaped.dictionary.to_pylist()
 
     def hashes(self, seed: int = 0) -> np.ndarray:
         """A 64-bit hash of each word."""
