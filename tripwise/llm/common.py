@@ -24,7 +24,7 @@ import tripwise
 from tripwise.session import checkpoint_dir
 
 #: Texts are handled in slices of about so many characters, which bounds a task's memory.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 6 << 20
 
 
 _SHIPPED: set[str] = set()
