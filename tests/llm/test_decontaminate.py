@@ -79,3 +79,31 @@ def test_decontaminated_rows(spark):
     none = frame(spark, items, ITEMS).filter("false")
     assert dc.decontaminate(frame(spark, docs, DOCS), none).count() == 4
     assert dc.find_leaks(frame(spark, docs, DOCS).filter("false"), frame(spark, items, ITEMS)).count() == 0
+
+
+def test_edited_short_items_are_aligned_when_a_gram_is_left(spark):
+    rng = seeded(21)
+    items = [(i, prose(rng, rng.randint(10, 20)), 0) for i in range(30)]
+    # exact copies raise the counts of every gram of an item, edited ones lack some
+    docs = [(i, prose(rng, 20) + " " + t, 0, "") for i, t, _ in items]
+    docs += [(100 * (k + 1) + i, prose(rng, 25) + " " + edited(rng, t, max(1, len(t.split()) * share // 100)) + " "
+              + prose(rng, 15), 0, "") for k, share in enumerate((10, 15, 20, 25)) for i, t, _ in items]
+    # words 5 and 9 of 12 changed: one seed, in a stretch of four
+    one = "ash birch cedar dogwood elm fir gum hazel iris juniper kauri larch".split()
+    items.append((70, " ".join(one), 0))
+    docs.append((700, " ".join([*one[:4], "x", *one[5:8], "y", *one[9:]]), 0, ""))
+    docs.append((701, " ".join(one), 0, ""))
+    got = {(r.doc_id, r.item_id): r.score for r in
+           dc.find_leaks(frame(spark, docs, DOCS), frame(spark, items, ITEMS)).collect()}
+    forms = lambda t: [w for w in (_form(x) for x in t.lower().split()) if w]
+    want = {}
+    for d, text, *_ in docs:
+        a = forms(text)
+        grams = {tuple(a[j:j + 4]) for j in range(len(a) - 3)}
+        for i, t, _ in items:
+            b = forms(t)
+            s = local_score(a, b)
+            if s >= dc.MIN_SHARE * len(b) and any(tuple(b[j:j + 4]) in grams for j in range(len(b) - 3)):
+                want[(d, i)] = s
+    assert (700, 70) in want and len(want) > 100
+    assert got == want

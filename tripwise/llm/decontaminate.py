@@ -1,10 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds and Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds and Smith-Waterman alignment.
 
 Seeds are word n-grams of the test items.  A pass over the documents keeps the
 regions around places that may hold a seed (a Bloom filter of bounded size tells).
-Of every window of an item's n-grams only the rarest in the corpus is a seed, so each
-stretch of an item has one whatever its wording.  Regions and items that share a seed
-are aligned word by word; the local alignment's score decides, so edited and
+Every n-gram of an item is a seed, so any n equal words in a row lead to an alignment.
+Regions and items that share a seed are aligned word by word unless they have too few
+words in common for a leak; the local alignment's score decides, so edited and
 paraphrased copies count as well.
 """
 
@@ -14,13 +14,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripwise.llm.common import Words, gram_hashes, ranges, text_slices, written
 
-#: Words of a seed, n-grams of which the rarest is a seed.
-SEED_WORDS, RARITY_WINDOW = 4, 4
+#: Words of a seed.
+SEED_WORDS = 4
 #: An item is leaked if its alignment scores this share of its words, or so many words.
 MIN_SHARE, MIN_SCORE = 0.5, 40
 MATCH, MISMATCH, GAP = 1, -1, -1
@@ -219,15 +219,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_share: float = MIN_SHA
     found = regions(docs, bloom, sorted(stats["sizes"]) or [SEED_WORDS], reach)
     found = written(found.withColumn("region", F.monotonically_increasing_id()), "leak-regions")
     places = found.select("region", F.explode(F.array_distinct("grams")).alias("gram"))
-    # how many regions hold a gram, aggregated before the join
-    held = places.groupBy("gram").agg(F.count("*").alias("held"))
-    counted = grams.join(held, "gram", "left").withColumn("held", F.coalesce("held", F.lit(0)))
-    ahead = Window.partitionBy("item_no").orderBy("pos").rowsBetween(0, RARITY_WINDOW - 1)
-    rarest = F.min(F.struct("held", "gram")).over(ahead)
-    seeds = counted.select("item_no", rarest["gram"].alias("gram")).distinct()
+    seeds = grams.select("item_no", "gram").distinct()
     pairs = places.join(seeds, "gram").select("region", "item_no").distinct()
     both = (pairs.join(found.select("region", "doc_id", "start", "words"), "region")
             .join(items.select("item_no", "item_id", F.col("words").alias("item")), "item_no"))
+    # an alignment scores at most one for each word of the item that the region holds
+    shared = F.size(F.filter("item", lambda x: F.array_contains("words", x)))
+    both = both.filter((shared >= F.lit(min_share) * F.size("item")) | (shared >= min_score))
     hits = alignments(both).filter((F.col("score") >= F.lit(min_share) * F.col("item_words")) | (F.col("score") >= min_score))
     best = F.max(F.struct("score", "item_words", F.col("start_word"), F.col("end_word")))
     return hits.groupBy("doc_id", "item_id").agg(best.alias("m")).select("doc_id", "item_id", "m.*")
