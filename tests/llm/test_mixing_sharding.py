@@ -49,6 +49,34 @@ def test_period_equals_brute_force():
     assert [next(s for s in slots if t in slots[s]) for t in range(q)] == brute_edf(q, parts)
 
 
+@pytest.mark.parametrize("weights", [{"a": 1, "b": 1, "c": 1}, {"a": 0.7, "b": 0.2999, "c": 0.0001}])
+def test_deviation_from_the_given_weights_at_many_periods(weights):
+    q, parts = mixing.exact_quotas(weights)
+    total, n = sum(weights.values()), 40_000
+    have = dict.fromkeys(weights, 0)
+    for t, (s, i, slot) in enumerate(mixing.pfair(q, parts, dict.fromkeys(weights, n))):
+        if t == n:
+            break
+        assert (slot, i) == (t, have[s])
+        have[s] += 1
+        assert all(abs(have[x] - weights[x] / total * (t + 1)) < 1 + 1e-6 for x in weights), t
+
+
+def test_mix_keeps_exact_shares_over_many_slots(spark):
+    # thirds of 1024 parts are a block off after three periods
+    rows = [(i, "x" * 10, "abc"[i % 3], "x", 1, "p") for i in range(15_000)]
+    docs = frame(spark, rows, DDL)
+    for weights in (None, {"a": 1, "b": 1, "c": 1}):
+        got = mixing.mix(docs, weights=weights, block_bytes=10).select("slot", "source", "exact_mix").toPandas()
+        assert got.exact_mix.all() and sorted(got.slot) == list(range(15_000))
+        got = got.sort_values("slot")
+        for s in "abc":
+            assert ((got.source == s).cumsum() - (got.slot + 1) / 3).abs().max() < 1, s
+    # a row of no text after the last full block
+    tail = frame(spark, [*rows[:30], *((100 + i, "", "a", "x", 1, "p") for i in range(20))], DDL)
+    assert mixing.mix(tail, block_bytes=10).count() == 50
+
+
 def test_mix_places_every_row(spark):
     rows = rows_of() + EXTRA
     docs = frame(spark, rows, DDL)

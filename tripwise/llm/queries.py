@@ -82,7 +82,7 @@ def op5_warc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op6_pfair_mix")
 def op6_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's place in the mix of all sources (targets: their shares of the bytes)."""
+    """Every document's place in the mix of all sources (targets: their shares of the blocks)."""
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "source", F.octet_length("text").alias("mix_bytes"))
     return mixing.mix(docs).select("doc_id", "source", "block", "slot", "slot_bytes", "exact_mix")
