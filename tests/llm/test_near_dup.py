@@ -144,3 +144,31 @@ def test_chunked_pairs_and_histogram_bound(spark, monkeypatch):
         monkeypatch.setattr(nd, "CELL_ROWS", cell)
         got = sorted(tuple(sorted((r.a[0], r.b[0]), reverse=True)) for r in nd.pairs_across(members, 0.8).collect())
         assert got == want
+
+
+def test_recall_by_edit_rate(spark):
+    """Isolated pairs with scattered substitutions: of tiny texts all are found, of others nearly all."""
+    rng = seeded(31)
+    rows, pairs, at = [], {}, 0
+    for size, share, n in [(5, 20, 30), (6, 17, 30), (7, 15, 30), (9, 12, 30), (12, 17, 60), (20, 10, 60), (20, 20, 60),
+                           (30, 20, 60), (48, 20, 60), (50, 15, 60), (60, 12, 60), (150, 10, 60), (150, 15, 60)]:
+        for _ in range(n):
+            base = [f"w{rng.randrange(10 ** 9)}" for _ in range(size)]
+            other = list(base)
+            for x in rng.sample(range(size), max(1, size * share // 100)):
+                other[x] = f"v{rng.randrange(10 ** 9)}"
+            rows += [(at, " ".join(base), "n", 1), (at + 1, " ".join(other), "n", 1)]
+            pairs.setdefault((size, share), []).append(at)
+            at += 2
+    # a word less, at the border of the kinds of keys
+    for size in (5, 6, 9, 10, 41, 42, 50, 51, 52):
+        base = [f"w{rng.randrange(10 ** 9)}" for _ in range(size)]
+        rows += [(at, " ".join(base), "n", 1), (at + 1, " ".join(base[:2] + base[3:]), "n", 1)]
+        pairs[(size, 0)] = [at]
+        at += 2
+    of = {r.doc_id: r.class_id for r in nd.classes(frame(spark, rows, DDL)).collect()}
+    recall = {k: sum(of[i] == of[i + 1] for i in own) / len(own) for k, own in pairs.items()}
+    print(recall)
+    assert all(r == 1 for (size, share), r in recall.items() if size < 10 or not share), recall
+    assert min(recall.values()) >= 0.95, recall
+    assert len(set(of.values())) >= len(rows) / 2

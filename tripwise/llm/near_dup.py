@@ -1,9 +1,12 @@
 """Near-duplicate detection with Order MinHash and banded alignment.
 
-Each sketch takes the three smallest occurrence-labelled five-word shingles of a text
+Each sketch takes the three smallest occurrence-labelled three-word shingles of a text
 under its own hash and keeps their order in the text, so it depends on edit
-similarity and not only on the set of shingles.  Texts that agree in a sketch are
-candidates; a banded alignment of their words accepts those of edit similarity
+similarity and not only on the set of shingles.  Scattered edits leave short texts few
+whole shingles: texts of up to 50 words are sketched by four single words, and those of
+up to nine words, of which one may differ, also have a key for each word left out,
+which finds all their pairs.  Texts that agree in a key are candidates unless lengths or
+word histograms already show that they are not near; a banded alignment of their words accepts those of edit similarity
 1 - distance / longer length >= 0.8.  Classes are the connected components.
 
 Equal texts are one node from the start.  A text is first aligned with the smallest
@@ -22,13 +25,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripwise.llm.common import Words, gram_hashes, mix64, text_slices, written
+from tripwise.llm.common import Words, gram_hashes, mix64, ranges, text_slices, written
 
 #: Words of a shingle, shingles of a sketch, sketches of a text, and least similarity.
-SHINGLE, PICKS, SKETCHES, SIMILARITY = 5, 3, 40, 0.8
+SHINGLE, PICKS, SKETCHES, SIMILARITY = 3, 3, 60, 0.8
+#: Least words of a text with shingle sketches; least and most words of one with sketches of
+#: single words, and words of such a sketch; most words of a text with keys of words left out.
+#: Near texts have lengths within SIMILARITY, so each near pair has all its keys of one kind.
+LONG_WORDS, SHORT_WORDS, SHORT_PICKS, TINY_WORDS = 41, (8, 50), 4, 9
 _SEEDS = mix64(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _PLACE_BITS = np.uint64(26)
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Keys of a text: shingle sketches, word sketches, words left out (all of one band); those it lacks are _ABSENT.
+_TINY_BAND, _KEYS = 2 * SKETCHES, 2 * SKETCHES + TINY_WORDS + 1
+_ABSENT = -1
 
 
 def occurrence_hashes(hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -44,13 +54,14 @@ def occurrence_hashes(hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return out
 
 
-def sketches(words: np.ndarray, offsets: np.ndarray, n_sketches: int = SKETCHES) -> np.ndarray:
-    """(texts, sketches) keys; a text of fewer than five words has one shingle, of no word none (keys 0)."""
+def sketches(words: np.ndarray, offsets: np.ndarray, n_sketches: int = SKETCHES, shingle: int = SHINGLE,
+             n_picks: int = PICKS) -> np.ndarray:
+    """(texts, sketches) keys; a text of fewer words than a shingle has one shingle, of no word none (keys 0)."""
     n_docs = len(offsets) - 1
     counts = np.diff(offsets)
-    grams = gram_hashes(words, SHINGLE)
-    n_grams = np.maximum(counts - SHINGLE + 1, 0)
-    short = np.flatnonzero((counts > 0) & (counts < SHINGLE))
+    grams = gram_hashes(words, shingle)
+    n_grams = np.maximum(counts - shingle + 1, 0)
+    short = np.flatnonzero((counts > 0) & (counts < shingle))
     sizes = n_grams.copy()
     sizes[short] = 1
     starts = np.concatenate([[0], np.cumsum(sizes)])
@@ -75,8 +86,8 @@ def sketches(words: np.ndarray, offsets: np.ndarray, n_sketches: int = SKETCHES)
         v = labelled * _SEEDS[s]
         v ^= v >> np.uint64(29)
         v = (v & ~low) | (place & low)
-        picks = np.full((len(full), PICKS), len(flat), np.int64)
-        for j in range(PICKS):
+        picks = np.full((len(full), n_picks), len(flat), np.int64)
+        for j in range(n_picks):
             least = np.minimum.reduceat(v, heads)
             found = least != _MAX
             at = heads[found] + (least[found] & low).astype(np.int64)
@@ -85,12 +96,50 @@ def sketches(words: np.ndarray, offsets: np.ndarray, n_sketches: int = SKETCHES)
         picks.sort(axis=1)
         chosen = np.append(labelled, np.uint64(0))[picks]
         key = np.full(len(full), s + 1, np.uint64)
-        for j in range(PICKS):
+        for j in range(n_picks):
             key = mix64(key * np.uint64(31) + chosen[:, j])
         keys[full, s] = key
     return keys
 
 
+def tiny_keys(words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """(texts, TINY_WORDS + 1) keys of a text and of it without each one of its words.
+
+    Two texts within one edit have such a key in common; of fewer than five words only
+    equal words are near, or five that hold them.
+    """
+    counts = np.diff(offsets)
+    keys = np.full((len(counts), TINY_WORDS + 1), _MAX)
+    for n in range(1, TINY_WORDS + 1):
+        own = np.flatnonzero(counts == n)
+        if not len(own):
+            continue
+        w = words[offsets[own][:, None] + np.arange(n)]
+        for out in range(n + 1 if n >= 5 else 1):  # 0: none
+            key = np.full(len(own), 7, np.uint64)
+            for j in range(n):
+                if j + 1 != out:
+                    key = mix64(key * np.uint64(31) + w[:, j])
+            keys[own, out] = key
+    keys.sort(axis=1)
+    keys[:, 1:][keys[:, 1:] == keys[:, :-1]] = _MAX
+    return keys
+
+
+def text_keys(words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """(texts, _KEYS) keys of each text."""
+    counts = np.diff(offsets)
+    keys = np.full((len(counts), _KEYS), _MAX)
+    for at, low, high, shingle, n_picks in ((0, LONG_WORDS, None, SHINGLE, PICKS), (SKETCHES, *SHORT_WORDS, 1, SHORT_PICKS)):
+        own = np.flatnonzero((counts >= low) & (counts <= (high or counts.max(initial=0))))
+        if len(own):
+            flat = words[ranges(offsets[own], counts[own])]
+            ends = np.concatenate([[0], np.cumsum(counts[own])])
+            keys[own, at:at + SKETCHES] = sketches(flat, ends, SKETCHES, shingle, n_picks)
+    keys[:, _TINY_BAND:] = tiny_keys(words, offsets)
+    return keys
+
+
 def texts_of(docs: DataFrame) -> DataFrame:
     """(node, text) of each row: node is the md5 of the text (null: empty), equal for equal texts."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -103,8 +152,8 @@ def sketched(nodes: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in text_slices(batches):
             w = Words(texts)
-            keys = sketches(w.hashes(), w.offsets).view(np.int64)
-            lists = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, SKETCHES, dtype=np.int32), keys.ravel())
+            keys = text_keys(w.hashes(), w.offsets).view(np.int64)
+            lists = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, _KEYS, dtype=np.int32), keys.ravel())
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(w.counts, pa.int32()), lists],
                                              names=["doc_id", "node", "n_words", "keys"])
 
@@ -292,7 +341,7 @@ def pairs_across(members: DataFrame, similarity: float) -> DataFrame:
     members: (bucket, band, node, comp, n_words, keys, hist).  A bucket's rows are dealt
     over chunks of about ``CELL_ROWS``; each pair of chunks is one group, so no group
     grows with a bucket.  Only pairs that the word histograms allow leave it, and only
-    from the first bucket that both texts share.
+    from the first bucket that both texts share (or from those of words left out).
     """
     sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / F.lit(CELL_ROWS)).cast("int").alias("chunks"))
     dealt = members.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
@@ -313,7 +362,11 @@ def pairs_across(members: DataFrame, similarity: float) -> DataFrame:
         if len(row) and row[0] == col[0]:
             i, j = i[i < j], j[i < j]
         keys = np.asarray(group["keys"].combine_chunks().flatten(), np.int64).reshape(len(own), -1)
-        first = (keys[i] == keys[j]).argmax(1) == group["band"].to_numpy()[i]
+        band, first = group["band"].to_numpy(), np.zeros(len(i), bool)
+        for at in range(0, len(i), 1 << 16):
+            a, b = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
+            same = (keys[a] == keys[b]) & (keys[a] != _ABSENT)
+            first[at:at + (1 << 16)] = (same.argmax(1) == band[a]) | (band[a] == _TINY_BAND)
         i, j = i[first], j[first]
         return pa.table({"a": node.take(pa.array(i)), "b": node.take(pa.array(j))})
 
@@ -322,6 +375,24 @@ def pairs_across(members: DataFrame, similarity: float) -> DataFrame:
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
+def possible(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
+    """Those (a, b) node pairs whose word histograms allow the similarity; words: (node, hist, n_words)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            left, right = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, _BINS).astype(np.int16)
+                           for c in (2, 3))
+            limit = (1 - similarity) * np.maximum(b.column(4).to_numpy(), b.column(5).to_numpy()) + 1e-9
+            diff = right - left
+            more = np.maximum(diff, 0).sum(1)
+            keep = pa.array(np.flatnonzero(np.maximum(more, more - diff.sum(1)) <= limit))
+            yield pa.RecordBatch.from_arrays([b.column(0).take(keep), b.column(1).take(keep)], names=["a", "b"])
+
+    both = (pairs.join(words.select(F.col("node").alias("a"), F.col("hist").alias("ha"), F.col("n_words").alias("na")), "a")
+            .join(words.select(F.col("node").alias("b"), F.col("hist").alias("hb"), F.col("n_words").alias("nb")), "b"))
+    return both.select("a", "b", "ha", "hb", "na", "nb").mapInArrow(run, "a binary, b binary")
+
+
 def verified(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
     """Those (a, b) node pairs whose texts have the similarity; words: (node, words array<long>)."""
 
@@ -394,13 +465,16 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     nodes = sk.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
                                    F.first("keys").alias("keys"))
     members = (nodes.filter("n_words > 0")
-               .select("node", "n_words", "doc_id", F.posexplode("keys").alias("band", "key"))
+               .select("node", "n_words", "doc_id", F.posexplode("keys").alias("pos", "key"))
+               .filter(F.col("key") != _ABSENT).withColumn("band", F.least("pos", F.lit(_TINY_BAND)))
                .select("node", "n_words", "doc_id", "band", F.xxhash64("band", "key").alias("bucket")))
     members = written(members, "near-members")
-    leaders = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("other"))
+    leaders = members.groupBy("bucket").agg(F.min(F.struct("node", "n_words")).alias("l"), F.max("node").alias("other"))
+    leaders = leaders.select("bucket", F.col("l.node").alias("leader"), F.col("l.n_words").alias("leader_words"), "other")
     # buckets of one text have no pair
     shared = written(members.join(leaders.filter("leader < other").drop("other"), "bucket"), "near-buckets")
-    star = shared.filter("node > leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
+    near_length = F.least("n_words", "leader_words") >= similarity * F.greatest("n_words", "leader_words") - 1e-6
+    star = shared.filter("node > leader").filter(near_length).select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     # the words of candidate texts only: one row of documents for each
     wanted = shared.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
 
@@ -409,24 +483,25 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
             w = Words(texts)
             lists = pa.ListArray.from_arrays(w.offsets.astype(np.int32), w.hashes().view(np.int64))
             hist = pa.array([h.tobytes() for h in histograms(w.hashes(), w.offsets)], pa.binary())
-            yield pa.RecordBatch.from_arrays([rows.column(0), lists, hist], names=["node", "words", "hist"])
+            yield pa.RecordBatch.from_arrays([rows.column(0), lists, hist, pa.array(w.counts, pa.int32())],
+                                             names=["node", "words", "hist", "n_words"])
 
     one = (base.join(wanted.withColumnRenamed("doc_id", "first_id").withColumnRenamed("node", "n"),
                      (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("first_id")))
            .select("node", "text"))
-    words = written(one.mapInArrow(worded, "node binary, words array<long>, hist binary").dropDuplicates(["node"]), "near-words")
+    words = written(one.mapInArrow(worded, "node binary, words array<long>, hist binary, n_words int").dropDuplicates(["node"]), "near-words")
     star = written(star, "near-star")
     smallest = star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    comp = written(components(verified(smallest, words, similarity)), "near-components")
+    comp = written(components(verified(possible(smallest, words, similarity), words, similarity)), "near-components")
     ca, cb = comp.withColumnsRenamed({"node": "a", "comp": "ca"}), comp.withColumnsRenamed({"node": "b", "comp": "cb"})
     apart = (star.join(smallest, ["a", "b"], "left_anti").join(ca, "a", "left").join(cb, "b", "left")
              .filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
-    comp = joined(comp, verified(apart, words, similarity))
+    comp = joined(comp, verified(possible(apart, words, similarity), words, similarity))
     # buckets that still hold several components: pairs between their components
     of = shared.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    mixed = of.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 < c1")
+    # (all have met their leader, so between the others)
+    mixed = of.filter("node > leader").groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 < c1")
     open_members = written(of.join(mixed.select("bucket"), "bucket"), "near-open")
-    # all have met their leader
     rest = (open_members.filter("node > leader").select("bucket", "band", "node", "comp", "n_words")
             .join(words.select("node", "hist"), "node").join(nodes.select("node", "keys"), "node"))
     comp = joined(comp, verified(pairs_across(rest, similarity), words, similarity))
