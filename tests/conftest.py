@@ -8,8 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from tripwise.sources.telemetry import TRAIN_SCHEMA  # noqa: E402
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -27,22 +25,3 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
-
-
-ROW_FIELDS = [f.name for f in TRAIN_SCHEMA.fields] + ["seq"]
-ROW_DDL = ("terminalno bigint, time bigint, trip_id bigint, longitude double, latitude double, direction double, "
-           "height double, speed double, callstate int, y double, seq bigint")
-
-
-def telemetry(spark, rows):
-    """Rows as dicts (missing keys: defaults) -> cleaned telemetry frame."""
-    from tripwise.sources.telemetry import clean_telemetry
-
-    defaults = dict(terminalno=1, time=0, trip_id=1, longitude=113.9, latitude=22.5, direction=0.0, height=0.0,
-                    speed=0.0, callstate=0, y=0.0)
-    out = []
-    for i, r in enumerate(rows):
-        d = {**defaults, **r}
-        d.setdefault("seq", i)
-        out.append(tuple(d[c] for c in ROW_FIELDS))
-    return clean_telemetry(spark.createDataFrame(out, ROW_DDL))

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import telemetry
+from telemetry_rows import telemetry
 from tripwise.config import FeatureConfig
 from tripwise.operators import features as fx
 from tripwise.operators.rows import speed_diffs

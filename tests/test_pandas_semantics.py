@@ -6,7 +6,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from conftest import telemetry
+from telemetry_rows import telemetry
 from tripwise.config import ANCHOR_LAT, ANCHOR_LON, FeatureConfig
 from tripwise.operators import features as fx
 
