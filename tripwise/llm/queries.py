@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwise.llm import chat, decontaminate, mixing, near_dup, quality, repair_tokens, sharding, topk, toxicity, warc
+from tripwise.llm import chat, decontaminate, mixing, near_dup, negatives, quality, repair_tokens, sharding, topk, toxicity, warc
 from tripwise.llm.common import crc_fold, ship, table, written
 
 QUERIES: dict = {}
@@ -155,3 +155,28 @@ def op10_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five rows of largest inner product with every vector whose id is divisible by 50."""
     rows = topk.quantised(table(spark, sf_dir, "embeddings"))
     return topk.top_k(rows, rows.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
+@register("op11_cluster_negatives", """
+    WITH r AS (SELECT vec_id, label::BIGINT AS label, embedding FROM embeddings
+               WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+                 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c::DOUBLE))) = 0),
+    d AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY label, embedding) = 1),
+    v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                 list_transform(embedding, lambda c: floor(256 * c::DOUBLE)::BIGINT) AS x FROM d),
+    s AS (SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS alike,
+                 list_sum(list_transform(list_zip(a.x, r.x), lambda z: z[1] * z[2]))::BIGINT AS score
+          FROM v a JOIN v r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id AND len(a.x) = len(r.x)),
+    p AS (SELECT * FROM s WHERE alike QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, p.vec_id AS positive_id,
+           row_number() OVER (PARTITION BY anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id)::INT AS rank,
+           s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+    FROM p JOIN s USING (anchor_id)
+    WHERE NOT s.alike AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+    QUALIFY rank <= 5""")
+def op11_cluster_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five hard negatives for each of the five positives of every anchor (ids divisible by 100)."""
+    rows = negatives.integer_vectors(table(spark, sf_dir, "embeddings"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.withColumn("label", moved)
+    return negatives.mine(rows, rows.filter(F.col("vec_id") % 100 == 0))
