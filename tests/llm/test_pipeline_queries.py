@@ -1,7 +1,6 @@
 """The registered queries and the pipeline over the smallest tables."""
 
 import duckdb
-import pandas as pd
 import pytest
 from helpers import frame, prose, seeded
 
@@ -12,29 +11,21 @@ from tripwise.llm import queries
 SF = "/root/testdata/sf0.001"
 
 
-def same(got: pd.DataFrame, want: pd.DataFrame):
-    cols = sorted(want.columns)
-    assert sorted(got.columns) == cols
-    key = lambda d: sorted(map(str, d[cols].astype(object).where(d[cols].notna(), None).itertuples(index=False, name=None)))
-    assert key(got) == key(want)
-
-
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
     for t in ("documents", "embeddings", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
-    got = queries.QUERIES[name](spark, SF).toPandas()
-    want = con.execute(queries.ORACLE[name]).fetchdf()
-    for c in want.columns:
-        if str(want[c].dtype).startswith(("int", "float")):
-            got[c], want[c] = got[c].astype("Float64").astype("Int64"), want[c].astype("Float64").astype("Int64")
-    same(got, want)
+    got = queries.QUERIES[name](spark, SF)
+    want = con.execute(queries.ORACLE[name])
+    names = [c[0] for c in want.description]
+    assert sorted(names) == sorted(got.columns)
+    assert sorted(map(str, (tuple(r) for r in got.select(*names).collect()))) == sorted(map(str, want.fetchall()))
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = list(entry.queries())
-    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14)) and "pipeline" in names
 
 
 def test_pipeline_over_a_made_up_corpus(spark, tmp_path):

@@ -7,7 +7,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripwise.llm import chat, decontaminate, mixing, near_dup, negatives, quality, repair_tokens, sharding, topk, toxicity, warc
+from tripwise.llm import chat, decontaminate, licenses, mixing, near_dup, negatives, periodic, quality, repair_tokens, sharding, topk, toxicity, warc
 from tripwise.llm.common import crc_fold, ship, table, written
 
 QUERIES: dict = {}
@@ -180,3 +180,34 @@ def op11_cluster_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = rows.withColumn("label", moved)
     return negatives.mine(rows, rows.filter(F.col("vec_id") % 100 == 0))
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) by the contract: in every tenth document by hash the words from a on repeat the first p of them."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    words = F.when(h % 10 == 0, F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    rows = docs.select("doc_id", text.alias("text"), words.alias("w"), F.floor(h / 10).alias("g"))
+    rows = rows.withColumn("n", F.size("w")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    rows = rows.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    rest = F.col("n") - F.col("a")
+    again = F.flatten(F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int")))
+    made = F.concat_ws(" ", F.slice("w", F.lit(1), F.col("a")), F.slice(again, F.lit(1), rest))
+    return rows.select("doc_id", F.when(F.col("n") > 0, made).otherwise(F.col("text")).alias("text"))
+
+
+@register("op12_cover_runs")
+def op12_cover_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document, and the digest of its text without their repeats."""
+    found = periodic.find_runs(planted_periods(table(spark, sf_dir, "documents")))
+    line = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@register("op13_license_diagonals", licenses.oracle_sql())
+def op13_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every document."""
+    return licenses.summary(licenses.scan(table(spark, sf_dir, "documents")))
