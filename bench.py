@@ -103,7 +103,7 @@ def main() -> None:
         # as the jobs do: features materialised once, then fit and score
         ft = feature_tables(telemetry_from_dir(s, d), "61")
         model = md.fit_gbt(ft.train, fx.FEATURES_61, "y", md.XGB_BAG.with_rounds(50))
-        return md.predict(model, ft.test, fx.FEATURES_61)
+        return md.predict(model, ft.test)
 
     q = catalog.QUERIES
     bench = {

@@ -142,11 +142,34 @@ def test_shares_sum_to_one(spark):
         assert sum(r[d] for d in fx.WEEKDAYS) == pytest.approx(1.0)
 
 
-def test_fused_plan_has_three_exchanges(spark):
+def test_fused_plan_has_six_exchanges(spark):
+    """One of driver partials, two of trip partials, three behind the rows' speeds; the joins add none."""
+    import re
+
     df = fx.driver_features(telemetry(spark, _random_rows(50)), "61")
     plan = df._jdf.queryExecution().executedPlan().toString()  # initial adaptive plan, not executed
-    assert plan.count("Exchange hashpartitioning") <= 3
+    assert plan.count("Exchange hashpartitioning") <= 6
     assert "SortAggregate" not in plan
+    # the ordered window reads key, trip, time, seq and speed only
+    below = plan[plan.index("Window"):].split("Exchange hashpartitioning")
+    rows = next(x for x in below[1:] if "Aggregate" not in x.split("\n")[1])
+    assert not re.search("height|longitude|latitude|callstate|direction", rows.split("\n")[1])
+
+
+def test_trip_sketches_merge_and_hold_their_bound(spark):
+    rows = spark.range(60_000).select(
+        (F.col("id") % 3).alias("terminalno"), F.when(F.col("id") % 3 < 2, F.col("id") % 20_011).otherwise(F.col("id") % 50).alias("trip_id"))
+    rows = rows.unionByName(spark.createDataFrame([(7, None), (None, 5)], "terminalno bigint, trip_id bigint"))
+    exact = {r[0]: r[1] for r in rows.filter("terminalno is not null").groupBy("terminalno").agg(F.count_distinct("trip_id")).collect()}
+    halves = [fx.trip_sketches(rows.filter(F.coalesce(F.col("trip_id") % 2, F.lit(0)) == i)) for i in (0, 1)]
+    merged = {r["terminalno"]: r["num_of_trips_approx"] for r in fx.trips_approx(fx.merged_sketches(*halves)).collect()}
+    whole = {r["terminalno"]: r["num_of_trips_approx"] for r in fx.trips_approx(fx.trip_sketches(rows)).collect()}
+    assert merged.keys() == whole.keys() == exact.keys() and merged[7] == 0 and whole[2] == exact[2] == 50
+    for k, n in exact.items():
+        for got in (merged[k], whole[k]):
+            assert abs(got - n) <= 3 * fx.TRIP_SKETCH_ERROR * n
+    sizes = fx.trip_sketches(rows).select(F.max(F.length("trip_sketch"))).first()[0]
+    assert sizes < 5000
 
 
 def test_result_independent_of_partitioning(spark):

@@ -40,9 +40,9 @@ def test_ridge_matches_closed_form(spark, normalize):
 
 def test_gbt_deterministic_and_better_than_constant(spark):
     df, X, y = _data(spark)
-    p = md.XGB_BAG.with_rounds(15)
-    a = md.predict(md.fit_gbt(df, FEATS, "y", p), df, FEATS).orderBy("terminalno").collect()
-    b = md.predict(md.fit_gbt(df, FEATS, "y", p), df, FEATS).orderBy("terminalno").collect()
+    p = md.XGB_BAG.with_rounds(60)
+    a = md.predict(md.fit_gbt(df, FEATS, "y", p), df).orderBy("terminalno").collect()
+    b = md.predict(md.fit_gbt(df, FEATS, "y", p), df).orderBy("terminalno").collect()
     assert [r["pred"] for r in a] == [r["pred"] for r in b]
     pred = np.array([r["pred"] for r in a])
     assert np.sqrt(((pred - y) ** 2).mean()) < np.std(y)
@@ -54,8 +54,8 @@ def test_model_save_load_round_trip(spark, tmp_path):
     path = str(tmp_path / "m")
     sinks.save_model(model, path)
     again = sinks.load_model(path)
-    a = [r["pred"] for r in md.predict(model, df, FEATS).orderBy("terminalno").collect()]
-    b = [r["pred"] for r in md.predict(again, df, FEATS).orderBy("terminalno").collect()]
+    a = [r["pred"] for r in md.predict(model, df).orderBy("terminalno").collect()]
+    b = [r["pred"] for r in md.predict(again, df).orderBy("terminalno").collect()]
     assert a == b
 
 
@@ -100,7 +100,7 @@ def test_held_out_labels_do_not_change_a_fit(spark):
     flagged = md.with_validation(df, 0.3, seed=1)
     other = flagged.withColumn("y", F.when(F.col("is_valid"), F.lit(1000.0)).otherwise(F.col("y")))
     p = md.XGB_BAG.with_rounds(8)
-    rows = [[r["pred"] for r in md.predict(md.fit_gbt(d, FEATS, "y", p, validation="is_valid"), df, FEATS)
+    rows = [[r["pred"] for r in md.predict(md.fit_gbt(d, FEATS, "y", p, validation="is_valid"), df)
              .orderBy("terminalno").collect()] for d in (flagged, other)]
     assert rows[0] == rows[1]
 
@@ -112,38 +112,22 @@ def test_patience():
     assert md.stop_round([1.0], 10) == 1
 
 
-def test_first_trees_is_the_shorter_fit(spark):
-    df, _, _ = _data(spark)
-    long, short = (md.fit_gbt(df, FEATS, "y", md.XGB_BAG.with_rounds(n)) for n in (9, 4))
-    a, b = ([r["pred"] for r in md.predict(m, df, FEATS).orderBy("terminalno").collect()]
-            for m in (md.first_trees(long, 4), short))
-    assert a == pytest.approx(b, rel=1e-12)
-
-
-def test_early_stopping_uses_the_watch_loss(spark):
-    df, _, _ = _data(spark)
-    flagged = md.with_validation(df, 0.3, seed=1)
+def test_early_stopping_uses_the_watched_side(spark):
     from dataclasses import replace
 
-    p = replace(md.XGB_REFIT.with_rounds(60), eta=0.9)
-    model = md.fit_gbt(flagged, FEATS, "y", p, validation="is_valid")
-    whole = md.fit_gbt(flagged, FEATS, "y", replace(p, early_stop=False), validation="is_valid")
-    held = md.prepared(flagged.filter("is_valid"), FEATS)
-    losses = whole.stages[-1].evaluateEachIteration(whole.stages[0].transform(held).select("features", "y"), "squared")
-    assert model.stages[-1].getNumTrees == md.stop_round(losses) <= 60
-
-
-def test_grid_search_scores_every_number_of_rounds(spark):
     df, _, _ = _data(spark)
-    model, best = md.grid_search(df, FEATS, "y", md.XGB_BAG, grid={"rounds": [2, 12], "subsample": [1.0], "colsample": [1.0]})
-    assert best["maxIter"] == 12 and model.stages[-1].getNumTrees == 12
-    assert best["explained_variance"] > 0
+    flagged = md.with_validation(df, 0.3, seed=1)
+    p = replace(md.XGB_REFIT.with_rounds(80), eta=0.9)
+    whole = md.fit_gbt(flagged, FEATS, "y", replace(p, early_stop=False), validation="is_valid").stages[-1].booster
+    for watch in ("train", "held"):
+        model = md.fit_gbt(flagged, FEATS, "y", p, validation="is_valid", watch=watch)
+        assert model.stages[-1].getNumTrees == md.stop_round([x[watch]["rmse"] for x in whole.losses])
 
 
 def test_watch_list_has_mae(spark):
     df, X, y = _data(spark)
     model = md.fit_gbt(df, FEATS, "y", md.XGB_BAG.with_rounds(3))
-    rows = md.watch_list(model, {"all": df}, FEATS, "y")
-    pred = {r["terminalno"]: r["pred"] for r in md.predict(model, df, FEATS).collect()}
+    rows = md.watch_list(model)
+    pred = {r["terminalno"]: r["pred"] for r in md.predict(model, df).collect()}
     mae = np.mean([abs(pred[i] - y[i]) for i in range(len(y))])
     assert rows[-1][2] == pytest.approx(mae) and len(rows) == 3

@@ -43,12 +43,6 @@ def test_entry_contract(spark):
     assert len(qs) >= 60
 
 
-def _single_csv(path):
-    parts = glob.glob(os.path.join(path, "part-*.csv"))
-    assert len(parts) == 1
-    return open(parts[0]).read().strip().splitlines()
-
-
 def test_jobs_write_one_file_per_submission(spark, tmp_path):
     from tripwise.plans import submissions as jobs
     from tripwise.sources.telemetry import telemetry_from_dir
@@ -58,7 +52,7 @@ def test_jobs_write_one_file_per_submission(spark, tmp_path):
     jobs.knn_submission(t, k=5, out=str(tmp_path / "knn"))
     jobs.ridge_submission(t, 70, out=str(tmp_path / "ridge"))
     for name in ("knn", "ridge"):
-        lines = _single_csv(str(tmp_path / name))
+        lines = (tmp_path / name).read_text().strip().splitlines()
         assert lines[0] == "Id,Pred" and len(lines) == n_test + 1
 
 
@@ -135,3 +129,72 @@ def test_submission_in_several_files(spark, tmp_path):
     write_submission(preds.repartition(4), str(tmp_path / "many"), single_file=False)
     assert len(list((tmp_path / "one").glob("part-*"))) == 1
     assert spark.read.option("header", True).csv(str(tmp_path / "many")).count() == 100
+
+
+def test_committed_submission_replaces_the_old_file(spark, tmp_path):
+    path = tmp_path / "out" / "sub.csv"
+    preds = spark.createDataFrame([(1, 0.5), (2, 0.25), (2, 0.25)], "terminalno bigint, pred double")
+    assert sinks.commit_submission(preds, str(path)) == 2
+    assert sorted(path.read_text().split()) == ["1,0.5", "2,0.25", "Id,Pred"]
+    assert sinks.commit_submission(preds.limit(1), str(path)) == 1 and len(path.read_text().split()) == 2
+    assert sinks.commit_submission(preds.filter("false"), str(path)) == 0
+    assert [f.name for f in path.parent.iterdir() if not f.name.endswith(".crc")] == ["sub.csv"]
+
+
+def test_failed_submission_leaves_the_old_file(spark, tmp_path, monkeypatch):
+    import pytest
+
+    path = tmp_path / "sub.csv"
+    preds = spark.createDataFrame([(1, 0.5)], "terminalno bigint, pred double")
+    sinks.commit_submission(preds, str(path))
+    old = path.read_text()
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(sinks.files, "replace", killed)  # the job dies before the rename
+    with pytest.raises(KeyboardInterrupt):
+        sinks.commit_submission(preds.withColumn("pred", F.lit(9.0)), str(path))
+    monkeypatch.undo()
+    with pytest.raises(Exception, match="(?i)divi"):  # a task fails
+        sinks.commit_submission(preds.select("terminalno", F.expr("1D / (terminalno - 1)").alias("pred")), str(path))
+    assert path.read_text() == old
+    assert [f.name for f in tmp_path.iterdir() if not f.name.endswith(".crc")] == ["sub.csv"]
+
+
+def test_bad_lines_are_set_aside(spark, tmp_path):
+    import pytest
+
+    from tripwise.sources.telemetry import TooManyRejects, read_quarantined
+
+    src = tmp_path / "in"
+    src.mkdir()
+    good = "1,{},1,113.9,22.5,90,10.5,30.0,0,0.5\n"
+    bad = {3: "1,1,1,n/a,22.5,90,10.5,30.0,0,0.5\n", 6: "1,2,1,113.9\n", 8: "1,3,1,113.9,22.5,90,10.5,30.0,0,0.5,7\n",
+           9: "1,4,1,113.9,22.5,90,10.5,30.0,0.5,0.5\n"}
+    lines = [bad.get(i, good.format(100 + i)) for i in range(2, 12)]
+    (src / "a.csv").write_text(HEAD + "".join(lines))
+    (src / "b.csv").write_text(HEAD + "\n" + "".join(good.format(200 + i) for i in range(40)) + "2,300,1,,,,,NaN,,\n")
+    rows, rejects = read_quarantined(spark, str(src), str(tmp_path / "bad"), max_share=0.1)
+    got = sorted((r["file"].rsplit("/", 1)[1], r["record"], r["line"] + "\n") for r in rejects.collect())
+    assert got == [("a.csv", i, line) for i, line in bad.items()]
+    kept = rows.orderBy("seq").collect()
+    assert [r["time"] for r in kept] == [100 + i for i in range(2, 12) if i not in bad] + [200 + i for i in range(40)] + [300]
+    assert kept[-1]["longitude"] is None and kept[-1]["y"] is None and kept[0]["speed"] == 30.0
+    with pytest.raises(TooManyRejects, match="4 of 51"):
+        read_quarantined(spark, str(src), str(tmp_path / "bad2"), max_share=0.05)
+    assert spark.read.parquet(str(tmp_path / "bad2")).count() == 4  # they can be looked at
+    # a file cut into many splits keeps its line numbers
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    try:
+        rows, rejects = read_quarantined(spark, str(src), str(tmp_path / "bad3"), max_share=0.1)
+        assert sorted((r["file"].rsplit("/", 1)[1], r["record"], r["line"] + "\n") for r in rejects.collect()) == got
+        assert [r["time"] for r in rows.orderBy("seq").collect()] == [r["time"] for r in kept]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    # test files have no label; an empty file has no lines
+    (tmp_path / "t.csv").write_text("1,100,1,113.9,22.5,90,10.5,30.0,0\n")
+    (tmp_path / "none.csv").write_text("")
+    rows, rejects = read_quarantined(spark, str(tmp_path / "t.csv"), str(tmp_path / "bad4"), labelled=False, header=False)
+    assert rows.count() == 1 and rows.first()["y"] is None and rejects.count() == 0
+    assert [d.count() for d in read_quarantined(spark, str(tmp_path / "none.csv"), str(tmp_path / "bad5"))] == [0, 0]

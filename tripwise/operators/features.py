@@ -17,7 +17,10 @@ every block only contributes aggregate expressions to a single chain:
   over many tasks.  Partial aggregation absorbs a driver holding many rows.
 
 Each output names the partial families it needs, and only those are built, so
-a two-column block runs a two-column chain.  Aggregates are written as SQL
+a two-column block runs a two-column chain.  What needs the order of the rows (the speed
+difference) moves rows, with the five columns it reads; what needs trips moves trip
+partials and everything else driver partials, both combined before their exchange.  The
+three chains meet on the driver.  Aggregates are written as SQL
 expression strings: one JVM call each, all evaluated inside whole-stage codegen.
 """
 
@@ -94,6 +97,11 @@ ALL_FAMILIES = frozenset({"rows", "calls", "hours", "wd", "ymax", "seq", "first"
                          | {f"{p}_sum" for p in _SUMMED} | {f"{p}_ext" for p in _EXTREMES})
 
 
+#: Size of the distinct-trip sketches (2^k registers) and the relative standard error that it gives.
+TRIP_SKETCH_LOG2 = 12
+TRIP_SKETCH_ERROR = 1.04 / 2 ** (TRIP_SKETCH_LOG2 / 2)
+
+
 def _moments_unit(p: str, x: str) -> list[str]:
     return [f"count({x}) AS {p}_n", f"avg({x}) AS {p}_mean",
             f"coalesce(var_pop({x}) * count({x}), 0D) AS {p}_m2"]
@@ -133,6 +141,8 @@ def _family_unit(fam: str) -> list[str]:
         return ["max(wd) AS wd_max"]
     if fam == "ymax":
         return ["max(y) AS y_max"]
+    if fam == "tripset":
+        return [f"hll_sketch_agg({TRIP}, {TRIP_SKETCH_LOG2}) AS trip_sketch"]
     if fam == "seq":
         return ["min(seq) AS seq_min"]
     if fam == "first":
@@ -163,6 +173,8 @@ def _family_merge(fam: str) -> list[str]:
         return ["max(wd_max) AS wd_max"]
     if fam == "ymax":
         return ["max(y_max) AS y_max"]
+    if fam == "tripset":
+        return ["hll_union_agg(trip_sketch) AS trip_sketch"]
     if fam == "seq":
         return ["min(seq_min) AS seq_min"]
     if fam == "first":
@@ -223,6 +235,7 @@ def _outputs(cfg: FeatureConfig) -> dict[str, tuple[set[str], str]]:
         "time_duration_max": ({"tim_ext"}, f"max({duration})"),
         "time_duration_mean": ({"tim_ext"}, f"avg({duration})"),
         "num_of_trips": (set(), f"count({TRIP})"),
+        "num_of_trips_approx": ({"tripset"}, "hll_sketch_estimate(hll_union_agg(trip_sketch))"),
         "num_of_records": ({"rows"}, "sum(n_rows)"),
         "y": ({"ymax"}, "max(y_max)"),
         "y_mean": ({"y_sum"}, _mean("y")),
@@ -388,6 +401,21 @@ def driver_statistics(
     unknown = [c for c in columns if c not in outputs]
     if unknown:
         raise ValueError(f"unknown driver statistics: {unknown}")
+    levels = [[c for c in columns if _level(c, outputs) == n] for n in range(3)]
+    chains = [_chain(df, own, outputs, cfg) for own in levels if own]
+    out = chains[0]
+    for more in chains[1:]:  # the same drivers on every side, partitioned alike
+        out = out.join(more, group_keys(df))
+    return out.select(*group_keys(df), *columns)
+
+
+def _level(column: str, outputs: dict[str, tuple[set[str], str]]) -> int:
+    """What a statistic needs of the rows: 0 sums over a driver, 1 sums over a trip, 2 the order of a trip's rows."""
+    return 2 if "acc" in outputs[column][0] else 1 if column in NEEDS_TRIPS else 0
+
+
+def _chain(df: DataFrame, columns: Sequence[str], outputs: dict[str, tuple[set[str], str]], cfg: FeatureConfig) -> DataFrame:
+    """The aggregation chain of statistics of one level, with the columns and partials they need and no others."""
     families = set().union(*(outputs[c][0] for c in columns))
     keys = group_keys(df)
     final = [F.expr(f"{outputs[c][1]} AS `{c}`") for c in columns]
@@ -428,6 +456,31 @@ def driver_features(
     return driver_statistics(df, cols + extra, cfg)
 
 
+def trip_sketches(df: DataFrame) -> DataFrame:
+    """A13 as a mergeable sketch: one row per driver with ``trip_sketch``, an HLL sketch of its trip ids.
+
+    At most some 2^k bytes a driver whatever its trips, and sketches of different days,
+    regions or streams merge (``merged_sketches``) without the rows.  One exchange of partial
+    sketches; rows without a trip count none.
+    """
+    return df.filter(F.col(KEY).isNotNull()).groupBy(*group_keys(df)).agg(
+        F.hll_sketch_agg(F.col(TRIP).cast("bigint"), TRIP_SKETCH_LOG2).alias("trip_sketch"))
+
+
+def merged_sketches(*sketches: DataFrame) -> DataFrame:
+    """The drivers' sketches over all of ``sketches``."""
+    every = sketches[0]
+    for s in sketches[1:]:
+        every = every.unionByName(s)
+    return every.groupBy(*group_keys(every)).agg(F.hll_union_agg("trip_sketch").alias("trip_sketch"))
+
+
+def trips_approx(sketches: DataFrame) -> DataFrame:
+    """(keys, num_of_trips_approx): estimates within three standard errors (3 * TRIP_SKETCH_ERROR) of the exact count
+    in all but some 0.3 % of cases; small counts are exact."""
+    return sketches.select(*group_keys(sketches), F.hll_sketch_estimate("trip_sketch").alias("num_of_trips_approx"))
+
+
 def trip_table(df: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> DataFrame:
     """A4: one row per trip: rows, direction and height variance (0 for < 2 values),
     duration (max - min TIME) and the trip's weekday (max over its rows)."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -21,11 +21,14 @@ def regression_metrics(df: DataFrame, label: str = "y", pred: str = "pred") -> D
         F.count(F.lit(1)).alias("n"),
         F.avg(F.abs(err)).alias("mae"),
         F.sqrt(F.avg(err * err)).alias("rmse"),
-        _explained_variance(F.var_pop(err), F.var_pop(y)).alias("explained_variance"),
+        explained_variance(label, pred).alias("explained_variance"),
     )
 
 
-def _explained_variance(var_err, var_y):
+def explained_variance(label: str, pred: str) -> Column:
+    """E3 as an aggregate: 1 - var(y - p) / var(y)."""
+    y = F.col(label)
+    var_err, var_y = F.var_pop(y - F.col(pred)), F.var_pop(y)
     return (F.when(var_y > 0, F.lit(1.0) - var_err / var_y)
             .when(var_err == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
 
@@ -57,8 +60,8 @@ class ExplainedVarianceEvaluator(Evaluator):
         self._set(labelCol=labelCol, predictionCol=predictionCol)
 
     def _evaluate(self, dataset: DataFrame) -> float:
-        y, p = F.col(self.getOrDefault(self.labelCol)), F.col(self.getOrDefault(self.predictionCol))
-        row = dataset.agg(_explained_variance(F.var_pop(y - p), F.var_pop(y)).alias("ev")).first()
+        found = explained_variance(self.getOrDefault(self.labelCol), self.getOrDefault(self.predictionCol))
+        row = dataset.agg(found.alias("ev")).first()
         return float("nan") if row["ev"] is None else float(row["ev"])
 
     def isLargerBetter(self) -> bool:

@@ -1,132 +1,59 @@
-"""Regression models on the driver table with Spark ML.
+"""Regression models on the driver table.
 
-Boosted trees map onto ``GBTRegressor`` (squared loss); the original boosting
-libraries' leaf-wise growth, L1/L2 leaf penalties, dart and positive-class
-weights have no Spark counterpart and are dropped (see README).  Ridge maps onto
-``LinearRegression`` with the regParam that reproduces the closed form.
-Iterations of a GBT fit are sequential Spark jobs; each one is distributed.
+Boosted trees are grown by ``boosting`` (residual sums merged by Spark, many fits in one
+pass).  Ridge maps onto ``LinearRegression`` with the regParam that reproduces the
+closed form.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import replace
+from itertools import product
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripwise.operators.metrics import ExplainedVarianceEvaluator
-
-
-@dataclass(frozen=True)
-class BoostParams:
-    """One boosted-tree configuration, in the original's vocabulary."""
-
-    rounds: int
-    eta: float
-    max_depth: int
-    min_child: int = 1
-    subsample: float = 1.0
-    colsample: float = 1.0
-    max_bin: int = 32
-    min_gain: float = 0.0
-    early_stop: bool = False
-    seed: int = 0
-
-    def with_rounds(self, rounds: int) -> "BoostParams":
-        return replace(self, rounds=rounds)
-
-
-# Parameter sets of the original scripts (rounds, learning rate,
-# depth or leaf count mapped to depth, min child size, row / column sampling, least
-# split gain).  XGB_BAG is also the selection job's set.  PATIENCE is the rounds without
-# a better hold-out loss after which the early-stopping sets stop.
-PATIENCE = 10
-XGB_REFIT = BoostParams(rounds=1000, eta=0.05, max_depth=3, min_child=5, subsample=0.8, colsample=0.5,
-                        early_stop=True)
-XGB_LAYER1 = BoostParams(rounds=1000, eta=0.01, max_depth=3, min_child=5, subsample=1.0, colsample=0.6,
-                         min_gain=1.0, early_stop=True)
-XGB_BAG = BoostParams(rounds=200, eta=0.01, max_depth=3, min_child=5, subsample=1.0, colsample=0.8)
-XGB_SKLEARN = BoostParams(rounds=200, eta=0.01, max_depth=3, min_child=4, subsample=0.8, colsample=0.8)
-LGB_LEAVES5 = BoostParams(rounds=300, eta=0.01, max_depth=3, min_child=6, subsample=0.8, colsample=0.8, seed=9)
-LGB_REGRESSOR = BoostParams(rounds=720, eta=0.01, max_depth=3, min_child=6, subsample=0.8, colsample=0.2319,
-                            max_bin=55, seed=9)
-BASELINE_XGB = BoostParams(rounds=800, eta=0.009, max_depth=3, min_child=5, subsample=0.65, colsample=0.35,
-                           min_gain=0.1, seed=1123)
-
-
-def assembler(features: Sequence[str], out: str = "features") -> VectorAssembler:
-    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep")
-
-
-def prepared(df: DataFrame, features: Sequence[str], fill: float = 0.0) -> DataFrame:
-    """Missing feature values -> ``fill`` (Spark trees take no missing values)."""
-    return df.fillna(fill, subset=list(features))
-
-
-def gbt(params: BoostParams, label: str = "label") -> GBTRegressor:
-    return GBTRegressor(
-        featuresCol="features", labelCol=label, predictionCol="prediction", lossType="squared",
-        maxIter=params.rounds, stepSize=params.eta, maxDepth=params.max_depth,
-        minInstancesPerNode=params.min_child, subsamplingRate=params.subsample, minInfoGain=params.min_gain,
-        featureSubsetStrategy=str(params.colsample) if params.colsample < 1.0 else "all",
-        maxBins=params.max_bin, seed=params.seed, cacheNodeIds=False,
-    )
-
-
-def stop_round(losses: Sequence[float], patience: int = PATIENCE) -> int:
-    """M9: the round (1-based) at which no loss of the last ``patience`` rounds was better than before.
-
-    The original predicts with all trees up to that round, not up to the best one.
-    """
-    best, at = float("inf"), 0
-    for i, loss in enumerate(losses, 1):
-        if loss < best:
-            best, at = loss, i
-        elif i - at >= patience:
-            return i
-    return len(losses)
-
-
-def first_trees(model: PipelineModel, n: int) -> PipelineModel:
-    """The model of the first ``n`` boosting rounds of a fitted one (a fit of n rounds, same seed)."""
-    from pyspark import SparkContext
-
-    whole = model.stages[-1]._java_obj
-    trees, weights = whole.trees(), whole.treeWeights()
-    if n >= len(trees):
-        return model
-    gateway = SparkContext._active_spark_context._gateway
-    ml = gateway.jvm.org.apache.spark.ml.regression
-    some = gateway.new_array(ml.DecisionTreeRegressionModel, n)
-    parts = gateway.new_array(gateway.jvm.double, n)
-    for i in range(n):
-        some[i], parts[i] = trees[i], weights[i]
-    cut = ml.GBTRegressionModel(whole.uid(), some, parts, whole.numFeatures())
-    for name in ("featuresCol", "predictionCol", "labelCol"):
-        cut.set(name, whole.getOrDefault(whole.getParam(name)))
-    return PipelineModel(stages=[*model.stages[:-1], GBTRegressionModel(cut)])
+from tripwise.operators import boosting
+from tripwise.operators.boosting import PATIENCE, BoostParams, Fit, stop_round  # noqa: F401
+from tripwise.operators.metrics import explained_variance
+from tripwise.operators.stages import BoostedTrees, Features
+
+# Parameter sets of the original scripts (rounds, learning rate, depth or
+# leaf count, least rows of a child, row / column sampling, penalties, least split gain).
+# XGB_BAG is also the selection job's set.  Where a library's default applies it is that
+# library's: base 0.5 and L2 1, or the mean label and no penalty.
+XGB_REFIT = BoostParams(rounds=1000, eta=0.05, min_child=5, subsample=0.8, colsample=0.5, l1=1.0, l2=2.0, early_stop=True)
+XGB_LAYER1 = BoostParams(rounds=1000, eta=0.01, min_child=5, colsample=0.6, l2=2.0, min_gain=1.0, early_stop=True)
+XGB_BAG = BoostParams(rounds=200, eta=0.01, min_child=5, colsample=0.8, l1=1.0, l2=2.0)
+XGB_SKLEARN = BoostParams(rounds=200, eta=0.01, min_child=4, subsample=0.8, colsample=0.8)
+XGB_GRID = BoostParams(rounds=350, eta=0.01, min_child=5)
+LGB_LEAVES5 = BoostParams(rounds=300, eta=0.01, max_leaves=5, min_child=11, subsample=0.8, resample_every=5, colsample=0.8,
+                          l2=0.0, base=None, seed=9)
+LGB_REGRESSOR = BoostParams(rounds=720, eta=0.01, max_leaves=5, min_child=11, subsample=0.8, resample_every=5,
+                            colsample=0.2319, max_bin=55, l2=0.0, base=None, seed=9)
+BASELINE_XGB = BoostParams(rounds=800, eta=0.009, min_child=5, subsample=0.65, colsample=0.35, min_gain=0.1, seed=1123)
+# The grid of the original's search.
+GRID = {"rounds": [150, 200, 250, 300, 350], "subsample": [0.7, 0.8, 0.9, 1.0], "colsample": [0.7, 0.8, 0.9, 1.0]}
+
+
+def assembler(features: Sequence[str], out: str = "features") -> Features:
+    return Features(features, out)
 
 
 def fit_gbt(train: DataFrame, features: Sequence[str], label: str, params: BoostParams,
-            validation: str | None = None) -> PipelineModel:
-    """Fit assembler + GBT on the rows whose ``validation`` flag is not true.
+            validation: str | None = None, watch: str = "train", key: str = "terminalno",
+            state: str | None = None) -> PipelineModel:
+    """Fit boosted trees on the rows whose ``validation`` flag is not true; missing features count as 0.
 
-    The flagged rows only watch: with ``early_stop`` their per-round loss decides how
-    many of the fitted rounds the model keeps (patience ``PATIENCE``).
+    The flagged rows only watch.  With ``early_stop`` the loss on ``watch`` decides the
+    round to stop at: "train" as in the original, whose watch list ends with the training
+    rows, or "held".
     """
-    data = prepared(train, features)
-    part = data.filter(~F.col(validation)) if validation else data
-    model = Pipeline(stages=[assembler(features), gbt(params, label)]).fit(part)
-    if validation and params.early_stop:
-        held = model.stages[0].transform(data.filter(F.col(validation))).select("features", label)
-        if not held.isEmpty():
-            losses = model.stages[-1].evaluateEachIteration(held, "squared")
-            model = first_trees(model, stop_round(losses))
-    return model
+    trees = BoostedTrees(params, labelCol=label, keyCol=key, holdCol=validation or "", watch=watch, state=state or "")
+    return Pipeline(stages=[assembler(features), trees]).fit(train)
 
 
 def ridge(train: DataFrame, features: Sequence[str], label: str, alpha: float = 1.0,
@@ -137,7 +64,7 @@ def ridge(train: DataFrame, features: Sequence[str], label: str, alpha: float =
     normalize=True (features scaled by their centred norm): regParam = alpha * sd(y)
     with standardisation.  sd is the population standard deviation of the label.
     """
-    data = prepared(train, features).filter(F.col(label).isNotNull())
+    data = train.filter(F.col(label).isNotNull())
     st = data.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(label).alias("sd")).first()
     sd = st["sd"] or 0.0
     reg = alpha * sd if normalize else alpha * sd / max(st["n"], 1)
@@ -147,10 +74,9 @@ def ridge(train: DataFrame, features: Sequence[str], label: str, alpha: float =
     return Pipeline(stages=[assembler(features), lr]).fit(data)
 
 
-def predict(model: PipelineModel, df: DataFrame, features: Sequence[str], key: str = "terminalno",
-            out: str = "pred") -> DataFrame:
+def predict(model: PipelineModel, df: DataFrame, key: str = "terminalno", out: str = "pred") -> DataFrame:
     """Score ``df``; output (key, out)."""
-    return model.transform(prepared(df, features)).select(key, F.col("prediction").alias(out))
+    return model.transform(df).select(key, F.col("prediction").alias(out))
 
 
 def with_validation(df: DataFrame, fraction: float, seed: int, key: str = "terminalno",
@@ -161,57 +87,56 @@ def with_validation(df: DataFrame, fraction: float, seed: int, key: str = "termi
     return holdout_split(df, fraction=fraction, seed=seed, key=key, out=out)
 
 
-def grid_search(train: DataFrame, features: Sequence[str], label: str, base: BoostParams,
-                grid: dict[str, list] | None = None, folds: int = 3, parallelism: int = 2,
-                seed: int = 0, key: str = "terminalno") -> tuple[PipelineModel, dict]:
-    """Cross-validated grid search scored by explained variance.
+def grid_scores(train: DataFrame, features: Sequence[str], label: str, base: BoostParams = XGB_GRID,
+                grid: dict[str, list] | None = None, folds: int = 3, seed: int = 0, key: str = "terminalno") -> DataFrame:
+    """(rounds, subsample, colsample, explained_variance, candidate) of every candidate of the grid.
 
-    Default grid (the original's): rounds x row sampling x column sampling,
-    5 x 4 x 4 = 80 candidates.  Boosting is sequential, so a fit of the most rounds
-    holds those of fewer: each sampling pair is fitted once a fold (48 fits, not 240)
-    and scored at every number of rounds.  Folds are by hash of the key.  Returns the
-    refitted best model and its parameters.
+    The score is the mean over the folds (by hash of the key) of the explained variance
+    on the held fold.  Boosting is sequential, so a fit of the most rounds holds those of
+    fewer: each sampling pair is fitted once a fold, all of them jointly (48 fits share
+    every pass), and one scoring pass gives a held driver's predictions after every
+    number of rounds.  ``candidate`` is the place in the grid's order.
     """
-    from concurrent.futures import ThreadPoolExecutor
-
     from tripwise.operators.split import HOLDOUT_BUCKETS, hash_bucket
 
-    grid = grid or {"rounds": [150, 200, 250, 300, 350], "subsample": [0.7, 0.8, 0.9, 1.0],
-                    "colsample": [0.7, 0.8, 0.9, 1.0]}
-    data = prepared(train, features).withColumn(
-        "_fold", F.floor(hash_bucket(key, seed) * folds / F.lit(HOLDOUT_BUCKETS)))
-    evaluator = ExplainedVarianceEvaluator(labelCol=label)
-    pairs = [(s, c) for s in grid["subsample"] for c in grid["colsample"]]
-
-    def scores(job: tuple[float, float, int]) -> list[float]:
-        s, c, fold = job
-        params = replace(base, rounds=max(grid["rounds"]), subsample=s, colsample=c)
-        model = fit_gbt(data.filter(F.col("_fold") != fold), features, label, params)
-        held = data.filter(F.col("_fold") == fold)
-        return [evaluator.evaluate(first_trees(model, r).transform(held)) for r in grid["rounds"]]
-
-    jobs = [(s, c, f) for s, c in pairs for f in range(folds)]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        found = dict(zip(jobs, pool.map(scores, jobs), strict=True))
-    mean = {(r, s, c): sum(found[s, c, f][i] for f in range(folds)) / folds
-            for s, c in pairs for i, r in enumerate(grid["rounds"])}
-    r, s, c = max(mean, key=lambda x: mean[x])
-    best = fit_gbt(train, features, label, replace(base, rounds=r, subsample=s, colsample=c))
-    return best, {"maxIter": r, "subsamplingRate": s, "featureSubsetStrategy": str(c) if c < 1.0 else "all",
-                  "explained_variance": mean[r, s, c]}
-
-
-def watch_list(model: PipelineModel, sets: dict[str, DataFrame], features: Sequence[str], label: str,
-               loss: str = "absolute") -> list[tuple[int, str, float]]:
-    """Loss after every boosting round on each named set (e.g. train and valid); the original watches MAE.
-
-    ``GBTRegressionModel.evaluateEachIteration`` runs one distributed pass per set;
-    only ``rounds`` numbers per set come back.
+    grid = grid or GRID
+    rounds = sorted(grid["rounds"])
+    pairs = list(product(grid["subsample"], grid["colsample"]))
+    data = assembler(features).transform(train.filter(F.col(label).isNotNull())).select(
+        key, F.col(label).cast("double").alias("_y"), "features",
+        F.floor(hash_bucket(key, seed) * folds / F.lit(HOLDOUT_BUCKETS)).cast("int").alias("_fold"))
+    fits = [Fit(replace(base, rounds=rounds[-1], subsample=s, colsample=c), hold=f) for f in range(folds) for s, c in pairs]
+    boosters = boosting.boost(data, fits, label="_y", key=key, part="_fold")
+    x = boosting.features_array(data, "features")
+    # only the models that have not seen the fold score it
+    held = None
+    for f in range(folds):
+        score = boosting.staged_predictions(boosters[f * len(pairs):(f + 1) * len(pairs)], rounds)
+        one = data.filter(F.col("_fold") == f).select("_fold", "_y", F.posexplode(score(x)).alias("i", "p"))
+        held = one if held is None else held.unionByName(one)
+    by_fold = held.groupBy("_fold", "i").agg(explained_variance("_y", "p").alias("ev"))
+    scores = by_fold.groupBy("i").agg(F.avg("ev").alias("explained_variance"))
+    order = [(r, s, c) for r in grid["rounds"] for s in grid["subsample"] for c in grid["colsample"]]
+    named = [(pairs.index((s, c)) * len(rounds) + rounds.index(r), r, float(s), float(c), n) for n, (r, s, c) in enumerate(order)]
+    # one row a candidate
+    table = train.sparkSession.createDataFrame(named, "i int, rounds int, subsample double, colsample double, candidate int")
+    return table.join(scores, "i", "left").select("rounds", "subsample", "colsample", "explained_variance", "candidate")
+
+
+def grid_search(train: DataFrame, features: Sequence[str], label: str, base: BoostParams = XGB_GRID,
+                grid: dict[str, list] | None = None, folds: int = 3, seed: int = 0,
+                key: str = "terminalno") -> tuple[PipelineModel, dict]:
+    """The refitted model of the best candidate (ties: first in the grid) and its parameters."""
+    best = (grid_scores(train, features, label, base, grid, folds, seed, key)
+            .orderBy(F.col("explained_variance").desc_nulls_last(), "candidate").first())
+    params = replace(base, rounds=best["rounds"], subsample=best["subsample"], colsample=best["colsample"])
+    return fit_gbt(train, features, label, params, key=key), best.asDict()
+
+
+def watch_list(model: PipelineModel, loss: str = "mae") -> list[tuple[int, str, float]]:
+    """(round, side, loss) after every boosting round on the fitted and the held rows; the original watches MAE.
+
+    The losses come with the fit: each block of rounds sums them as it writes its margins.
     """
-    gbt_model = model.stages[-1]
-    out = []
-    for name, df in sets.items():
-        assembled = model.stages[0].transform(prepared(df, features))
-        losses = gbt_model.evaluateEachIteration(assembled.select("features", label), loss)
-        out += [(i + 1, name, float(v)) for i, v in enumerate(losses)]
-    return out
+    found = model.stages[-1].booster.losses
+    return [(i, side, x[side][loss]) for side in ("train", "held") for i, x in enumerate(found, 1) if x[side][loss] is not None]

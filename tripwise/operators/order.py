@@ -61,6 +61,27 @@ def global_rank(df: DataFrame, order: Sequence[str], out: str = "rank", partitio
     return placed.drop("_part", "_local", "_offset", "_total")
 
 
+def running_sums(df: DataFrame, by: Sequence[str], order: Sequence[str], sums: dict[str, str],
+                 partitions: int | None = None) -> DataFrame:
+    """``df`` with running sums (the row included) of columns within each group of ``by``, in the order of ``order``.
+
+    ``sums`` maps new names to summed columns; rows of equal order must not occur.  A window
+    over a group would sum it in one task.  Instead the rows are range-partitioned by
+    (by, order); sums inside a partition get those of the group's earlier partitions (a
+    table of one row a group and partition).  A group of any size is spread.
+    """
+    rows = numbered(df, [*by, *order], partitions)
+    within = Window.partitionBy("_part", *by).orderBy("_local").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = rows.groupBy(*by, "_part").agg(*[F.sum(c).alias(f"_{n}") for n, c in sums.items()])
+    earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    base = parts.select(*[F.col(c).alias(f"_by_{c}") for c in by], F.col("_part").alias("_of"),
+                        *[F.coalesce(F.sum(f"_{n}").over(earlier), F.lit(0)).alias(f"_{n}") for n in sums])
+    local = rows.select("*", *[F.sum(c).over(within).alias(n) for n, c in sums.items()])
+    same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by] + [F.col("_part") == F.col("_of")]
+    joined = local.join(base, same, "left")
+    return joined.select(*df.columns, *[(F.col(n) + F.col(f"_{n}")).alias(n) for n in sums])
+
+
 # order of equal values in ``place_among``: a query that counts the rows below its value, the rows, one that also counts equals
 BELOW, ROW, UP_TO = 0, 1, 2
 

@@ -46,3 +46,16 @@ def fold_complement(folds: DataFrame, k: int = 5, fold_col: str = "fold", out: s
     """For each fold i, the training rows of the other folds (one row per (i, driver))."""
     return (folds.withColumn(out, F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
             .filter(F.col(out) != F.col(fold_col)))
+
+
+def fold_complement_table(rows: DataFrame, folds: DataFrame, k: int = 5, key: str = "terminalno", fold_col: str = "fold",
+                          out: str = "held_fold") -> DataFrame:
+    """J5 for folds that are a table (key, fold): for each fold i, the rows that are not in it.
+
+    A left anti-join of (i, row) with the table; rows that the table does not name are in
+    no fold, so they train for all.  The table's side is hashed (it has a key and a number
+    a row); rows without a key stay.
+    """
+    each = rows.withColumn(out, F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+    held = folds.select(F.col(key).alias("_key"), F.col(fold_col).alias("_fold")).hint("shuffle_hash")
+    return each.join(held, (F.col(key) == F.col("_key")) & (F.col(out) == F.col("_fold")), "left_anti")

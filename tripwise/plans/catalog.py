@@ -7,7 +7,9 @@ rounded by ``present`` (6 dp, metres 3 dp) in the same way as the oracle SQL.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,14 +22,17 @@ from tripwise.operators import order as od
 from tripwise.operators import rows as rw
 from tripwise.operators import selection as sel
 from tripwise.operators import split as sp
+from tripwise.operators import stages
 from tripwise.operators.knn import knn_pairs, knn_regress
+from tripwise.operators import splits as ts
 from tripwise.operators.metrics import class_balance, prediction_variance, regression_metrics
 from tripwise.plans import oracle as o
 from tripwise.plans import submissions as sub
+from tripwise.session import checkpoint_dir
 from tripwise.sources import sinks
 from tripwise.sources.telemetry import (
-    COLUMNS, events_as_telemetry, load_table, order_telemetry_from_dir, split_side, telemetry_from_dir,
-    union_train_test,
+    COLUMNS, clean_telemetry, events_as_telemetry, load_table, order_telemetry_from_dir, read_quarantined, split_side,
+    telemetry_from_dir, telemetry_line, union_train_test,
 )
 
 
@@ -37,6 +42,11 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
+def _new_path(spark, name: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def present(df: DataFrame) -> DataFrame:
     """Round every double column like the oracle does (``oracle.decimals``, ``oracle.nudge``)."""
     cols = []
@@ -182,6 +192,15 @@ ORACLE["trip_distinct"] = o.rounded_auto(
     ["split", "terminalno", "num_of_trips"])
 
 
+@register("trip_distinct_approx", o.with_t(
+    f"SELECT {o.K}, count(DISTINCT trip_id) AS num_of_trips, TRUE AS within_bound FROM t GROUP BY {o.K}"))
+def trip_distinct_approx(spark, sf_dir):
+    """A13 by HLL sketches: whether the estimate is within three standard errors of the exact count."""
+    both = fx.driver_statistics(_t(spark, sf_dir), ["num_of_trips", "num_of_trips_approx"])
+    near = F.abs(F.col("num_of_trips_approx") - F.col("num_of_trips")) <= 3 * fx.TRIP_SKETCH_ERROR * F.col("num_of_trips")
+    return both.select("split", "terminalno", "num_of_trips", near.alias("within_bound"))
+
+
 @register("trip_direction_variance", o.rounded_auto(
     o.with_t(f"SELECT {o.K}, trip_id, dv FROM trip", o.TRIP_CTE), ["split", "terminalno", "trip_id", "dv"]))
 def trip_direction_variance(spark, sf_dir):
@@ -259,6 +278,15 @@ def contiguous_folds(spark, sf_dir):
     return sp.contiguous_folds(_train_drivers(spark, sf_dir), 5)
 
 
+@register("fold_complement_table", o.with_t(
+    "SELECT f.terminalno, CAST(i.held_fold AS INTEGER) AS held_fold FROM folds f, range(5) i(held_fold) "
+    "WHERE f.fold <> i.held_fold", _FOLDS_SQL))
+def fold_complement_table(spark, sf_dir):
+    """J5 as an anti-join with the table of folds."""
+    drivers = _train_drivers(spark, sf_dir)
+    return sp.fold_complement_table(drivers, sp.contiguous_folds(drivers, 5), 5).select("terminalno", "held_fold")
+
+
 @register("fold_complement", o.with_t(
     "SELECT f.terminalno, f.fold, CAST(i.held_fold AS INTEGER) AS held_fold FROM folds f, "
     "range(5) i(held_fold) WHERE f.fold <> i.held_fold", _FOLDS_SQL))
@@ -416,6 +444,15 @@ def submission(spark, sf_dir):
     return present(sinks.submission_frame(knn5_predictions(spark, sf_dir)))
 
 
+@register("submission_file", _knn_sql(5, "SELECT terminalno AS Id, greatest(pred, 0.0::DOUBLE) AS Pred FROM knn_pred",
+                                      ["Id", "Pred"]))
+def submission_file(spark, sf_dir):
+    """K1 as one committed file, read back."""
+    path = _new_path(spark, "submission") + ".csv"
+    sinks.commit_submission(knn5_predictions(spark, sf_dir), path)
+    return spark.read.schema("Id bigint, Pred double").option("header", True).csv(path)
+
+
 @register("pred_variance", _knn_sql(
     5, "SELECT var_samp(greatest(pred, 0.0::DOUBLE)) AS pred_var_samp, "
        "var_pop(greatest(pred, 0.0::DOUBLE)) AS pred_var_pop FROM knn_pred", ["pred_var_samp", "pred_var_pop"]))
@@ -448,6 +485,36 @@ def eval_metrics(spark, sf_dir):
     return present(regression_metrics(preds.join(held.select("terminalno", "y"), "terminalno")))
 
 
+# --- CSV with bad lines ----------------------------------------------------------------------
+# every so many events a line is spoilt: text in a number, the last field missing, one field too many
+_SPOILT = {"text": 97, "short": 89, "long": 83}
+
+
+@register("csv_quarantine", o.rounded_auto(o.with_t(
+    f"SELECT 'good' AS kind, terminalno, count(*) AS n, max(speed) AS speed_max, avg(height) AS height_mean FROM t "
+    f"WHERE split = 'train' AND {' AND '.join(f'seq % {m} <> 0' for m in _SPOILT.values())} GROUP BY terminalno "
+    f"UNION ALL SELECT 'rejected', NULL, count(*), NULL, NULL FROM t "
+    f"WHERE split = 'train' AND ({' OR '.join(f'seq % {m} = 0' for m in _SPOILT.values())})"),
+    ["kind", "terminalno", "n", "speed_max", "height_mean"]))
+def csv_quarantine(spark, sf_dir):
+    """The train telemetry as CSV with spoilt lines, read with the bad ones set aside."""
+    train = split_side(_t(spark, sf_dir), "train")
+    text, short, long = (F.col("seq") % m == 0 for m in _SPOILT.values())
+    spoilt = train.withColumn("longitude", F.when(text, F.lit("n/a")).otherwise(F.col("longitude").cast("string")))
+    line = (F.when(short, F.regexp_replace("line", ",[^,]*$", "")).when(long, F.concat("line", F.lit(",7")))
+            .otherwise(F.col("line")))
+    path = _new_path(spark, "telemetry-csv")
+    spoilt.withColumn("line", telemetry_line()).select(line.alias("value")).write.text(path)
+    good, rejects = read_quarantined(spark, path, _new_path(spark, "telemetry-rejects"), header=False, max_share=0.1)
+    stats = clean_telemetry(good).groupBy("terminalno").agg(
+        F.count(F.lit(1)).alias("n"), F.max("speed").alias("speed_max"), F.avg("height").alias("height_mean"))
+    none = F.lit(None)
+    rejected = rejects.agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("rejected").alias("kind"), none.cast("bigint").alias("terminalno"), "n", none.cast("double").alias("speed_max"),
+        none.cast("double").alias("height_mean"))
+    return present(stats.select(F.lit("good").alias("kind"), "terminalno", "n", "speed_max", "height_mean").unionByName(rejected))
+
+
 # --- baseline feature set -----------------------------------------------------------------
 def _baseline_sql() -> str:
     cols = fx.BASELINE_FEATURES
@@ -472,9 +539,7 @@ def baseline_features(spark, sf_dir):
 
 
 # =====================================================================================
-# models, ensembles, sinks.  Boosting has no SQL oracle (rows-only check); each registered
-# fit runs the original's rounds.  The 1000-round stacking job and the 80-candidate grid
-# (jobs in ``submissions`` and ``models``) take too long for a registered query, see README.
+# models, ensembles, sinks.  Every registered fit runs the original's rounds.
 
 
 @register("gbt_predictions")
@@ -500,7 +565,7 @@ def clamped_preds(spark, sf_dir):
     """Plain ridge (alpha 1) on the 42 features with negative predictions clamped."""
     ft = sub.feature_tables(_t(spark, sf_dir), "42")
     model = md.ridge(ft.train, ft.features, "y", alpha=1.0, normalize=False)
-    preds = md.predict(model, ft.test, ft.features, out="raw")
+    preds = md.predict(model, ft.test, out="raw")
     return preds.withColumn("pred", rw.clamp_nonnegative("raw"))
 
 
@@ -510,18 +575,10 @@ def bagged_predictions(spark, sf_dir):
     return sub.bagging_submission(_t(spark, sf_dir))
 
 
-def _model_path(spark) -> str:
-    import uuid
-
-    from tripwise.session import checkpoint_dir
-
-    return f"{checkpoint_dir(spark).rstrip('/')}/models/baseline-{uuid.uuid4().hex}"
-
-
 @register("baseline_predictions")
 def baseline_predictions(spark, sf_dir):
     """E-3 + K3: baseline set, 800 rounds, model saved to and re-loaded from the checkpoint folder."""
-    return sub.baseline_submission(_t(spark, sf_dir), model_path=_model_path(spark))
+    return sub.baseline_submission(_t(spark, sf_dir), model_path=_new_path(spark, "baseline"))
 
 
 @register("baseline_leafy_predictions")
@@ -530,6 +587,72 @@ def baseline_leafy_predictions(spark, sf_dir):
     return sub.baseline_submission(_t(spark, sf_dir), params=md.LGB_REGRESSOR)
 
 
+# a few rounds small enough to spell out in SQL; exact cuts for up to 65,536 distinct values
+_BOOST_SQL = replace(md.XGB_BAG, rounds=3, max_depth=2, eta=0.3, colsample=1.0, max_bin=1 << 16)
+
+
+@register("boosted_rounds", o.rounded_auto(o.with_t(
+    "SELECT terminalno, split, margin AS pred FROM boosted", *o.feature_ctes("feat", "7", fx.FEATURES_7),
+    *o.boosted_ctes(fx.FEATURES_7, _BOOST_SQL)), ["terminalno", "split", "pred"]))
+def boosted_rounds(spark, sf_dir):
+    """M3 by value: three boosting rounds of depth 2 on the 7 features, scored on both sides."""
+    ft = sub.feature_tables(_t(spark, sf_dir), "7")
+    model = md.fit_gbt(ft.train, ft.features, "y", _BOOST_SQL)
+    sides = [md.predict(model, rows).withColumn("split", F.lit(side)) for side, rows in (("train", ft.train), ("test", ft.test))]
+    return present(sides[0].unionByName(sides[1]))
+
+
+def _split_scores_sql() -> str:
+    feats = fx.FEATURES_61
+    ctes = o.feature_ctes("feat", "61", feats)
+    long = " UNION ALL ".join(f"SELECT terminalno, {i} AS f, coalesce({c}, 0)::DOUBLE AS x FROM feat WHERE split = 'train'"
+                              for i, c in enumerate(feats))
+    ctes += [f"lx AS ({long})",
+             "cuts AS (SELECT f, x, x + (lead(x) OVER (PARTITION BY f ORDER BY x) - x) / 2 AS cut "
+             "FROM (SELECT DISTINCT f, x FROM lx) QUALIFY cut IS NOT NULL)",
+             "names AS (SELECT * FROM (VALUES " + ", ".join(f"({i}, '{c}')" for i, c in enumerate(feats)) + ") v(f, feature))"]
+    ctes += o.split_ctes("best", "SELECT terminalno, 0 AS node, 0.5::DOUBLE - y AS r FROM feat WHERE split = 'train'", feats,
+                         md.XGB_BAG, "node, f")
+    return o.rounded_auto(o.with_t("SELECT feature, f AS feature_index, gain, CAST(hl AS BIGINT) AS left_rows, "
+                                   "CAST(h AS BIGINT) AS n_rows FROM best JOIN names USING (f)", *ctes),
+                          ["feature", "feature_index", "gain", "left_rows", "n_rows"])
+
+
+@register("split_scores", _split_scores_sql())
+def split_scores(spark, sf_dir):
+    """M3's first split in relational form: every feature's best cut of the train drivers (exact, no bins)."""
+    rows = sub.feature_tables(_t(spark, sf_dir), "61").train.withColumn("residual", F.lit(md.XGB_BAG.base) - F.col("y"))
+    found = ts.best_splits(rows, fx.FEATURES_61, "residual", md.XGB_BAG, per_feature=True)
+    return present(found.select("feature", "feature_index", "gain", "left_rows", "n_rows"))
+
+
+@register("saved_pipeline_submission")
+def saved_pipeline_submission(spark, sf_dir):
+    """K3: scale, selection, 200 rounds, clamp and submission as one pipeline, saved, loaded and applied to the feature table."""
+    ft = sub.feature_tables(_t(spark, sf_dir), "61")
+    path = _new_path(spark, "pipeline-model")
+    sinks.save_model(stages.submission_pipeline(ft.features, md.XGB_BAG).fit(ft.train), path)
+    return sinks.load_model(path).transform(ft.test)
+
+
+@register("stacked_predictions")
+def stacked_predictions(spark, sf_dir):
+    """M8, M9: 42 features, 5 folds of 1000 rounds with patience 10, label blending, refit of 1000 rounds."""
+    return sub.stacking_submission(_t(spark, sf_dir))[0]
+
+
+@register("stack_trace")
+def stack_trace(spark, sf_dir):
+    """K2 of the boosted stack: rawY, layer1_combine, newY of train drivers, layer1_preds and pred of test drivers."""
+    return sub.stacking_submission(_t(spark, sf_dir))[1]
+
+
+@register("grid_search")
+def grid_search(spark, sf_dir):
+    """All 80 candidates x 3 folds, scored by explained variance."""
+    return sub.grid_search_job(_t(spark, sf_dir))
+
+
 @register("random_submission", o.with_t(
     "SELECT terminalno AS Id, (('0x' || substr(md5('0:' || CAST(terminalno AS VARCHAR)), 1, 8))::BIGINT % 1000000) "
     "/ 1000000.0::DOUBLE AS Pred FROM (SELECT DISTINCT terminalno FROM t WHERE split = 'test')"))
@@ -543,9 +666,9 @@ def gbt_watch_list(spark, sf_dir):
     """Per-round MAE on the 80 % part and the 20 % hash hold-out over the original's 300 rounds."""
     ft = sub.feature_tables(_t(spark, sf_dir), "61")
     flagged = md.with_validation(ft.train, 0.2, seed=0)
-    fit_part, valid = flagged.filter(~F.col("is_valid")), flagged.filter(F.col("is_valid"))
     model = md.fit_gbt(flagged, ft.features, "y", md.LGB_LEAVES5, validation="is_valid")
-    rows = md.watch_list(model, {"train": fit_part, "valid": valid}, ft.features, "y")
+    side = {"train": "train", "held": "valid"}
+    rows = [(i, side[s], loss) for i, s, loss in md.watch_list(model)]
     return spark.createDataFrame(rows, "round int, side string, loss double")
 
 
@@ -572,7 +695,7 @@ def ridge_2_predictions(spark, sf_dir):
     """M5 + P6: plain ridge (alpha 1) on two features, lowered by 0.5 so that the clamp meets negative values."""
     ft = sub.feature_tables(_t(spark, sf_dir), "42")
     model = md.ridge(ft.train, _RIDGE_2, "y", alpha=1.0, normalize=False)
-    preds = md.predict(model, ft.test, _RIDGE_2, out="raw").withColumn("raw", F.col("raw") - F.lit(0.5))
+    preds = md.predict(model, ft.test, out="raw").withColumn("raw", F.col("raw") - F.lit(0.5))
     return present(preds.withColumn("pred", rw.clamp_nonnegative("raw")))
 
 
@@ -620,7 +743,7 @@ def knn_stack_trace(spark, sf_dir):
         preds = knn_regress(rows, test, ft.features, _STACK_K, label=label)
         return preds.withColumn("pred", rw.clamp_nonnegative("pred"))
 
-    _, trace = en.stack(ft.train, ft.test, fold_model, refit_model, parallelism=2)
+    _, trace = en.stack(ft.train, ft.test, en.fold_layer(fold_model, "terminalno", 5, parallelism=2), refit_model)
     return present(trace)
 
 

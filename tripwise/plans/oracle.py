@@ -180,13 +180,14 @@ BLOCK_COLUMNS = {
 INTEGRAL = {"trip_max", "time_duration_max", "num_of_trips", "num_of_records", "n_rows", "n_trips",
             "terminalno", "trip_id", "first_seq", "fold", "rank", "n_drivers", "n_zero", "n_positive",
             "time", "seq", "callstate", "driver_count", "n", "rows", "drivers", "trips", "k", "Id",
-            "test_id", "train_id", "hr", "wd", "feature_index", "selected_rank", "nb"}
-KEEP = {"split", "feature", "name", "metric", "side", "holdout"}
+            "test_id", "train_id", "hr", "wd", "feature_index", "selected_rank", "nb", "left_rows", "held_fold",
+            "n_rejected"}
+KEEP = {"split", "feature", "name", "metric", "side", "holdout", "within_bound", "kind"}
 # metres: 3 dp; variance-type values (float error up to ~1e-10): 4 dp; the rest 6 dp
 METRES = {"dis_mean", "dis_min", "dis_max", "dis", "hdis", "start_dis"}
 COARSE = {"direction_var_max", "direction_var_mean", "direction_var_min", "height_var_max", "height_var_mean",
           "var_acc", "var_speed", "time_duration_mean", "dv", "hv", "f_score", "pred_var_samp",
-          "pred_var_pop", "r", "dist", "radius"}
+          "pred_var_pop", "r", "dist", "radius", "gain"}
 
 
 def blocks_sql(blocks: list[str], columns: list[str] | None = None, telemetry: str = TELEMETRY_CTE) -> str:
@@ -223,6 +224,59 @@ def holdout_sql(key: str, seed: int, fraction: float) -> str:
             f"< {int(round(fraction * 1000000))})")
 
 
+def _shrunk_score(g: str, h: str, l1: float, l2: float) -> str:
+    t = f"greatest(abs({g}) - {l1}::DOUBLE, 0.0::DOUBLE)"
+    return f"({t} * {t} / ({h} + {l2}::DOUBLE))"
+
+
+def split_ctes(name: str, rows: str, features: list[str], p, best_per: str = "node") -> list[str]:
+    """``name`` = each node's best split by definition: (node, f, cut, gain, gl, hl, g, h).
+
+    ``rows`` selects (terminalno, node, r) with r = prediction - label; the values are in
+    ``lx`` (terminalno, f, x), all values of the fitted rows in ``cuts`` (f, x, cut).
+    """
+    over = "OVER (PARTITION BY node, f ORDER BY x)"
+    gain = (f"{_shrunk_score('gl', 'hl', p.l1, p.l2)} + {_shrunk_score('(g - gl)', '(h - hl)', p.l1, p.l2)} - "
+            f"{_shrunk_score('g', 'h', p.l1, p.l2)}")
+    return [
+        f"{name}_s AS (SELECT node, f, x, sum(r) AS sr, count(*) AS n FROM ({rows}) JOIN lx USING (terminalno) GROUP BY node, f, x)",
+        f"{name}_p AS (SELECT node, f, x, sum(sr) {over} AS gl, sum(n) {over} AS hl, sum(sr) OVER (PARTITION BY node, f) AS g, "
+        f"sum(n) OVER (PARTITION BY node, f) AS h FROM {name}_s)",
+        f"{name}_g AS (SELECT node, f, cut, round({gain}, 9) AS gain, gl, hl, g, h FROM {name}_p JOIN cuts USING (f, x) "
+        f"WHERE hl >= {p.min_child} AND h - hl >= {p.min_child})",
+        f"{name} AS (SELECT * FROM {name}_g WHERE gain > 1e-6 "
+        f"QUALIFY row_number() OVER (PARTITION BY {best_per} ORDER BY gain DESC, f, cut) = 1)",
+    ]
+
+
+def boosted_ctes(features: list[str], p, feat: str = "feat") -> list[str]:
+    """``boosted`` (terminalno, split, y, margin): ``p.rounds`` level-wise trees of ``p.max_depth`` fitted on the train rows.
+
+    Every round and level is spelt out: residuals, best splits, rows moved to their child,
+    leaf values.  ``feat`` has (split, terminalno, features, y).
+    """
+    long = " UNION ALL ".join(f"SELECT terminalno, split, {i} AS f, coalesce({c}, 0)::DOUBLE AS x FROM {feat}" for i, c in enumerate(features))
+    ctes = [f"lx AS ({long})",
+            "cuts AS (SELECT f, x, x + (lead(x) OVER (PARTITION BY f ORDER BY x) - x) / 2 AS cut "
+            "FROM (SELECT DISTINCT f, x FROM lx WHERE split = 'train') QUALIFY cut IS NOT NULL)",
+            f"b0 AS (SELECT terminalno, split, y, {p.base}::DOUBLE AS margin FROM {feat})"]
+    for r in range(p.rounds):
+        ctes.append(f"n{r}_0 AS (SELECT *, 0 AS node FROM b{r})")
+        for d in range(p.max_depth):
+            here = f"n{r}_{d}"
+            ctes += split_ctes(f"s{r}_{d}", f"SELECT terminalno, node, margin - y AS r FROM {here} WHERE split = 'train'", features, p)
+            ctes.append(f"n{r}_{d + 1} AS (SELECT n.terminalno, n.split, n.y, n.margin, CASE WHEN s.f IS NULL THEN n.node "
+                        f"WHEN l.x < s.cut THEN 2 * n.node + 1 ELSE 2 * n.node + 2 END AS node FROM {here} n "
+                        f"LEFT JOIN s{r}_{d} s ON s.node = n.node LEFT JOIN lx l ON l.terminalno = n.terminalno AND l.f = s.f "
+                        "AND l.split = n.split)")
+        last = f"n{r}_{p.max_depth}"
+        weight = (f"-{p.eta}::DOUBLE * sign(g) * greatest(abs(g) - {p.l1}::DOUBLE, 0.0::DOUBLE) / (h + {p.l2}::DOUBLE)")
+        ctes.append(f"w{r} AS (SELECT node, {weight} AS w FROM (SELECT node, sum(margin - y) AS g, count(*) AS h FROM {last} "
+                    "WHERE split = 'train' GROUP BY node))")
+        ctes.append(f"b{r + 1} AS (SELECT terminalno, split, y, margin + w AS margin FROM {last} JOIN w{r} USING (node))")
+    return ctes + [f"boosted AS (SELECT * FROM b{p.rounds})"]
+
+
 def knn_ctes(feat: str, features: list[str], k: int, train_filter: str = "split = 'train'",
              test_filter: str = "split = 'test'") -> list[str]:
     """Brute-force k-NN over all (test, train) pairs of the feature CTE ``feat``."""

@@ -55,7 +55,7 @@ def knn_submission(telemetry: DataFrame, k: int = 5, clamp: bool = True, out: st
     if clamp:
         preds = preds.withColumn("pred", clamp_nonnegative("pred"))
     if out:
-        sinks.write_submission(preds, out)
+        sinks.commit_submission(preds, out)
     return preds
 
 
@@ -67,9 +67,9 @@ def select_and_boost_submission(telemetry: DataFrame, percentile: float = 50, pa
     p = params.with_rounds(rounds) if rounds else params
     train = md.with_validation(ft.train, 0.2, seed=0)
     model = md.fit_gbt(train, feats, "y", p, validation="is_valid")
-    preds = md.predict(model, ft.test, feats)
+    preds = md.predict(model, ft.test)
     if out:
-        sinks.write_submission(preds, out)
+        sinks.commit_submission(preds, out)
     return preds
 
 
@@ -79,9 +79,9 @@ def selection_job(telemetry: DataFrame, rounds: int | None = None, out: str | No
     train = md.with_validation(ft.train.withColumn("y10", scaled("y")), 0.2, seed=0)
     feats = selected_features(f_scores(train, ft.features, "y10"), 70)
     p = md.XGB_BAG.with_rounds(rounds) if rounds else md.XGB_BAG
-    preds = md.predict(md.fit_gbt(train, feats, "y10", p, validation="is_valid"), ft.test, feats)
+    preds = md.predict(md.fit_gbt(train, feats, "y10", p, validation="is_valid"), ft.test)
     if out:
-        sinks.write_submission(preds, out)
+        sinks.commit_submission(preds, out)
     return preds
 
 
@@ -91,11 +91,11 @@ def ridge_submission(telemetry: DataFrame, percentile: float = 70, normalize: bo
     ft = feature_tables(telemetry, "61")
     feats = _select(ft, percentile)
     model = md.ridge(ft.train, feats, "y", alpha=1.0, normalize=normalize)
-    preds = md.predict(model, ft.test, feats)
+    preds = md.predict(model, ft.test)
     if clamp:
         preds = preds.withColumn("pred", clamp_nonnegative("pred"))
     if out:
-        sinks.write_submission(preds, out)
+        sinks.commit_submission(preds, out)
     return preds
 
 
@@ -106,17 +106,23 @@ def bagging_submission(telemetry: DataFrame, rounds: int | None = None, out: str
     feats = selected_features(f_scores(train, ft.features, "y10"), 70)
     preds = ensemble.bagged_predictions(train, ft.test, feats, label="y10", rounds=rounds)
     if out:
-        sinks.write_submission(preds, out)
+        sinks.commit_submission(preds, out)
     return preds
 
 
+def grid_search_job(telemetry: DataFrame, percentile: float = 50, grid: dict[str, list] | None = None) -> DataFrame:
+    """61 features, top 50 % by F, the explained variance of every candidate of the grid."""
+    ft = feature_tables(telemetry, "61")
+    return md.grid_scores(ft.train, _select(ft, percentile), "y", grid=grid)
+
+
 def stacking_submission(telemetry: DataFrame, rounds: int | None = None, out: str | None = None,
                         trace_out: str | None = None) -> tuple[DataFrame, DataFrame]:
     """E-1: 42 features, 5-fold stacking with label blending and a refit."""
     ft = feature_tables(telemetry, "42")
     preds, trace = ensemble.stacked_predictions(ft.train, ft.test, ft.features, rounds=rounds)
     if out:
-        sinks.write_submission(preds, out)
+        sinks.commit_submission(preds, out)
     if trace_out:
         sinks.write_trace(trace, trace_out)
     return preds, trace
@@ -144,8 +150,8 @@ def baseline_submission(telemetry: DataFrame, model_path: str | None = None, rou
     if model_path:
         sinks.save_model(model, model_path)
         model = sinks.load_model(model_path)
-    preds = md.predict(model, test, feats)
+    preds = md.predict(model, test)
     if out:
-        sinks.write_submission(preds, out)
+        sinks.commit_submission(preds, out)
     return preds
 

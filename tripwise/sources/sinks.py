@@ -3,10 +3,14 @@ random baseline submission (K4), correlation matrix CSV (K5)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tripwise.sources import files
+
 
 def submission_frame(preds: DataFrame, key: str = "terminalno", pred: str = "pred") -> DataFrame:
     """K1 content: ``Id bigint, Pred double``, one row per driver (duplicates removed)."""
@@ -26,6 +30,30 @@ def write_submission(preds: DataFrame, path: str, key: str = "terminalno", pred:
     (frame.coalesce(1) if single_file else frame).write.mode("overwrite").option("header", True).csv(path)
 
 
+def commit_submission(preds: DataFrame, path: str, key: str = "terminalno", pred: str = "pred") -> int:
+    """K1 as the original leaves it: ONE file named ``path`` with header ``Id,Pred``; returns its rows.
+
+    The part file is written to a staging folder beside it, read back and counted
+    against what was written, and only then renamed over ``path``: a job that fails
+    before leaves the old file as it was, and a reader never sees half a file.  The
+    staging folder goes in any case.
+    """
+    spark = preds.sparkSession
+    staging = f"{path}.staging-{uuid.uuid4().hex}"
+    try:
+        sent = Observation()
+        frame = submission_frame(preds, key, pred).observe(sent, F.count(F.lit(1)).alias("n"))
+        frame.coalesce(1).write.option("header", True).csv(staging)
+        parts = [n for n in files.names(spark, staging) if n.startswith("part-")]
+        found = spark.read.schema("Id bigint, Pred double").option("header", True).csv(staging).count()
+        if len(parts) != 1 or found != sent.get["n"]:
+            raise RuntimeError(f"{staging}: {len(parts)} files with {found} rows instead of one with {sent.get['n']}")
+        files.replace(spark, f"{staging}/{parts[0]}", path)
+    finally:
+        files.delete(spark, staging)
+    return found
+
+
 def write_trace(trace: DataFrame, path: str) -> None:
     """K2: stacking trace (rawY, layer1_combine, newY, layer1_preds, pred) keyed by driver."""
     trace.write.mode("overwrite").option("header", True).csv(path)

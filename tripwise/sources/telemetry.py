@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,27 +51,84 @@ def read_telemetry(spark: SparkSession, path: str, labelled: bool = True, fmt: s
         df = df.withColumn("y", F.lit(None).cast("double"))
     return _in_file_order(df.select(
         *COLUMNS, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_row")))
+        F.monotonically_increasing_id().alias("_row")), *COLUMNS).drop("record")
 
 
 # rows of a split that ``seq`` leaves room for
 _SPLIT_BITS = 40
 
 
-def _in_file_order(df: DataFrame) -> DataFrame:
-    """``seq`` from file, split start and row id: the split's place among all splits, then the place in the split.
+def _splits(df: DataFrame) -> DataFrame:
+    """(_f, _s, _first, _place, _before): each file split's first row id, its place among all splits, and the
+    rows of its file in earlier splits.
 
-    The list of splits has a row for each file block (a second pass over the files
-    that reads no column), and is joined back on the split.
+    A row for each file block (a second pass over the files).
     """
-    splits = df.groupBy("_file", "_start").agg(F.min("_row").alias("_first"))
+    splits = df.groupBy("_file", "_start").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
     order = Window.orderBy("_file", "_start")  # one row a file split
-    places = splits.select(F.col("_file").alias("_f"), F.col("_start").alias("_s"), "_first",
-                           (F.row_number().over(order) - 1).cast("bigint").alias("_place"))
+    earlier = Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    return splits.select(F.col("_file").alias("_f"), F.col("_start").alias("_s"), "_first",
+                         (F.row_number().over(order) - 1).cast("bigint").alias("_place"),
+                         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+
+
+def _in_file_order(df: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` with ``seq``, from file, split start and row id: the split's place among all splits, then the
+    place in the split; and with ``record``, the row's number in its file, from 1.
+
+    The list of splits is joined back on the split; its size follows the number of
+    files, so the planner chooses the join.
+    """
     seq = F.shiftleft(F.col("_place"), _SPLIT_BITS) + (F.col("_row") - F.col("_first"))
-    # bounded by the number of file splits
-    return (df.join(F.broadcast(places), (F.col("_file") == F.col("_f")) & (F.col("_start") == F.col("_s")))
-            .select(*COLUMNS, seq.alias("seq")))
+    record = F.col("_before") + F.col("_row") - F.col("_first") + 1
+    return (df.join(_splits(df), (F.col("_file") == F.col("_f")) & (F.col("_start") == F.col("_s")))
+            .select(*columns, seq.alias("seq"), record.alias("record")))
+
+
+class TooManyRejects(ValueError):
+    """More lines were set aside than the caller allows."""
+
+
+def read_quarantined(spark: SparkSession, path: str, rejects_path: str, labelled: bool = True, header: bool = True,
+                     max_share: float = 0.01) -> tuple[DataFrame, DataFrame]:
+    """S1 with bad lines set aside: (good rows as ``read_telemetry`` gives them, rejected lines).
+
+    A line whose fields do not parse, or of too few or too many fields, is rejected: the
+    table written to ``rejects_path`` has file, record (the line's number in the file, from
+    1) and line.  One pass writes it and counts all lines; if more than
+    ``max_share`` of them are bad, ``TooManyRejects`` is raised and nothing else is read.
+    Empty lines are skipped; no field holds a line break.
+    """
+    fields = (TRAIN_SCHEMA if labelled else TEST_SCHEMA).fields
+    schema = T.StructType([*fields, T.StructField("_line", T.StringType())])
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_row"))
+    numbered = _in_file_order(lines, "value", "_file")
+    if header:
+        numbered = numbered.filter(F.col("record") > 1)
+    # the CSV reader would leave out the fields that nobody asks for, and with them their errors
+    parsed = F.from_csv("value", schema.simpleString()[len("struct<"):-1].replace(":", " "),
+                        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_line"})
+    placed = numbered.filter(F.trim("value") != "").select(parsed.alias("r"), "_file", "record", "seq").select(
+        "r.*", "_file", "record", "seq")
+    if not labelled:
+        placed = placed.withColumn("y", F.lit(None).cast("double"))
+    seen = Observation()
+    (placed.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(F.col("_line").isNotNull()).alias("bad"))
+     .filter(F.col("_line").isNotNull()).select(F.col("_file").alias("file"), "record", F.col("_line").alias("line"))
+     .write.mode("overwrite").parquet(rejects_path))
+    n, bad = seen.get["n"], seen.get["bad"]
+    if bad > max_share * n:
+        raise TooManyRejects(f"{bad} of {n} lines of {path} are bad, see {rejects_path}")
+    rejects = spark.read.schema("file string, record bigint, line string").parquet(rejects_path)
+    return placed.filter(F.col("_line").isNull()).select(*COLUMNS, "seq"), rejects
+
+
+def telemetry_line(labelled: bool = True) -> Column:
+    """A row's CSV line, in the file's column order (a missing value is an empty field)."""
+    cols = [c for c in COLUMNS if labelled or c != "y"]
+    return F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
 
 
 def clean_telemetry(df: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 The driver-level statistics that are plain sums / extremes / counts over rows
 (speed, height and position extremes and means, call-state and hour shares,
-record count, last trip id, label) are maintained incrementally: each micro-batch
+record count, last trip id, label, an HLL sketch of the trips) are maintained incrementally: each micro-batch
 is partially aggregated with the same partial families as the batch chain and
 merged into the streaming state keyed by driver.  The state holds one row per
 driver.  Trip-level statistics (variances per trip, durations, weekdays) need a
@@ -21,7 +21,7 @@ from tripwise.operators.features import KEY, _derived, _family_unit, _row_column
 from tripwise.sources.telemetry import COLUMNS, TEST_SCHEMA, TRAIN_SCHEMA, clean_telemetry
 
 _FAMILIES = ["rows", "spd_sum", "spd_ext", "hgt_sum", "hgt_ext", "lon_sum", "lon_ext", "lat_sum", "lat_ext",
-             "dis_sum", "dis_ext", "calls", "hours", "ymax"]
+             "dis_sum", "dis_ext", "calls", "hours", "ymax", "tripset"]
 
 # driver-level outputs as projections of the running totals
 _PROJECTIONS = {
@@ -31,6 +31,7 @@ _PROJECTIONS = {
     "lat_max": "lat_max", "lat_min": "lat_min", "lat_mean": "lat_sum / nullif(lat_cnt, 0)",
     "dis_max": "dis_max", "dis_min": "dis_min", "dis_mean": "dis_sum / nullif(dis_cnt, 0)",
     "num_of_records": "n_rows", "trip_max": "trip_max", "y": "y_max",
+    "num_of_trips_approx": "hll_sketch_estimate(trip_sketch)",
     **{f"count{k}": f"CAST(c{k} AS DOUBLE) / CAST(n_rows AS DOUBLE)" for k in range(5)},
     **{f"count{k}_s": f"CAST(c{k} AS DOUBLE) / CAST(n_rows - c0 + 1 AS DOUBLE)" for k in (1, 2, 3)},
     **{f"hour{h}": f"CAST(hr{h} AS DOUBLE) / CAST(n_rows AS DOUBLE)" for h in range(24)},
