@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripwise.llm.common import gram_hashes, text_slices
+from tripwise.llm.common import gram_hashes, text_slices, written
 
 #: Words of a gram (all words of a shorter template).
 GRAM_WORDS = 3
@@ -184,7 +184,7 @@ def scan(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) -> DataFram
     columns other than doc_id and text play no part.
     """
     doc = ["doc_id", "node", "n_words"]
-    votes = hits(docs, templates)
+    votes = written(hits(docs, templates), "license-votes")  # read twice below
     found = votes.filter("template >= 0").withColumn("diagonal", F.col("p") - F.col("t"))
     kind = ["template", "k", "label", "base", "size", "shift"]
     lines = found.groupBy(*doc, *kind, "diagonal").agg(F.collect_set("t").alias("ts"), F.min("p").alias("first"),
