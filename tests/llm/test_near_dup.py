@@ -124,8 +124,8 @@ def test_chained_links_across_leaders(spark):
     assert {r["class_id"] for r in got.collect()} == {1}
 
 
-def test_chunked_pairs_and_histogram_bound(spark, monkeypatch):
-    """Cells of few rows give the same pairs as one cell; the bound never drops a near pair."""
+def test_cells_give_the_links_that_join_components(spark, monkeypatch):
+    """Cells of few rows join what one cell joins; the bound never drops a near pair."""
     rng = seeded(7)
     texts = [prose(rng, 60) for _ in range(3)]
     texts = [edited(rng, texts[i % 3], rng.randint(0, 14)) for i in range(30)]
@@ -136,14 +136,44 @@ def test_chunked_pairs_and_histogram_bound(spark, monkeypatch):
     near = {(i, j) for i in range(30) for j in range(i) if distance(list(words[i]), list(words[j])) <= 0.2 * max(n[i], n[j]) + 1e-9}
     assert all(ok[i, j] for i, j in near)
     # all share the bucket of band 1; the even ones share that of band 0 as well, so they pair up there
-    rows = [(1, 1, bytes([i]), bytes([i % 5]), int(n[i]), [i % 2 * (i + 1), 9], bytearray(hist[i].tobytes())) for i in range(30)]
+    comp = [i % 3 * 4 + i // 3 % 4 for i in range(30)]
+    rows = [(1, 1, bytes([i]), bytes([comp[i]]), int(n[i]), [i % 2 * (i + 1), 9], words[i].astype(np.int64).tolist()) for i in range(30)]
     rows += [(0, 0, *r[2:]) for r in rows if r[2][0] % 2 == 0]
-    members = spark.createDataFrame(rows, "bucket long, band int, node binary, comp binary, n_words int, keys array<long>, hist binary")
-    want = sorted((i, j) for i in range(30) for j in range(i) if ok[i, j] and i % 5 != j % 5)
-    for cell in (4, 1000):
+    members = spark.createDataFrame(rows, "bucket long, band int, node binary, comp binary, n_words int, keys array<long>, words array<long>")
+
+    def merged(pairs):
+        root = list(range(12))
+        for i, j in pairs:
+            a, b = root[comp[i]], root[comp[j]]
+            root = [min(a, b) if r in (a, b) else r for r in root]
+        return root
+
+    want = merged(p for p in near if comp[p[0]] != comp[p[1]])
+    assert 1 < len(set(want)) < 12
+    for cell, size in ((4, 1 << 20), (1000, 1 << 20), (1000, 300)):
         monkeypatch.setattr(nd, "CELL_ROWS", cell)
-        got = sorted(tuple(sorted((r.a[0], r.b[0]), reverse=True)) for r in nd.pairs_across(members, 0.8).collect())
-        assert got == want
+        monkeypatch.setattr(nd, "CELL_WORDS", size)
+        got = [(r.b[0], r.a[0]) for r in nd.links_across(members, 0.8).collect()]
+        assert all((max(p), min(p)) in near and comp[p[0]] != comp[p[1]] for p in got)
+        assert merged(got) == want
+
+
+def test_linked_is_a_spanning_forest():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1000, 60).astype(np.uint64)
+    words = [base.copy() for _ in range(40)] + [rng.integers(0, 1000, 60).astype(np.uint64) for _ in range(5)]
+    for k in range(40):
+        words[k][rng.integers(0, 60, 3)] = 5000 + k
+    i, j = np.triu_indices(45, 1)
+    links = nd.linked((i, j), np.arange(45), words, 0.8)
+    assert len(links) == 39 and len({x for p in links for x in p}) == 40
+    assert nd.linked((i[:0], j[:0]), np.arange(45), words, 0.8) == []
+
+
+def test_representatives_keep_columns_of_any_name(spark):
+    rows = [(1, "a b c d e f g", 7, "k", 0.5, b"z", 3), (2, "a b c d e f g", 8, "l", 0.5, b"z", 3), (3, "other words here now", 9, "m", 0.5, b"z", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, near_node int, keep_id string, keep_node double, whole_row binary, `a.b` int")
+    assert sorted(map(tuple, nd.representatives(docs).collect())) == [tuple(rows[0]), tuple(rows[2])]
 
 
 def test_recall_by_edit_rate(spark):

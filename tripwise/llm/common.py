@@ -60,6 +60,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Name of the column of ``whole_row``.
+ROW = "whole_row"
+
+
+def whole_row(df: DataFrame):
+    """All columns of ``df`` as one struct, so that an operator's own names never meet them; ``select("whole_row.*")`` unpacks."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(ROW)
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
                 limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
     """(rows, texts) slices of the batches; texts is a large_string array, null texts are empty.

@@ -12,8 +12,9 @@ word histograms already show that they are not near; a banded alignment of their
 Equal texts are one node from the start.  A text is first aligned with the smallest
 leader of its buckets (texts of equal sketch), so a group of copies costs one alignment a
 text; then with its other leaders that are in other components.  Buckets whose texts
-are then still in different components compare those with each other, so no link
-between components is lost.
+are then still in different components align those with each other in cells of bounded
+size, which only links leave, so no link between components is lost and no pair of a
+bucket becomes a row.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripwise.llm.common import Words, gram_hashes, mix64, ranges, text_slices, written
+from tripwise.llm.common import ROW, Words, gram_hashes, mix64, ranges, text_slices, whole_row, written
 
 #: Words of a shingle, shingles of a sketch, sketches of a text, and least similarity.
 SHINGLE, PICKS, SKETCHES, SIMILARITY = 3, 3, 60, 0.8
@@ -209,7 +210,7 @@ def edit_distances(left: list[np.ndarray], right: list[np.ndarray], similarity:
                 upto += 1
             group = order[at:upto]
             at = upto
-            cost = _banded([todo[i][0] for i in group], [todo[i][1] for i in group], band)
+            cost = _banded([todo[i][0] for i in group], [todo[i][1] for i in group], band, limit[group])
             for i, x in zip(group, cost, strict=True):
                 if x <= limit[i]:
                     out[i] = x
@@ -270,8 +271,11 @@ def _coarse_costs(pairs: dict[int, tuple[np.ndarray, np.ndarray]]) -> dict[int,
     return out
 
 
-def _banded(left: list[np.ndarray], right: list[np.ndarray], band: int) -> np.ndarray:
-    """Edit distances of the pairs along paths at most ``band`` off the diagonal (large if there is none)."""
+def _banded(left: list[np.ndarray], right: list[np.ndarray], band: int, limits: np.ndarray) -> np.ndarray:
+    """Edit distances of the pairs along paths at most ``band`` off the diagonal (large if there is none).
+
+    A pair whose cheapest path already costs more than its limit is given up (large, too).
+    """
     n, width = len(left), 2 * band + 1
     la, lb = np.array([len(a) for a in left]), np.array([len(b) for b in right])
     rows = int(la.max())
@@ -288,6 +292,7 @@ def _banded(left: list[np.ndarray], right: list[np.ndarray], band: int) -> np.nd
     cur[:, band:][(ramp[band:] - band)[None, :] > lb[:, None]] = big
     result = np.where(la == 0, lb, big).astype(np.int32)
     last = lb - la + band  # the column that ends the pair in its last row
+    of = np.arange(n)  # the pairs that are still aligned
     for i in range(rows):
         j = ramp + (i + 1 - band)  # words of the right text consumed
         same = b[:, i:i + width] == a[i][:, None]
@@ -303,12 +308,18 @@ def _banded(left: list[np.ndarray], right: list[np.ndarray], band: int) -> np.nd
         cur = np.minimum(step, big)
         for k in np.flatnonzero(la == i + 1):
             if 0 <= last[k] < width:
-                result[k] = cur[k, last[k]]
+                result[of[k]] = cur[k, last[k]]
+        if i % 8 == 7:
+            alive = (cur.min(1) <= limits) & (la > i + 1)
+            if not alive.any():
+                break
+            if alive.sum() < 0.8 * len(of):
+                a, b, cur, la, lb, last, of, limits = a[:, alive], b[alive], cur[alive], la[alive], lb[alive], last[alive], of[alive], limits[alive]
     return result
 
 
-#: Bins of a text's word histogram, and rows that are compared at once.
-_BINS, CELL_ROWS = 256, 1024
+#: Bins of a text's word histogram, and rows and words that are compared at once.
+_BINS, CELL_ROWS, CELL_WORDS = 256, 1024, 1 << 20
 
 
 def histograms(words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -320,43 +331,92 @@ def histograms(words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def possible_pairs(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray,
                    similarity: float) -> np.ndarray:
-    """(left, right) matrix: whether the histograms allow the similarity.
+    """(left, right) matrix: whether lengths and histograms allow the similarity.
 
     An edit adds or removes at most one word of a bin, so what one histogram has
     beyond the other is a lower bound of the distance.
     """
     limit = (1 - similarity) * np.maximum(n_left[:, None], n_right[None, :]) + 1e-9
     ok = np.zeros((len(left), len(right)), bool)
-    right16 = right.astype(np.int16)
+    order = np.argsort(n_right, kind="stable")
+    lengths, right16 = n_right[order], right[order].astype(np.int16)
+    begin = np.searchsorted(lengths, similarity * n_left - 1e-6, side="left")
+    end = np.searchsorted(lengths, n_left / similarity + 1e-6, side="right")
     for i, row in enumerate(left.astype(np.int16)):
-        diff = right16 - row
+        diff = right16[begin[i]:end[i]] - row
         more = np.maximum(diff, 0).sum(1)
-        ok[i] = np.maximum(more, more - diff.sum(1)) <= limit[i]
+        at = order[begin[i]:end[i]]
+        ok[i, at] = np.maximum(more, more - diff.sum(1)) <= limit[i, at]
     return ok
 
 
-def pairs_across(members: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): pairs of one bucket's texts in different components that may be similar.
+#: Pairs that are aligned at once in a cell, at first and at most.
+FIRST_PAIRS, MORE_PAIRS = 256, 4096
+
+
+def linked(pairs: tuple[np.ndarray, np.ndarray], comp: np.ndarray, words: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """The links that join components (numbers ``comp``) among the pairs of places: a spanning forest of them.
 
-    members: (bucket, band, node, comp, n_words, keys, hist).  A bucket's rows are dealt
-    over chunks of about ``CELL_ROWS``; each pair of chunks is one group, so no group
-    grows with a bucket.  Only pairs that the word histograms allow leave it, and only
-    from the first bucket that both texts share (or from those of words left out).
+    Pairs of components that have met are left out; the first pair of every two components
+    comes before their second.
+    """
+    i, j = pairs
+    root = np.arange(int(comp.max(initial=-1)) + 1)
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    key = np.minimum(comp[i], comp[j]) * len(root) + np.maximum(comp[i], comp[j])
+    order = np.argsort(key, kind="stable")
+    new = np.concatenate([[True], key[order][1:] != key[order][:-1]]) if len(order) else np.zeros(0, bool)
+    begin = np.flatnonzero(new)
+    nth = np.arange(len(order)) - np.repeat(begin, np.diff(np.append(begin, len(order))))
+    order = order[np.argsort(nth, kind="stable")]
+    i, j = i[order], j[order]
+    links, at, take = [], 0, FIRST_PAIRS
+    while at < len(i):
+        some = [k for k in range(at, min(at + take, len(i))) if find(comp[i[k]]) != find(comp[j[k]])]
+        at, take = at + take, min(2 * take, MORE_PAIRS)
+        if some:
+            near = edit_distances([words[i[k]] for k in some], [words[j[k]] for k in some], similarity)
+            for k in np.array(some)[near >= 0]:
+                x, y = find(comp[i[k]]), find(comp[j[k]])
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+                    links.append((int(i[k]), int(j[k])))
+    return links
+
+
+def links_across(members: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): links that join the components of one bucket's near texts.
+
+    members: (bucket, band, node, comp, n_words, keys, words).  A bucket's rows are dealt
+    over chunks of about ``CELL_ROWS`` rows and ``CELL_WORDS`` words; each pair of chunks
+    is one group, so no group grows with a bucket, and its pairs are aligned there: only
+    links leave it, fewer than its components.  A pair is aligned in the first bucket
+    that both texts share (or in those of words left out).
     """
-    sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / F.lit(CELL_ROWS)).cast("int").alias("chunks"))
+    sizes = members.groupBy("bucket").agg(F.greatest(
+        F.ceil(F.count("*") / F.lit(CELL_ROWS)), F.ceil(F.sum("n_words") / F.lit(CELL_WORDS))).cast("int").alias("chunks"))
     dealt = members.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
     cells = (dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
              .withColumns({"row": F.least("own", "other"), "col": F.greatest("own", "other")}))
 
     def compare(group: pa.Table) -> pa.Table:
         own, row, col = (group[c].to_numpy() for c in ("own", "row", "col"))
-        comp, node = group["comp"].combine_chunks(), group["node"].combine_chunks()
-        no = np.unique(np.array(comp.to_pylist(), dtype=object), return_inverse=True)[1]
-        n = group["n_words"].to_numpy().astype(np.float64)
-        hist = np.frombuffer(b"".join(group["hist"].to_pylist()), np.uint8).reshape(-1, _BINS)
+        node = group["node"].combine_chunks()
+        comp = np.unique(np.array(group["comp"].to_pylist(), dtype=object), return_inverse=True)[1]
+        lists = group["words"].combine_chunks()
+        flat = np.asarray(lists.flatten(), dtype=np.int64).view(np.uint64)
+        n = group["n_words"].to_numpy().astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(n)])
+        hist, n = histograms(flat, ends), n.astype(np.float64)
         left, right = np.flatnonzero(own == row), np.flatnonzero(own == col)
         ok = possible_pairs(hist[left], hist[right], n[left], n[right], similarity)
-        ok &= no[left][:, None] != no[right][None, :]
+        ok &= comp[left][:, None] != comp[right][None, :]
         i, j = np.nonzero(ok)
         i, j = left[i], right[j]
         if len(row) and row[0] == col[0]:
@@ -367,10 +427,11 @@ def pairs_across(members: DataFrame, similarity: float) -> DataFrame:
             a, b = i[at:at + (1 << 16)], j[at:at + (1 << 16)]
             same = (keys[a] == keys[b]) & (keys[a] != _ABSENT)
             first[at:at + (1 << 16)] = (same.argmax(1) == band[a]) | (band[a] == _TINY_BAND)
-        i, j = i[first], j[first]
-        return pa.table({"a": node.take(pa.array(i)), "b": node.take(pa.array(j))})
+        words = [flat[ends[k]:ends[k + 1]] for k in range(len(own))]
+        found = np.array(linked((i[first], j[first]), comp, words, similarity), np.int64).reshape(-1, 2)
+        return pa.table({"a": node.take(pa.array(found[:, 0])), "b": node.take(pa.array(found[:, 1]))})
 
-    found = (cells.select("bucket", "band", "row", "col", "own", "node", "comp", "n_words", "keys", "hist")
+    found = (cells.select("bucket", "band", "row", "col", "own", "node", "comp", "n_words", "keys", "words")
              .groupBy("bucket", "row", "col").applyInArrow(compare, "a binary, b binary"))
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
@@ -503,8 +564,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     mixed = of.filter("node > leader").groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 < c1")
     open_members = written(of.join(mixed.select("bucket"), "bucket"), "near-open")
     rest = (open_members.filter("node > leader").select("bucket", "band", "node", "comp", "n_words")
-            .join(words.select("node", "hist"), "node").join(nodes.select("node", "keys"), "node"))
-    comp = joined(comp, verified(pairs_across(rest, similarity), words, similarity))
+            .join(words.select("node", "words"), "node").join(nodes.select("node", "keys"), "node"))
+    comp = joined(comp, links_across(rest, similarity))
     ids = nodes.select("node", "doc_id")
     heads = comp.join(ids, "node").groupBy("comp").agg(F.min("doc_id").alias("class_id"))
     linked = comp.join(heads, "comp").select("node", "comp", "class_id")
@@ -527,10 +588,10 @@ def representatives(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     kept = found.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "node")).alias("k"))
     keep = written(kept.select(F.col("k.doc_id").alias("keep_id"), F.col("k.node").alias("keep_node")), "near-kept")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    marked = docs.withColumn("near_node", F.unhex(F.md5(text)))
+    marked = docs.select("doc_id", F.unhex(F.md5(text)).alias("near_node"), whole_row(docs))
     one = marked.join(keep, (F.col("near_node") == F.col("keep_node")) & F.col("doc_id").eqNullSafe(F.col("keep_id")))
     # rows that repeat a kept id and text: their number first, so the texts move only where there are any
     again = one.groupBy("doc_id", "near_node").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id", "near_node")
     if not again.isEmpty():
         one = one.dropDuplicates(["doc_id", "near_node"])
-    return one.select(*docs.columns)
+    return one.select(f"{ROW}.*")
