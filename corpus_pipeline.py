@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripwise.llm import decontaminate, mixing, near_dup, quality, sharding
-from tripwise.llm.common import crc_fold, ship, table, written
+from tripwise.llm.common import ROW, crc_fold, ship, table, whole_row, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,27 +36,29 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in the order of the mix; the written files, read in order, hold it."""
     ship(spark)
-    return mixing.in_mix_order(mixing.mix(docs)).select(*docs.columns)
+    sized = docs.select("doc_id", "source", F.octet_length(F.col("text").cast("string")).alias("mix_bytes"), whole_row(docs))
+    return mixing.in_mix_order(mixing.mix(sized)).select(f"{ROW}.*")
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with shard_id, overflow and position in the shard, which follows the mix.
 
     The order of the mix is that of the files and of the rows in them; rows that are
-    not read from files keep the order in which Spark numbers them.
+    not read from files keep the order in which Spark numbers them.  Columns of ``docs``
+    of these three names are replaced.
     """
     ship(spark)
-    columns = docs.columns
+    own = ["doc_id", "text", whole_row(docs)]
     try:
-        placed = docs.select("*", F.col("_metadata.file_path").alias("mix_file"),
-                             F.col("_metadata.row_index").alias("mix_row"))
+        placed = docs.select(*own, F.col("_metadata.file_path").alias("mix_file"), F.col("_metadata.row_index").alias("mix_row"))
     except AnalysisException:
-        placed = docs.select("*", F.lit("").alias("mix_file"), F.monotonically_increasing_id().alias("mix_row"))
-    sharded = sharding.shard(placed)
+        placed = docs.select(*own, F.lit("").alias("mix_file"), F.monotonically_increasing_id().alias("mix_row"))
+    sharded = sharding.assign(sharding.hashed(placed).drop("doc_id", "text"))
     # a shard is bounded by its byte limit
     order = Window.partitionBy("shard_id", "overflow").orderBy("mix_file", "mix_row")
-    return sharded.withColumn("position", F.row_number().over(order) - 1).select(
-        *columns, "shard_id", "overflow", "position")
+    added = ["shard_id", "overflow", "position"]
+    columns = [F.col(f"{ROW}.`{c}`") for c in docs.columns if c not in added]
+    return sharded.withColumn("position", F.row_number().over(order) - 1).select(*columns, *added)
 
 
 STAGES = [
