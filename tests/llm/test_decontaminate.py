@@ -107,3 +107,28 @@ def test_edited_short_items_are_aligned_when_a_gram_is_left(spark):
                 want[(d, i)] = s
     assert (700, 70) in want and len(want) > 100
     assert got == want
+
+
+def test_a_phrase_of_every_item_and_document_is_no_seed(spark):
+    rng = seeded(17)
+    phrase = "which of the following"
+    items = [(i, f"{phrase} {prose(rng, 12)}", 0) for i in range(100)]
+    docs = [(i, f"{prose(rng, 30)} {phrase} {prose(rng, 30)}", 0, "") for i in range(100)]
+    docs += [(200 + i, f"{prose(rng, 10)} {t}", 0, "") for i, t, _ in items[:10]]
+    words = dc.item_words(frame(spark, items, ITEMS))
+    seeds = dc.rare_seeds(words)
+    of = seeds.groupBy("size", "gram").count()
+    assert of.agg({"count": "max"}).first()[0] <= dc.MAX_ITEMS
+    assert {r["size"] for r in seeds.select("size").distinct().collect()} == {4, 8}
+    got = {(r.doc_id, r.item_id) for r in dc.find_leaks(frame(spark, docs, DOCS), frame(spark, items, ITEMS)).collect()}
+    assert got == {(200 + i, i) for i in range(10)}
+    # copies of one item are all common, and all found
+    same = [(i, items[0][1], 0) for i in range(40)]
+    got = dc.find_leaks(frame(spark, docs, DOCS), frame(spark, same, ITEMS))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == {(200, i) for i in range(40)}
+
+
+def test_items_of_too_few_words_match_nothing(spark):
+    docs = [(1, "Yes , it was a long day", 0, "")]
+    assert dc.find_leaks(frame(spark, docs, DOCS), frame(spark, [(1, "yes", 0), (2, "it was a", 0)], ITEMS)).count() == 0
+    assert dc.find_leaks(frame(spark, docs, DOCS), frame(spark, [(1, "it was a long", 0)], ITEMS)).count() == 1

@@ -1,8 +1,10 @@
-"""Benchmark decontamination: n-gram seeds and Smith-Waterman alignment.
+"""Benchmark decontamination: rare n-gram seeds and Smith-Waterman alignment.
 
-Seeds are word n-grams of the test items.  A pass over the documents keeps the
-regions around places that may hold a seed (a Bloom filter of bounded size tells).
-Every n-gram of an item is a seed, so any n equal words in a row lead to an alignment.
+Seeds are word n-grams of the test items that few items hold.  At a place where the
+n-gram is a stock phrase of many items, one of twice the words takes its turn, and so on,
+so a place of a document meets a bounded number of items.  A pass over the documents
+keeps the regions around places that may hold a seed (a Bloom filter of bounded size
+tells).  Any n equal words in a row lead to an alignment unless they are a stock phrase.
 Regions and items that share a seed are aligned word by word unless they have too few
 words in common for a leak; the local alignment's score decides, so edited and
 paraphrased copies count as well.
@@ -19,8 +21,10 @@ from pyspark.sql import functions as F
 
 from tripwise.llm.common import Words, gram_hashes, ranges, text_slices, written
 
-#: Words of a seed.
+#: Least words of a seed, and of an item (fewer tell no leak: such items match nothing).
 SEED_WORDS = 4
+#: A gram that more items hold is no seed; a longer one is.
+MAX_ITEMS = 32
 #: An item is leaked if its alignment scores this share of its words, or so many words.
 MIN_SHARE, MIN_SCORE = 0.5, 40
 MATCH, MISMATCH, GAP = 1, -1, -1
@@ -43,17 +47,39 @@ def item_words(benchmark: DataFrame) -> DataFrame:
 
 
 def item_grams(items: DataFrame, n: int = SEED_WORDS) -> DataFrame:
-    """(item_no, pos, gram) of every n-gram of the items; an item of fewer words has one gram of them all."""
+    """(item_no, pos, size, gram): at every place of an item its grams of n, 2 n, 4 n ... words.
+
+    Where a gram would pass the item's end it is the item's last one of that size.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for no, words in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                w = np.array(words.values, np.int64).view(np.uint64)
-                g = gram_hashes(w, min(n, len(w))).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([no] * len(g), pa.int64()), pa.array(np.arange(len(g)), pa.int32()),
-                                                  pa.array(g)], names=["item_no", "pos", "gram"])
+                w, size = np.array(words.values, np.int64).view(np.uint64), n
+                places = len(w) - n + 1
+                while size <= len(w):
+                    g = gram_hashes(w, size).view(np.int64)
+                    g = g[np.minimum(np.arange(places), len(g) - 1)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([no] * places, pa.int64()), pa.array(np.arange(places), pa.int32()),
+                         pa.array([size] * places, pa.int32()), pa.array(g)], names=["item_no", "pos", "size", "gram"])
+                    size *= 2
+
+    return items.select("item_no", "words").mapInArrow(run, "item_no long, pos int, size int, gram long")
 
-    return items.select("item_no", "words").mapInArrow(run, "item_no long, pos int, gram long")
+
+def rare_seeds(items: DataFrame, n: int = SEED_WORDS, max_items: int = MAX_ITEMS) -> DataFrame:
+    """(item_no, size, gram): at every place of an item its shortest gram that at most ``max_items`` items hold.
+
+    Where even the longest is held by more (items that are copies of each other), the longest.
+    """
+    grams = item_grams(items, n)
+    held = grams.groupBy("size", "gram").agg(F.count_distinct("item_no").alias("held"))
+    known = grams.join(held, ["size", "gram"])
+    # rare ones by size, then common ones from the longest on
+    order = F.when(F.col("held") <= max_items, F.col("size")).otherwise((1 << 30) - F.col("size"))
+    best = known.groupBy("item_no", "pos").agg(F.min_by(F.struct("size", "gram"), order).alias("s"))
+    return best.select("item_no", "s.size", "s.gram").distinct()
 
 
 def _probes(grams: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -207,20 +233,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_share: float = MIN_SHA
 
     A row is the best alignment of that document and item, among those of a score of at
     least min_share of the item's words or min_score.  Words are lower-case without
-    outer punctuation; items and texts without a word match nothing; repeated rows and
-    ids give one row; null ids are ids like others.  Other columns play no part.
+    outer punctuation; items of fewer than SEED_WORDS words match nothing; repeated rows
+    and ids give one row; null ids are ids like others.  Other columns play no part.
     """
-    items = item_words(benchmark)
-    grams = written(item_grams(items), "leak-grams")
-    stats = items.agg(F.max(F.size("words")).alias("longest"),
-                      F.collect_set(F.least(F.size("words"), F.lit(SEED_WORDS))).alias("sizes")).first()
-    reach = 2 * (stats["longest"] or 0)
-    bloom = bloom_filter(grams, max(1, grams.count()))
-    found = regions(docs, bloom, sorted(stats["sizes"]) or [SEED_WORDS], reach)
+    items = item_words(benchmark).filter(F.size("words") >= SEED_WORDS)
+    seeds = written(rare_seeds(items), "leak-seeds")
+    reach = 2 * (items.agg(F.max(F.size("words"))).first()[0] or 0)
+    # sizes are doublings, so there are few
+    sizes = sorted(r["size"] for r in seeds.select("size").distinct().collect())
+    bloom = bloom_filter(seeds, max(1, seeds.count()))
+    found = regions(docs, bloom, sizes or [SEED_WORDS], reach)
     found = written(found.withColumn("region", F.monotonically_increasing_id()), "leak-regions")
     places = found.select("region", F.explode(F.array_distinct("grams")).alias("gram"))
-    seeds = grams.select("item_no", "gram").distinct()
-    pairs = places.join(seeds, "gram").select("region", "item_no").distinct()
+    pairs = places.join(seeds.select("item_no", "gram"), "gram").select("region", "item_no").distinct()
     both = (pairs.join(found.select("region", "doc_id", "start", "words"), "region")
             .join(items.select("item_no", "item_id", F.col("words").alias("item")), "item_no"))
     # an alignment scores at most one for each word of the item that the region holds
