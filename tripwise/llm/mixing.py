@@ -31,6 +31,9 @@ CHUNK_ROWS = 8192
 PERIOD, PERIOD_EACH = 1024, 16
 #: Blocks of the schedule that are sent on together.
 SCHEDULE_ROWS = 1 << 16
+#: Target weights of the registered query and the pipeline: the sources' block counts to this power, in
+#: parts of a thousand blocks.  Below 1 it lowers the share of large sources and raises that of small ones.
+TEMPERATURE, TEMPERED_PARTS = 0.7, 1000
 #: The per-source table is held on the driver; more sources are an error.
 MAX_SOURCES = 1 << 16
 
@@ -110,7 +113,7 @@ def schedule(spark: SparkSession, q: int, parts: Mapping[str, int], blocks: Mapp
 
 
 def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, block_bytes: int = BLOCK_BYTES,
-        chunk_rows: int = CHUNK_ROWS, period: int | None = None) -> DataFrame:
+        chunk_rows: int = CHUNK_ROWS, period: int | None = None, temperature: float | None = None) -> DataFrame:
     """The rows of ``docs`` with their place in the mix; every row is kept.
 
     ``docs`` has doc_id, source and text (or its UTF-8 length as mix_bytes) and any
@@ -118,8 +121,8 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, bloc
     row's offset in its block) and exact_mix (whether all sources still have blocks
     at that slot: there the shares are within one block of the targets).  Reading
     by (slot, slot_bytes, doc_id) gives the mix; columns of ``docs`` of these names are
-    replaced.  Without ``weights`` the targets
-    are the sources' shares of the blocks, so all sources end together.  The weights
+    replaced.  Without ``weights`` the targets are the sources' shares of the blocks, so all
+    sources end together; with ``temperature`` t the t-th powers of their block counts.  The weights
     are kept exactly; with ``period`` they are rounded to parts of it.  A source
     that runs out leaves slots empty.  A null source is a source of its own
     (weights key None); a weight for a source without rows is ignored; a source
@@ -137,7 +140,9 @@ def mix(docs: DataFrame, weights: Mapping[str | None, float] | None = None, bloc
     if len(sources) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
     ends = {s: -(-max(1, r["b"]) // block_bytes) for s, r in sources.items()}  # blocks of the source
-    if weights is None:
+    if weights is None and temperature is not None:
+        targets = {s: max(1, round(TEMPERED_PARTS * n ** temperature)) for s, n in ends.items()}
+    elif weights is None:
         targets = dict(ends)
     else:
         given = {("-" if k is None else f"+{k}"): v for k, v in weights.items()}

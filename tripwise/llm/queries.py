@@ -82,10 +82,10 @@ def op5_warc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op6_pfair_mix")
 def op6_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's place in the mix of all sources (targets: their shares of the blocks)."""
+    """Every document's place in the mix of all sources (target weights: their block counts to the power 0.7)."""
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "source", F.octet_length("text").alias("mix_bytes"))
-    return mixing.mix(docs).select("doc_id", "source", "block", "slot", "slot_bytes", "exact_mix")
+    return mixing.mix(docs, temperature=mixing.TEMPERATURE).select("doc_id", "source", "block", "slot", "slot_bytes", "exact_mix")
 
 
 @register("op7_extendible_shards", sharding.oracle_sql())
