@@ -30,3 +30,15 @@ def test_top_k_equals_brute_force(spark):
     assert got == want
     empty = rows.filter("false")
     assert topk.top_k(empty, empty).count() == 0
+
+
+def test_scores_beyond_doubles_are_whole_numbers(spark):
+    """Components near 2^30 give products that doubles cannot tell apart."""
+    big = 1 << 22
+    vectors = [(0, [big + 1 / 256, float(big)]), (1, [big + 2 / 256, big + 1 / 256]), (2, [float(big), big + 2 / 256]),
+               (3, [big + 3 / 256, big - 1 / 256]), (4, [big + 1 / 256, big + 1 / 256]), (5, [float(-big), 1.0])]
+    rows = topk.quantised(spark.createDataFrame(vectors, "vec_id long, embedding array<double>"))
+    got = [(r.vec_id, r.score) for r in topk.top_k(rows, rows.filter("vec_id = 0"), 4, pivots=2).orderBy("rank").collect()]
+    x = {i: [math.floor(256 * c) for c in v] for i, v in vectors}
+    want = sorted(((-sum(a * b for a, b in zip(x[0], x[i], strict=True)), i) for i in x if i), key=lambda p: p)[:4]
+    assert got == [(i, -s) for s, i in want] and max(s for _, s in got) > 1 << 60

@@ -41,9 +41,9 @@ def quantised(df: DataFrame, id_col: str = "vec_id", vector: str = "embedding",
             .distinct())
 
 
-def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
+def _matrix(column: pa.ChunkedArray | pa.Array, dim: int, kind=np.float64) -> np.ndarray:
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return np.asarray(flat.flatten(), dtype=np.float64).reshape(-1, dim)
+    return np.asarray(flat.flatten(), dtype=kind).reshape(-1, dim)
 
 
 def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -54,25 +54,32 @@ def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
 def search_chunk(q_ids: np.ndarray, q: np.ndarray, q_piv: np.ndarray, ids: np.ndarray, x: np.ndarray,
                  x_piv: np.ndarray, k: int) -> list[tuple[int, int, int]]:
     """(query, row, score) of each query's k best rows of this chunk, in bound order with exact stopping."""
+    whole_q, whole_x, q, x = q, x, q.astype(np.float64), x.astype(np.float64)
     norms, out = (x * x).sum(1), []
+    # sums of products beyond the exact range of doubles are taken in whole numbers
+    exact = np.abs(x).max(initial=0) * np.abs(q).max(initial=0) * max(1, x.shape[1]) < 2.0 ** 52
+    integer = np.frompyfunc(int, 1, 1)
     x_table = np.ascontiguousarray(x_piv.T)
-    for qid, vec, dist in zip(q_ids, q, q_piv, strict=True):
+    for qid, vec, whole, dist in zip(q_ids, q, whole_q, q_piv, strict=True):
         lower = np.zeros(len(x))
         for p in range(len(x_table)):
             np.maximum(lower, np.abs(x_table[p] - dist[p]), out=lower)
         lower = np.maximum(lower - 1e-6, 0.0)
-        bound = np.floor((vec @ vec + norms - lower * lower) / 2 + 1e-3)
+        sizes = vec @ vec + norms
+        # raised by more than the terms' rounding
+        bound = np.floor((sizes - lower * lower) / 2 + 1e-3 + 1e-9 * sizes)
         bound[ids == qid] = -np.inf
         order = np.argsort(-bound, kind="stable")
-        best_s, best_i = np.zeros(0), np.zeros(0, np.int64)
+        best_s, best_i = np.zeros(0, np.float64 if exact else object), np.zeros(0, np.int64)
         for at in range(0, len(order), STEP):
             if bound[order[at]] == -np.inf or len(best_s) == k and bound[order[at]] < best_s[-1]:
                 break
             take = order[at:at + STEP]
             take = take[bound[take] > -np.inf]
-            s = np.concatenate([best_s, x[take] @ vec])
+            scores = x[take] @ vec if exact else integer(whole_x[take]) @ integer(whole)
+            s = np.concatenate([best_s, scores])
             i = np.concatenate([best_i, ids[take]])
-            keep = np.lexsort((i, -s))[:k]
+            keep = np.lexsort((i, -s))[:k] if exact else np.array(sorted(range(len(s)), key=lambda n: (-s[n], i[n]))[:k], np.int64)
             best_s, best_i = s[keep], i[keep]
         out += [(int(qid), int(i), int(s)) for i, s in zip(best_i, best_s, strict=True)]
     return out
@@ -85,8 +92,8 @@ def _matcher(dim: int, width: int, k: int):
         found = []
         if left.num_rows and right.num_rows:
             found = search_chunk(
-                left["vec_id"].to_numpy(), _matrix(left["x"], dim), _matrix(left["table"], width),
-                right["vec_id"].to_numpy(), _matrix(right["x"], dim), _matrix(right["table"], width), k)
+                left["vec_id"].to_numpy(), _matrix(left["x"], dim, np.int64), _matrix(left["table"], width),
+                right["vec_id"].to_numpy(), _matrix(right["x"], dim, np.int64), _matrix(right["table"], width), k)
         cols = list(zip(*found, strict=True)) or [(), (), ()]
         return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("query_id", "vec_id", "score"), cols,
                                                                     strict=True)})
