@@ -37,7 +37,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """All documents in the order of the mix; the written files, read in order, hold it."""
     ship(spark)
     sized = docs.select("doc_id", "source", F.octet_length(F.col("text").cast("string")).alias("mix_bytes"), whole_row(docs))
-    return mixing.in_mix_order(mixing.mix(sized)).select(f"{ROW}.*")
+    return mixing.in_mix_order(mixing.mix(sized, temperature=mixing.TEMPERATURE)).select(f"{ROW}.*")
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
