@@ -52,7 +52,8 @@ def _sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def _repeats(hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(whether an equal value came before in the same text, how many values of its text equal it)."""
-    key = hashes ^ mix64(doc.astype(np.uint64) + np.uint64(11))
+    # the factor keeps hashes of small numbers apart from those of the texts' numbers
+    key = hashes * np.uint64(0x9E3779B97F4A7C15) ^ mix64(doc.astype(np.uint64) + np.uint64(11))
     _, first, place, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
     before = np.ones(len(key), bool)
     before[first] = False
