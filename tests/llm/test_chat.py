@@ -23,6 +23,9 @@ def test_layouts_become_turns(spark):
         ({"instruction": "q", "input": "", "output": None}, "instruction_input", [("user", "q"), ("assistant", "")]),
         ({"system": "s", "prompt": "q", "completion": "a"}, "prompt_system", [("system", "s"), *two]),
         ({"messages": [{"content": None, "role": None}]}, "messages", [("", "")]),
+        # fields that only a later message has
+        ({"messages": [{"role": "user"}, {"role": "assistant", "content": "a"}]}, "messages", [("user", ""), ("assistant", "a")]),
+        ({"messages": []}, None, None),
         ({"nothing": 1}, None, None), ({}, None, None),
     ]
     rows = [(i, json.dumps(r), "c", "d") for i, (r, *_) in enumerate(records)] + [(90, None, "c", "d"), (91, "{broken", "c", "d")]
@@ -62,3 +65,14 @@ def test_typed_tables_go_by_their_schema(spark):
     r = chat.canonical_table(df).first()
     assert (r.conv_id, r.layout, [tuple(t) for t in r.turns]) == (7, "messages", [("user", "q"), ("assistant", "a")])
     assert chat.schema_paths(df.schema) == ["messages[].role", "messages[].content", "conv_id", "record"]
+
+
+def test_the_schema_fingerprint_selects_the_table_mapping(spark):
+    of = {p: spark.range(1).select(chat.fingerprint(F.array(*map(F.lit, p)))).first()[0] for p in (chat.TURN_ROWS, ("a", "b[].c"))}
+    assert all(chat.schema_fingerprint(p) == h for p, h in of.items())
+    rows = [(1, 0, "user", "q", "p", "s"), (1, 1, "assistant", "a", "p", "s")]
+    turned = frame(spark, rows, "conv_id long, turn int, role string, text string, prompt string, system string")
+    r = chat.canonical_table(turned).first()
+    assert (r.fingerprint, r.layout, [tuple(t) for t in r.turns]) == (of[chat.TURN_ROWS], "turn_rows", [("user", "q"), ("assistant", "a")])
+    # without the turn's number it is no table of turns
+    assert chat.canonical_table(turned.drop("turn").withColumn("completion", F.lit("c"))).first().layout == "prompt_system"

@@ -9,9 +9,10 @@ are then put into a template whose control strings are escaped inside texts.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,11 +97,14 @@ def known_paths(layouts: tuple[Layout, ...] = LAYOUTS) -> list[str]:
 def record_paths(v: Column, layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
     """Those of the mappings' paths that a JSON variant has; other fields do not count.
 
-    A path into a list counts if the list's first element has it.
+    A path into a list counts if any of the list's elements has it.
     """
     def there(path: str) -> Column:
-        at = "$." + path.replace("[]", "[0]")
-        return F.when(F.try_variant_get(v, at, "variant").isNotNull(), F.lit(path))
+        outer, _, inner = path.partition("[].")
+        if not inner:
+            return F.when(F.try_variant_get(v, f"$.{path}", "variant").isNotNull(), F.lit(path))
+        items = F.try_variant_get(v, f"$.{outer}", "array<variant>")
+        return F.when(F.exists(items, lambda x: F.try_variant_get(x, f"$.{inner}", "variant").isNotNull()), F.lit(path))
 
     return F.filter(F.array(*[there(p) for p in known_paths(layouts)]), lambda p: p.isNotNull())
 
@@ -116,6 +120,24 @@ def schema_paths(schema: T.StructType, prefix: str = "") -> list[str]:
     return out
 
 
+def schema_fingerprint(paths: Iterable[str]) -> int:
+    """``fingerprint`` of paths that are known before any row is read."""
+    h = xxhash.xxh64_intdigest("\n".join(sorted(set(paths))), 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def _turn_rows(df: DataFrame) -> DataFrame:
+    """(conv_id, turns) of a table with a row for each turn."""
+    row = F.struct(F.col("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
+                   F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    turns = F.transform(F.array_sort(F.collect_list(row)), lambda t: F.struct(t["role"], t["text"]))
+    return df.groupBy("conv_id").agg(turns.cast(TURNS).alias("turns"))
+
+
+#: Mappings of whole tables by the fingerprint of their schema's paths: name and how the turns come from the rows.
+TABLE_LAYOUTS = {schema_fingerprint(TURN_ROWS): ("turn_rows", _turn_rows)}
+
+
 def canonical_records(df: DataFrame, record: str = "record", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """Adds fingerprint, layout and turns to rows whose column ``record`` holds a JSON text.
 
@@ -135,7 +157,7 @@ def canonical_records(df: DataFrame, record: str = "record", layouts: tuple[Layo
 
 
 def canonical_table(df: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
-    """(conv_id, fingerprint, layout, turns) of a typed table, by the field paths of its schema.
+    """(conv_id, fingerprint, layout, turns) of a typed table, by the fingerprint of its schema's field paths.
 
     A table with conv_id, turn, role and text has a row for each turn: a
     conversation's rows are ordered by (turn, role, text), nulls first, and repeated
@@ -143,17 +165,14 @@ def canonical_table(df: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> Dat
     table has a record a row (conv_id null unless it has that column); its rows go
     through ``canonical_records`` as JSON.  Further columns play no part.
     """
-    top = {f.name for f in df.schema.fields}
-    if set(TURN_ROWS) <= top:
-        row = F.struct(F.col("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-        turns = F.transform(F.array_sort(F.collect_list(row)), lambda t: F.struct(t["role"], t["text"]))
-        return (df.groupBy("conv_id").agg(turns.cast(TURNS).alias("turns"))
-                .select("conv_id", fingerprint(F.array(*map(F.lit, TURN_ROWS))).alias("fingerprint"),
-                        F.lit("turn_rows").alias("layout"), "turns"))
+    paths = schema_paths(df.schema)
+    own = schema_fingerprint(p for p in paths if p in TURN_ROWS)  # other columns do not count
+    if own in TABLE_LAYOUTS:
+        name, mapping = TABLE_LAYOUTS[own]
+        return mapping(df).select("conv_id", F.lit(own).alias("fingerprint"), F.lit(name).alias("layout"), "turns")
     known = {p.split("[")[0] for p in known_paths(layouts)}
     body = F.to_json(F.struct(*[F.col(c) for c in df.columns if c in known]), {"ignoreNullFields": "true"})
-    ident = F.col("conv_id") if "conv_id" in top else F.lit(None).cast("long")
+    ident = F.col("conv_id") if "conv_id" in paths else F.lit(None).cast("long")
     return (canonical_records(df.select(ident.alias("conv_id"), body.alias("record")), "record", layouts)
             .select("conv_id", "fingerprint", "layout", "turns"))
 
