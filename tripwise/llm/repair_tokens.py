@@ -3,7 +3,7 @@
 Documents in ascending id order are encoded with a public tokenizer and cut into
 shards of bounded size.  Each shard is compressed by Re-Pair: the frequent pairs of
 neighbouring ids are replaced by new nonterminals, again and again, until no pair is
-frequent.  The shard keeps its rules and every symbol's expansion length, so any range
+frequent, in at most ``ROUNDS`` rounds.  The shard keeps its rules and every symbol's expansion length, so any range
 of ids is decoded without the ids before it.
 """
 
