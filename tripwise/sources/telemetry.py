@@ -56,6 +56,8 @@ def read_telemetry(spark: SparkSession, path: str, labelled: bool = True, fmt: s
 
 # rows of a split that ``seq`` leaves room for
 _SPLIT_BITS = 40
+#: File splits (a path and three numbers each) whose list is broadcast.
+MAX_BROADCAST_SPLITS = 100_000
 
 
 def _splits(df: DataFrame) -> DataFrame:
@@ -76,12 +78,15 @@ def _in_file_order(df: DataFrame, *columns: str) -> DataFrame:
     """``columns`` with ``seq``, from file, split start and row id: the split's place among all splits, then the
     place in the split; and with ``record``, the row's number in its file, from 1.
 
-    The list of splits is joined back on the split; its size follows the number of
-    files, so the planner chooses the join.
+    The list of splits is joined back on the split; it is broadcast up to
+    MAX_BROADCAST_SPLITS splits, beyond that the planner chooses the join.
     """
     seq = F.shiftleft(F.col("_place"), _SPLIT_BITS) + (F.col("_row") - F.col("_first"))
     record = F.col("_before") + F.col("_row") - F.col("_first") + 1
-    return (df.join(_splits(df), (F.col("_file") == F.col("_f")) & (F.col("_start") == F.col("_s")))
+    # a split is a whole file or fills a partition
+    few = len(df.inputFiles()) + df.rdd.getNumPartitions() <= MAX_BROADCAST_SPLITS
+    splits = F.broadcast(_splits(df)) if few else _splits(df)
+    return (df.join(splits, (F.col("_file") == F.col("_f")) & (F.col("_start") == F.col("_s")))
             .select(*columns, seq.alias("seq"), record.alias("record")))
 
 
