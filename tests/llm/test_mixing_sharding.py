@@ -144,3 +144,15 @@ def test_empty_and_written_shards(spark, tmp_path):
     sharding.write_shards(docs, str(tmp_path / "s"), 2000)
     back = spark.read.parquet(str(tmp_path / "s"))
     assert back.count() == 50 and back.select("shard").distinct().count() > 1
+
+
+def test_tempered_targets_differ_from_the_shares_and_are_met(spark):
+    rows = [(i, "x" * 10, "a" if i % 10 < 7 else "b" if i % 10 < 9 else "c", "x", 1, "p") for i in range(1000)]
+    got = mixing.mix(frame(spark, rows, DDL), block_bytes=10, temperature=0.7).toPandas().sort_values("slot")
+    assert len(got) == 1000 and got.slot.is_unique
+    weight = {s: round(1000 * n ** 0.7) for s, n in {"a": 700, "b": 200, "c": 100}.items()}
+    total = sum(weight.values())
+    exact = got[got.exact_mix]
+    assert 0.05 < abs(weight["a"] / total - 0.7) and 200 < len(exact) < 1000
+    for s, w in weight.items():
+        assert ((exact.source == s).cumsum() - (exact.slot + 1) * w / total).abs().max() < 1, s
