@@ -1,8 +1,10 @@
 """Near-duplicate detection with Order MinHash and banded alignment.
 
-Each sketch takes the three smallest occurrence-labelled three-word shingles of a text
+Each sketch takes the three smallest occurrence-labelled two-word shingles of a text
 under its own hash and keeps their order in the text, so it depends on edit
-similarity and not only on the set of shingles.  Scattered edits leave short texts few
+similarity and not only on the set of shingles.  Shingles are that short because edits of every
+fifth word, which a similarity of 0.8 allows, leave longer ones too rarely whole (of three words
+a fourth of those of both texts, of two 0.43).  Scattered edits leave short texts few
 whole shingles: texts of up to 50 words are sketched by four single words, and those of
 up to nine words, of which one may differ, also have a key for each word left out,
 which finds all their pairs.  Texts that agree in a key are candidates unless lengths or
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from tripwise.llm.common import ROW, Words, gram_hashes, mix64, ranges, text_slices, whole_row, written
 
 #: Words of a shingle, shingles of a sketch, sketches of a text, and least similarity.
-SHINGLE, PICKS, SKETCHES, SIMILARITY = 3, 3, 60, 0.8
+SHINGLE, PICKS, SKETCHES, SIMILARITY = 2, 3, 40, 0.8
 #: Least words of a text with shingle sketches; least and most words of one with sketches of
 #: single words, and words of such a sketch; most words of a text with keys of words left out.
 #: Near texts have lengths within SIMILARITY, so each near pair has all its keys of one kind.
