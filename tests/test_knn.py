@@ -30,8 +30,8 @@ def _brute(train, test, k):
     return out
 
 
-@pytest.mark.parametrize("k,seed,bucket_rows", [(5, 0, None), (30, 1, None), (3, 2, 4)])
-def test_exact_against_brute_force(spark, k, seed, bucket_rows):
+@pytest.mark.parametrize("k,seed,bucket_rows,strip", [(5, 0, None, None), (30, 1, None, 1), (3, 2, 4, 3)])
+def test_exact_against_brute_force(spark, k, seed, bucket_rows, strip):
     rng = np.random.default_rng(seed)
     train = [((rng.normal(0, 50), rng.normal(0, 1), rng.integers(0, 3)), float(rng.integers(0, 5)) / 2)
              for _ in range(150)]
@@ -39,7 +39,7 @@ def test_exact_against_brute_force(spark, k, seed, bucket_rows):
     test = [tuple(rng.normal(0, 40, 3)) for _ in range(25)] + [(0.0, 0.0, 0.0), train[3][0]]
     tr, te = _frames(spark, train, test)
     expect = _brute(train, test, k)
-    pairs = knn_pairs(tr, te, FEATS, k, bucket_rows=bucket_rows).collect()
+    pairs = knn_pairs(tr, te, FEATS, k, bucket_rows=bucket_rows, strip_buckets=strip).collect()
     got = {}
     for r in pairs:
         got.setdefault(r["test_id"], []).append((r["nb"], r["train_id"]))
@@ -67,23 +67,25 @@ def test_no_cartesian_product_in_plan(spark):
     rng = np.random.default_rng(4)
     train = [(tuple(rng.normal(0, 1, 3)), 1.0) for _ in range(40)]
     tr, te = _frames(spark, train, [tuple(rng.normal(0, 1, 3)) for _ in range(5)])
-    plan = knn_pairs(tr, te, FEATS, 5)._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    for strip in (None, 1):
+        plan = knn_pairs(tr, te, FEATS, 5, bucket_rows=8, strip_buckets=strip)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-def test_ties_at_a_rounded_edge(spark):
+@pytest.mark.parametrize("strip", [None, 1])
+def test_ties_at_a_rounded_edge(spark, strip):
     """All bound distances tie at R = p - hi, where p - R rounds above hi: the home bucket still counts."""
     low, p = 0.013436424411240122, 1.8474337369372327
     r = p - low
     values = [low] * 8 + [p + 0.5 * r] + [1000.0 + i for i in range(7)]
     tr = spark.createDataFrame([(i, 1.0, v) for i, v in enumerate(values)], "terminalno bigint, y double, a double")
     te = spark.createDataFrame([(99, p)], "terminalno bigint, a double")
-    got = sorted((x["nb"], x["train_id"]) for x in knn_pairs(tr, te, ["a"], 2, bucket_rows=8).collect())
+    got = sorted((x["nb"], x["train_id"]) for x in knn_pairs(tr, te, ["a"], 2, bucket_rows=8, strip_buckets=strip).collect())
     assert got == [(0, 8), (1, 0)]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_gaps_ties_and_points_outside(spark, seed):
+@pytest.mark.parametrize("seed,strip", [(1, None), (2, 2)])
+def test_gaps_ties_and_points_outside(spark, seed, strip):
     rng = np.random.default_rng(seed)
     values = np.concatenate([rng.integers(0, 6, 60) / 3.0, 50 + rng.integers(0, 4, 40) / 7.0, [200.0] * 15])
     test = np.concatenate([[-100.0, 500.0, 25.0, 50.0, 200.0], rng.uniform(-10, 220, 40), values[:10]])
@@ -91,6 +93,6 @@ def test_gaps_ties_and_points_outside(spark, seed):
     tr, te = _frames(spark, train, [(float(v), 0.0, 0.0) for v in test])
     want = _brute(train, [(float(v), 0.0, 0.0) for v in test], 5)
     got = {}
-    for x in knn_pairs(tr, te, FEATS, 5, bucket_rows=20).collect():
+    for x in knn_pairs(tr, te, FEATS, 5, bucket_rows=20, strip_buckets=strip).collect():
         got.setdefault(x["test_id"], []).append((x["nb"], x["train_id"]))
     assert {k: [t for _, t in sorted(v)] for k, v in got.items()} == {k: v[0] for k, v in want.items()}

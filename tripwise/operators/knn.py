@@ -6,17 +6,21 @@ Distance: Euclidean over the raw (unscaled) feature columns.  Neighbour order:
 
 Plan (all distributed; only the feature variances and counts reach the driver):
 
-1. axis: the feature with the largest variance over train.  For any unit axis,
-   |p(a) - p(b)| <= ||a - b||, so a projection window prunes exactly.
-2. train is ranked by (p, id) with a distributed global rank and cut into buckets
-   of ``m >= k`` consecutive rows; m does not grow with the table.
-3. bound: each test point meets the m train rows of its home bucket (that of the
-   last train row at or below its p); its k-th smallest distance there is
+1. tiles: train is ranked along the feature with the largest variance (distributed
+   global rank) and cut into strips; each strip is ranked along the second one and cut
+   into buckets of ``m >= k`` consecutive rows; m does not grow with the table, and strips
+   and the buckets of one grow with the square root of it.  Tables of few buckets are one
+   strip, ranked along the first feature.  A bucket's box has the extremes of every feature.
+2. bound: each test point meets the m train rows of its home bucket (that of the last
+   train row at or below it in both rankings); its k-th smallest distance there is
    R >= the true k-th neighbour distance.
-4. exact: the test point meets every bucket that holds train rows within
-   [p - R, p + R], widened by a relative margin against rounding, and always its
-   home bucket; only ``distance <= R`` decides.  The k best per test point are kept
-   before and after the exchange on the test point.
+3. boxes: the test point meets the boxes of the strips that hold train rows within
+   [p - R, p + R], widened by a relative margin against rounding, and of its home strip.
+   The distance to a box is at most that to any of its rows, also after rounding, as both
+   are computed alike; boxes beyond R are left out.
+4. exact: the test point meets the rows of the boxes that remain; only ``distance <= R``
+   decides.  The k best per test point are kept before and after the exchange on the
+   test point.
 
 Places of values among the train rows come from ranging both sides together
 (``order.place_among``), so no array of bucket edges exists.  Buckets hold m train rows
@@ -27,6 +31,7 @@ own, so AQE may split it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -44,8 +49,16 @@ def _distance(a: str, b: str, features: Sequence[str]) -> Column:
     return F.sqrt(s)
 
 
-# rows of a bucket, at least, and the margin of a window's edges relative to their size
-BUCKET_ROWS = 64
+def _box_distance(q: str, box: str, features: Sequence[str]) -> Column:
+    s = None
+    for c in features:
+        d = F.greatest(F.col(f"{box}.lo.{c}") - F.col(f"{q}.{c}"), F.col(f"{q}.{c}") - F.col(f"{box}.hi.{c}"), F.lit(0.0))
+        s = d * d if s is None else s + d * d
+    return F.sqrt(s)
+
+
+# rows of a bucket and buckets of a strip, at least, and the margin of a window's edges relative to their size
+BUCKET_ROWS, STRIP_BUCKETS = 64, 64
 EDGE_MARGIN = 1e-12
 
 
@@ -57,6 +70,7 @@ def knn_pairs(
     id_col: str = "terminalno",
     label: str = "y",
     bucket_rows: int | None = None,
+    strip_buckets: int | None = None,
 ) -> DataFrame:
     """The k nearest train rows of every test row.
 
@@ -73,24 +87,40 @@ def knn_pairs(
     te = side_of(test, F.col(id_col).alias("test_id"))
 
     stats = tr.agg(F.count(F.lit(1)).alias("_n"), *[F.var_pop(c).alias(c) for c in feats]).first()
-    axis = max(feats, key=lambda c: (stats[c] or 0.0))
+    axes = sorted(feats, key=lambda c: -(stats[c] or 0.0))
+    axis, second = axes[0], axes[min(1, len(axes) - 1)]
     n = stats["_n"]
     if n < k:
         raise ValueError(f"k={k} neighbours requested from {n} train rows")
     m = max(4 * k, bucket_rows or BUCKET_ROWS)
     nb = max(1, n // m)  # the last bucket takes the remainder: every bucket has >= m rows (or all)
-
-    def bucket_of(rank: Column) -> Column:
-        return F.least(F.floor(F.greatest(rank, F.lit(0)) / F.lit(m)), F.lit(nb - 1))
-
-    # ranks of train, and the home bucket of test: that of the last train row with p at or below the test point's
-    ranked, at = place_among(tr.withColumn("p", F.col(axis)),
-                             te.withColumns({"p": F.col(axis), "_side": F.lit(UP_TO), "train_id": F.lit(None).cast(
-                                 tr.schema["train_id"].dataType)}), "p", "train_id", "_side", "_r")
-    tr_b = ranked.withColumn("bucket", bucket_of(F.col("_r"))).drop("_r")
-    te_h = at.withColumn("bucket", bucket_of(F.col("_r") - 1)).drop("_r", "_side", "train_id")
-
-    # 3. first bound R from the home bucket
+    wide = strip_buckets or max(STRIP_BUCKETS, math.isqrt(nb))
+    ns = max(1, nb // wide)  # as the last strip does
+
+    def part_of(rank: Column, size: int, parts: int) -> Column:
+        return F.least(F.floor(F.greatest(rank, F.lit(0)) / F.lit(size)), F.lit(parts - 1))
+
+    train_id = tr.schema["train_id"].dataType
+
+    def placed(rows: DataFrame, points: DataFrame, key: Column) -> tuple[DataFrame, DataFrame]:
+        """Both with ``_r``: ranks of the train rows, and train rows up to each point."""
+        asked = points.withColumns({"_key": key, "_side": F.lit(UP_TO), "train_id": F.lit(None).cast(train_id)})
+        ranked, at = place_among(rows.withColumn("_key", key), asked, "_key", "train_id", "_side", "_r")
+        return ranked.drop("_key"), at.drop("_key", "_side", "train_id")
+
+    # 1. the tiles of train, and the home strip and bucket of test
+    if ns == 1:
+        tr, te = tr.withColumn("strip", F.lit(0)), te.withColumn("strip", F.lit(0))
+        ranked, at = placed(tr, te, F.col(axis))
+    else:
+        ranked, at = placed(tr, te, F.col(axis))
+        ranked = ranked.withColumn("strip", part_of(F.col("_r"), wide * m, ns)).drop("_r")
+        at = at.withColumn("strip", part_of(F.col("_r") - 1, wide * m, ns)).drop("_r")
+        ranked, at = placed(ranked, at, F.struct("strip", second))
+    tr_b = ranked.withColumn("bucket", part_of(F.col("_r"), m, nb)).drop("_r")
+    te_h = at.withColumn("bucket", F.greatest(part_of(F.col("_r") - 1, m, nb), F.col("strip") * wide)).drop("_r")
+
+    # 2. first bound R from the home bucket
     cand = te_h.alias("q").join(tr_b.alias("t"), on=F.col("q.bucket") == F.col("t.bucket"))
     cand = cand.select(F.col("q.test_id").alias("test_id"), _distance("q", "t", feats).alias("dist"))
     # k-th smallest distance: top k per test point (a partial group limit runs
@@ -99,19 +129,31 @@ def knn_pairs(
     radius = (cand.withColumn("_r", F.row_number().over(wr)).where(F.col("_r") <= k)
               .groupBy("test_id").agg(F.max("dist").alias("radius")))
 
-    # 4. exact candidates: every bucket with train rows in the widened window, and the home bucket
-    bounded = te_h.join(radius, "test_id").withColumnRenamed("bucket", "home").checkpoint(eager=True)
-    margin = F.lit(EDGE_MARGIN) * (F.abs("p") + F.col("radius"))
-    window = F.array(F.struct((F.col("p") - F.col("radius") - margin).alias("p"), F.lit(BELOW).alias("_side")),
-                     F.struct((F.col("p") + F.col("radius") + margin).alias("p"), F.lit(UP_TO).alias("_side")))
-    edges = bounded.select("test_id", F.explode(window).alias("_e")).select(
-        "test_id", "_e.p", "_e._side", F.lit(None).cast(tr.schema["train_id"].dataType).alias("train_id"))
-    _, cut = place_among(tr.select("train_id", F.col(axis).alias("p")), edges, "p", "train_id", "_side", "_r")
-    spans = cut.groupBy("test_id").agg(
-        F.max(F.when(F.col("_side") == BELOW, bucket_of(F.col("_r")))).alias("b1"),
-        F.max(F.when(F.col("_side") == UP_TO, bucket_of(F.col("_r") - 1))).alias("b2"))
-    q = bounded.join(spans, "test_id").withColumn("bucket", F.explode(F.sequence(
-        F.least("b1", "home"), F.greatest("b2", "home"))))
+    # 3. boxes within R, in the strips with train rows in the widened window and the home strip
+    bounded = te_h.join(radius, "test_id").withColumnRenamed("bucket", "home")
+    if ns == 1:
+        met = bounded
+    else:
+        bounded = bounded.checkpoint(eager=True)
+        margin = F.lit(EDGE_MARGIN) * (F.abs(axis) + F.col("radius"))
+        window = F.array(F.struct((F.col(axis) - F.col("radius") - margin).alias("p"), F.lit(BELOW).alias("_side")),
+                         F.struct((F.col(axis) + F.col("radius") + margin).alias("p"), F.lit(UP_TO).alias("_side")))
+        edges = bounded.select("test_id", F.explode(window).alias("_e")).select(
+            "test_id", "_e.p", "_e._side", F.lit(None).cast(train_id).alias("train_id"))
+        _, cut = place_among(tr.select("train_id", F.col(axis).alias("p")), edges, "p", "train_id", "_side", "_r")
+        spans = cut.groupBy("test_id").agg(
+            F.max(F.when(F.col("_side") == BELOW, part_of(F.col("_r"), wide * m, ns))).alias("s1"),
+            F.max(F.when(F.col("_side") == UP_TO, part_of(F.col("_r") - 1, wide * m, ns))).alias("s2"))
+        met = bounded.join(spans, "test_id").withColumn("strip", F.explode(F.sequence(
+            F.least("s1", "strip"), F.greatest("s2", "strip"))))
+    boxes = tr_b.groupBy("strip", "bucket").agg(*[
+        F.struct(*[of(c).alias(c) for c in feats]).alias(side) for side, of in (("lo", F.min), ("hi", F.max))])
+    if ns == 1:  # fewer than 2 * wide boxes
+        boxes = F.broadcast(boxes)
+    q = (met.alias("q").join(boxes.alias("x"), on=F.col("q.strip") == F.col("x.strip"))
+         .where(_box_distance("q", "x", feats) <= F.col("q.radius"))
+         .select("q.test_id", "q.radius", "x.bucket", *[f"q.{c}" for c in feats]))
+    # 4. exact candidates
     pairs = q.alias("q").join(tr_b.alias("t"), on=F.col("q.bucket") == F.col("t.bucket")).select(
         F.col("q.test_id").alias("test_id"), F.col("t.train_id").alias("train_id"),
         F.col("t.label").alias("label"), _distance("q", "t", feats).alias("dist"), F.col("q.radius"),
