@@ -131,3 +131,25 @@ def test_watch_list_has_mae(spark):
     pred = {r["terminalno"]: r["pred"] for r in md.predict(model, df).collect()}
     mae = np.mean([abs(pred[i] - y[i]) for i in range(len(y))])
     assert rows[-1][2] == pytest.approx(mae) and len(rows) == 3
+
+
+def test_fits_started_together_ship_the_package_once(monkeypatch):
+    import time
+    from concurrent.futures import ThreadPoolExecutor
+    from types import SimpleNamespace
+
+    from tripwise import session
+
+    added = []
+
+    def add(path):
+        time.sleep(0.2)
+        if added:  # as Spark does
+            raise ValueError(f"File tripwise-core.zip was already registered with a different path (old path = {added[0]})")
+        added.append(path)
+
+    monkeypatch.setattr(session, "_SHIPPED", set())
+    fake = SimpleNamespace(sparkContext=SimpleNamespace(applicationId="app-1", addPyFile=add))
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(session.ship, [fake] * 3))
+    assert len(added) == 1

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import zipfile
 from pathlib import Path
 
@@ -47,17 +48,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 _SHIPPED: set[str] = set()
+_SHIPPING = threading.Lock()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give this package to the session's Python workers, wherever they run (once a session)."""
+    """Give this package to the session's Python workers, wherever they run (once a session, from whichever thread)."""
     sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    root = Path(__file__).resolve().parent
-    archive = Path(tempfile.mkdtemp(prefix="tripwise-ship-")) / "tripwise-core.zip"
-    with zipfile.ZipFile(archive, "w") as z:
-        for f in sorted(root.rglob("*.py")):
-            z.write(f, f"{root.name}/{f.relative_to(root)}")
-    sc.addPyFile(str(archive))
-    _SHIPPED.add(sc.applicationId)
+    # Spark refuses a second file of the same name, so fits started together must not both add it
+    with _SHIPPING:
+        if sc.applicationId in _SHIPPED:
+            return
+        root = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="tripwise-ship-")) / "tripwise-core.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f"{root.name}/{f.relative_to(root)}")
+        sc.addPyFile(str(archive))
+        _SHIPPED.add(sc.applicationId)
