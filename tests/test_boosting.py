@@ -279,3 +279,17 @@ def test_grid_equals_brute_force(spark):
     # all sampling pairs share the passes
     wide = md.grid_scores(raw, cols, "y", base, {"rounds": [2, 4], "subsample": [0.7, 1.0], "colsample": [0.5, 1.0]}).collect()
     assert sorted(r["candidate"] for r in wide) == list(range(8)) and all(r["explained_variance"] is not None for r in wide)
+
+
+def test_several_blocks_need_no_job_a_level(spark, monkeypatch):
+    df, _, _ = table(spark, n=200)
+    fits = [Fit(p, hold=h) for p in SAMPLED for h in (0, 1)]
+    want = trees(bo.boost(df, fits, part="part", block_rows=40, block_rounds=3))
+
+    def by_job(self, upto):
+        raise AssertionError("a job a level")
+
+    monkeypatch.setattr(bo._Run, "_trees_by_job", by_job)
+    assert trees(bo.boost(df, fits, part="part", block_rows=40, fit_rows=200, block_rounds=3)) == want
+    with pytest.raises(AssertionError, match="a job a level"):
+        bo.boost(df, fits, part="part", block_rows=40, fit_rows=199)

@@ -8,8 +8,10 @@ fits (folds, candidates of a grid) share every pass over the rows.
 Rows are packed once into blocks: features as bin numbers, label, part and a hash of the
 key.  Rounds run in blocks as well: after each the margins of all rows are written to
 the shared folder with the trees, patience is tested, and a restarted job goes on from
-there.  A table of one block needs no merge, so its task grows the trees of a whole
-block of rounds; the trees are the same either way.
+there.  Up to ``FIT_ROWS`` packed rows (of one to two bytes a feature) a fit needs no merge
+between tasks: the fits are dealt over tasks, and each grows its trees of a whole block of
+rounds on all rows.  Beyond, a job a level merges the sums of the row blocks.  The trees
+are the same either way.
 
 Residuals are rounded to a power of two so fine that their sums are exact: the order of
 rows, blocks and tasks never changes a tree.
@@ -34,8 +36,13 @@ from tripwise.sources import files
 
 #: Rows of a block, rounds between two written states, points of a feature's sketch in a partition.
 BLOCK_ROWS, BLOCK_ROUNDS, SKETCH_POINTS = 1 << 16, 50, 4096
+#: Rows that the task of a fit takes (61 features: 60 MB and 30 MB for label, key and margin); of more
+#: rows a job a level merges the blocks' sums, with fewer rounds between two states.
+FIT_ROWS, JOB_ROUNDS = 1 << 20, 10
 #: Rounds without a better watched loss after which a fit stops (the original's patience).
 PATIENCE = 10
+#: Rows times features that are summed at once (at least one feature).
+SUM_CELLS = 1 << 17
 #: A split must gain more than this.
 LEAST_GAIN = 1e-6
 
@@ -193,16 +200,26 @@ _PACKED_NAMES = ["n", "codes", "y", "part", "hash", "margin", "stats"]
 
 
 class _Block:
-    """The rows of one block."""
+    """The rows of one block or of several; ``codes`` is (features, rows), ``margin`` (fits, rows)."""
 
-    def __init__(self, batch: pa.RecordBatch, row: int, plan: _Plan):
+    def __init__(self, n: int, codes: np.ndarray, y: np.ndarray, part: np.ndarray, hashes: np.ndarray, margin: np.ndarray):
+        self.n, self.codes, self.y, self.part, self.hash, self.margin = n, codes, y, part, hashes, margin
+
+    @classmethod
+    def of(cls, batch: pa.RecordBatch, row: int, plan: _Plan) -> "_Block":
         def column(name: str, kind) -> np.ndarray:
             return np.frombuffer(batch.column(batch.schema.get_field_index(name))[row].as_buffer(), kind)
 
-        self.n = batch.column(0)[row].as_py()
-        self.codes = column("codes", plan.code_type).reshape(self.n, -1)
-        self.y, self.part, self.hash = column("y", np.float64), column("part", np.int32), column("hash", np.uint64)
-        self.margin = column("margin", np.float64).reshape(len(plan.fits), self.n)
+        n = batch.column(batch.schema.get_field_index("n"))[row].as_py()
+        return cls(n, np.ascontiguousarray(column("codes", plan.code_type).reshape(n, -1).T), column("y", np.float64),
+                   column("part", np.int32), column("hash", np.uint64), column("margin", np.float64).reshape(-1, n))
+
+    @classmethod
+    def joined(cls, blocks: Sequence["_Block"]) -> "_Block":
+        if len(blocks) == 1:
+            return blocks[0]
+        columns = ([getattr(b, c) for b in blocks] for c in ("codes", "y", "part", "hash", "margin"))
+        return cls(sum(b.n for b in blocks), *(np.concatenate(c, axis=-1) for c in columns))
 
     def fitted(self, fit: Fit) -> np.ndarray:
         return np.ones(self.n, bool) if fit.hold is None else self.part != fit.hold
@@ -211,7 +228,7 @@ class _Block:
 def _blocks(batches: Iterator[pa.RecordBatch], plan: _Plan) -> Iterator[tuple[pa.RecordBatch, int, _Block]]:
     for b in batches:
         for row in range(b.num_rows):
-            yield b, row, _Block(b, row, plan)
+            yield b, row, _Block.of(b, row, plan)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -296,42 +313,90 @@ def _shrunk(g, l1: float):
 
 
 def _nodes(feature, cut, left, right, codes: np.ndarray) -> np.ndarray:
-    """The node that each row of bin numbers ends in."""
-    feature, cut, left, right = (np.asarray(a) for a in (feature, cut, left, right))
-    node = np.zeros(len(codes), np.int64)
-    rows = np.arange(len(codes))
-    while True:
-        inner = feature[node] >= 0
-        if not inner.any():
-            return node
-        if not inner.all():
-            rows_in = rows[inner]
-            at = node[inner]
-            node[inner] = np.where(codes[rows_in, feature[at]] <= cut[at], left[at], right[at])
-        else:
-            node = np.where(codes[rows, feature[node]] <= cut[node], left[node], right[node])
+    """The node that each row of bin numbers, (features, rows), ends in."""
+    node = np.zeros(codes.shape[1], np.int64)
+    todo: list[tuple] = [(0, None)]
+    while todo:
+        at, rows = todo.pop()
+        if feature[at] >= 0:
+            column = codes[feature[at]]
+            below = (column if rows is None else column[rows]) <= cut[at]
+            for child, side in ((left[at], below), (right[at], ~below)):
+                todo.append((child, np.flatnonzero(side) if rows is None else rows[side]))
+        elif rows is not None:
+            node[rows] = at
+    return node
 
 
 def _outputs(tree: dict, codes: np.ndarray) -> np.ndarray:
     return np.asarray(tree["value"])[_nodes(tree["feature"], tree["cut"], tree["left"], tree["right"], codes)]
 
 
+def _residuals(plan: _Plan, block: _Block, margin: np.ndarray) -> np.ndarray:
+    return np.rint((margin - block.y) * plan.scale) / plan.scale
+
+
+def _sums(plan: _Plan, block: _Block, features: np.ndarray, rows: np.ndarray, g: np.ndarray, slot: np.ndarray | None = None,
+          slots: int = 1) -> np.ndarray:
+    """(2, slots, features, bins): residual sums and row counts of ``rows``, whose residuals are ``g``."""
+    size = slots * plan.bins
+    out = np.empty((2, len(features), size))
+    # so many features at once that what is at hand stays small
+    step = max(1, SUM_CELLS // max(len(rows), 1))
+    for i in range(0, len(features), step):
+        own = features[i:i + step]
+        at = block.codes[own[0]][rows] if len(own) == 1 else block.codes[own][:, rows] + (np.arange(len(own)) * size)[:, None]
+        if slot is not None:
+            at = at + slot * plan.bins
+        for k, weights in enumerate((g if len(own) == 1 else np.tile(g, len(own)), None)):
+            out[k, i:i + step] = np.bincount(at.ravel(), weights, len(own) * size).reshape(len(own), size)
+    return np.ascontiguousarray(out.reshape(2, len(features), slots, plan.bins).swapaxes(1, 2))
+
+
 def _histogram(plan: _Plan, block: _Block, fit: Fit, margin: np.ndarray, rnd: int, tree: _Growing, nodes: list[int]) -> np.ndarray:
     """(2, nodes, drawn features, bins): residual sums and row counts."""
     rows = _drawn_rows(block, fit, rnd)
     slot_of = np.full(len(tree.feature), -1)
     slot_of[nodes] = np.arange(len(nodes))
-    codes = block.codes[rows]
-    slot = slot_of[_nodes(tree.feature, tree.cut, tree.left, tree.right, codes)]
+    slot = slot_of[_nodes(tree.feature, tree.cut, tree.left, tree.right, block.codes)[rows]]
     inside = slot >= 0
     rows, slot = rows[inside], slot[inside]
-    features = _drawn_features(block.codes.shape[1], fit.params, rnd)
-    g = np.rint((margin[rows] - block.y[rows]) * plan.scale) / plan.scale
-    k = len(features)
-    flat = (codes[inside][:, features] + (np.arange(k) * plan.bins)[None, :] + (slot * (k * plan.bins))[:, None]).ravel()
-    size = len(nodes) * k * plan.bins
-    sums = [np.bincount(flat, np.repeat(g, k), size), np.bincount(flat, minlength=size).astype(np.float64)]
-    return np.stack(sums).reshape(2, len(nodes), k, plan.bins)
+    features = _drawn_features(len(block.codes), fit.params, rnd)
+    return _sums(plan, block, features, rows, _residuals(plan, block, margin)[rows], slot, len(nodes))
+
+
+def _tree_of(plan: _Plan, block: _Block, f: int, margin: np.ndarray, rnd: int, edges: list[np.ndarray]) -> dict:
+    """The round's tree of fit ``f`` on all of its rows.
+
+    Of two children the one of fewer rows is summed; the other's sums are what is left of
+    the parent's, which is exact as all sums are.
+    """
+    fit = plan.fits[f]
+    features = _drawn_features(len(block.codes), fit.params, rnd)
+    g = _residuals(plan, block, margin)
+    # rows and sums of each node that may be split
+    known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def summed(rows: np.ndarray) -> np.ndarray:
+        return _sums(plan, block, features, rows, g[rows])
+
+    def ask_for(trees: dict[int, _Growing], ask: dict[int, list[int]]) -> dict:
+        tree = trees[f]
+        if ask[f] == [0]:
+            rows = _drawn_rows(block, fit, rnd)
+            known[0] = rows, summed(rows)
+        else:
+            for left, right in zip(ask[f][::2], ask[f][1::2], strict=True):
+                parent = tree.left.index(left)
+                rows, whole = known.pop(parent)
+                below = block.codes[tree.feature[parent]][rows] <= tree.cut[parent]
+                sides = {left: rows[below], right: rows[~below]}
+                few, many = sorted(sides, key=lambda n: len(sides[n]))
+                known[few] = sides[few], summed(sides[few])
+                known[many] = sides[many], whole - known[few][1]
+        return {f: [(node, _best_split(known[node][1][:, 0], features, plan.n_edges, fit.params)) for node in ask[f]]}
+
+    return _grow(plan, [f], edges, ask_for)[f]
 
 
 def _best_split(hist: np.ndarray, features: np.ndarray, n_edges: np.ndarray, p: BoostParams) -> tuple:
@@ -375,40 +440,41 @@ class _Run:
         self.boosters = [Booster(b) for b in bases]
         self.active = list(range(len(plan.fits)))
         self.rounds = self.block = 0
-        self.single = False
+        self.whole = False
 
     def rows(self) -> DataFrame:
         return self.spark.read.schema(_PACKED).parquet(f"{self.folder}/rows-{self.block}")
 
     def _trees_in_task(self, upto: int) -> list[dict[int, dict]]:
-        """The rounds' trees, grown by the task of the only block; the fits are dealt over several tasks."""
+        """The rounds' trees; the fits are dealt over several tasks, each of which has all rows."""
         plan, edges, begin = self.plan, self.edges, self.rounds
         groups = min(len(self.active), max(1, self.spark.sparkContext.defaultParallelism))
-        dealt = {g: self.active[g::groups] for g in range(groups)}
+        dealt = [self.active[g::groups] for g in range(groups)]
+        names = ["dealt", *_PACKED_NAMES[:6]]
+
+        def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b, row, block in _blocks(batches, plan):
+                whole = b.slice(row, 1)
+                for g, fits in enumerate(dealt):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([g], pa.int32()), *(whole.column(whole.schema.get_field_index(c)) for c in _PACKED_NAMES[:5]),
+                         pa.array([block.margin[fits].tobytes()], pa.binary())], names=names)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            parts: dict[int, list[_Block]] = {}
             for b, row, block in _blocks(batches, plan):
-                fits = dealt[b.column(b.schema.get_field_index("dealt"))[row].as_py()]
-                for f in fits:
-                    margin, own = block.margin[f].copy(), []
+                parts.setdefault(b.column(0)[row].as_py(), []).append(block)
+            for g in list(parts):
+                block = _Block.joined(parts.pop(g))
+                for i, f in enumerate(dealt[g]):
+                    margin, own = block.margin[i].copy(), []
                     for rnd in range(begin, min(upto, plan.fits[f].params.rounds)):
-                        features = _drawn_features(block.codes.shape[1], plan.fits[f].params, rnd)
-
-                        def ask_for(trees, ask, f=f, margin=margin, rnd=rnd, features=features):
-                            hist = _histogram(plan, block, plan.fits[f], margin, rnd, trees[f], ask[f])
-                            return {f: [(node, _best_split(hist[:, i], features, plan.n_edges, plan.fits[f].params))
-                                        for i, node in enumerate(ask[f])]}
-
-                        tree = _grow(plan, [f], edges, ask_for)[f]
+                        tree = _tree_of(plan, block, f, margin, rnd, edges)
                         margin += _outputs(tree, block.codes)
                         own.append(tree)
                     yield pa.RecordBatch.from_arrays([pa.array([f], pa.int32()), pa.array([json.dumps(own)])], names=["fit", "trees"])
 
-        rows = self.rows()
-        if groups > 1:
-            rows = rows.withColumn("dealt", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).repartition(groups)
-        else:
-            rows = rows.withColumn("dealt", F.lit(0))
+        rows = self.rows().mapInArrow(deal, "dealt int, " + _PACKED.rsplit(", ", 1)[0]).repartitionById(groups, F.col("dealt"))
         grown = {r["fit"]: json.loads(r["trees"]) for r in rows.mapInArrow(run, "fit int, trees string").collect()}
         return [{f: grown[f][i] for f in self.active if i < len(grown[f])} for i in range(upto - begin)]
 
@@ -533,7 +599,7 @@ class _Run:
     def run(self, block_rounds: int) -> list[Booster]:
         while self.active:
             upto = min(self.rounds + block_rounds, max(self.plan.fits[f].params.rounds for f in self.active))
-            self._advance((self._trees_in_task if self.single else self._trees_by_job)(upto))
+            self._advance((self._trees_in_task if self.whole else self._trees_by_job)(upto))
         return self.boosters
 
 
@@ -544,20 +610,21 @@ def features_array(df: DataFrame, features: str):
 
 def boost(rows: DataFrame, fits: Sequence[Fit], features: str = "features", label: str = "label", key: str = "terminalno",
           part: str | None = None, state: str | None = None, block_rounds: int | None = None,
-          block_rows: int | None = None) -> list[Booster]:
+          block_rows: int | None = None, fit_rows: int | None = None) -> list[Booster]:
     """Fit boosted trees; all ``fits`` share every pass over ``rows``.
 
     ``features`` is a vector or array<double> column without missing values; rows without a
     label take no part; ``part`` (int) is what ``Fit.hold`` means.  ``key`` seeds the row
     samples.  ``state`` names a folder in shared storage that keeps the state after each
     block of rounds: called again with it, an interrupted fit goes on (the rows and
-    fits must be the same).  The fits must agree in ``max_bin``.
+    fits must be the same).  The fits must agree in ``max_bin``.  Up to ``fit_rows`` rows the
+    task of a fit takes all of them (a block size given alone is also that bound).
     """
     spark = rows.sparkSession
     ship(spark)
     if len({f.params.max_bin for f in fits}) != 1:
         raise ValueError("fits that share passes need the same max_bin")
-    block_rounds, block_rows = block_rounds or BLOCK_ROUNDS, block_rows or BLOCK_ROWS
+    fit_rows, block_rows = fit_rows or block_rows or FIT_ROWS, block_rows or BLOCK_ROWS
     data = rows.filter(F.col(label).isNotNull()).select(
         features_array(rows, features).alias("x"), F.col(label).cast("double").alias("y"),
         (F.coalesce(F.col(part), F.lit(-1)) if part else F.lit(-1)).cast("int").alias("part"),
@@ -576,11 +643,11 @@ def boost(rows: DataFrame, fits: Sequence[Fit], features: str = "features", labe
     bins = max((len(e) for e in edges), default=0) + 1
     plan = _Plan(tuple(fits), np.array([len(e) for e in edges]), bins, saved["scale"], saved["code_type"])
     run = _Run(spark, plan, edges, saved["bases"], folder)
-    run.single = saved["blocks"] == 1
+    run.whole = saved["rows"] <= fit_rows
     if not saved["rows"]:
         return run.boosters
     run.resume()
-    return run.run(block_rounds)
+    return run.run(block_rounds or (BLOCK_ROUNDS if run.whole else JOB_ROUNDS))
 
 
 def _prepared(spark: SparkSession, data: DataFrame, fits: Sequence[Fit], folder: str, block_rows: int) -> dict:
