@@ -198,3 +198,29 @@ def test_bad_lines_are_set_aside(spark, tmp_path):
     rows, rejects = read_quarantined(spark, str(tmp_path / "t.csv"), str(tmp_path / "bad4"), labelled=False, header=False)
     assert rows.count() == 1 and rows.first()["y"] is None and rejects.count() == 0
     assert [d.count() for d in read_quarantined(spark, str(tmp_path / "none.csv"), str(tmp_path / "bad5"))] == [0, 0]
+
+
+def test_order_lines_are_dealt_by_their_number(spark, tmp_path):
+    import datetime
+
+    from tripwise.operators import features as fx
+    from tripwise.sources.telemetry import order_telemetry_from_dir
+
+    day = datetime.date(2024, 1, 1)
+    spark.createDataFrame([(i, i % 7) for i in range(50)], "o_orderkey bigint, o_custkey bigint").write.parquet(
+        str(tmp_path / "orders.parquet"))
+    spark.createDataFrame(
+        [(i % 50, i, i % 9, i // 50 + 1, float(i % 40), 0.01 * (i % 10), 0.01 * (i % 8), day + datetime.timedelta(i % 30))
+         for i in range(200)],
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber bigint, l_quantity double, l_discount double, "
+        "l_tax double, l_shipdate date").write.parquet(str(tmp_path / "lineitem.parquet"))
+    few = order_telemetry_from_dir(spark, str(tmp_path))
+    many = order_telemetry_from_dir(spark, str(tmp_path), partition_lines=10)
+    assert many.rdd.getNumPartitions() == 20  # of ten lines, though the session has 8 partitions
+    assert many.count() == 200
+
+    def rows(t):
+        return [[round(v, 9) if isinstance(v, float) else v for v in r]
+                for r in fx.driver_features(t, "61").orderBy("terminalno").collect()]
+
+    assert rows(many) == rows(few) and len(rows(few)) == 7

@@ -244,7 +244,20 @@ def lineitem_as_telemetry(orders: DataFrame, lineitem: DataFrame, test_modulus:
     )
 
 
-def order_telemetry_from_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cleaned order-line telemetry derived from ``sf_dir/orders`` and ``sf_dir/lineitem``."""
-    return clean_telemetry(lineitem_as_telemetry(load_table(spark, sf_dir, "orders"),
-                                                 load_table(spark, sf_dir, "lineitem")))
+#: Order lines of a partition: what a task joins and sorts does not grow with the table.
+PARTITION_LINES = 1 << 19
+
+
+def order_telemetry_from_dir(spark: SparkSession, sf_dir: str, partition_lines: int = PARTITION_LINES) -> DataFrame:
+    """The cleaned order-line telemetry derived from ``sf_dir/orders`` and ``sf_dir/lineitem``.
+
+    Both tables are dealt by the order key into partitions of some ``partition_lines`` lines
+    (the session's number of them if that is more); an order is a trip, so the features'
+    steps by trip stay in them.
+    """
+    orders, lineitem = load_table(spark, sf_dir, "orders"), load_table(spark, sf_dir, "lineitem")
+    # counted from the files' footers
+    parts = -(-lineitem.count() // partition_lines)
+    if parts > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        orders, lineitem = orders.repartition(parts, "o_orderkey"), lineitem.repartition(parts, "l_orderkey")
+    return clean_telemetry(lineitem_as_telemetry(orders, lineitem))
