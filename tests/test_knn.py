@@ -1,7 +1,9 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tripwise.operators.knn import knn_pairs, knn_regress
+from tripwise.operators.ensemble import neighbour_layer
+from tripwise.operators.knn import _fit_rows, fold_knn_regress, knn_pairs, knn_regress
 
 FEATS = ["a", "b", "c"]
 
@@ -96,3 +98,57 @@ def test_gaps_ties_and_points_outside(spark, seed, strip):
     for x in knn_pairs(tr, te, FEATS, 5, bucket_rows=20, strip_buckets=strip).collect():
         got.setdefault(x["test_id"], []).append((x["nb"], x["train_id"]))
     assert {k: [t for _, t in sorted(v)] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+
+
+@pytest.mark.parametrize("seed,bucket_rows,strip", [(5, None, None), (6, 4, 2)])
+def test_folds_share_one_search(spark, seed, bucket_rows, strip):
+    """Every fold's model gives what a search of its own rows gives, however the folds lie."""
+    rng = np.random.default_rng(seed)
+    # a fold far from the others, one of four rows, and rows alike in several folds
+    folds = [0] * 70 + [1] * 60 + [2] * 4 + [3] * 56
+    train = [(tuple(rng.normal(500 * (f == 1), 20, 3)) if rng.random() < 0.7 else (1.0, 2.0, 3.0), float(rng.integers(0, 9)))
+             for f in folds]
+    test = [tuple(rng.normal(0, 40, 3)) for _ in range(12)] + [(1.0, 2.0, 3.0), (500.0, 500.0, 500.0), train[80][0]]
+    tr = spark.createDataFrame([(i, f, y, *map(float, x)) for i, (f, (x, y)) in enumerate(zip(folds, train, strict=True))],
+                               "terminalno bigint, fold int, y double, a double, b double, c double")
+    te = _frames(spark, train, test)[1]
+    oof, each = fold_knn_regress(tr, te, FEATS, 3, 4, bucket_rows=bucket_rows, strip_buckets=strip)
+    got = {r["terminalno"]: r["pred"] for r in oof.collect()}
+    got_test = {(r["fold"], r["terminalno"]): r["pred"] for r in each.collect()}
+    want, want_test = {}, {}
+    for f in range(4):
+        own = [i for i, g in enumerate(folds) if g != f]
+        rows = [train[i] for i in own]
+        held = [i for i, g in enumerate(folds) if g == f]
+        found = _brute(rows, [train[i][0] for i in held] + test, 3)
+        want |= {i: found[1000 + j][1] for j, i in enumerate(held)}
+        want_test |= {(f, 1000 + j): found[1000 + len(held) + j][1] for j in range(len(test))}
+    assert got == pytest.approx(want) and got_test == pytest.approx(want_test)
+    with pytest.raises(ValueError):
+        fold_knn_regress(tr.filter("fold = 2"), te, FEATS, 3, 4)
+
+
+def test_stacking_searches_once_for_all_folds(spark):
+    """Jobs of the first layer do not grow with the folds."""
+    rng = np.random.default_rng(7)
+    tr, te = _frames(spark, [(tuple(rng.normal(0, 9, 3)), 1.0) for _ in range(80)], [tuple(rng.normal(0, 9, 3)) for _ in range(9)])
+
+    def jobs(k):
+        group = f"layer-{k}"
+        spark.sparkContext.setJobGroup(group, group)
+        folded = tr.withColumn("fold", (F.col("terminalno") % k).cast("int"))
+        oof, out = neighbour_layer(FEATS, 3, "y", "terminalno", k)(folded, te)
+        assert oof.count() == 80 and out.count() == 9
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert jobs(8) <= jobs(2)
+
+
+def test_pairs_do_not_grow_with_copies(spark):
+    """Of rows with the same features only k meet a point."""
+    rows = [((1.0, 2.0, 3.0), float(i)) for i in range(4000)] + [((9.0, 9.0, 9.0), 1.0), ((-0.0, 0.0, 9.0), 1.0), ((0.0, 0.0, 9.0), 1.0)]
+    tr, te = _frames(spark, rows, [(1.0, 2.0, 3.0), (9.0, 9.0, 8.0)])
+    kept = _fit_rows(tr, FEATS, 3, "terminalno", "y", F.lit(0))
+    assert sorted(r["train_id"] for r in kept.collect()) == [0, 1, 2, 4000, 4001, 4002]
+    got = sorted((r["test_id"], r["nb"], r["train_id"]) for r in knn_pairs(tr, te, FEATS, 3).collect())
+    assert got == [(1000, 0, 0), (1000, 1, 1), (1000, 2, 2), (1001, 0, 4000), (1001, 1, 0), (1001, 2, 1)]

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tripwise.operators import boosting
 from tripwise.operators import models as md
 from tripwise.operators.boosting import Fit
+from tripwise.operators.knn import fold_knn_regress
 from tripwise.operators.rows import blend, clamp_nonnegative
 from tripwise.operators.split import contiguous_folds
 from tripwise.session import checkpoint_dir
@@ -76,20 +77,13 @@ def bagged_predictions(train: DataFrame, test: DataFrame, features: Sequence[str
 Layer = Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]
 
 
-def fold_layer(fold_model: Callable[[DataFrame, DataFrame, DataFrame], tuple[DataFrame, DataFrame]], key: str, k: int,
-               parallelism: int = 5) -> Layer:
-    """Layer 1 out of ``fold_model(fit rows, held rows, test)``, the (key, pred) frames of the held and the test rows."""
+def neighbour_layer(features: Sequence[str], neighbours: int, label: str, key: str, k: int) -> Layer:
+    """Layer 1 of k-NN regression (M6): one search serves the models of all folds."""
 
     def layer(folded: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame]:
-        fold = F.col("fold")
-        parts = _concurrently([lambda i=i: fold_model(folded.filter(fold != i), folded.filter(fold == i), test)
-                               for i in range(k)], parallelism)
-        clamped = [(oof.select(key, clamp_nonnegative("pred").alias("pred")),
-                    out.select(key, clamp_nonnegative("pred").alias("pred"))) for oof, out in parts]
-        oof = clamped[0][0]
-        for part, _ in clamped[1:]:
-            oof = oof.unionByName(part)
-        return oof, _mean_of([out for _, out in clamped], key, "layer1_preds")
+        oof, each = fold_knn_regress(folded, test, features, neighbours, k, id_col=key, label=label)
+        clamped = clamp_nonnegative("pred").alias("pred")
+        return oof.select(key, clamped), _mean_of([each.select(key, clamped)], key, "layer1_preds")
 
     return layer
 

@@ -735,15 +735,13 @@ def knn_stack_trace(spark, sf_dir):
     """M8's flow (W3, J5, U3, P8, P9, K2) with a 3-NN base learner: the stacking trace."""
     ft = sub.feature_tables(_t(spark, sf_dir), "7")
 
-    def fold_model(rows, held, test):
-        return tuple(knn_regress(rows, q, ft.features, _STACK_K) for q in (held, test))
-
     def refit_model(rows, test, label):
         # the refit's predictions are clamped like the layer's
         preds = knn_regress(rows, test, ft.features, _STACK_K, label=label)
         return preds.withColumn("pred", rw.clamp_nonnegative("pred"))
 
-    _, trace = en.stack(ft.train, ft.test, en.fold_layer(fold_model, "terminalno", 5, parallelism=2), refit_model)
+    layer1 = en.neighbour_layer(ft.features, _STACK_K, "y", "terminalno", 5)
+    _, trace = en.stack(ft.train, ft.test, layer1, refit_model)
     return present(trace)
 
 
