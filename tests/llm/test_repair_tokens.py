@@ -63,3 +63,25 @@ def test_written_shards(spark, reference):
         at += len(ids)
     assert got == sorted(want)
     assert rt.read_tokens(rt.write_tokens(docs.filter("false"), PATH)).count() == 0
+
+
+def test_a_word_with_marks_uses_the_ids_of_its_letters(reference):
+    coder, asked = rt.Encoder(PATH), []
+
+    class Counted:
+        def tokenize(self, shown, model=coder.model):
+            asked.append(shown)
+            return model.tokenize(shown)
+
+    coder.model = Counted()
+    text = "on vermilion, vermilion. vermilion (vermilion) vermilion\n"
+    assert np.frombuffer(coder.encode(text), "<u4").tolist() == reference(text)
+    assert len([x for x in asked if x.endswith("vermilion") and x[0] == coder.blank]) <= 2  # after a blank, with the line end
+
+
+@pytest.mark.parametrize("text", ["a\n b", "a \t b", "\t b", "x 　 y", "x  y", "a b\n", "a b ", " a", "  ", "a,\n", "it's' dog's, 'tis",
+                                  "x_ y$, z<| w", "a\n\n b c\x1c d", "é, è. ñ!", "a b\n\n c", "3, 4. x4,"])
+def test_white_space_and_marks(reference, text):
+    coder = rt.Encoder(PATH)
+    for _ in range(2):  # pieces met for the first time, and known ones
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == reference(text)

@@ -10,6 +10,7 @@ of ids is decoded without the ids before it.
 from __future__ import annotations
 
 import re
+import string
 import struct
 import zlib
 from array import array
@@ -47,19 +48,25 @@ def _frequent_pairs(seq: np.ndarray, least: int, share: float, odd: int) -> tupl
     round, whose multiplier is another one.
     """
     a, b = seq[:-1], seq[1:]
-    h = (a * np.uint32(0x9E3779B1 + 2 * odd) ^ b * np.uint32(0x85EBCA6B + 4 * odd)) >> np.uint32(32 - _COUNT_BITS)
+    h = a * np.uint32(0x9E3779B1 + 2 * odd)
+    h ^= b * np.uint32(0x85EBCA6B + 4 * odd)
+    h >>= np.uint32(32 - _COUNT_BITS)
+    h = h.astype(np.intp)  # once, for the counts and the look-ups
     counts = np.bincount(h, minlength=1 << _COUNT_BITS)
-    heavy = np.flatnonzero((counts >= max(least, int(counts.max() * share)))[h])
-    h = h[heavy]
-    pair = a[heavy].astype(np.uint64) << np.uint64(32) | b[heavy]
+    heavy = np.flatnonzero((counts >= max(least, int(counts.max() * share))).take(h))
+    h = h.take(heavy)
+    pair = a.take(heavy).astype(np.uint64) << np.uint64(32) | b.take(heavy)
     stands = np.zeros(1 << _COUNT_BITS, np.uint64)
     stands[h] = pair
-    same = stands[h] == pair
-    heavy, h = heavy[same], h[same]
+    same = np.flatnonzero(stands.take(h) == pair)
+    heavy, h = heavy.take(same), h.take(same)
     own = np.bincount(h, minlength=1 << _COUNT_BITS)
     often = own >= max(least, int(own.max() * share))
-    keep = often[h]
-    return heavy[keep], (np.cumsum(often) - 1)[h[keep]], stands[often]
+    keep = np.flatnonzero(often.take(h))
+    chosen = np.flatnonzero(often)
+    number = np.empty(1 << _COUNT_BITS, np.intp)
+    number[chosen] = np.arange(len(chosen))
+    return heavy.take(keep), number.take(h.take(keep)), stands.take(chosen)
 
 
 def repair(ids: np.ndarray, min_pairs: int = MIN_PAIRS, rounds: int = ROUNDS,
@@ -88,7 +95,7 @@ def repair(ids: np.ndarray, min_pairs: int = MIN_PAIRS, rounds: int = ROUNDS,
         seq[at] = (first + made + no[take]).astype(np.uint32)
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
-        seq = seq[keep]
+        seq = seq.take(np.flatnonzero(keep))
         rules.append(np.column_stack([pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)]).astype(np.uint32))
         made += len(pairs)
     return seq, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), first
@@ -171,11 +178,12 @@ class _Pieces(dict):
         return ids
 
 
-# white space before a blank, in ASCII text
-_ODD = ("  ", "\n ", "\t ", "\r ", "\x0b ", "\x0c ", "\x1c ", "\x1d ", "\x1e ", "\x1f ")
 # line ends and the visible characters of Latin scripts: these split alike in every Unicode version
 _PLAIN = re.compile(r"[\n -~\u00a1-\u00ac\u00ae-\u024f]*\Z")
 
+# visible ASCII that is neither letter nor digit
+_MARKS = string.punctuation
+
 
 class Encoder:
     """Encodes with a byte-level BPE of the tokenizers library, one piece at a time.
@@ -197,10 +205,10 @@ class Encoder:
         import regex
 
         self.pretokens = regex.compile(public_tokenizers.PATTERN)
-        self.after_blank = _Pieces(lambda piece: self._piece(" " + piece))
+        self.blank = self.table[32]
+        self.after_blank = _Pieces(self._after_blank)
         self.words = _Pieces(self._word)
         self.cut = re.compile(r"(?<=\S) ")
-        self.odd = re.compile(r"\s ")
 
     def _byte_level(self) -> bool:
         """Whether the tokenizer only splits by the byte-level pattern (else whole texts are encoded)."""
@@ -222,6 +230,18 @@ class Encoder:
             shown = word.encode().decode("latin-1").translate(self.table)
         return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
+    def _after_blank(self, piece: str) -> bytes | None:
+        """The ids of " " + piece; None if it ends in white space, which may go with a blank behind it."""
+        if not piece or piece[-1].isspace():
+            return None
+        if piece.isascii():
+            if piece.isalpha():  # one pre-token
+                return array("I", [t.id for t in self.model.tokenize(self.blank + piece)]).tobytes()
+            stem = piece.rstrip(_MARKS)
+            if stem.isalpha():  # two: the letters, whose ids are kept for themselves too, and the marks
+                return self.after_blank[stem] + self.words[piece[len(stem):]]
+        return self._piece(" " + piece)
+
     def _piece(self, piece: str) -> bytes:
         if not piece:
             return b""
@@ -235,10 +255,18 @@ class Encoder:
         """The ids as little-endian 32-bit integers."""
         if not self.splits or "<|" in text:  # a special token's string may hold a blank
             return self._whole(text)
-        odd = any(x in text for x in _ODD) if text.isascii() else self.odd.search(text)
-        pieces = self.cut.split(text) if odd else text.split(" ")
-        head = self._piece(pieces[0])
-        return head + b"".join(map(self.after_blank.__getitem__, islice(pieces, 1, None)))
+        pieces = text.split(" ")
+        if len(pieces) == 1:
+            return self._piece(text)
+        head, last = pieces[0], pieces[-1]
+        if not head[-1:].isspace():
+            try:  # nothing follows the last piece, it may end in anything
+                inner = b"".join(map(self.after_blank.__getitem__, islice(pieces, 1, len(pieces) - 1)))
+                return self._piece(head) + inner + (self.after_blank[last] or self._piece(" " + last))
+            except TypeError:  # a piece without ids
+                pass
+        pieces = self.cut.split(text)
+        return b"".join([self._piece(pieces[0]), *(self.after_blank[x] or self._piece(" " + x) for x in pieces[1:])])
 
 
 @lru_cache(maxsize=2)
