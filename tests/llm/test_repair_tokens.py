@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import frame, prose, seeded
 
@@ -85,3 +86,56 @@ def test_white_space_and_marks(reference, text):
     coder = rt.Encoder(PATH)
     for _ in range(2):  # pieces met for the first time, and known ones
         assert np.frombuffer(coder.encode(text), "<u4").tolist() == reference(text)
+
+
+def test_the_distinct_words_of_many_texts_are_encoded_in_few_calls(reference, monkeypatch):
+    coder, calls = rt.Encoder(PATH), []
+
+    class Counted:
+        def encode_batch_fast(self, shown, words=coder.words, **options):
+            calls.append([w for x in shown for w in x.split(" ")])
+            return words.encode_batch_fast(shown, **options)
+
+    monkeypatch.setattr(rt, "CALL_WORDS", 50)
+    coder.words = Counted()
+    rng = seeded(5)
+    texts = ODD + [" ".join(f"w{rng.choice('aeiouéß')}x{'y' * rng.randint(0, 9)}" + rng.choice(["", "", ",", ".\nEnd", "7 "])
+                            for _ in range(rng.randint(1, 300))) for _ in range(40)]
+    for _ in range(2):  # pieces met for the first time, and known ones
+        got = [np.frombuffer(x, "<u4").tolist() for x in coder.encode_all(pa.array(texts, pa.large_string()))]
+        assert got == [reference(t) for t in texts]
+    met = [w for c in calls for w in c if w]
+    assert len(met) == len(set(met)) and max(map(len, calls)) <= 51  # each once; the blank behind a call's last word
+    assert len(calls) < 20
+
+
+def test_pieces_met_once_are_forgotten(reference, monkeypatch):
+    monkeypatch.setattr(rt, "CACHE_PIECES", 300)
+    coder, sizes = rt.Encoder(PATH), []
+    for n in range(20):
+        texts = [f"the same words, and nr{chr(97 + n)}{'x' * i} é{'y' * i}.\nof {'z' * i}\n it" for i in range(20)]
+        got = [np.frombuffer(x, "<u4").tolist() for x in coder.encode_all(pa.array(texts, pa.large_string()))]
+        assert got == [reference(t) for t in texts]
+        sizes.append(len(coder.codes))
+        assert len(coder.pool) == coder.length.sum() and max(coder.codes.values()) < len(coder.length) == len(coder.start)
+    assert max(sizes) < 500 and "words," in coder.codes
+
+
+def test_slices_without_texts_or_words():
+    coder = rt.Encoder(PATH)
+    assert list(coder.encode_all(pa.array([], pa.large_string()))) == []
+    assert list(coder.encode_all(pa.array(["", ""], pa.large_string()))) == [b"", b""]
+
+
+def test_shifted_slices_of_texts(reference):
+    texts = pa.array(["not this one", "a  b \n", "", "x y,\n", "last one"], pa.large_string())
+    got = [np.frombuffer(x, "<u4").tolist() for x in rt.Encoder(PATH).encode_all(texts.slice(1, 3))]
+    assert got == [reference(t) for t in texts.slice(1, 3).to_pylist()]
+
+
+def test_random_texts(reference):
+    rng, coder = seeded(6), rt.Encoder(PATH)
+    signs = "  \n\t'sx,.A3éß ́日<|\x00\x1c­_"
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 12))) for _ in range(6000)]
+    got = [np.frombuffer(x, "<u4").tolist() for x in coder.encode_all(pa.array(texts, pa.large_string()))]
+    assert [t for t, g in zip(texts, got, strict=True) if g != reference(t)] == []

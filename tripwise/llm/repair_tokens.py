@@ -9,17 +9,19 @@ of ids is decoded without the ids before it.
 
 from __future__ import annotations
 
+import codecs
+import os
 import re
 import string
 import struct
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,8 +32,10 @@ END_ID = 2
 SHARD_IDS, MIN_PAIRS, ROUNDS = 1 << 20, 24, 12
 #: Of a round's pairs those at least this share as frequent as the most frequent are replaced.
 ROUND_SHARE = 1 / 8
-#: Encoded pieces a worker keeps, and as many words with marks.
-CACHE_PIECES = 1_000_000
+#: Encoded pieces a worker keeps from slice to slice, and words in a call of the library.
+CACHE_PIECES, CALL_WORDS = 1_000_000, 20_000
+#: So many words are not worth a call for all.
+FEW_WORDS = 16
 #: Symbols between two stored places of a shard.
 STRIDE = 1024
 _MAGIC, _HEAD = b"RPG2", "<QIIIB"
@@ -164,114 +168,254 @@ class Shard:
 
 
 # --- encoding ------------------------------------------------------------------------------
-class _Pieces(dict):
-    """Ids of pieces, encoded when first asked for."""
+# line ends and the visible characters of Latin scripts: these split alike in every Unicode version
+_PLAIN = "^[\n -~\u00a1-\u00ac\u00ae-\u024f]*$"
 
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
+# visible ASCII that is neither letter nor digit
+_MARKS = string.punctuation
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHE_PIECES:
-            self.clear()
-        ids = self[piece] = self.encode(piece)
-        return ids
 
+def _key(text: str) -> str:
+    """What a string's ids are kept under: what follows its blank, or the string behind a further blank.
 
-# line ends and the visible characters of Latin scripts: these split alike in every Unicode version
-_PLAIN = re.compile(r"[\n -~\u00a1-\u00ac\u00ae-\u024f]*\Z")
+    A key without a blank before it is what stands between blanks of a text; ``_keyed`` is the way back.
+    """
+    rest = text[1:]
+    return rest if text[:1] == " " and rest and rest[0] != " " and not rest[-1].isspace() else " " + text
 
-# visible ASCII that is neither letter nor digit
-_MARKS = string.punctuation
+
+def _keyed(key: str) -> str:
+    return key[1:] if key[:1] == " " else " " + key
+
+
+def _strings(a: pa.Array) -> list[str]:
+    """``to_pylist`` of strings without nulls, without a scalar for each."""
+    return a.to_numpy(zero_copy_only=False).tolist()
 
 
 class Encoder:
-    """Encodes with a byte-level BPE of the tokenizers library, one piece at a time.
+    """Encodes with a byte-level BPE of the tokenizers library, the distinct pieces of many texts at a time.
 
     A text is cut before the blanks that follow visible text: no pre-token crosses
-    them, so the pieces' ids joined are the text's ids.  Pieces recur; their ids are kept.
+    them, so the pieces' ids joined are the text's ids.  Pieces recur: every key has
+    a code, and the ids of code c are ``pool[start[c]:start[c] + length[c]]``.  Code 0,
+    without ids, is that of pieces that end in white space, which may go with a blank behind it.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.splits = self._byte_level()
-        visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        hidden = [b for b in range(256) if b not in set(visible)]
-        self.table = {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
         import public_tokenizers
         import regex
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        self.tokenizer = Tokenizer.from_file(path)
+        visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        hidden = iter(range(256, 512))
+        shown = [chr(b if b in visible else next(hidden)) for b in range(256)]
+        self.splits = self._byte_level(shown)
+        # no byte is shown as a blank: it stands between words, for the byte 0, which none of them holds
+        self.table = " " + "".join(shown[1:])
+        self.blank = shown[32]
+        self.model = self.tokenizer.model
+        self.words = Tokenizer(self.model)
+        self.words.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        vocab = self.tokenizer.get_vocab()
+        self.id_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
+        self.id_bytes[list(vocab.values())] = list(map(len, vocab))
         self.pretokens = regex.compile(public_tokenizers.PATTERN)
-        self.blank = self.table[32]
-        self.after_blank = _Pieces(self._after_blank)
-        self.words = _Pieces(self._word)
         self.cut = re.compile(r"(?<=\S) ")
+        self.codes: dict[str, int] = {}
+        self.pool, self.start, self.length = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.met = np.zeros(1, np.int64)
 
-    def _byte_level(self) -> bool:
+    def _byte_level(self, shown: list[str]) -> bool:
         """Whether the tokenizer only splits by the byte-level pattern (else whole texts are encoded)."""
         import json
 
         spec = json.loads(self.tokenizer.to_str())
-        pre = spec.get("pre_tokenizer") or {}
+        pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
         return (spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space")
-                and pre.get("use_regex", True) and spec["model"].get("type") == "BPE"
-                and not spec["model"].get("ignore_merges"))
-
-    def _whole(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def _word(self, word: str) -> bytes:
-        if word.isascii():  # visible marks stand for themselves
-            shown = word.replace(" ", self.table[32]).replace("\n", self.table[10])
-        else:
-            shown = word.encode().decode("latin-1").translate(self.table)
-        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
-
-    def _after_blank(self, piece: str) -> bytes | None:
-        """The ids of " " + piece; None if it ends in white space, which may go with a blank behind it."""
-        if not piece or piece[-1].isspace():
-            return None
-        if piece.isascii():
-            if piece.isalpha():  # one pre-token
-                return array("I", [t.id for t in self.model.tokenize(self.blank + piece)]).tobytes()
-            stem = piece.rstrip(_MARKS)
-            if stem.isalpha():  # two: the letters, whose ids are kept for themselves too, and the marks
-                return self.after_blank[stem] + self.words[piece[len(stem):]]
-        return self._piece(" " + piece)
-
-    def _piece(self, piece: str) -> bytes:
-        if not piece:
-            return b""
-        if not _PLAIN.match(piece):
-            return self._whole(piece)
-        if piece[1:].isalpha() and piece[0] == " ":
-            return self._word(piece)  # one pre-token
-        return b"".join(map(self.words.__getitem__, self.pretokens.findall(piece)))
+                and pre.get("use_regex", True) and model.get("type") == "BPE" and not model.get("ignore_merges")
+                and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix")
+                and all(x in model["vocab"] for x in shown))
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def _put(self, keys: list[str], ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Give codes to new keys, whose ids follow one another."""
+        n = len(self.length)
+        self.codes.update(zip(keys, range(n, n + len(keys)), strict=True))
+        self.start = np.concatenate([self.start, len(self.pool) + np.cumsum(lengths) - lengths])
+        self.length = np.concatenate([self.length, lengths])
+        self.pool = np.concatenate([self.pool, ids])
+        self.met = np.concatenate([self.met, np.zeros(len(keys), np.int64)])
+        return np.arange(n, n + len(keys))
+
+    def _put_words(self, keys: list[str]) -> np.ndarray:
+        """Encode pre-tokens, many in one call of the library; the bytes that ids stand for tell them apart."""
+        raw = "\0".join(map(_keyed, keys)).encode()
+        marks = np.flatnonzero(np.frombuffer(raw, np.uint8) == 0)
+        ends = np.append(marks, len(raw)) - np.arange(len(keys))
+        # calls end at words' ends
+        cuts = [0, *(marks[CALL_WORDS - 1::CALL_WORDS] + 1).tolist(), len(raw)]
+        ids = []
+        for begin, end in pairwise(cuts):
+            shown = codecs.charmap_decode(raw[begin:end], "strict", self.table)[0]
+            if len(keys) <= FEW_WORDS:
+                found = [t.id for x in shown.split(" ") for t in self.model.tokenize(x)]
+            else:
+                found = self.words.encode_batch_fast([shown], add_special_tokens=False)[0].ids
+            ids.append(np.array(found, np.uint32))
+        ids = np.concatenate(ids)
+        upto = np.cumsum(self.id_bytes[ids])
+        last = np.searchsorted(upto, ends)
+        if upto[-1] != ends[-1] or not np.array_equal(upto[last], ends):
+            raise ValueError("the ids of some words do not stand for their bytes")
+        return self._put(keys, ids, np.diff(last, prepend=-1))
+
+    def _word_codes(self, keys: list[str]) -> np.ndarray:
+        """The codes of pre-tokens, new or not."""
+        new = [x for x in dict.fromkeys(keys) if x not in self.codes]
+        if new:
+            self._put_words(new)
+        return np.fromiter(map(self.codes.__getitem__, keys), np.int64, len(keys))
+
+    def _learn(self, keys: pa.Array) -> np.ndarray:
+        """Codes of distinct new keys."""
+        codes = np.zeros(len(keys), np.int64)
+        plain = np.asarray(pc.match_substring_regex(keys, _PLAIN))
+        letters = plain & np.asarray(pc.utf8_is_alpha(keys))  # one pre-token
+        if letters.any():
+            codes[letters] = self._put_words(_strings(keys.filter(pa.array(letters))))
+        rest = np.flatnonzero(~letters)
+        keys, plain = keys.take(pa.array(rest)), plain[rest]
+        stems = pc.ascii_rtrim(keys, characters=_MARKS)
+        two = plain & np.asarray(pc.utf8_is_alpha(stems))  # letters, whose ids are kept for themselves too, and marks
+        if two.any():
+            of, stems = _strings(keys.filter(pa.array(two))), _strings(stems.filter(pa.array(two)))
+            parts = self._word_codes([*stems, *(" " + x[len(stem):] for x, stem in zip(of, stems, strict=True))])
+            parts = parts.reshape(2, -1)
+            codes[rest[two]] = self._put(of, self._ids(parts.T.ravel()), self.length[parts].sum(axis=0))
+        at, of, words, counts = [], [], [], []
+        for i, key in zip(np.flatnonzero(~two).tolist(), _strings(keys.filter(pa.array(~two))), strict=True):
+            if key in self.codes:  # a pre-token of another one
+                codes[rest[i]] = self.codes[key]
+            elif key[:1] != " " and (not key or key[-1].isspace()):
+                self.codes[key] = 0
+            elif not plain[i]:
+                ids = self._whole(_keyed(key))
+                codes[rest[i]] = self._put([key], ids, np.array([len(ids)]))[0]
+            else:
+                cut = self.pretokens.findall(_keyed(key))
+                at.append(rest[i])
+                of.append(key)
+                words += map(_key, cut)
+                counts.append(len(cut))
+        if of:
+            parts, counts = self._word_codes(words), np.array(counts)
+            ends = np.cumsum(counts)
+            lengths = np.diff(np.concatenate([[0], np.cumsum(self.length[parts])])[ends], prepend=0)
+            one = counts == 1
+            found = np.zeros(len(of), np.int64)
+            found[one] = parts[ends[one] - 1]
+            found[~one] = self._put([k for k, x in zip(of, one.tolist(), strict=True) if not x],
+                                    self._ids(parts[np.repeat(~one, counts)]), lengths[~one])
+            codes[at] = found
+        return codes
+
+    def _codes(self, keys: pa.Array) -> np.ndarray:
+        """The codes of keys."""
+        codes = np.fromiter(map(self.codes.get, _strings(keys), repeat(-1)), np.int64, len(keys))
+        new = codes < 0
+        if new.any():
+            forms = keys.filter(pa.array(new)).dictionary_encode()
+            codes[new] = self._learn(forms.dictionary)[np.asarray(forms.indices)]
+        self.met[codes] += 1
+        return codes
+
+    def _ids(self, codes: np.ndarray) -> np.ndarray:
+        return self.pool.take(ranges(self.start.take(codes), self.length.take(codes)))
+
+    def _forget(self) -> None:
+        """Keep the ids of what was met in several slices only, and half as many as there may be at most."""
+        least = 2
+        while np.count_nonzero(self.met >= least) > CACHE_PIECES // 2:
+            least *= 2
+        kept = self.met >= least
+        kept[0] = True
+        code = np.cumsum(kept) - 1
+        ids, keep = self._ids(np.flatnonzero(kept)), kept.tolist()
+        self.codes = {k: int(code[c]) for k, c in self.codes.items() if c and keep[c]}
+        self.pool, self.length = ids, self.length[kept]
+        self.start = np.cumsum(self.length) - self.length
+        self.met = np.zeros(len(self.length), np.int64)
+
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of every text (large_string, no nulls) as little-endian 32-bit integers."""
+        if not self.splits:
+            yield from (self._whole(x).astype("<u4").tobytes() for x in texts.to_pylist())
+            return
+        if not len(texts):
+            return
+        if len(self.codes) >= CACHE_PIECES:
+            self._forget()
+        lists = pc.split_pattern(texts, " ")
+        offsets = np.asarray(lists.offsets, np.int64)
+        counts = np.diff(offsets)
+        first, last = offsets[:-1] - offsets[0], offsets[1:] - offsets[0] - 1
+        pieces = lists.flatten().dictionary_encode()
+        forms, at = pieces.dictionary, np.array(pieces.indices, np.int64)
+        heads = _strings(forms.take(pa.array(at[first])))
+        # the forms that follow a blank, then the texts' first pieces, which follow none
+        asked = np.zeros(len(forms), bool)
+        asked[np.delete(at, first)] = True
+        codes = np.zeros(len(forms) + len(texts), np.int64)
+        codes[:len(forms)][asked] = self._codes(forms.filter(pa.array(asked)))
+        odd = codes == 0
+        codes[len(forms):] = self._codes(pa.array([" " + x for x in heads], pa.large_string()))
+        odd[len(forms):] = (counts > 1) & np.fromiter((x[-1:].isspace() for x in heads), bool, len(heads))
+        at[first] = len(forms) + np.arange(len(texts))
+        # a piece that ends in white space: nothing follows a last one; with others behind it, its text is cut anew
+        odd = odd.take(at)
+        odd_end = odd[last] & (counts > 1)
+        odd[last] = False
+        anew = np.logical_or.reduceat(odd, first)
+        special = np.asarray(pc.match_substring(texts, "<|"))  # a special token's string may hold a blank
+        some, whole = np.flatnonzero((anew | odd_end) & ~special), np.flatnonzero(special)
+        keys, upto = [], [0]
+        for i in some.tolist():
+            text = texts[i].as_py()
+            if anew[i]:
+                head, *others = self.cut.split(text)
+                keys += [" " + head, *(_key(" " + x) for x in others)]
+            else:
+                keys.append(_key(text[text.rindex(" "):]))
+            upto.append(len(keys))
+        more = self._codes(pa.array(keys, pa.large_string()))
+        wholes = [self._whole(texts[i].as_py()) for i in whole.tolist()]
+        # one table of ids for the slice: forms, first pieces, nothing, texts cut anew or their ends, whole texts
+        sizes = np.concatenate([self.length[codes], [0], np.diff(np.concatenate([[0], np.cumsum(self.length[more])])[upto]),
+                                np.fromiter(map(len, wholes), np.int64, len(wholes))])
+        table = np.concatenate([self._ids(codes), self._ids(more), *wholes]).astype("<u4", copy=False)
+        at[np.repeat(anew | special, counts)] = len(codes)
+        at[np.where(anew, first, last)[some]] = len(codes) + 1 + np.arange(len(some))
+        at[first[whole]] = len(codes) + 1 + len(some) + np.arange(len(whole))
+        lengths = sizes.take(at)
+        raw = table.take(ranges((np.cumsum(sizes) - sizes).take(at), lengths)).tobytes()
+        begin = 0
+        for end in (4 * np.cumsum(lengths)[last]).tolist():
+            yield raw[begin:end]
+            begin = end
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian 32-bit integers."""
-        if not self.splits or "<|" in text:  # a special token's string may hold a blank
-            return self._whole(text)
-        pieces = text.split(" ")
-        if len(pieces) == 1:
-            return self._piece(text)
-        head, last = pieces[0], pieces[-1]
-        if not head[-1:].isspace():
-            try:  # nothing follows the last piece, it may end in anything
-                inner = b"".join(map(self.after_blank.__getitem__, islice(pieces, 1, len(pieces) - 1)))
-                return self._piece(head) + inner + (self.after_blank[last] or self._piece(" " + last))
-            except TypeError:  # a piece without ids
-                pass
-        pieces = self.cut.split(text)
-        return b"".join([self._piece(pieces[0]), *(self.after_blank[x] or self._piece(" " + x) for x in pieces[1:])])
+        return next(self.encode_all(pa.array([text], pa.large_string())))
 
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """One encoder a Python worker and tokenizer file."""
+    """One encoder a Python worker and tokenizer file; a task has one core, so the library starts no threads."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return Encoder(path)
 
 
@@ -308,8 +452,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = END_ID, shard_id
             return row
 
         for rows, texts in text_slices(batches):
-            for doc_id, text in zip(rows.column(0).to_pylist(), texts.to_pylist(), strict=True):
-                encoded = coder.encode(text) + tail
+            for doc_id, encoded in zip(rows.column(0).to_pylist(), coder.encode_all(texts), strict=True):
+                encoded += tail
                 n = len(encoded) // 4
                 if ids and size + n > shard_ids:
                     yield closed()
