@@ -1,9 +1,11 @@
+import sys
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import regex
 from helpers import frame, prose, seeded
 
 from tripwise.llm import repair_tokens as rt
@@ -139,3 +141,33 @@ def test_random_texts(reference):
     texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 12))) for _ in range(6000)]
     got = [np.frombuffer(x, "<u4").tolist() for x in coder.encode_all(pa.array(texts, pa.large_string()))]
     assert [t for t, g in zip(texts, got, strict=True) if g != reference(t)] == []
+
+
+def test_new_pieces_take_no_python_call_each(reference):
+    coder, calls = rt.Encoder(PATH), []
+    text = " ".join(f"w{'aeiou'[i % 5]}{chr(97 + i % 26)}{chr(97 + i // 26 % 26)},{i}é{chr(97 + i % 23)}'s" for i in range(4000))
+    sys.setprofile(lambda frame, event, arg: calls.append(event) if event in ("call", "c_call") else None)
+    try:
+        got = coder.encode(text)
+    finally:
+        sys.setprofile(None)
+    assert np.frombuffer(got, "<u4").tolist() == reference(text)
+    assert len(calls) < 2000
+
+
+def test_pretokens_are_those_of_the_pattern():
+    rng, coder = seeded(7), rt.Encoder(PATH)
+    signs = "  \n''strevldmST,.!A3é²×ªß¼¿"
+    texts = ["", " ", "\n", "'", "é", "it's's 'll''ve"] + ["".join(rng.choice(signs) for _ in range(rng.randint(0, 14))) for _ in range(8000)]
+    words, counts = coder._pretokens(pa.array(["no", *texts], pa.large_string()).slice(1))
+    want = [regex.findall(public_tokenizers.PATTERN, t) for t in texts]
+    assert counts.tolist() == list(map(len, want)) and words.to_pylist() == [x for w in want for x in w]
+
+
+def test_expansions_of_nested_rules():
+    rules = np.array([[1, 2], [10, 10], [3, 11], [12, 10], [4, 4]], np.uint32)
+    flat, start, length = rt.expansions(rules, 10)
+    assert [flat[s:s + n].tolist() for s, n in zip(start, length, strict=True)] == [
+        [1, 2], [1, 2, 1, 2], [3, 1, 2, 1, 2], [3, 1, 2, 1, 2, 1, 2], [4, 4]]
+    with pytest.raises(ValueError):
+        rt.expansions(np.array([[11, 1], [10, 1]], np.uint32), 10)

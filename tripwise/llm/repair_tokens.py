@@ -12,12 +12,11 @@ from __future__ import annotations
 import codecs
 import os
 import re
-import string
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import pairwise, repeat
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +32,11 @@ SHARD_IDS, MIN_PAIRS, ROUNDS = 1 << 20, 24, 12
 #: Of a round's pairs those at least this share as frequent as the most frequent are replaced.
 ROUND_SHARE = 1 / 8
 #: Encoded pieces a worker keeps from slice to slice, and words in a call of the library.
-CACHE_PIECES, CALL_WORDS = 1_000_000, 20_000
+CACHE_PIECES, CALL_WORDS = 500_000, 20_000
+#: Words that the library encodes as one string.
+LOT_WORDS = 64
+#: A slice's text: the pieces kept are indexed anew for each slice.
+ENCODE_BYTES = 18 << 20
 #: So many words are not worth a call for all.
 FEW_WORDS = 16
 #: Symbols between two stored places of a shard.
@@ -57,20 +60,22 @@ def _frequent_pairs(seq: np.ndarray, least: int, share: float, odd: int) -> tupl
     h >>= np.uint32(32 - _COUNT_BITS)
     h = h.astype(np.intp)  # once, for the counts and the look-ups
     counts = np.bincount(h, minlength=1 << _COUNT_BITS)
-    heavy = np.flatnonzero((counts >= max(least, int(counts.max() * share))).take(h))
-    h = h.take(heavy)
+    frequent = counts >= max(least, int(counts.max() * share))
+    heavy = np.flatnonzero(frequent.take(h))
+    slots = np.flatnonzero(frequent)
+    slot = np.empty(1 << _COUNT_BITS, np.intp)
+    slot[slots] = np.arange(len(slots))
+    h = slot.take(h.take(heavy))
     pair = a.take(heavy).astype(np.uint64) << np.uint64(32) | b.take(heavy)
-    stands = np.zeros(1 << _COUNT_BITS, np.uint64)
+    stands = np.zeros(len(slots), np.uint64)
     stands[h] = pair
     same = np.flatnonzero(stands.take(h) == pair)
     heavy, h = heavy.take(same), h.take(same)
-    own = np.bincount(h, minlength=1 << _COUNT_BITS)
-    often = own >= max(least, int(own.max() * share))
+    own = np.bincount(h, minlength=len(slots))
+    often = own >= max(least, int(own.max(initial=0) * share))
     keep = np.flatnonzero(often.take(h))
-    chosen = np.flatnonzero(often)
-    number = np.empty(1 << _COUNT_BITS, np.intp)
-    number[chosen] = np.arange(len(chosen))
-    return heavy.take(keep), number.take(h.take(keep)), stands.take(chosen)
+    number = np.cumsum(often) - 1
+    return heavy.take(keep), number.take(h.take(keep)), stands[often]
 
 
 def repair(ids: np.ndarray, min_pairs: int = MIN_PAIRS, rounds: int = ROUNDS,
@@ -107,13 +112,30 @@ def repair(ids: np.ndarray, min_pairs: int = MIN_PAIRS, rounds: int = ROUNDS,
 
 def expansions(rules: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(flat, start, length) of every nonterminal's ids; rules refer only to earlier symbols."""
-    length = np.ones(len(rules), np.int64)
-    parts: list[list[int]] = []
-    for i, (a, b) in enumerate(rules.tolist()):
-        parts.append((parts[a - first] if a >= first else [a]) + (parts[b - first] if b >= first else [b]))
-        length[i] = len(parts[-1])
-    flat = np.fromiter((x for p in parts for x in p), np.uint32, int(length.sum()))
-    return flat, np.cumsum(length) - length, length
+    n, of = len(rules), rules.astype(np.int64) - first
+    of[of < 0] = n  # a terminal, of one id
+    length = np.zeros(n + 1, np.int64)
+    length[n] = 1
+    levels, rest = [], np.arange(n)
+    while len(rest):
+        ready = (length[of[rest]] > 0).all(axis=1)
+        if not ready.any():
+            raise ValueError("rules refer to one another")
+        levels.append(rest[ready])
+        length[levels[-1]] = length[of[levels[-1]]].sum(axis=1)
+        rest = rest[~ready]
+    start = np.cumsum(length[:n]) - length[:n]
+    flat = np.empty(int(length[:n].sum()), np.uint32)
+    for level in levels:
+        at = start[level]
+        for side in 0, 1:
+            part = of[level, side]
+            end = part == n
+            flat[at[end]] = rules[level[end], side]
+            part, to = part[~end], at[~end]
+            flat[ranges(to, length[part])] = flat[ranges(start[part], length[part])]
+            at = at + length[of[level, side]]
+    return flat, start, length[:n]
 
 
 def pack_shard(ids: np.ndarray) -> bytes:
@@ -169,23 +191,36 @@ class Shard:
 
 # --- encoding ------------------------------------------------------------------------------
 # line ends and the visible characters of Latin scripts: these split alike in every Unicode version
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _PLAIN = "^[\n -~\u00a1-\u00ac\u00ae-\u024f]*$"
 
-# visible ASCII that is neither letter nor digit
-_MARKS = string.punctuation
+# what a character is to the byte-level pattern
+_WHITE, _LETTER, _NUMBER, _MARK = range(4)
 
 
 def _key(text: str) -> str:
     """What a string's ids are kept under: what follows its blank, or the string behind a further blank.
 
-    A key without a blank before it is what stands between blanks of a text; ``_keyed`` is the way back.
+    A key without a blank before it is what stands between blanks of a text; ``_texts_of`` is the way back.
     """
     rest = text[1:]
     return rest if text[:1] == " " and rest and rest[0] != " " and not rest[-1].isspace() else " " + text
 
 
-def _keyed(key: str) -> str:
-    return key[1:] if key[:1] == " " else " " + key
+def _behind_blank(a: pa.Array) -> pa.Array:
+    return pc.binary_join_element_wise(pa.scalar("", a.type), a, pa.scalar(" ", a.type))
+
+
+def _texts_of(keys: pa.Array) -> pa.Array:
+    """The strings of keys."""
+    return pc.if_else(pc.starts_with(keys, " "), pc.utf8_slice_codeunits(keys, 1),
+                      _behind_blank(keys))
+
+
+def _word_keys(words: pa.Array) -> pa.Array:
+    """``_key`` of pre-tokens, whose only blanks are one in front of visible characters or white space alone."""
+    return pc.if_else(pc.match_substring_regex(words, "^ [^ \n]"), pc.utf8_slice_codeunits(words, 1),
+                      _behind_blank(words))
 
 
 def _strings(a: pa.Array) -> list[str]:
@@ -193,6 +228,13 @@ def _strings(a: pa.Array) -> list[str]:
     return a.to_numpy(zero_copy_only=False).tolist()
 
 
+def _raw(a: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of a large_string array without nulls; the offsets begin at 0."""
+    offsets = np.frombuffer(a.buffers()[1], np.int64, len(a) + 1, 8 * a.offset) if len(a) else np.zeros(1, np.int64)
+    n = int(offsets[-1] - offsets[0])
+    return np.frombuffer(a.buffers()[2], np.uint8, n, int(offsets[0])) if n else np.zeros(0, np.uint8), offsets - offsets[0]
+
+
 class Encoder:
     """Encodes with a byte-level BPE of the tokenizers library, the distinct pieces of many texts at a time.
 
@@ -205,25 +247,28 @@ class Encoder:
     def __init__(self, path: str):
         import public_tokenizers
         import regex
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
         hidden = iter(range(256, 512))
         shown = [chr(b if b in visible else next(hidden)) for b in range(256)]
         self.splits = self._byte_level(shown)
-        # no byte is shown as a blank: it stands between words, for the byte 0, which none of them holds
-        self.table = " " + "".join(shown[1:])
+        self.table = "".join(shown)
         self.blank = shown[32]
         self.model = self.tokenizer.model
         self.words = Tokenizer(self.model)
-        self.words.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
-        vocab = self.tokenizer.get_vocab()
-        self.id_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
-        self.id_bytes[list(vocab.values())] = list(map(len, vocab))
-        self.pretokens = regex.compile(public_tokenizers.PATTERN)
+        # UTF-8 has no byte 255: it stands behind every word of a call, and no merge has it
+        self.last = self.tokenizer.token_to_id(shown[255])
+        if public_tokenizers.PATTERN != _PATTERN:
+            raise ValueError("pre-tokens are cut by another pattern")
+        signs = "".join(map(chr, range(0x250)))
+        self.kinds = np.full(0x250, _MARK, np.uint8)
+        for kind, form in (_WHITE, r"\s"), (_LETTER, r"\p{L}"), (_NUMBER, r"\p{N}"):
+            self.kinds[[m.start() for m in regex.finditer(form, signs)]] = kind
         self.cut = re.compile(r"(?<=\S) ")
-        self.codes: dict[str, int] = {}
+        #: The keys with codes, of which the first one's is 1.
+        self.known = pa.array([], pa.large_string())
         self.pool, self.start, self.length = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
         self.met = np.zeros(1, np.int64)
 
@@ -236,101 +281,124 @@ class Encoder:
         return (spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space")
                 and pre.get("use_regex", True) and model.get("type") == "BPE" and not model.get("ignore_merges")
                 and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix")
-                and all(x in model["vocab"] for x in shown))
+                and all(x in model["vocab"] for x in shown) and sum(shown[255] in x for x in model["vocab"]) == 1)
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _put(self, keys: list[str], ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    @property
+    def codes(self) -> dict[str, int]:
+        """The code of every key."""
+        return dict(zip(self.known.to_pylist(), range(1, len(self.length)), strict=True))
+
+    def _put(self, keys: pa.Array, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Give codes to new keys, whose ids follow one another."""
         n = len(self.length)
-        self.codes.update(zip(keys, range(n, n + len(keys)), strict=True))
+        self.known = pa.concat_arrays([self.known, keys])
         self.start = np.concatenate([self.start, len(self.pool) + np.cumsum(lengths) - lengths])
         self.length = np.concatenate([self.length, lengths])
         self.pool = np.concatenate([self.pool, ids])
         self.met = np.concatenate([self.met, np.zeros(len(keys), np.int64)])
         return np.arange(n, n + len(keys))
 
-    def _put_words(self, keys: list[str]) -> np.ndarray:
-        """Encode pre-tokens, many in one call of the library; the bytes that ids stand for tell them apart."""
-        raw = "\0".join(map(_keyed, keys)).encode()
-        marks = np.flatnonzero(np.frombuffer(raw, np.uint8) == 0)
-        ends = np.append(marks, len(raw)) - np.arange(len(keys))
-        # calls end at words' ends
-        cuts = [0, *(marks[CALL_WORDS - 1::CALL_WORDS] + 1).tolist(), len(raw)]
-        ids = []
-        for begin, end in pairwise(cuts):
-            shown = codecs.charmap_decode(raw[begin:end], "strict", self.table)[0]
-            if len(keys) <= FEW_WORDS:
-                found = [t.id for x in shown.split(" ") for t in self.model.tokenize(x)]
-            else:
-                found = self.words.encode_batch_fast([shown], add_special_tokens=False)[0].ids
-            ids.append(np.array(found, np.uint32))
-        ids = np.concatenate(ids)
-        upto = np.cumsum(self.id_bytes[ids])
-        last = np.searchsorted(upto, ends)
-        if upto[-1] != ends[-1] or not np.array_equal(upto[last], ends):
-            raise ValueError("the ids of some words do not stand for their bytes")
-        return self._put(keys, ids, np.diff(last, prepend=-1))
-
-    def _word_codes(self, keys: list[str]) -> np.ndarray:
-        """The codes of pre-tokens, new or not."""
-        new = [x for x in dict.fromkeys(keys) if x not in self.codes]
-        if new:
-            self._put_words(new)
-        return np.fromiter(map(self.codes.__getitem__, keys), np.int64, len(keys))
+    def _put_words(self, words: pa.Array) -> np.ndarray:
+        """Encode pre-tokens, many in one call of the library."""
+        raw, ends = _raw(pc.binary_join_element_wise(words.cast(pa.large_binary()), pa.scalar(b"", pa.large_binary()),
+                                                     pa.scalar(b"\xff", pa.large_binary())))
+        shown, ends = codecs.charmap_decode(raw, "strict", self.table)[0], ends.tolist()
+        if len(words) <= FEW_WORDS:
+            found = [t.id for begin, end in pairwise(ends) for x in (shown[begin:end - 1], shown[end - 1:end])
+                     for t in self.model.tokenize(x)]
+            ids = np.array(found, np.uint32)
+        else:
+            lots = []
+            for i in range(0, len(words), CALL_WORDS):
+                cuts = [*ends[i:min(i + CALL_WORDS, len(words)):LOT_WORDS], ends[min(i + CALL_WORDS, len(words))]]
+                call = self.words.encode_batch_fast([shown[a:b] for a, b in pairwise(cuts)], add_special_tokens=False)
+                lots += [np.array(x.ids, np.uint32) for x in call]
+            ids = np.concatenate(lots)
+        last = np.flatnonzero(ids == self.last)
+        if len(last) != len(words):
+            raise ValueError("the ids of some words cannot be told apart")
+        return self._put(_word_keys(words), ids[ids != self.last], np.diff(last, prepend=-1) - 1)
+
+    def _pretokens(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """(pre-tokens, how many of each text): texts of plain characters cut by the byte-level pattern."""
+        raw, offsets = _raw(texts)
+        n = len(raw)
+        kind = self.kinds.take(raw)
+        wide = np.flatnonzero(raw >= 0xC2)  # the first of a character's two bytes
+        if len(wide):
+            kind[wide] = kind[wide + 1] = self.kinds.take(
+                (raw[wide].astype(np.intp) & 0x1F) << 6 | raw[wide + 1].astype(np.intp) & 0x3F)
+        head = np.zeros(n + 1, bool)  # where a text begins, or the last one ends
+        head[offsets] = True
+        begin = head.copy()
+        begin[1:n] |= kind[1:] != kind[:-1]
+        white = kind == _WHITE
+        # the last white space before a visible character stands alone, or with this if it is a blank
+        before = np.flatnonzero(white[:-1] & ~white[1:] & ~head[1:n])
+        begin[before] = True
+        begin[before + 1] = raw[before] != 32
+        # 's, 't, 'm, 'd, 're, 've, 'll
+        at = np.flatnonzero(raw == 39)
+        at = at[begin[at] & ~head[at + 1]]
+        if len(at):
+            one, two = raw[at + 1], np.append(raw, 0)[at + 2]
+            short = np.isin(one, list(b"stmd"))
+            long = ((np.isin(one, list(b"rv")) & (two == 101)) | ((one == 108) & (two == 108))) & ~head[at + 2 - short]
+            size = 1 + short + 2 * long
+            begin[at[size > 1] + 1] = False
+            begin[(at + size)[size > 1]] = True
+        starts = np.flatnonzero(begin[:n])
+        upto = np.concatenate([[0], np.cumsum(begin[:n])])
+        cuts = np.append(starts, n).astype(np.int64)
+        words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(cuts), pa.py_buffer(raw))
+        return words, np.diff(upto[offsets])
+
+    def _find(self, keys: pa.Array) -> np.ndarray:
+        """The codes of distinct keys, -1 for new ones."""
+        codes = np.asarray(pc.fill_null(pc.index_in(keys, self.known), -2)).astype(np.int64) + 1
+        self.met[codes[codes > 0]] += 1
+        return codes
 
     def _learn(self, keys: pa.Array) -> np.ndarray:
         """Codes of distinct new keys."""
         codes = np.zeros(len(keys), np.int64)
         plain = np.asarray(pc.match_substring_regex(keys, _PLAIN))
-        letters = plain & np.asarray(pc.utf8_is_alpha(keys))  # one pre-token
-        if letters.any():
-            codes[letters] = self._put_words(_strings(keys.filter(pa.array(letters))))
-        rest = np.flatnonzero(~letters)
-        keys, plain = keys.take(pa.array(rest)), plain[rest]
-        stems = pc.ascii_rtrim(keys, characters=_MARKS)
-        two = plain & np.asarray(pc.utf8_is_alpha(stems))  # letters, whose ids are kept for themselves too, and marks
-        if two.any():
-            of, stems = _strings(keys.filter(pa.array(two))), _strings(stems.filter(pa.array(two)))
-            parts = self._word_codes([*stems, *(" " + x[len(stem):] for x, stem in zip(of, stems, strict=True))])
-            parts = parts.reshape(2, -1)
-            codes[rest[two]] = self._put(of, self._ids(parts.T.ravel()), self.length[parts].sum(axis=0))
-        at, of, words, counts = [], [], [], []
-        for i, key in zip(np.flatnonzero(~two).tolist(), _strings(keys.filter(pa.array(~two))), strict=True):
-            if key in self.codes:  # a pre-token of another one
-                codes[rest[i]] = self.codes[key]
-            elif key[:1] != " " and (not key or key[-1].isspace()):
-                self.codes[key] = 0
-            elif not plain[i]:
-                ids = self._whole(_keyed(key))
-                codes[rest[i]] = self._put([key], ids, np.array([len(ids)]))[0]
-            else:
-                cut = self.pretokens.findall(_keyed(key))
-                at.append(rest[i])
-                of.append(key)
-                words += map(_key, cut)
-                counts.append(len(cut))
-        if of:
-            parts, counts = self._word_codes(words), np.array(counts)
-            ends = np.cumsum(counts)
+        behind = ~np.asarray(pc.starts_with(keys, " "))
+        foreign = [(i, x) for i, x in zip(np.flatnonzero(~plain).tolist(), _strings(keys.filter(pa.array(~plain))), strict=True)
+                   if not (behind[i] and x[-1].isspace())]
+        if foreign:
+            at = np.array([i for i, _ in foreign])
+            ids = [self._whole(" " + x if behind[i] else x[1:]) for i, x in foreign]
+            codes[at] = self._put(keys.take(pa.array(at)), np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids)))
+        at = np.flatnonzero(plain & ~(behind & np.asarray(pc.match_substring_regex(keys, "^$|[ \n]$"))))
+        if not len(at):
+            return codes
+        keys = keys.take(pa.array(at))
+        words, counts = self._pretokens(_texts_of(keys))
+        words = words.dictionary_encode()
+        forms, parts = words.dictionary, np.asarray(words.indices)
+        found = self._find(_word_keys(forms))
+        new = found < 0
+        if new.any():
+            found[new] = self._put_words(forms.filter(pa.array(new)))
+        parts = found.take(parts)
+        ends = np.cumsum(counts)
+        one = counts == 1
+        codes[at[one]] = parts[ends[one] - 1]
+        if not one.all():
             lengths = np.diff(np.concatenate([[0], np.cumsum(self.length[parts])])[ends], prepend=0)
-            one = counts == 1
-            found = np.zeros(len(of), np.int64)
-            found[one] = parts[ends[one] - 1]
-            found[~one] = self._put([k for k, x in zip(of, one.tolist(), strict=True) if not x],
-                                    self._ids(parts[np.repeat(~one, counts)]), lengths[~one])
-            codes[at] = found
+            codes[at[~one]] = self._put(keys.filter(pa.array(~one)), self._ids(parts[np.repeat(~one, counts)]), lengths[~one])
         return codes
 
     def _codes(self, keys: pa.Array) -> np.ndarray:
-        """The codes of keys."""
-        codes = np.fromiter(map(self.codes.get, _strings(keys), repeat(-1)), np.int64, len(keys))
+        """The codes of distinct keys."""
+        codes = self._find(keys)
         new = codes < 0
         if new.any():
-            forms = keys.filter(pa.array(new)).dictionary_encode()
-            codes[new] = self._learn(forms.dictionary)[np.asarray(forms.indices)]
-        self.met[codes] += 1
+            codes[new] = self._learn(keys.filter(pa.array(new)))
         return codes
 
     def _ids(self, codes: np.ndarray) -> np.ndarray:
@@ -343,10 +411,8 @@ class Encoder:
             least *= 2
         kept = self.met >= least
         kept[0] = True
-        code = np.cumsum(kept) - 1
-        ids, keep = self._ids(np.flatnonzero(kept)), kept.tolist()
-        self.codes = {k: int(code[c]) for k, c in self.codes.items() if c and keep[c]}
-        self.pool, self.length = ids, self.length[kept]
+        self.known = self.known.filter(pa.array(kept[1:]))
+        self.pool, self.length = self._ids(np.flatnonzero(kept)), self.length[kept]
         self.start = np.cumsum(self.length) - self.length
         self.met = np.zeros(len(self.length), np.int64)
 
@@ -357,7 +423,7 @@ class Encoder:
             return
         if not len(texts):
             return
-        if len(self.codes) >= CACHE_PIECES:
+        if len(self.known) >= CACHE_PIECES:
             self._forget()
         lists = pc.split_pattern(texts, " ")
         offsets = np.asarray(lists.offsets, np.int64)
@@ -365,18 +431,18 @@ class Encoder:
         first, last = offsets[:-1] - offsets[0], offsets[1:] - offsets[0] - 1
         pieces = lists.flatten().dictionary_encode()
         forms, at = pieces.dictionary, np.array(pieces.indices, np.int64)
-        heads = _strings(forms.take(pa.array(at[first])))
+        heads = forms.take(pa.array(at[first])).dictionary_encode()
         # the forms that follow a blank, then the texts' first pieces, which follow none
-        asked = np.zeros(len(forms), bool)
-        asked[np.delete(at, first)] = True
-        codes = np.zeros(len(forms) + len(texts), np.int64)
-        codes[:len(forms)][asked] = self._codes(forms.filter(pa.array(asked)))
+        asked = np.bincount(at, minlength=len(forms)) > np.bincount(at[first], minlength=len(forms))
+        asked = np.append(asked, np.ones(len(heads.dictionary), bool))
+        codes = np.zeros(len(asked), np.int64)
+        codes[asked] = self._codes(pa.concat_arrays([forms, _behind_blank(heads.dictionary)]).filter(pa.array(asked)))
         odd = codes == 0
-        codes[len(forms):] = self._codes(pa.array([" " + x for x in heads], pa.large_string()))
-        odd[len(forms):] = (counts > 1) & np.fromiter((x[-1:].isspace() for x in heads), bool, len(heads))
-        at[first] = len(forms) + np.arange(len(texts))
+        odd[len(forms):] = [x[-1:].isspace() for x in _strings(heads.dictionary)]
+        at[first] = len(forms) + np.asarray(heads.indices)
         # a piece that ends in white space: nothing follows a last one; with others behind it, its text is cut anew
         odd = odd.take(at)
+        odd[first[counts == 1]] = False
         odd_end = odd[last] & (counts > 1)
         odd[last] = False
         anew = np.logical_or.reduceat(odd, first)
@@ -391,20 +457,24 @@ class Encoder:
             else:
                 keys.append(_key(text[text.rindex(" "):]))
             upto.append(len(keys))
-        more = self._codes(pa.array(keys, pa.large_string()))
+        keys = pa.array(keys, pa.large_string()).dictionary_encode()
+        more = self._codes(keys.dictionary).take(np.asarray(keys.indices)) if len(keys) else np.zeros(0, np.int64)
         wholes = [self._whole(texts[i].as_py()) for i in whole.tolist()]
         # one table of ids for the slice: forms, first pieces, nothing, texts cut anew or their ends, whole texts
         sizes = np.concatenate([self.length[codes], [0], np.diff(np.concatenate([[0], np.cumsum(self.length[more])])[upto]),
                                 np.fromiter(map(len, wholes), np.int64, len(wholes))])
         table = np.concatenate([self._ids(codes), self._ids(more), *wholes]).astype("<u4", copy=False)
-        at[np.repeat(anew | special, counts)] = len(codes)
+        none = np.flatnonzero(anew | special)
+        at[ranges(first[none], counts[none])] = len(codes)
         at[np.where(anew, first, last)[some]] = len(codes) + 1 + np.arange(len(some))
         at[first[whole]] = len(codes) + 1 + len(some) + np.arange(len(whole))
-        lengths = sizes.take(at)
-        raw = table.take(ranges((np.cumsum(sizes) - sizes).take(at), lengths)).tobytes()
+        cuts = pa.py_buffer(4 * np.concatenate([[0], np.cumsum(sizes)]))
+        # Arrow copies the bytes of each piece's ids one behind the other
+        raw, ends = _raw(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, cuts, pa.py_buffer(table)])
+                         .take(pa.array(at)))
         begin = 0
-        for end in (4 * np.cumsum(lengths)[last]).tolist():
-            yield raw[begin:end]
+        for end in ends[last + 1].tolist():
+            yield raw[begin:end].tobytes()
             begin = end
 
     def encode(self, text: str) -> bytes:
@@ -451,7 +521,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = END_ID, shard_id
             shard, ids, sizes, data, size = shard + 1, [], [], [], 0
             return row
 
-        for rows, texts in text_slices(batches):
+        for rows, texts in text_slices(batches, limit=ENCODE_BYTES):
             for doc_id, encoded in zip(rows.column(0).to_pylist(), coder.encode_all(texts), strict=True):
                 encoded += tail
                 n = len(encoded) // 4
