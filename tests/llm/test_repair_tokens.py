@@ -171,3 +171,19 @@ def test_expansions_of_nested_rules():
         [1, 2], [1, 2, 1, 2], [3, 1, 2, 1, 2], [3, 1, 2, 1, 2, 1, 2], [4, 4]]
     with pytest.raises(ValueError):
         rt.expansions(np.array([[11, 1], [10, 1]], np.uint32), 10)
+
+
+def test_each_new_word_is_encoded_once(reference):
+    coder, met = rt.Encoder(PATH), []
+
+    class Counted:
+        def encode_batch_fast(self, shown, words=coder.words, **options):
+            met.extend(w for x in shown for w in x.split(chr(255))[:-1])
+            return words.encode_batch_fast(shown, **options)
+
+    coder.words = Counted()
+    texts = [" ".join(f"w{'aeiouéß'[i * n % 7]}{'y' * (i % 9)}" + ["", ",", ".\nEnd"][i % 3] for i in range(90)) for n in range(1, 9)]
+    for _ in range(2):
+        got = [np.frombuffer(x, "<u4").tolist() for x in coder.encode_all(pa.array(texts, pa.large_string()))]
+        assert got == [reference(t) for t in texts]
+    assert len(met) == len(set(met)) > 50 and coder.blank + "wa" in met

@@ -155,6 +155,25 @@ def pack_shard(ids: np.ndarray) -> bytes:
                      seq.astype(f"<u{wide}").tobytes()])
 
 
+def _raw(a: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of a large_string or large_binary array without nulls; the offsets begin at 0."""
+    offsets = np.frombuffer(a.buffers()[1], np.int64, len(a) + 1, 8 * a.offset) if len(a) else np.zeros(1, np.int64)
+    n = int(offsets[-1] - offsets[0])
+    return np.frombuffer(a.buffers()[2], np.uint8, n, int(offsets[0])) if n else np.zeros(0, np.uint8), offsets - offsets[0]
+
+
+def _table(ids: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Runs of ids that follow one another, as the bytes of little-endian 32-bit integers."""
+    cuts = 4 * np.concatenate([[0], np.cumsum(lengths)])
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(cuts),
+                                                                             pa.py_buffer(ids.astype("<u4", copy=False))])
+
+
+def _gather(table: pa.Array, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of the runs of numbers ``at``; Arrow copies each run as a whole."""
+    return _raw(table.take(pa.array(at)))
+
+
 class Shard:
     """A packed shard, opened; ``ids(start, n)`` decodes a range of ids from the nearest stored place before it."""
 
@@ -174,24 +193,23 @@ class Shard:
         if len(data) != at + wide * n_seq or not np.array_equal(found, length):
             raise ValueError("damaged token shard")
         # one table of ids: the terminals as themselves, then the expansions
-        self.flat = np.concatenate([np.arange(self.first, dtype=np.uint32), flat])
-        self.start = np.concatenate([np.arange(self.first), start + self.first])
-        self.length = np.concatenate([np.ones(self.first, np.int64), length])
+        self.table = _table(np.concatenate([np.arange(self.first, dtype="<u4"), flat]),
+                            np.concatenate([np.ones(self.first, np.int64), length]))
 
     def ids(self, start: int, n: int) -> np.ndarray:
         if n <= 0:
             return np.zeros(0, np.uint32)
         low = int(np.searchsorted(self.before, start, side="right")) - 1
         high = int(np.searchsorted(self.before, start + n, side="left"))
-        symbols = self.seq[low * STRIDE:high * STRIDE]
-        out = self.flat[ranges(self.start[symbols], self.length[symbols])]
+        out = _gather(self.table, self.seq[low * STRIDE:high * STRIDE])[0].view("<u4")
         skip = start - int(self.before[low])
         return out[skip:skip + n]
 
 
 # --- encoding ------------------------------------------------------------------------------
-# line ends and the visible characters of Latin scripts: these split alike in every Unicode version
+# the byte-level pre-tokens, as ``_pretokens`` cuts them
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# line ends and the visible characters of Latin scripts: these split alike in every Unicode version
 _PLAIN = "^[\n -~\u00a1-\u00ac\u00ae-\u024f]*$"
 
 # what a character is to the byte-level pattern
@@ -228,13 +246,6 @@ def _strings(a: pa.Array) -> list[str]:
     return a.to_numpy(zero_copy_only=False).tolist()
 
 
-def _raw(a: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets) of a large_string array without nulls; the offsets begin at 0."""
-    offsets = np.frombuffer(a.buffers()[1], np.int64, len(a) + 1, 8 * a.offset) if len(a) else np.zeros(1, np.int64)
-    n = int(offsets[-1] - offsets[0])
-    return np.frombuffer(a.buffers()[2], np.uint8, n, int(offsets[0])) if n else np.zeros(0, np.uint8), offsets - offsets[0]
-
-
 class Encoder:
     """Encodes with a byte-level BPE of the tokenizers library, the distinct pieces of many texts at a time.
 
@@ -463,15 +474,12 @@ class Encoder:
         # one table of ids for the slice: forms, first pieces, nothing, texts cut anew or their ends, whole texts
         sizes = np.concatenate([self.length[codes], [0], np.diff(np.concatenate([[0], np.cumsum(self.length[more])])[upto]),
                                 np.fromiter(map(len, wholes), np.int64, len(wholes))])
-        table = np.concatenate([self._ids(codes), self._ids(more), *wholes]).astype("<u4", copy=False)
+        table = _table(np.concatenate([self._ids(codes), self._ids(more), *wholes]), sizes)
         none = np.flatnonzero(anew | special)
         at[ranges(first[none], counts[none])] = len(codes)
         at[np.where(anew, first, last)[some]] = len(codes) + 1 + np.arange(len(some))
         at[first[whole]] = len(codes) + 1 + len(some) + np.arange(len(whole))
-        cuts = pa.py_buffer(4 * np.concatenate([[0], np.cumsum(sizes)]))
-        # Arrow copies the bytes of each piece's ids one behind the other
-        raw, ends = _raw(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, cuts, pa.py_buffer(table)])
-                         .take(pa.array(at)))
+        raw, ends = _gather(table, at)
         begin = 0
         for end in ends[last + 1].tolist():
             yield raw[begin:end].tobytes()
